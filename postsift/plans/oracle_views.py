@@ -93,7 +93,7 @@ MASK_SQL = "regexp_replace({x}, '(://[^:]+:)[^@]+(@)', '\\1****\\2', 'g')"
 ATTEMPTS = f"""ev AS (
   SELECT event_id, ts, user_id, event_type, value, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events),
 attempts AS (
-  SELECT event_id AS seq, ts, 'term_' || (user_id % {N_TERMS}) AS search_term,
+  SELECT event_id AS seq, ts, strftime(ts, '%Y-%m-%d') AS run_id, 'term_' || (user_id % {N_TERMS}) AS search_term,
     {sql_list(SITES)}[event_id % 4 + 1] AS site, user_id % 4 AS batch,
     event_type <> 'error' AS success,
     CAST(CASE WHEN event_type <> 'error' THEN k ELSE 0 END AS BIGINT) AS jobs_found,

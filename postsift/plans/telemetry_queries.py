@@ -1,3 +1,307 @@
-"""Registered queries (filled in below)."""
+"""Registered queries for run telemetry over attempts."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import attempts as at
+from ..operators import leads as ld
+from ..operators import runstats as rs
+from ..operators import scoring as sc
+from ..sources import bindings as b
+from . import oracle_views as ov
+from .probe_rules import probe_rules
+from .registry import RUN_DATE, RUN_ID, query
+
+A = ov.with_(ov.ATTEMPTS)
+
+
+def att(spark, d):
+    return b.attempts(spark, d)
+
+
+PAIRS = """pairs AS (
+  SELECT run_id, search_term, site, coalesce(bool_or(success), FALSE) AS ok,
+    sum(CASE WHEN success THEN jobs_found ELSE 0 END) AS jobs,
+    coalesce(bool_or(error_type = 'blocked'), FALSE) AS was_blocked,
+    min(CASE WHEN error_type = 'blocked' THEN seq END) AS block_seq,
+    arg_max(error_type, CASE WHEN NOT success THEN seq END) AS last_type,
+    arg_max(error_message, CASE WHEN NOT success THEN seq END) AS last_message,
+    arg_max(error_raw, CASE WHEN NOT success THEN seq END) AS last_raw,
+    arg_max(ts, CASE WHEN NOT success THEN seq END) AS last_ts,
+    count_if(NOT success) AS failed_attempts
+  FROM attempts GROUP BY run_id, search_term, site)"""
+
+
+def _site_stats_sql(keys: str) -> str:
+    return f"""SELECT {keys}, CAST(count(*) AS BIGINT) AS searches_attempted, CAST(count_if(ok) AS BIGINT) AS searches_successful,
+  CAST(sum(jobs) AS BIGINT) AS total_jobs_found, bool_or(was_blocked) AS blocked,
+  arg_min(search_term, block_seq) FILTER (WHERE was_blocked) AS blocked_at_term,
+  CAST(count_if(NOT ok AND NOT was_blocked) AS BIGINT) AS error_count,
+  CASE WHEN count(*) > 0 THEN round(count_if(ok) / count(*) * 100, 1) ELSE 0.0 END AS success_rate"""
+
+
+@query("site_stats", "E4", ov.with_(ov.ATTEMPTS, PAIRS) + _site_stats_sql("site") + " FROM pairs GROUP BY site")
+def site_stats(spark, d):
+    return at.site_stats(att(spark, d))
+
+
+@query("blocked_sites", "E6", A + """SELECT site, arg_min(search_term, seq) AS search_term, substr(arg_min(error_message, seq), 1, 500) AS error_message,
+  strftime(arg_min(ts, seq), '%Y-%m-%d %H:%M:%S') AS timestamp FROM attempts WHERE error_type = 'blocked' GROUP BY site""")
+def blocked_sites(spark, d):
+    return at.blocked_sites(att(spark, d))
+
+
+SITE_SUMMARY_SQL = """SELECT site, CAST(count(*) AS BIGINT) AS total_attempts, CAST(count_if(success) AS BIGINT) AS successful_attempts,
+  CAST(coalesce(sum(CASE WHEN success THEN jobs_found END), 0) AS BIGINT) AS total_jobs,
+  CAST(sum(duration_ms) AS BIGINT) AS total_duration_ms,
+  CAST(count_if(challenge_detected) AS BIGINT) AS cloudflare_encounters,
+  CAST(count_if(challenge_detected AND challenge_solved IS TRUE) AS BIGINT) AS cloudflare_solved,
+  CAST(count_if(challenge_detected AND challenge_solved IS FALSE) AS BIGINT) AS cloudflare_failed,
+  CASE WHEN count(*) > 0 THEN round(count_if(success) / count(*) * 100, 1) ELSE 0.0 END AS success_rate,
+  CAST(CASE WHEN count(*) > 0 THEN round(sum(duration_ms) / count(*)) ELSE 0 END AS BIGINT) AS avg_duration_ms,
+  CASE WHEN count_if(success) > 0 THEN round(coalesce(sum(CASE WHEN success THEN jobs_found END), 0) / count_if(success), 1) ELSE 0.0 END AS avg_jobs_per_success
+FROM attempts GROUP BY site"""
+
+
+@query("site_summary", "E7", A + SITE_SUMMARY_SQL)
+def site_summary(spark, d):
+    return at.site_summary(att(spark, d))
+
+
+@query("site_value_counts", "E8", A + """SELECT site, kind, key, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT site, 'error_type' AS kind, error_type AS key FROM attempts
+  UNION ALL SELECT site, 'http_status', CASE WHEN http_status <> 0 THEN CAST(http_status AS VARCHAR) END FROM attempts
+  UNION ALL SELECT site, 'selector', selector_matched FROM attempts)
+WHERE key IS NOT NULL AND key <> '' GROUP BY site, kind, key""")
+def site_value_counts(spark, d):
+    return at.site_value_counts(att(spark, d))
+
+
+@query("term_performance", "E9", A + """SELECT search_term, CAST(count(*) AS BIGINT) AS total_attempts,
+  CAST(count_if(success) AS BIGINT) AS successful_attempts,
+  CAST(coalesce(sum(CASE WHEN success THEN jobs_found END), 0) AS BIGINT) AS total_jobs,
+  coalesce(string_agg(DISTINCT site, ',' ORDER BY site), '') AS sites_tried,
+  coalesce(string_agg(DISTINCT site, ',' ORDER BY site) FILTER (WHERE success), '') AS sites_successful,
+  coalesce(string_agg(DISTINCT site, ',' ORDER BY site) FILTER (WHERE NOT success), '') AS sites_failed,
+  CASE WHEN count(*) > 0 THEN round(count_if(success) / count(*) * 100, 1) ELSE 0.0 END AS success_rate
+FROM attempts GROUP BY search_term""")
+def term_performance(spark, d):
+    return at.term_performance(att(spark, d))
+
+
+@query("timing_distribution", "E10", A + """SELECT CAST(n AS BIGINT) AS count, CAST(l[1] AS BIGINT) AS min_ms, CAST(l[n] AS BIGINT) AS max_ms,
+  CAST(round(s / n) AS BIGINT) AS avg_ms, CAST(l[n // 2 + 1] AS BIGINT) AS p50_ms,
+  CAST(CASE WHEN n >= 10 THEN l[CAST(floor(n * 0.9) AS BIGINT) + 1] ELSE l[n] END AS BIGINT) AS p90_ms,
+  CAST(CASE WHEN n >= 100 THEN l[CAST(floor(n * 0.99) AS BIGINT) + 1] ELSE l[n] END AS BIGINT) AS p99_ms
+FROM (SELECT count(*) AS n, sum(duration_ms) AS s, list_sort(list(duration_ms)) AS l FROM attempts WHERE success AND duration_ms > 0)""")
+def timing_distribution(spark, d):
+    return at.timing_distribution(att(spark, d))
+
+
+@query("errors_by_type", "E11", A + """SELECT coalesce(error_type, 'unknown') AS error_type, CAST(count(*) AS BIGINT) AS n
+FROM attempts WHERE NOT success GROUP BY 1""")
+def errors_by_type(spark, d):
+    return at.errors_by_type(att(spark, d))
+
+
+@query("errors_by_site", "E12", A + """SELECT site, error_type, CAST(count(*) AS BIGINT) AS n, CAST(grouping(site, error_type) AS BIGINT) AS level
+FROM (SELECT site, coalesce(error_type, 'unknown') AS error_type FROM attempts WHERE NOT success)
+GROUP BY ROLLUP (site, error_type)""")
+def errors_by_site(spark, d):
+    return at.errors_by_site(att(spark, d))
+
+
+@query("top_error_messages", "E13", A + """SELECT substr(error_message, 1, 100) AS message, CAST(count(*) AS BIGINT) AS n FROM attempts
+WHERE NOT success AND error_message IS NOT NULL AND error_message <> ''
+GROUP BY 1 ORDER BY n DESC, min(seq) LIMIT 10""")
+def top_error_messages(spark, d):
+    return at.top_error_messages(att(spark, d))
+
+
+@query("challenge_analysis", "E14", A + """SELECT CAST(count(*) AS BIGINT) AS total_encounters,
+  CAST(count_if(challenge_solved IS TRUE) AS BIGINT) AS solved, CAST(count_if(challenge_solved IS FALSE) AS BIGINT) AS failed,
+  CASE WHEN count(*) > 0 THEN round(count_if(challenge_solved IS TRUE) / count(*) * 100, 1) ELSE 0.0 END AS solve_rate
+FROM attempts WHERE challenge_detected""")
+def challenge_analysis(spark, d):
+    return at.challenge_analysis(att(spark, d))
+
+
+@query("challenge_by_site", "E15", A + """SELECT site, CAST(count(*) AS BIGINT) AS encounters,
+  CAST(count_if(challenge_solved IS TRUE) AS BIGINT) AS solved, CAST(count_if(challenge_solved IS FALSE) AS BIGINT) AS failed
+FROM attempts WHERE challenge_detected GROUP BY site""")
+def challenge_by_site(spark, d):
+    return at.challenge_by_site(att(spark, d))
+
+
+SEARCH_ERRORS_SQL = ov.with_(ov.ATTEMPTS, PAIRS) + """SELECT run_id, search_term, site, last_type AS error_type, substr(last_message, 1, 500) AS error_message,
+  CAST(failed_attempts AS BIGINT) AS attempts, strftime(last_ts, '%Y-%m-%d %H:%M:%S') AS timestamp,
+  CAST(nullif(regexp_extract(last_raw, '\\b([3-5]\\d{2})\\b', 1), '') AS INTEGER) AS status_code
+FROM pairs WHERE NOT ok AND NOT was_blocked"""
+
+
+@query("search_errors", "A7", SEARCH_ERRORS_SQL)
+def search_errors(spark, d):
+    return at.search_errors(att(spark, d))
+
+
+@query("error_summary", "E16", ov.with_(ov.ATTEMPTS, PAIRS) + """SELECT last_type AS error_type, CAST(count(*) AS BIGINT) AS n,
+  CAST(sum(count(*)) OVER () AS BIGINT) AS total_errors FROM pairs WHERE NOT ok AND NOT was_blocked GROUP BY last_type""")
+def error_summary(spark, d):
+    return at.error_summary(att(spark, d))
+
+
+@query("merge_run_stats", "E17", ov.with_(ov.ATTEMPTS, """bpairs AS (
+  SELECT batch, search_term, site, coalesce(bool_or(success), FALSE) AS ok,
+    sum(CASE WHEN success THEN jobs_found ELSE 0 END) AS jobs,
+    coalesce(bool_or(error_type = 'blocked'), FALSE) AS was_blocked,
+    min(CASE WHEN error_type = 'blocked' THEN seq END) AS block_seq
+  FROM attempts GROUP BY batch, run_id, search_term, site)""", """per_batch AS (""" + _site_stats_sql("batch, site") + """ FROM bpairs GROUP BY batch, site)""") + """
+SELECT site, CAST(count(*) AS BIGINT) AS batches, CAST(sum(searches_attempted) AS BIGINT) AS searches_attempted,
+  CAST(sum(searches_successful) AS BIGINT) AS searches_successful, CAST(sum(total_jobs_found) AS BIGINT) AS total_jobs_found,
+  CAST(sum(error_count) AS BIGINT) AS error_count, bool_or(blocked) AS blocked,
+  arg_min(blocked_at_term, batch) FILTER (WHERE blocked_at_term IS NOT NULL) AS blocked_at_term,
+  CASE WHEN sum(searches_attempted) > 0 THEN round(sum(searches_successful) / sum(searches_attempted) * 100, 1) ELSE 0.0 END AS success_rate
+FROM per_batch GROUP BY site""")
+def merge_run_stats(spark, d):
+    return at.merge_run_stats(att(spark, d))
+
+
+@query("merge_count_maps", "E18", A + """SELECT coalesce(error_type, 'unknown') AS key, CAST(count(*) AS BIGINT) AS n
+FROM attempts WHERE NOT success GROUP BY 1 ORDER BY n DESC, key LIMIT 10""")
+def merge_count_maps(spark, d):
+    return at.merge_count_maps(att(spark, d))
+
+
+@query("merge_attempt_analytics", "E19", A + f"""SELECT s.*, b.batches FROM ({SITE_SUMMARY_SQL}) s
+JOIN (SELECT site, CAST(count(DISTINCT batch) AS BIGINT) AS batches FROM attempts GROUP BY site) b USING (site)""")
+def merge_attempt_analytics(spark, d):
+    return at.merge_attempt_analytics(att(spark, d))
+
+
+R = probe_rules()
+
+
+@query("run_stats", "E5", ov.with_(ov.ATTEMPTS, ov.POSTINGS, ov.scored_sql(R)) + f"""SELECT '{RUN_ID}' AS run_id, *,
+  CASE WHEN search_terms_total > 0 THEN round(search_terms_completed / search_terms_total * 100, 1) ELSE 0.0 END AS completion_rate,
+  CASE WHEN total_jobs_raw > 0 THEN round((1 - total_jobs_filtered / total_jobs_raw) * 100, 1) ELSE 0.0 END AS filter_rate
+FROM (SELECT CAST(count(DISTINCT search_term) AS BIGINT) AS search_terms_total, CAST(count(DISTINCT search_term) AS BIGINT) AS search_terms_completed,
+  strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start_time, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS end_time FROM attempts),
+ (SELECT CAST(count(*) AS BIGINT) AS total_jobs_raw, CAST(count_if(qualified) AS BIGINT) AS total_jobs_filtered FROM scored),
+ (SELECT CAST(count(DISTINCT company) AS BIGINT) AS unique_companies FROM scored WHERE qualified AND company IS NOT NULL AND company <> '')""")
+def run_stats(spark, d):
+    s = sc.score_postings(b.postings(spark, d), R)
+    leads = ld.process_leads(sc.qualified_postings(s), R, RUN_DATE)
+    return rs.run_stats(att(spark, d), s, leads, RUN_ID)
+
+
+@query("session_totals", "E25", A + """SELECT strftime(ts, '%Y-%m-%d') AS session_id, CAST(count(*) AS BIGINT) AS searches,
+  CAST(count_if(success) AS BIGINT) AS ok, CAST(count_if(NOT success) AS BIGINT) AS failed, CAST(sum(jobs_found) AS BIGINT) AS jobs
+FROM attempts GROUP BY 1""")
+def session_totals(spark, d):
+    return at.session_totals(att(spark, d))
+
+
+@query("description_fill_rate", "E26", ov.with_(ov.POSTINGS) + """SELECT search_term, CAST(count(*) AS BIGINT) AS postings,
+  CAST(sum(CASE WHEN length(description) > 50 THEN 1 ELSE 0 END) AS BIGINT) AS filled,
+  CASE WHEN count(*) > 0 THEN round(sum(CASE WHEN length(description) > 50 THEN 1 ELSE 0 END) / count(*) * 100, 1) ELSE 0.0 END AS fill_rate
+FROM postings GROUP BY search_term""")
+def description_fill_rate(spark, d):
+    return at.description_fill_rate(b.postings(spark, d))
+
+
+@query("site_throughput", "E27", A + """SELECT site, CAST(sum(jobs_found) AS BIGINT) AS jobs, CAST(sum(duration_ms) AS BIGINT) AS duration_ms,
+  CASE WHEN sum(duration_ms) > 0 THEN round(sum(jobs_found) / (sum(duration_ms) / 1000.0), 3) ELSE 0.0 END AS jobs_per_second
+FROM attempts GROUP BY site""")
+def site_throughput(spark, d):
+    return at.site_throughput(att(spark, d))
+
+
+@query("selector_performance", "E29", A + """SELECT site, selector, CAST(count(*) AS BIGINT) AS tried,
+  CAST(count_if(selector = selector_matched) AS BIGINT) AS matched
+FROM (SELECT site, selector_matched, unnest(selectors_tried) AS selector FROM attempts) GROUP BY site, selector""")
+def selector_performance(spark, d):
+    return at.selector_performance(att(spark, d))
+
+
+@query("postings_per_term", "E30", ov.with_(ov.ATTEMPTS, ov.POSTINGS) + """SELECT t.search_term, CAST(coalesce(c.n, 0) AS BIGINT) AS postings,
+  CASE WHEN coalesce(c.n, 0) >= 16 THEN 'ok' WHEN coalesce(c.n, 0) > 0 THEN 'warning' ELSE 'failed' END AS status
+FROM (SELECT DISTINCT search_term FROM attempts) t
+LEFT JOIN (SELECT search_term, count(*) AS n FROM postings GROUP BY search_term) c USING (search_term)""")
+def postings_per_term(spark, d):
+    return at.postings_per_term(att(spark, d), b.postings(spark, d), expected=20)
+
+
+@query("search_consistency", "E31", A + """SELECT site, searches, avg_ms, min_ms, max_ms, CAST(max_ms - min_ms AS BIGINT) AS spread_ms,
+  CASE WHEN (max_ms - min_ms) / avg_ms < 0.3 THEN 'consistent' WHEN (max_ms - min_ms) / avg_ms < 0.5 THEN 'moderate' ELSE 'variable' END AS timing_rating,
+  CASE WHEN all_filled THEN 'reliable' WHEN avg_fill >= 60 THEN 'mostly_reliable' ELSE 'unreliable' END AS reliability
+FROM (SELECT site, CAST(count(*) AS BIGINT) AS searches, round(avg(duration_ms), 1) AS avg_ms, CAST(min(duration_ms) AS BIGINT) AS min_ms,
+  CAST(max(duration_ms) AS BIGINT) AS max_ms, round(avg(jobs_found), 1) AS avg_fill, bool_and(jobs_found >= 60) AS all_filled
+  FROM attempts WHERE success GROUP BY site)""")
+def search_consistency(spark, d):
+    return at.search_consistency(att(spark, d))
+
+
+@query("slowdown_check", "E32", A + """SELECT site, search_term, CAST(first_ms AS BIGINT) AS first_ms, later_avg_ms,
+  coalesce(later_avg_ms > 2.0 * first_ms, FALSE) AS throttled
+FROM (SELECT site, search_term, arg_min(duration_ms, seq) AS first_ms,
+  CASE WHEN count(*) > 1 THEN round((sum(duration_ms) - arg_min(duration_ms, seq)) / (count(*) - 1), 1) END AS later_avg_ms
+  FROM attempts GROUP BY site, search_term)""")
+def slowdown_check(spark, d):
+    return at.slowdown_check(att(spark, d))
+
+
+@query("variant_comparison", "E33", A + """SELECT variant, attempts, success_rate, avg_ms,
+  row_number() OVER (ORDER BY success_rate DESC, first_seq) = 1 AS is_best
+FROM (SELECT site AS variant, CAST(count(*) AS BIGINT) AS attempts,
+  CASE WHEN count(*) > 0 THEN round(count_if(success) / count(*) * 100, 1) ELSE 0.0 END AS success_rate,
+  round(avg(duration_ms), 1) AS avg_ms, min(seq) AS first_seq FROM attempts GROUP BY site)""")
+def variant_comparison(spark, d):
+    return at.variant_comparison(att(spark, d))
+
+
+@query("health_alerts", "E34", ov.with_(ov.ATTEMPTS, PAIRS) + """SELECT site, alert FROM (
+  SELECT s.site, unnest([
+    CASE WHEN s.total_jobs / s.total_attempts < 50 THEN 'low_yield' END,
+    CASE WHEN s.success_rate < 80 THEN 'low_success' END,
+    CASE WHEN s.cloudflare_encounters > 0 AND s.cloudflare_solved / s.cloudflare_encounters * 100 < 70 THEN 'challenge_failures' END,
+    CASE WHEN b.blocked THEN 'blocked' END]) AS alert
+  FROM (""" + SITE_SUMMARY_SQL + """) s JOIN (SELECT site, bool_or(was_blocked) AS blocked FROM pairs GROUP BY site) b USING (site))
+WHERE alert IS NOT NULL""")
+def health_alerts(spark, d):
+    return at.health_alerts(att(spark, d))
+
+
+@query("retry_number", "F5", A + """SELECT seq, search_term, site,
+  CAST(row_number() OVER (PARTITION BY search_term, site ORDER BY seq) - 1 AS BIGINT) AS retry_number FROM attempts""")
+def retry_number(spark, d):
+    return at.retry_number(att(spark, d))
+
+
+@query("circuit_breaker", "F6", A + """SELECT seq, site, coalesce(seq > (SELECT min(seq) FROM attempts b WHERE b.site = a.site AND b.error_type = 'blocked'), FALSE) AS skipped
+FROM attempts a""")
+def circuit_breaker(spark, d):
+    return at.circuit_breaker(att(spark, d))
+
+
+@query("failure_streak", "F7", A + """SELECT site, CAST(max(streak) AS BIGINT) AS longest_streak, min(CASE WHEN streak >= 3 THEN seq END) AS cut_seq FROM (
+  SELECT site, seq, row_number() OVER (PARTITION BY site, island ORDER BY seq) AS streak FROM (
+    SELECT site, seq, success, sum(CASE WHEN success THEN 1 ELSE 0 END) OVER (PARTITION BY site ORDER BY seq) AS island FROM attempts)
+  WHERE NOT success) GROUP BY site""")
+def failure_streak(spark, d):
+    return at.failure_streak(att(spark, d))
+
+
+@query("description_quota", "F9", ov.with_(ov.POSTINGS) + """SELECT seq, search_term, CAST(rn AS BIGINT) AS rn, rn <= 10 AS gets_description FROM (
+  SELECT seq, search_term, row_number() OVER (PARTITION BY search_term ORDER BY seq) AS rn FROM postings)""")
+def description_quota(spark, d):
+    return at.description_quota(b.postings(spark, d), 10)
+
+
+@query("sample_per_term", "F10", ov.with_(ov.POSTINGS) + """SELECT seq, search_term, title, CAST(rn AS BIGINT) AS rn FROM (
+  SELECT seq, search_term, title, row_number() OVER (PARTITION BY search_term ORDER BY seq) AS rn FROM postings) WHERE rn <= 2""")
+def sample_per_term(spark, d):
+    return at.sample_per_term(b.postings(spark, d), 2)
+
+
+_ = F

@@ -91,6 +91,8 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         F.col("event_id").alias("seq"),
         F.col("ts"),
+        # one collection run per day: a search is (run_id, term, site) with its retries
+        F.date_format("ts", "yyyy-MM-dd").alias("run_id"),
         F.concat(F.lit("term_"), (F.col("user_id") % N_TERMS).cast("string")).alias("search_term"),
         _pick(SITES, (F.col("event_id") % 4 + 1).cast("int")).alias("site"),
         (F.col("user_id") % 4).alias("batch"),
