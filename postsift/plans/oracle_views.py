@@ -172,9 +172,11 @@ progress AS (
          WHEN key = 'last_page' THEN CAST(seq % 50 AS VARCHAR) ELSE CAST(s_nationkey AS VARCHAR) END AS value
   FROM progress0)"""
 
-CANDIDATES = f"""candidates AS (
-  SELECT c_custkey AS seq, c_name AS company, {normalize_domain_sql(guess_domain_sql('c_name'))} AS domain,
-    c_mktsegment AS segment FROM customer)"""
+CANDIDATES = f"""candidates0 AS (
+  SELECT 'customer' AS kind, c_custkey AS seq, c_name AS company, c_mktsegment AS segment FROM customer
+  UNION ALL SELECT 'supplier', s_suppkey, s_name, 'SUPPLIER' FROM supplier),
+candidates AS (
+  SELECT kind, seq, company, {normalize_domain_sql(guess_domain_sql('company'))} AS domain, segment FROM candidates0)"""
 
 
 # --- scorer -------------------------------------------------------------------

@@ -1,3 +1,168 @@
-"""Registered queries (filled in below)."""
+"""Registered queries for page extraction."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import text as tx
+from ..operators import pages as pg
+from ..sources import bindings as b
+from . import oracle_views as ov
+from .registry import query
+
+P = ""  # pages is a base table in the oracle
+BASE = pg.BASE_URL
+EMPLOYMENT = ("FULL_TIME", "PART_TIME", "CONTRACT", "")
+
+
+def pages(spark, d):
+    return b.pages(spark, d)
+
+
+def html_to_text_sql(x: str, limit: int | None = 5000) -> str:
+    h = f"regexp_replace({x}, '(?is)<script[^>]*>.*?</script>', ' ', 'g')"
+    h = f"regexp_replace({h}, '(?is)<style[^>]*>.*?</style>', ' ', 'g')"
+    h = f"regexp_replace({h}, '(?s)<!--.*?-->', ' ', 'g')"
+    h = f"regexp_replace({h}, '<[^>]+>', ' ', 'g')"
+    for ent, ch in pg.ENTITIES:
+        h = f"replace({h}, {ov.q(ent)}, {ov.q(ch)})"
+    h = f"trim(regexp_replace({h}, '\\s+', ' ', 'g'))"
+    return f"substr({h}, 1, {limit})" if limit else h
+
+
+LINKS_SQL = f"""links0 AS (
+  SELECT page_id, unnest(l) AS url, unnest(generate_series(0, len(l) - 1)) AS pos
+  FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]+)"', 1) AS l FROM pages)),
+links AS (
+  SELECT page_id, pos, url FROM (
+    SELECT *, row_number() OVER (PARTITION BY page_id, url ORDER BY pos) AS rn FROM links0) WHERE rn = 1)"""
+
+
+@query("page_links", "H1", ov.with_(LINKS_SQL) + f"""SELECT page_id, CAST(pos AS BIGINT) AS pos, url,
+  CASE WHEN starts_with(url, 'http') THEN url ELSE '{BASE}' || url END AS abs_url,
+  regexp_extract(CASE WHEN starts_with(url, 'http') THEN url ELSE '{BASE}' || url END, '/jobs/(\\d+)/', 1) AS job_id
+FROM links""")
+def page_links(spark, d):
+    return pg.page_links(pages(spark, d)).withColumn("pos", F.col("pos").cast("bigint"))
+
+
+@query("links_per_page", "F4", ov.with_(LINKS_SQL) + """SELECT page_id, CAST(count(*) AS BIGINT) AS distinct_links,
+  CAST((SELECT count(*) FROM links0 z WHERE z.page_id = links.page_id) AS BIGINT) AS all_links FROM links GROUP BY page_id""")
+def links_per_page(spark, d):
+    p = pages(spark, d)
+    distinct = pg.page_links(p).groupBy("page_id").agg(F.count(F.lit(1)).alias("distinct_links"))
+    raw = p.select("page_id", F.size(F.regexp_extract_all("html", F.lit(pg.HREF), 1)).cast("bigint").alias("all_links"))
+    return distinct.join(raw, "page_id")
+
+
+@query("page_cap", "F8", ov.with_(LINKS_SQL) + """SELECT page_id, CAST(pos AS BIGINT) AS pos, url FROM (
+  SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS rn FROM links) WHERE rn <= 5""")
+def page_cap(spark, d):
+    return pg.page_cap(pg.page_links(pages(spark, d)).select("page_id", "pos", "url"), 5).withColumn("pos", F.col("pos").cast("bigint"))
+
+
+@query("listing_fields", "H2", r"""SELECT page_id, parts[1] AS title, coalesce(parts[2], '') AS company,
+  coalesce(CASE WHEN contains(parts[3], '...') THEN regexp_replace(split_part(parts[3], '...', 1), '^\s+|\s+$', '', 'g') ELSE parts[3] END, '') AS location
+FROM (SELECT page_id, list_filter(list_transform(string_split(regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<[^>]+>', '|', 'g'), '|'),
+  lambda p: regexp_replace(p, '^\s+|\s+$', '', 'g')), lambda p: p <> '') AS parts FROM pages)
+WHERE parts[1] IS NOT NULL AND parts[1] <> ''""")
+def listing_fields(spark, d):
+    return pg.listing_fields(pages(spark, d))
+
+
+def _json_docs(spark, d):
+    doc = b.read_table(spark, d, "documents").select("doc_id", "text", "n_chars")
+    i = F.col("doc_id")
+    salary = F.when(i % 3 == 0, F.concat(F.lit("$"), (F.col("n_chars") * 10).cast("string"))).when(
+        i % 3 == 1, F.concat((F.col("n_chars") * 10).cast("string"), F.lit(" EUR"))).otherwise(F.lit(""))
+    emp = F.element_at(F.array(*[F.lit(x) for x in EMPLOYMENT]), (i % 4 + 1).cast("int"))
+    # every 11th block is cut short on purpose: malformed JSON must not fail the job
+    js = F.when(F.col("seq") % 11 == 0, F.expr("substring(to_json_tmp, 1, length(to_json_tmp) - 1)")).otherwise(F.col("to_json_tmp"))
+    base = doc.select(i.alias("seq"), F.to_json(F.struct(
+        F.col("text").alias("description"),
+        F.struct(F.struct(salary.alias("value")).alias("value")).alias("baseSalary"),
+        emp.alias("employmentType"),
+        F.concat(F.lit("2026-01-"), F.lpad((i % 28 + 1).cast("string"), 2, "0")).alias("datePosted"),
+    )).alias("to_json_tmp"))
+    return base.select("seq", js.alias("json_ld"))
+
+
+_EMP_SQL = ov.sql_list(EMPLOYMENT)
+JSON_DOCS_SQL = f"""jd0 AS (
+  SELECT doc_id AS seq, to_json(struct_pack(description := text,
+    baseSalary := struct_pack(value := struct_pack(value := CASE WHEN doc_id % 3 = 0 THEN '$' || (n_chars * 10)
+      WHEN doc_id % 3 = 1 THEN (n_chars * 10) || ' EUR' ELSE '' END)),
+    employmentType := {_EMP_SQL}[doc_id % 4 + 1],
+    datePosted := '2026-01-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0')))::VARCHAR AS j FROM documents),
+jd AS (SELECT seq, CASE WHEN seq % 11 = 0 THEN substr(j, 1, length(j) - 1) ELSE j END AS j FROM jd0)"""
+
+
+def _title_case_sql(x: str) -> str:
+    return f"array_to_string(list_transform(string_split(replace({x}, '_', ' '), ' '), lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ')"
+
+
+@query("json_ld_fields", "H3", ov.with_(JSON_DOCS_SQL) + f"""SELECT seq,
+  CASE WHEN length(d) > 0 THEN {html_to_text_sql('d')} END AS description,
+  CASE WHEN contains(s, '$') THEN s END AS salary,
+  CASE WHEN length(e) > 0 THEN {_title_case_sql('e')} END AS employment_type,
+  CASE WHEN length(p) > 0 THEN p END AS date_posted
+FROM (SELECT seq, CASE WHEN json_valid(j) THEN json_extract_string(j, '$.description') END AS d,
+  CASE WHEN json_valid(j) THEN json_extract_string(j, '$.baseSalary.value.value') END AS s,
+  CASE WHEN json_valid(j) THEN json_extract_string(j, '$.employmentType') END AS e,
+  CASE WHEN json_valid(j) THEN json_extract_string(j, '$.datePosted') END AS p FROM jd)""")
+def json_ld_fields(spark, d):
+    return pg.json_ld_fields(_json_docs(spark, d))
+
+
+@query("html_to_text", "H4", f"SELECT page_id, {html_to_text_sql('html')} AS text FROM pages")
+def html_to_text(spark, d):
+    return pages(spark, d).select("page_id", pg.html_to_text(F.col("html")).alias("text"))
+
+
+@query("selector_fallback", "H5", r"""SELECT page_id, coalesce(nullif(h1, ''), nullif(t, '')) AS heading,
+  CASE WHEN h1 <> '' THEN 'h1' WHEN t <> '' THEN 'title' END AS selector_matched
+FROM (SELECT page_id, regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '^\s+|\s+$', '', 'g') AS h1,
+  regexp_replace(regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1), '^\s+|\s+$', '', 'g') AS t FROM pages)""")
+def selector_fallback(spark, d):
+    return pg.selector_fallback(pages(spark, d))
+
+
+@query("description_fallback", "H6", f"""SELECT page_id, coalesce(nullif({html_to_text_sql('ld')}, ''),
+  CASE WHEN length(main) > 100 THEN main END, '') AS description
+FROM (SELECT page_id, CASE WHEN json_valid(nullif(regexp_extract(html, '(?s)<script type="application/ld\\+json">(.*?)</script>', 1), ''))
+    THEN json_extract_string(regexp_extract(html, '(?s)<script type="application/ld\\+json">(.*?)</script>', 1), '$.description') END AS ld,
+  {html_to_text_sql("regexp_extract(html, '(?s)<article>(.*?)</article>', 1)")} AS main FROM pages)""")
+def description_fallback(spark, d):
+    return pg.description_fallback(pages(spark, d))
+
+
+@query("fallback_links", "H7", f"""SELECT page_id, title, CAST(pos AS BIGINT) AS pos FROM (
+  SELECT page_id, title, pos, row_number() OVER (PARTITION BY page_id, title ORDER BY pos) AS rn FROM (
+    SELECT page_id, regexp_replace(t, '^\\s+|\\s+$', '', 'g') AS title, pos FROM (
+      SELECT page_id, unnest(l) AS t, unnest(generate_series(0, len(l) - 1)) AS pos
+      FROM (SELECT page_id, regexp_extract_all(html, '<a [^>]*>([^<]*)</a>', 1) AS l FROM pages WHERE page_id % 13 = 0))
+    WHERE pos < 50)
+  WHERE length(title) > 5 AND NOT {ov.any_sql('lower(title)', pg.NAVIGATION_WORDS)})
+WHERE rn = 1""")
+def fallback_links(spark, d):
+    p = pages(spark, d)
+    # pages whose id is a multiple of 13 stand for result pages where no card matched
+    has_cards = p.filter(F.col("page_id") % 13 != 0)
+    return pg.fallback_links(p, has_cards).withColumn("pos", F.col("pos").cast("bigint"))
+
+
+@query("valid_postings", "H8", ov.with_(ov.POSTINGS) + """SELECT seq, title, company FROM postings
+WHERE title IS NOT NULL AND title <> '' AND company IS NOT NULL AND company <> ''""")
+def valid_postings(spark, d):
+    return pg.valid_postings(b.postings(spark, d)).select("seq", "title", "company")
+
+
+@query("first_per_job_id", "F3", """SELECT job_id, seq, url FROM (
+  SELECT job_id, page_id AS seq, url, row_number() OVER (PARTITION BY job_id ORDER BY page_id) AS rn
+  FROM (SELECT page_id, url, regexp_extract(url, '/(\\d+)', 1) AS job_id FROM pages) WHERE job_id <> '') WHERE rn = 1""")
+def first_per_job_id(spark, d):
+    p = pages(spark, d).select(F.regexp_extract("url", r"/(\d+)", 1).alias("job_id"), F.col("page_id").alias("seq"), "url")
+    return pg.first_per_job_id(p, "job_id", "seq")
+
+
+_ = tx

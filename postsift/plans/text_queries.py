@@ -67,23 +67,23 @@ def clean_company(spark, d):
     return b.postings(spark, d).select("seq", tx.clean_company("company").alias("clean"))
 
 
-@query("guess_domain", "B6", ov.with_(ov.CANDIDATES) + f"""SELECT seq, {ov.guess_domain_sql('company')} AS domain,
+@query("guess_domain", "B6", ov.with_(ov.CANDIDATES) + f"""SELECT kind, seq, {ov.guess_domain_sql('company')} AS domain,
   {ov.guess_domain_sql("company || ' Inc.'")} AS domain_suffixed FROM candidates""")
 def guess_domain(spark, d):
     c = b.candidates(spark, d)
-    return c.select("seq", tx.guess_domain("company").alias("domain"),
+    return c.select("kind", "seq", tx.guess_domain("company").alias("domain"),
                     tx.guess_domain(F.concat("company", F.lit(" Inc."))).alias("domain_suffixed"))
 
 
 _PREFIXES = (" www.", "WWW.", "", "w.w", "ww")
 
 
-@query("normalize_domain", "B7", ov.with_(ov.CANDIDATES) + f"""SELECT seq,
+@query("normalize_domain", "B7", ov.with_(ov.CANDIDATES) + f"""SELECT kind, seq,
   {ov.normalize_domain_sql(ov.sql_list(_PREFIXES) + '[seq % 5 + 1] || domain')} AS domain FROM candidates""")
 def normalize_domain(spark, d):
     c = b.candidates(spark, d)
     pre = F.element_at(F.array(*[F.lit(x) for x in _PREFIXES]), (F.col("seq") % 5 + 1).cast("int"))
-    return c.select("seq", tx.normalize_domain(F.concat(pre, F.col("domain"))).alias("domain"))
+    return c.select("kind", "seq", tx.normalize_domain(F.concat(pre, F.col("domain"))).alias("domain"))
 
 
 @query("search_url_managers", "B8", WL + "SELECT company, linkedin_managers FROM leads")

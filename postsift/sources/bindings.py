@@ -160,11 +160,12 @@ def progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Companies to check against the state (customer names as keys)."""
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    return c.select(
-        F.col("c_custkey").alias("seq"),
-        F.col("c_name").alias("company"),
-        tx.normalize_domain(tx.guess_domain("c_name")).alias("domain"),
-        F.col("c_mktsegment").alias("segment"),
-    )
+    """Companies to check against the state: customers and suppliers by name (``kind``, ``seq``)."""
+    c = read_table(spark, sf_dir, "customer").select(
+        F.lit("customer").alias("kind"), F.col("c_custkey").alias("seq"), F.col("c_name").alias("company"),
+        F.col("c_mktsegment").alias("segment"))
+    s = read_table(spark, sf_dir, "supplier").select(
+        F.lit("supplier").alias("kind"), F.col("s_suppkey").alias("seq"), F.col("s_name").alias("company"),
+        F.lit("SUPPLIER").alias("segment"))
+    u = c.unionByName(s)
+    return u.select("kind", "seq", "company", tx.normalize_domain(tx.guess_domain("company")).alias("domain"), "segment")
