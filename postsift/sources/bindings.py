@@ -46,12 +46,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 1) -> DataFrame:
+    """A table's files as a streaming source (schema taken from the batch read)."""
+    schema = read_table(spark, sf_dir, name).schema
+    return (
+        spark.readStream.schema(schema)
+        .option("pathGlobFilter", f"{name}.parquet")
+        .option("maxFilesPerTrigger", files_per_trigger)
+        .parquet(sf_dir)
+    )
+
+
 def _pick(values, idx):
     return F.when(idx.isNotNull(), F.element_at(F.array(*[F.lit(v) for v in values]), idx))
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = read_table(spark, sf_dir, "documents")
+    return postings_from(read_table(spark, sf_dir, "documents"))
+
+
+def postings_from(d: DataFrame) -> DataFrame:
+    """The postings projection of a documents frame (batch or streaming)."""
     i = F.col("doc_id")
     company = (
         F.when(i % 17 == 0, F.lit(None).cast("string"))
@@ -79,7 +94,11 @@ def labelled_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
+    return attempts_from(read_table(spark, sf_dir, "events"))
+
+
+def attempts_from(e: DataFrame) -> DataFrame:
+    """The attempts projection of an events frame (batch or streaming)."""
     k = F.get_json_object("props", "$.k").cast("int")
     e = e.select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
     k = F.col("k")
