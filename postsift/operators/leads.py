@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -52,9 +52,12 @@ def rejected_postings(scored: DataFrame, max_export: int | None = 100) -> DataFr
     is the feature here); ``None`` keeps all.
     """
     rej = scored.filter(~F.col("qualified")).select("seq", "company", "title", "description", "rejection_category", "score")
-    numbered = row_numbers(rej, [], "seq", out="rn")
     if max_export is not None:
-        numbered = numbered.filter(F.col("rn") <= max_export)
+        # the cap is the feature: a top-k (k rows per task, then k overall), numbered after
+        first = rej.orderBy("seq").limit(max_export)
+        numbered = first.withColumn("rn", F.row_number().over(Window.orderBy("seq")))
+    else:
+        numbered = row_numbers(rej, [], "seq", out="rn")
     return numbered.select(
         "seq",
         "rn",

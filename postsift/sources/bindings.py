@@ -46,6 +46,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a text-heavy scan over the cluster when its files plan too few tasks.
+
+    A scan already split into at least ``defaultParallelism`` partitions (many
+    files or row groups: the normal case at scale) is returned untouched, so no
+    shuffle is added. A scan of one big row group would run all per-row text
+    work in one task; it is hash-partitioned on its key (deterministic on retry).
+    The check reads the file plan only, no data.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
+
+
 def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 1) -> DataFrame:
     """A table's files as a streaming source (schema taken from the batch read)."""
     schema = read_table(spark, sf_dir, name).schema
@@ -62,7 +77,8 @@ def _pick(values, idx):
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return postings_from(read_table(spark, sf_dir, "documents"))
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return postings_from(spread(d, "doc_id"))
 
 
 def postings_from(d: DataFrame) -> DataFrame:
@@ -131,7 +147,7 @@ def attempts_from(e: DataFrame) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return spread(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"), "page_id")
 
 
 def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
