@@ -20,7 +20,8 @@ from ..functions import text as tx
 from .ordering import row_numbers, running_total
 from .runstats import top_counts
 
-COUNT = F.count(F.lit(1))
+def _cnt():
+    return F.count(F.lit(1))
 
 
 def _i(c):
@@ -50,7 +51,7 @@ def site_stats(att: DataFrame, by_batch: bool = False) -> DataFrame:
     src = att
     pairs = (term_site_pairs(src) if not by_batch else _pairs_by_batch(src))
     return pairs.groupBy(*keys).agg(
-        _i(COUNT).alias("searches_attempted"),
+        _i(_cnt()).alias("searches_attempted"),
         _i(F.count_if("ok")).alias("searches_successful"),
         _i(F.sum("jobs")).alias("total_jobs_found"),
         F.bool_or("was_blocked").alias("blocked"),
@@ -84,7 +85,7 @@ def site_summary(att: DataFrame) -> DataFrame:
     """Attempts, successes, jobs of successes, durations, challenge outcomes, rates."""
     det = F.col("challenge_detected")
     g = att.groupBy("site").agg(
-        _i(COUNT).alias("total_attempts"),
+        _i(_cnt()).alias("total_attempts"),
         _i(F.count_if("success")).alias("successful_attempts"),
         _i(F.coalesce(F.sum(F.when(F.col("success"), F.col("jobs_found"))), F.lit(0))).alias("total_jobs"),
         _i(F.sum("duration_ms")).alias("total_duration_ms"),
@@ -113,7 +114,7 @@ def site_value_counts(att: DataFrame) -> DataFrame:
     )
     rows = att.select("site", kv.alias("kv")).select("site", "kv.kind", "kv.key")
     rows = rows.filter(F.col("key").isNotNull() & (F.col("key") != ""))
-    return rows.groupBy("site", "kind", "key").agg(_i(COUNT).alias("n"))
+    return rows.groupBy("site", "kind", "key").agg(_i(_cnt()).alias("n"))
 
 
 def term_performance(att: DataFrame) -> DataFrame:
@@ -125,7 +126,7 @@ def term_performance(att: DataFrame) -> DataFrame:
         return F.array_join(F.array_sort(F.collect_set(v)), ",")
 
     g = att.groupBy("search_term").agg(
-        _i(COUNT).alias("total_attempts"),
+        _i(_cnt()).alias("total_attempts"),
         _i(F.count_if(ok)).alias("successful_attempts"),
         _i(F.coalesce(F.sum(F.when(ok, F.col("jobs_found"))), F.lit(0))).alias("total_jobs"),
         sites().alias("sites_tried"),
@@ -144,7 +145,7 @@ def timing_distribution(att: DataFrame, bucket_width: int = 1 << 12) -> DataFram
     0-based index i is the smallest duration whose running count exceeds i.
     """
     succ = att.filter(F.col("success") & (F.col("duration_ms") > 0))
-    hist = succ.groupBy("duration_ms").agg(COUNT.alias("n"))
+    hist = succ.groupBy("duration_ms").agg(_cnt().alias("n"))
     cum = running_total(hist, "duration_ms", "n", out="cum", total="total", bucket_width=bucket_width)
     n = F.col("total")
     i50 = F.floor(n / 2)
@@ -166,13 +167,13 @@ def timing_distribution(att: DataFrame, bucket_width: int = 1 << 12) -> DataFram
 def errors_by_type(att: DataFrame) -> DataFrame:
     """Failed attempts per type; a missing type counts as 'unknown'."""
     f = att.filter(~F.col("success"))
-    return f.groupBy(F.coalesce(F.col("error_type"), F.lit("unknown")).alias("error_type")).agg(_i(COUNT).alias("n"))
+    return f.groupBy(F.coalesce(F.col("error_type"), F.lit("unknown")).alias("error_type")).agg(_i(_cnt()).alias("n"))
 
 
 def errors_by_site(att: DataFrame) -> DataFrame:
     """Per site and per (site, type) counts in one ROLLUP; ``level`` 0 = (site, type), 1 = site, 3 = all."""
     f = att.filter(~F.col("success")).withColumn("error_type", F.coalesce(F.col("error_type"), F.lit("unknown")))
-    return f.rollup("site", "error_type").agg(_i(COUNT).alias("n"), _i(F.grouping_id()).alias("level"))
+    return f.rollup("site", "error_type").agg(_i(_cnt()).alias("n"), _i(F.grouping_id()).alias("level"))
 
 
 def top_error_messages(att: DataFrame, k: int = 10) -> DataFrame:
@@ -186,7 +187,7 @@ def challenge_analysis(att: DataFrame) -> DataFrame:
     """Encounters, solved (is true), failed (is false), solve rate; NULL counts in neither."""
     c = att.filter(F.col("challenge_detected"))
     g = c.agg(
-        _i(COUNT).alias("total_encounters"),
+        _i(_cnt()).alias("total_encounters"),
         _i(F.count_if(F.col("challenge_solved") == True)).alias("solved"),  # noqa: E712
         _i(F.count_if(F.col("challenge_solved") == False)).alias("failed"),  # noqa: E712
     )
@@ -197,7 +198,7 @@ def challenge_by_site(att: DataFrame) -> DataFrame:
     """The same per site."""
     c = att.filter(F.col("challenge_detected"))
     return c.groupBy("site").agg(
-        _i(COUNT).alias("encounters"),
+        _i(_cnt()).alias("encounters"),
         _i(F.count_if(F.col("challenge_solved") == True)).alias("solved"),  # noqa: E712
         _i(F.count_if(F.col("challenge_solved") == False)).alias("failed"),  # noqa: E712
     )
@@ -218,7 +219,7 @@ def search_errors(att: DataFrame) -> DataFrame:
 
 def error_summary(att: DataFrame) -> DataFrame:
     """Search errors per type, with the total on every row."""
-    g = search_errors(att).groupBy("error_type").agg(_i(COUNT).alias("n"))
+    g = search_errors(att).groupBy("error_type").agg(_i(_cnt()).alias("n"))
     # one row per error type: the window over the aggregate is tiny
     return g.withColumn("total_errors", _i(F.sum("n").over(Window.partitionBy())))
 
@@ -228,7 +229,7 @@ def merge_run_stats(att: DataFrame) -> DataFrame:
     success rate recomputed from the sums."""
     per_batch = site_stats(att, by_batch=True)
     return per_batch.groupBy("site").agg(
-        _i(COUNT).alias("batches"),
+        _i(_cnt()).alias("batches"),
         _i(F.sum("searches_attempted")).alias("searches_attempted"),
         _i(F.sum("searches_successful")).alias("searches_successful"),
         _i(F.sum("total_jobs_found")).alias("total_jobs_found"),
@@ -241,7 +242,7 @@ def merge_run_stats(att: DataFrame) -> DataFrame:
 def merge_count_maps(att: DataFrame, k: int | None = 10) -> DataFrame:
     """Per-batch error-type count maps, merged by key (summing), top k by count then key."""
     f = att.filter(~F.col("success")).withColumn("error_type", F.coalesce(F.col("error_type"), F.lit("unknown")))
-    per_batch = f.groupBy("batch", "error_type").agg(COUNT.alias("n"))
+    per_batch = f.groupBy("batch", "error_type").agg(_cnt().alias("n"))
     maps = per_batch.groupBy("batch").agg(F.map_from_entries(F.collect_list(F.struct("error_type", "n"))).alias("counts"))
     exploded = maps.select(F.explode("counts").alias("key", "n"))
     merged = exploded.groupBy("key").agg(_i(F.sum("n")).alias("n"))
@@ -260,7 +261,7 @@ def merge_attempt_analytics(att: DataFrame) -> DataFrame:
 def session_totals(att: DataFrame) -> DataFrame:
     """Per session (one per day): searches, ok, failed, jobs."""
     g = att.groupBy(tx.day_bucket("ts").alias("session_id")).agg(
-        _i(COUNT).alias("searches"),
+        _i(_cnt()).alias("searches"),
         _i(F.count_if("success")).alias("ok"),
         _i(F.count_if(~F.col("success"))).alias("failed"),
         _i(F.sum("jobs_found")).alias("jobs"),
@@ -279,7 +280,7 @@ def selector_performance(att: DataFrame) -> DataFrame:
     """Per (site, selector) times tried and times it was the matched one."""
     e = att.select("site", "selector_matched", F.explode("selectors_tried").alias("selector"))
     return e.groupBy("site", "selector").agg(
-        _i(COUNT).alias("tried"),
+        _i(_cnt()).alias("tried"),
         _i(F.count_if(F.col("selector") == F.col("selector_matched"))).alias("matched"),
     )
 
@@ -287,7 +288,7 @@ def selector_performance(att: DataFrame) -> DataFrame:
 def postings_per_term(att: DataFrame, postings: DataFrame, expected: int = 20) -> DataFrame:
     """Postings per searched term (0 when none); ok at >= 80 % of expected, warning above 0, else failed."""
     terms = att.select("search_term").distinct()
-    counts = postings.groupBy("search_term").agg(COUNT.alias("n"))
+    counts = postings.groupBy("search_term").agg(_cnt().alias("n"))
     j = terms.join(counts, "search_term", "left").withColumn("postings", _i(F.coalesce(F.col("n"), F.lit(0)))).drop("n")
     return j.withColumn(
         "status",
@@ -298,7 +299,7 @@ def postings_per_term(att: DataFrame, postings: DataFrame, expected: int = 20) -
 def description_fill_rate(postings: DataFrame) -> DataFrame:
     """Share of postings with a description longer than 50 characters, per search term."""
     filled = F.when(F.length("description") > 50, 1).otherwise(0)
-    g = postings.groupBy("search_term").agg(_i(COUNT).alias("postings"), _i(F.sum(filled)).alias("filled"))
+    g = postings.groupBy("search_term").agg(_i(_cnt()).alias("postings"), _i(F.sum(filled)).alias("filled"))
     return g.withColumn("fill_rate", tx.rate_pct("filled", "postings"))
 
 
@@ -307,7 +308,7 @@ def search_consistency(att: DataFrame) -> DataFrame:
     reliability from the fill value (jobs found) of each search."""
     s = att.filter(F.col("success"))
     g = s.groupBy("site").agg(
-        _i(COUNT).alias("searches"),
+        _i(_cnt()).alias("searches"),
         F.round(F.avg("duration_ms"), 1).alias("avg_ms"),
         _i(F.min("duration_ms")).alias("min_ms"),
         _i(F.max("duration_ms")).alias("max_ms"),
@@ -328,7 +329,7 @@ def slowdown_check(att: DataFrame, factor: float = 2.0) -> DataFrame:
     g = att.groupBy("site", "search_term").agg(
         F.min_by("duration_ms", "seq").alias("first_ms"),
         F.sum("duration_ms").alias("sum_ms"),
-        COUNT.alias("n"),
+        _cnt().alias("n"),
     )
     later = F.when(F.col("n") > 1, F.round((F.col("sum_ms") - F.col("first_ms")) / (F.col("n") - 1), 1))
     return g.select(
@@ -340,8 +341,8 @@ def slowdown_check(att: DataFrame, factor: float = 2.0) -> DataFrame:
 def variant_comparison(att: DataFrame, variant_col: str = "site") -> DataFrame:
     """Success rate and mean time per collection variant; best by rate, first seen wins a tie."""
     g = att.groupBy(F.col(variant_col).alias("variant")).agg(
-        _i(COUNT).alias("attempts"),
-        tx.rate_pct(F.count_if("success"), COUNT).alias("success_rate"),
+        _i(_cnt()).alias("attempts"),
+        tx.rate_pct(F.count_if("success"), _cnt()).alias("success_rate"),
         F.round(F.avg("duration_ms"), 1).alias("avg_ms"),
         F.min("seq").alias("first_seq"),
     )

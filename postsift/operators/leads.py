@@ -22,6 +22,10 @@ def process_leads(qualified: DataFrame, rules: RuleSet, run_date: str) -> DataFr
     (F2, an aggregate: one shuffle on company, partial map-side) -> domain (B6)
     -> run date (B25) -> renames -> four search URLs (B8-B11) -> fixed order.
     """
+    # columns the input lacks are kept as NULL (the reference keeps whatever is available)
+    for c in ("title", "location", "job_url", "description"):
+        if c not in qualified.columns:
+            qualified = qualified.withColumn(c, F.lit(None).cast("string"))
     base = qualified.select(
         "seq", "company", "title", "location", "job_url", "description",
         tx.confidence_score("score", "qualified").alias("confidence_score"),

@@ -66,18 +66,16 @@ def read_run_artifacts(spark: SparkSession, root: str, kind: str, schema: T.Stru
     Returns (good rows, corrupt rows). Corrupt files do not stop the read;
     they come back on the side output with their file name.
     """
+    # one row per artifact file; a file that does not parse fills the corrupt field
     sch = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
-    df = (
-        spark.read.schema(sch)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .json(f"{root.rstrip('/')}/{kind}")
+    raw = (
+        spark.read.option("wholetext", True).text(f"{root.rstrip('/')}/{kind}")
         .withColumn("source_file", F.input_file_name())
+        .withColumn("__p", F.from_json("value", sch, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
     )
-    # cache-free split: the corrupt column is evaluated per row in both branches
-    good = df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    bad = df.filter(F.col("_corrupt_record").isNotNull()).select("source_file", "_corrupt_record")
+    ok = F.col("__p._corrupt_record").isNull()
+    good = raw.filter(ok).select(*[F.col("__p." + f.name).alias(f.name) for f in schema.fields], "source_file")
+    bad = raw.filter(~ok).select("source_file", F.col("value").alias("_corrupt_record"))
     return good, bad
 
 
