@@ -34,7 +34,7 @@ def stream_new_companies(spark, d):
 
 @query("stream_site_health", "J3", ov.with_(ov.ATTEMPTS) + """SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d %H:%M:%S') AS window_start, site,
   CAST(count(*) AS BIGINT) AS attempts, CAST(count_if(success) AS BIGINT) AS successes,
-  round(count_if(success) / count(*) * 100, 1) AS success_rate, CAST(count_if(error_type = 'blocked') AS BIGINT) AS blocks
+  round(count_if(success) / count(*) * 100, 1) AS success_rate, CAST(count_if(coalesce(error_type = 'blocked', FALSE)) AS BIGINT) AS blocks
 FROM attempts GROUP BY 1, 2""")
 def stream_site_health(spark, d):
     src = b.attempts_from(b.stream_table(spark, d, "events"))

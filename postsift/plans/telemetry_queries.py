@@ -218,7 +218,7 @@ def site_throughput(spark, d):
 
 
 @query("selector_performance", "E29", A + """SELECT site, selector, CAST(count(*) AS BIGINT) AS tried,
-  CAST(count_if(selector = selector_matched) AS BIGINT) AS matched
+  CAST(count_if(coalesce(selector = selector_matched, FALSE)) AS BIGINT) AS matched
 FROM (SELECT site, selector_matched, unnest(selectors_tried) AS selector FROM attempts) GROUP BY site, selector""")
 def selector_performance(spark, d):
     return at.selector_performance(att(spark, d))
