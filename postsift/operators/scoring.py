@@ -267,7 +267,11 @@ def score_postings(
                 "tier6_pattern": F.when(live & ~excluded, _pick(list(t6.patterns) if t6 else [], c("t6"))),
             }
         )
-    scored = mid.withColumns(out_cols)
+    # The results leave through a one-row generator: a later filter on them (e.g.
+    # ``qualified``) cannot be pushed below it and inlined into the scan, where
+    # it would re-evaluate every rule (and ``lower(text)``) once per reference.
+    result = F.inline(F.array(F.struct(*[v.alias(k) for k, v in out_cols.items()])))
+    scored = mid.select(*mid.columns, result)
     scored = scored.withColumn(
         "rejection_category",
         F.when(F.col("qualified"), F.lit(None).cast("string"))
