@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .rule_sql import sql_any, sql_str
+
 ColumnOrName = Column | str
 
 
@@ -37,6 +39,57 @@ CHALLENGE_WORDS_HTTP = ("cloudflare", "403", "captcha")
 CHALLENGE_WORDS_BROWSER = ("cloudflare", "turnstile", "captcha")
 
 
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+# --- SQL-text builders --------------------------------------------------------
+# Given a column *name*, the functions below hand Spark one SQL expression (one
+# driver call) instead of a tree of Column calls; given a Column they build the
+# same expression with the Column API.
+
+def clean_company_sql(x: str) -> str:
+    no_suffix = f"regexp_replace({x}, {sql_str('(?iU)' + COMPANY_SUFFIX_REGEX)}, '')"
+    kept = f"regexp_replace({no_suffix}, {sql_str(r'(?U)[^\w\s-]')}, '')"
+    stripped = f"regexp_replace({kept}, {sql_str(r'(?U)^\s+|\s+$')}, '')"
+    return f"(CASE WHEN {x} IS NULL OR {x} = '' THEN '' ELSE {stripped} END)"
+
+
+def guess_domain_sql(x: str) -> str:
+    clean = clean_company_sql(x)
+    return f"(CASE WHEN {clean} = '' THEN '' ELSE concat(regexp_replace(lower({clean}), {sql_str(r'(?U)\s+')}, ''), '.com') END)"
+
+
+def normalize_domain_sql(x: str) -> str:
+    return f"ltrim('w.', regexp_replace(lower({x}), {sql_str(r'(?U)^\s+|\s+$')}, ''))"
+
+
+def percent_encode_sql(x: str) -> str:
+    return f"replace(replace(replace(replace(url_encode({x}), '+', '%20'), '%2F', '/'), '%7E', '~'), '*', '%2A')"
+
+
+def clean_title_sql(t: str) -> str:
+    return f"(CASE WHEN {t} IS NULL OR {t} = '' THEN '' ELSE regexp_replace({t}, {sql_str(r'(?U)[^\w\s-]')}, '') END)"
+
+
+def profile_search_sql(*parts: str) -> str:
+    return f"concat({sql_str(SEARCH_BASE)}, {percent_encode_sql('concat(' + ', '.join(parts) + ')')})"
+
+
+def classify_error_sql(m: str, k: str = "''") -> str:
+    lm, lk = f"lower(coalesce({m}, ''))", f"lower(coalesce({k}, ''))"
+    return (
+        f"CASE WHEN {sql_any(lm, RATE_LIMIT_WORDS)} THEN 'rate_limit' "
+        f"WHEN {sql_any(lm, BLOCKED_WORDS)} THEN 'blocked' "
+        f"WHEN {sql_any(lm, TIMEOUT_WORDS)} OR contains({lk}, 'timeout') THEN 'timeout' "
+        f"WHEN {sql_any(lm, CONNECTION_WORDS)} OR contains({lk}, 'connection') THEN 'connection' ELSE 'unknown' END"
+    )
+
+
+def mask_credentials_sql(x: str) -> str:
+    return f"regexp_replace({x}, {sql_str(CREDENTIAL_REGEX)}, '$1****$2')"
+
+
 def contains_any(text: ColumnOrName, patterns) -> Column:
     """True when any pattern is a substring of ``text`` (NULL text -> false)."""
     t = _c(text)
@@ -83,6 +136,8 @@ def py_strip(c: ColumnOrName) -> Column:
 
 def mask_credentials(c: ColumnOrName) -> Column:
     """B1: ``scheme://user:pw@host`` -> ``scheme://user:****@host``, every match."""
+    if isinstance(c, str):
+        return F.expr(mask_credentials_sql(_ident(c)))
     return F.regexp_replace(_c(c), CREDENTIAL_REGEX, "$1****$2")
 
 
@@ -103,6 +158,8 @@ def clean_company(c: ColumnOrName) -> Column:
     NULL and '' give ''. The suffix pattern allows zero blanks before the
     suffix, so a name ending in 'co' loses it (kept on purpose).
     """
+    if isinstance(c, str):
+        return F.expr(clean_company_sql(_ident(c)))
     col = _c(c)
     no_suffix = F.regexp_replace(col, "(?iU)" + COMPANY_SUFFIX_REGEX, "")
     kept = F.regexp_replace(no_suffix, r"(?U)[^\w\s-]", "")
@@ -111,6 +168,8 @@ def clean_company(c: ColumnOrName) -> Column:
 
 def guess_domain(c: ColumnOrName) -> Column:
     """Cleaned name, lower case, blanks removed, '.com' appended; '' stays ''."""
+    if isinstance(c, str):
+        return F.expr(guess_domain_sql(_ident(c)))
     clean = clean_company(c)
     return F.when(clean == "", F.lit("")).otherwise(
         F.concat(F.regexp_replace(F.lower(clean), r"(?U)\s+", ""), F.lit(".com"))
@@ -119,6 +178,8 @@ def guess_domain(c: ColumnOrName) -> Column:
 
 def normalize_domain(c: ColumnOrName) -> Column:
     """Lower, strip, then strip any leading run of the characters 'w' and '.'."""
+    if isinstance(c, str):
+        return F.expr(normalize_domain_sql(_ident(c)))
     return F.ltrim(py_strip(F.lower(_c(c))), F.lit("w."))
 
 
@@ -137,6 +198,8 @@ def _profile_search(*parts: Column) -> Column:
 
 def search_url_managers(company: ColumnOrName) -> Column:
     """B8."""
+    if isinstance(company, str):
+        return F.expr(profile_search_sql(sql_str(PROFILE_SITE + ' "'), clean_company_sql(_ident(company)), sql_str('" ' + MANAGERS_CLAUSE)))
     return _profile_search(F.lit(PROFILE_SITE + ' "'), clean_company(company), F.lit('" ' + MANAGERS_CLAUSE))
 
 
@@ -148,6 +211,9 @@ def clean_title(title: ColumnOrName) -> Column:
 
 def search_url_role(company: ColumnOrName, title: ColumnOrName) -> Column:
     """B9."""
+    if isinstance(company, str) and isinstance(title, str):
+        return F.expr(profile_search_sql(sql_str(PROFILE_SITE + ' "'), clean_company_sql(_ident(company)), sql_str('" "'),
+                                         clean_title_sql(_ident(title)), sql_str('"')))
     return _profile_search(
         F.lit(PROFILE_SITE + ' "'), clean_company(company), F.lit('" "'), clean_title(title), F.lit('"')
     )
@@ -155,6 +221,8 @@ def search_url_role(company: ColumnOrName, title: ColumnOrName) -> Column:
 
 def search_url_hiring(company: ColumnOrName) -> Column:
     """B10."""
+    if isinstance(company, str):
+        return F.expr(profile_search_sql(sql_str(PROFILE_SITE + ' "'), clean_company_sql(_ident(company)), sql_str('" ' + HIRING_CLAUSE)))
     return _profile_search(F.lit(PROFILE_SITE + ' "'), clean_company(company), F.lit('" ' + HIRING_CLAUSE))
 
 
@@ -166,6 +234,9 @@ def keyword_clause(keywords) -> str:
 
 def search_url_enduser(company: ColumnOrName, keywords) -> Column:
     """Profile search with the template keywords of a rule set."""
+    if isinstance(company, str):
+        return F.expr(profile_search_sql(sql_str(PROFILE_SITE + ' "'), clean_company_sql(_ident(company)),
+                                         sql_str('" (' + keyword_clause(keywords) + ")")))
     return _profile_search(
         F.lit(PROFILE_SITE + ' "'), clean_company(company), F.lit('" (' + keyword_clause(keywords) + ")")
     )
@@ -173,6 +244,8 @@ def search_url_enduser(company: ColumnOrName, keywords) -> Column:
 
 def classify_error(message: ColumnOrName, exception_class: ColumnOrName | None = None) -> Column:
     """rate_limit / blocked / timeout / connection / unknown, first rule wins."""
+    if isinstance(message, str) and (exception_class is None or isinstance(exception_class, str)):
+        return F.expr(classify_error_sql(_ident(message), _ident(exception_class) if exception_class else "''"))
     m = F.lower(F.coalesce(_c(message), F.lit("")))
     k = F.lower(F.coalesce(_c(exception_class), F.lit(""))) if exception_class is not None else F.lit("")
     return (

@@ -4,7 +4,7 @@
 DataFrame in two narrow projections: no shuffle, no UDF, whole-stage codegen.
 Lower-cased text and the 200-character title area are materialised once in a
 first projection; every rule test then reads those columns. First-match
-rules are CASE chains in list order (``first_index``), so evaluation stops at
+rules are CASE chains in list order (``sql_first_index``), so evaluation stops at
 the first hit just like a loop with ``break``.
 
 Semantics follow the reference's scorer:
@@ -15,7 +15,7 @@ Semantics follow the reference's scorer:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import (
@@ -27,7 +27,7 @@ from ..functions.rules import (
     TITLE_AREA_CHARS,
     RuleSet,
 )
-from ..functions.text import contains_any, first_index
+from ..functions.rule_sql import sql_any, sql_first_index, sql_pick, sql_str
 
 # --- fixed values ---------------------------------------------------------
 # Rejection categories are read from the text of the first reason, in this
@@ -57,35 +57,21 @@ DETAIL_COLUMNS = (
 )
 
 
-def _lit_array(values) -> Column:
-    return F.array(*[F.lit(v) for v in values])
 
-
-def _pick(values, idx: Column) -> Column:
-    """values[idx - 1] for a 1-based index column; NULL when idx is NULL."""
-    if not values:
-        return F.lit(None).cast("string")
-    # guarded: element_at with a NULL index is not reliably NULL under codegen
-    return F.when(idx.isNotNull(), F.element_at(_lit_array(values), idx))
-
-
-def _category_from_reason(first_reason: Column) -> Column:
-    r = F.lower(first_reason)
-    mgmt_short = None
-    for w in MANAGEMENT_SHORT:
-        t = r.contains(" " + w) | r.startswith(w)
-        mgmt_short = t if mgmt_short is None else (mgmt_short | t)
-    expr = None
+def category_sql(first_reason: str) -> str:
+    """The rejection category read from the text of the first reason."""
+    r = f"lower({first_reason})"
+    parts = []
     for cat, words in CATEGORY_LADDER:
-        cond = contains_any(r, words)
+        cond = sql_any(r, words)
         if cat == "exclusions.management":
-            cond = cond | mgmt_short
-        expr = F.when(cond, F.lit(cat)) if expr is None else expr.when(cond, F.lit(cat))
-    excluded_cat = expr.otherwise(F.lit("exclusions.other"))
+            short = " OR ".join(f"contains({r}, {sql_str(' ' + w)}) OR startswith({r}, {sql_str(w)})" for w in MANAGEMENT_SHORT)
+            cond = f"({cond} OR {short})"
+        parts.append(f"WHEN {cond} THEN {sql_str(cat)}")
+    excluded = "CASE " + " ".join(parts) + " ELSE 'exclusions.other' END"
     return (
-        F.when(r.contains("missing required") | r.contains("no description"), F.lit("no_solar_context"))
-        .when(r.contains("excluded"), excluded_cat)
-        .otherwise(F.lit("below_threshold"))
+        f"CASE WHEN contains({r}, 'missing required') OR contains({r}, 'no description') THEN 'no_solar_context' "
+        f"WHEN contains({r}, 'excluded') THEN {excluded} ELSE 'below_threshold' END"
     )
 
 
@@ -103,181 +89,152 @@ def score_postings(
     ``top_tier`` is the highest tier that fired (the reference's own extractor
     can only return 'unknown'; the intended value is computed from tier hits).
     ``rule_group`` names the true deciding rule group next to the text-derived
-    ``rejection_category``.
+    ``rejection_category``. The rule set is compiled to SQL expression text,
+    one parse per column (``functions.rule_sql``).
     """
     tmp = "__ps_"
-    d = F.col(description)
+    E = F.expr
+    d = f"`{description}`"
     pre = df.withColumns(
         {
-            tmp + "desc": F.lower(d),
-            tmp + "title": F.coalesce(F.lower(F.col(title)), F.lit("")) if title else F.lit(""),
-            tmp + "comp": F.col(company) if company else F.lit(None).cast("string"),
+            tmp + "desc": E(f"lower({d})"),
+            tmp + "title": E(f"coalesce(lower(`{title}`), '')") if title else F.lit(""),
+            tmp + "comp": E(f"`{company}`") if company else F.lit(None).cast("string"),
         }
-    ).withColumn(tmp + "head", F.substring(F.col(tmp + "desc"), 1, TITLE_AREA_CHARS))
-
-    desc, head, ttl, comp = (F.col(tmp + n) for n in ("desc", "head", "title", "comp"))
+    ).withColumn(tmp + "head", E(f"substring({tmp}desc, 1, {TITLE_AREA_CHARS})"))
+    desc, head, ttl, comp = (tmp + n for n in ("desc", "head", "title", "comp"))
 
-    # Blocklist, first blocked name in list order
-    blk_idx = F.when(comp.isNotNull() & (comp != ""), first_index(F.lower(comp), rules.blocklist))
-    # C4: required context
-    ctx_title = contains_any(ttl, rules.context)
-    ctx_desc = contains_any(desc, rules.context)
     # Exclusions, groups in order, patterns in order; one CASE over all pairs
-    ex_groups, ex_pats, ex_reasons = [], [], []
-    ex_expr = None
+    ex_groups, ex_pats, ex_reasons, ex_cases = [], [], [], []
     for ex in rules.exclusions:
         scope = head if ex.scope == "title" else desc
         for p in ex.patterns:
             ex_groups.append(ex.name)
             ex_pats.append(p)
             ex_reasons.append(ex.reason(p))
-            hit = scope.contains(F.lit(p))
-            i = F.lit(len(ex_pats))
-            ex_expr = F.when(hit, i) if ex_expr is None else ex_expr.when(hit, i)
-    ex_idx = ex_expr if ex_expr is not None else F.lit(None).cast("int")
-    # Design-role indicator
-    design = contains_any(desc, rules.design_indicators)
+            ex_cases.append(f"WHEN contains({scope}, {sql_str(p)}) THEN {len(ex_pats)}")
+    ex_idx = ("CASE " + " ".join(ex_cases) + " END") if ex_cases else "CAST(NULL AS INT)"
 
-    tier = rules.tier
-    t1, t2, t3, t4, t5, t6 = (tier(k) for k in (
+    t1, t2, t3, t4, t5, t6 = (rules.tier(k) for k in (
         "tier1_tools", "tier2_strong", "tier3_cad_project", "tier4_title", "tier5_cad_design", "tier6_design_titles"))
-    none_i = F.lit(None).cast("int")
-    t1_idx = first_index(desc, t1.patterns) if t1 else none_i
-    t2_idx = F.when(design, first_index(desc, t2.patterns)) if t2 else none_i
-    t3_hit = (design & contains_any(desc, t3.patterns_cad) & contains_any(desc, t3.patterns_project)) if t3 else F.lit(False)
-    t4_idx = first_index(head, t4.patterns) if t4 else none_i
-    t5_hit = (design & contains_any(desc, t5.patterns_cad)) if t5 else F.lit(False)
-    t6_idx = first_index(desc, t6.patterns) if t6 else none_i
-
+    none_i = "CAST(NULL AS INT)"
+    design = sql_any(desc, rules.design_indicators)
     mid = pre.withColumns(
         {
-            tmp + "blk": blk_idx,
-            tmp + "hasdesc": d.isNotNull() & (d != ""),
-            tmp + "ctxt": ctx_title,
-            tmp + "ctxd": ctx_desc,
-            tmp + "ex": ex_idx,
-            tmp + "design": design,
-            tmp + "t1": t1_idx,
-            tmp + "t2": t2_idx,
-            tmp + "t3": t3_hit,
-            tmp + "t4": t4_idx,
-            tmp + "t5": t5_hit,
-            tmp + "t6": t6_idx,
+            # Blocklist, first blocked name in list order
+            tmp + "blk": E(f"CASE WHEN {comp} IS NOT NULL AND {comp} <> '' THEN {sql_first_index(f'lower({comp})', rules.blocklist)} END"),
+            tmp + "hasdesc": E(f"{d} IS NOT NULL AND {d} <> ''"),
+            # C4: required context in the title or the description
+            tmp + "ctxt": E(sql_any(ttl, rules.context)),
+            tmp + "ctxd": E(sql_any(desc, rules.context)),
+            tmp + "ex": E(ex_idx),
+            # Design-role indicator (guard of tiers 2, 3, 5)
+            tmp + "design": E(design),
+            tmp + "t1": E(sql_first_index(desc, t1.patterns) if t1 else none_i),
+            tmp + "t2": E(f"CASE WHEN {design} THEN {sql_first_index(desc, t2.patterns)} END" if t2 else none_i),
+            tmp + "t3": E(f"{design} AND {sql_any(desc, t3.patterns_cad)} AND {sql_any(desc, t3.patterns_project)}" if t3 else "false"),
+            tmp + "t4": E(sql_first_index(head, t4.patterns) if t4 else none_i),
+            tmp + "t5": E(f"{design} AND {sql_any(desc, t5.patterns_cad)}" if t5 else "false"),
+            tmp + "t6": E(sql_first_index(desc, t6.patterns) if t6 else none_i),
         }
     )
-    c = lambda n: F.col(tmp + n)
-
-    blocked = c("blk").isNotNull()
-    no_desc = ~c("hasdesc")
-    no_ctx = ~(c("ctxt") | c("ctxd"))
-    excluded = c("ex").isNotNull()
+    c = {n: tmp + n for n in ("blk", "hasdesc", "ctxt", "ctxd", "ex", "design", "t1", "t2", "t3", "t4", "t5", "t6")}
+    blocked = f"({c['blk']} IS NOT NULL)"
+    no_desc = f"(NOT {c['hasdesc']})"
+    no_ctx = f"(NOT ({c['ctxt']} OR {c['ctxd']}))"
+    excluded = f"({c['ex']} IS NOT NULL)"
 
     def w(t):
-        return float(t.weight) if t else 0.0
-
-    positive = (
-        F.when(c("t1").isNotNull(), F.lit(w(t1))).otherwise(0.0)
-        + F.when(c("t2").isNotNull(), F.lit(w(t2))).otherwise(0.0)
-        + F.when(c("t3"), F.lit(w(t3))).otherwise(0.0)
-        + F.when(c("t4").isNotNull(), F.lit(w(t4))).otherwise(0.0)
-        + F.when(c("t5"), F.lit(w(t5))).otherwise(0.0)
-        + F.when(c("t6").isNotNull(), F.lit(w(t6))).otherwise(0.0)
-    )
-    role_score = (
-        F.when(blocked | no_desc | no_ctx, F.lit(0.0)).when(excluded, F.lit(-100.0)).otherwise(positive)
-    )
-    company_score = F.when(blocked, F.lit(-100.0)).otherwise(F.lit(0.0))
-    score = F.when(blocked, F.lit(-100.0)).otherwise(role_score)  # company part is 0 when not blocked
-    qualified = F.when(blocked | (~no_desc & ~no_ctx & excluded), F.lit(False)).otherwise(score >= F.lit(rules.threshold))
-
-    def tier_reason(t, idx: Column | None, hit: Column | None = None) -> Column:
+        return repr(float(t.weight)) if t else "0.0"
+
+    positive = " + ".join([
+        f"CASE WHEN {c['t1']} IS NOT NULL THEN {w(t1)} ELSE 0.0 END",
+        f"CASE WHEN {c['t2']} IS NOT NULL THEN {w(t2)} ELSE 0.0 END",
+        f"CASE WHEN {c['t3']} THEN {w(t3)} ELSE 0.0 END",
+        f"CASE WHEN {c['t4']} IS NOT NULL THEN {w(t4)} ELSE 0.0 END",
+        f"CASE WHEN {c['t5']} THEN {w(t5)} ELSE 0.0 END",
+        f"CASE WHEN {c['t6']} IS NOT NULL THEN {w(t6)} ELSE 0.0 END",
+    ])
+    role_score = f"CAST(CASE WHEN {blocked} OR {no_desc} OR {no_ctx} THEN 0.0 WHEN {excluded} THEN -100.0 ELSE {positive} END AS DOUBLE)"
+    company_score = f"CAST(CASE WHEN {blocked} THEN -100.0 ELSE 0.0 END AS DOUBLE)"
+    # the company part is 0 unless blocked, and a block stops scoring
+    score = f"CAST(CASE WHEN {blocked} THEN -100.0 ELSE {role_score} END AS DOUBLE)"
+    thr = repr(float(rules.threshold))
+    qualified = f"CASE WHEN {blocked} OR (NOT {no_desc} AND NOT {no_ctx} AND {excluded}) THEN false ELSE {score} >= {thr} END"
+
+    def tier_reason(t, idx: str | None, hit: str | None = None) -> str:
         if t is None:
-            return F.lit(None).cast("string")
+            return "CAST(NULL AS STRING)"
         if idx is not None:
-            reasons = [t.reason(p) for p in t.patterns]
-            return _pick(reasons, idx)
-        return F.when(hit, F.lit(t.reason()))
+            return sql_pick([t.reason(p) for p in t.patterns], idx)
+        return f"CASE WHEN {hit} THEN {sql_str(t.reason())} END"
 
-    comp_reason = F.concat(
-        F.lit("Company '"), comp, F.lit("' in blocklist ("), _pick(list(rules.blocklist), c("blk")), F.lit(")")
-    )
-    scored_reasons = F.array_compact(
-        F.array(
-            F.when(c("ctxt"), F.lit(REASON_CONTEXT_TITLE)).otherwise(F.lit(REASON_CONTEXT_DESC)),
-            tier_reason(t1, c("t1")),
-            tier_reason(t2, c("t2")),
-            tier_reason(t3, None, c("t3")),
-            tier_reason(t4, c("t4")),
-            tier_reason(t5, None, c("t5")),
-            tier_reason(t6, c("t6")),
-            F.when(c("design"), F.lit(REASON_DESIGN)),
-        )
+    comp_reason = (
+        f"concat({sql_str('Company ' + chr(39))}, {comp}, {sql_str(chr(39) + ' in blocklist (')}, "
+        f"{sql_pick(rules.blocklist, c['blk'])}, ')')"
     )
+    scored_reasons = "array_compact(array(" + ", ".join([
+        f"CASE WHEN {c['ctxt']} THEN {sql_str(REASON_CONTEXT_TITLE)} ELSE {sql_str(REASON_CONTEXT_DESC)} END",
+        tier_reason(t1, c["t1"]), tier_reason(t2, c["t2"]), tier_reason(t3, None, c["t3"]),
+        tier_reason(t4, c["t4"]), tier_reason(t5, None, c["t5"]), tier_reason(t6, c["t6"]),
+        f"CASE WHEN {c['design']} THEN {sql_str(REASON_DESIGN)} END",
+    ]) + "))"
     reasons = (
-        F.when(blocked, F.array(comp_reason))
-        .when(no_desc, F.array(F.lit(REASON_NO_DESCRIPTION)))
-        .when(no_ctx, F.array(F.lit(REASON_NO_CONTEXT)))
-        .when(excluded, F.array(_pick(ex_reasons, c("ex"))))
-        .otherwise(scored_reasons)
+        f"CASE WHEN {blocked} THEN array({comp_reason}) "
+        f"WHEN {no_desc} THEN array({sql_str(REASON_NO_DESCRIPTION)}) "
+        f"WHEN {no_ctx} THEN array({sql_str(REASON_NO_CONTEXT)}) "
+        f"WHEN {excluded} THEN array({sql_pick(ex_reasons, c['ex'])}) "
+        f"ELSE {scored_reasons} END"
     )
     rule_group = (
-        F.when(blocked, F.lit("company_blocklist"))
-        .when(no_desc, F.lit("no_description"))
-        .when(no_ctx, F.lit("no_context"))
-        .when(excluded, F.concat(F.lit("exclusions."), _pick(ex_groups, c("ex"))))
-        .when(qualified, F.lit("qualified"))
-        .otherwise(F.lit("below_threshold"))
+        f"CASE WHEN {blocked} THEN 'company_blocklist' WHEN {no_desc} THEN 'no_description' "
+        f"WHEN {no_ctx} THEN 'no_context' WHEN {excluded} THEN concat('exclusions.', {sql_pick(ex_groups, c['ex'])}) "
+        f"WHEN {qualified} THEN 'qualified' ELSE 'below_threshold' END"
     )
     top_tier = (
-        F.when(blocked | no_desc | no_ctx | excluded, F.lit("unknown"))
-        .when(c("t1").isNotNull(), F.lit("tier1"))
-        .when(c("t2").isNotNull(), F.lit("tier2"))
-        .when(c("t3"), F.lit("tier3"))
-        .when(c("t4").isNotNull(), F.lit("tier4"))
-        .when(c("t5"), F.lit("tier5"))
-        .when(c("t6").isNotNull(), F.lit("tier6"))
-        .otherwise(F.lit("unknown"))
+        f"CASE WHEN {blocked} OR {no_desc} OR {no_ctx} OR {excluded} THEN 'unknown' "
+        f"WHEN {c['t1']} IS NOT NULL THEN 'tier1' WHEN {c['t2']} IS NOT NULL THEN 'tier2' WHEN {c['t3']} THEN 'tier3' "
+        f"WHEN {c['t4']} IS NOT NULL THEN 'tier4' WHEN {c['t5']} THEN 'tier5' WHEN {c['t6']} IS NOT NULL THEN 'tier6' "
+        f"ELSE 'unknown' END"
     )
-
-    out_cols = {
+    out = {
         "company_score": company_score,
         "role_score": role_score,
         "score": score,
         "qualified": qualified,
-        "threshold": F.lit(rules.threshold),
+        "threshold": f"CAST({thr} AS DOUBLE)",
         "reasons": reasons,
         "rule_group": rule_group,
         "top_tier": top_tier,
     }
     if details:
-        live = ~blocked & ~no_desc & ~no_ctx
-        out_cols.update(
+        live = f"(NOT {blocked} AND NOT {no_desc} AND NOT {no_ctx})"
+        scoring = f"({live} AND NOT {excluded})"
+        out.update(
             {
-                "blocked_by": _pick(list(rules.blocklist), c("blk")),
-                "context_in_title": c("ctxt"),
-                "context_in_description": c("ctxd"),
-                "design_role": c("design"),
-                "excluded_group": F.when(~blocked & ~no_desc & ~no_ctx, _pick(ex_groups, c("ex"))),
-                "excluded_pattern": F.when(~blocked & ~no_desc & ~no_ctx, _pick(ex_pats, c("ex"))),
-                "tier1_pattern": F.when(live & ~excluded, _pick(list(t1.patterns) if t1 else [], c("t1"))),
-                "tier2_pattern": F.when(live & ~excluded, _pick(list(t2.patterns) if t2 else [], c("t2"))),
-                "tier3_hit": live & ~excluded & c("t3"),
-                "tier4_pattern": F.when(live & ~excluded, _pick(list(t4.patterns) if t4 else [], c("t4"))),
-                "tier5_hit": live & ~excluded & c("t5"),
-                "tier6_pattern": F.when(live & ~excluded, _pick(list(t6.patterns) if t6 else [], c("t6"))),
+                "blocked_by": sql_pick(rules.blocklist, c["blk"]),
+                "context_in_title": c["ctxt"],
+                "context_in_description": c["ctxd"],
+                "design_role": c["design"],
+                "excluded_group": f"CASE WHEN {live} THEN {sql_pick(ex_groups, c['ex'])} END",
+                "excluded_pattern": f"CASE WHEN {live} THEN {sql_pick(ex_pats, c['ex'])} END",
+                "tier1_pattern": f"CASE WHEN {scoring} THEN {sql_pick(t1.patterns if t1 else [], c['t1'])} END",
+                "tier2_pattern": f"CASE WHEN {scoring} THEN {sql_pick(t2.patterns if t2 else [], c['t2'])} END",
+                "tier3_hit": f"{scoring} AND {c['t3']}",
+                "tier4_pattern": f"CASE WHEN {scoring} THEN {sql_pick(t4.patterns if t4 else [], c['t4'])} END",
+                "tier5_hit": f"{scoring} AND {c['t5']}",
+                "tier6_pattern": f"CASE WHEN {scoring} THEN {sql_pick(t6.patterns if t6 else [], c['t6'])} END",
             }
         )
     # The results leave through a one-row generator: a later filter on them (e.g.
     # ``qualified``) cannot be pushed below it and inlined into the scan, where
     # it would re-evaluate every rule (and ``lower(text)``) once per reference.
-    result = F.inline(F.array(F.struct(*[v.alias(k) for k, v in out_cols.items()])))
-    scored = mid.select(*mid.columns, result)
+    struct = "named_struct(" + ", ".join(f"{sql_str(k)}, {v}" for k, v in out.items()) + ")"
+    scored = mid.select(*[F.col(f"`{x}`") for x in mid.columns], E(f"inline(array({struct}))"))
     scored = scored.withColumn(
         "rejection_category",
-        F.when(F.col("qualified"), F.lit(None).cast("string"))
-        .when(F.col("company_score") < 0, F.lit("company_blocklist"))
-        .when(F.size("reasons") == 0, F.lit("unknown"))
-        .otherwise(_category_from_reason(F.col("reasons").getItem(0))),
+        E(f"CASE WHEN qualified THEN CAST(NULL AS STRING) WHEN company_score < 0 THEN 'company_blocklist' "
+          f"WHEN size(reasons) = 0 THEN 'unknown' ELSE {category_sql('reasons[0]')} END"),
     )
     return scored.drop(*[col for col in scored.columns if col.startswith(tmp)])
 

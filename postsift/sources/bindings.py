@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions.rule_sql import sql_str
 
 # --- fixed values of the bindings -----------------------------------------
 COMPANY_SUFFIXES = ("", " LLC", " Inc.", " & Sons Co", " Corp")
@@ -81,25 +82,24 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings_from(spread(d, "doc_id"))
 
 
+def _arr(values) -> str:
+    return "array(" + ", ".join("CAST(NULL AS INT)" if v is None else (sql_str(v) if isinstance(v, str) else str(v)) for v in values) + ")"
+
+
 def postings_from(d: DataFrame) -> DataFrame:
     """The postings projection of a documents frame (batch or streaming)."""
-    i = F.col("doc_id")
-    company = (
-        F.when(i % 17 == 0, F.lit(None).cast("string"))
-        .when(i % 19 == 0, F.lit(""))
-        .otherwise(F.concat(F.lit("Acme "), F.col("source"), _pick(COMPANY_SUFFIXES, (i % 5 + 1).cast("int"))))
-    )
-    return d.select(
-        i.alias("seq"),
-        i.alias("posting_id"),
-        company.alias("company"),
-        F.substring("text", 1, 40).alias("title"),
-        F.col("lang").alias("location"),
-        F.concat(F.lit("/jobs/"), i.cast("string"), F.lit("/x")).alias("job_url"),
-        F.when(i % 23 == 0, F.lit(None).cast("string")).when(i % 29 == 0, F.lit("")).otherwise(F.col("text")).alias("description"),
-        F.col("source").alias("site"),
-        F.concat(F.lit("term_"), (i % N_POSTING_TERMS).cast("string")).alias("search_term"),
-        (i % 4).alias("batch"),
+    return d.selectExpr(
+        "doc_id AS seq",
+        "doc_id AS posting_id",
+        "CASE WHEN doc_id % 17 = 0 THEN CAST(NULL AS STRING) WHEN doc_id % 19 = 0 THEN '' "
+        f"ELSE concat('Acme ', source, element_at({_arr(COMPANY_SUFFIXES)}, CAST(doc_id % 5 + 1 AS INT))) END AS company",
+        "substring(text, 1, 40) AS title",
+        "lang AS location",
+        "concat('/jobs/', CAST(doc_id AS STRING), '/x') AS job_url",
+        "CASE WHEN doc_id % 23 = 0 THEN CAST(NULL AS STRING) WHEN doc_id % 29 = 0 THEN '' ELSE text END AS description",
+        "source AS site",
+        f"concat('term_', CAST(doc_id % {N_POSTING_TERMS} AS STRING)) AS search_term",
+        "doc_id % 4 AS batch",
     )
 
 
@@ -115,34 +115,29 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def attempts_from(e: DataFrame) -> DataFrame:
     """The attempts projection of an events frame (batch or streaming)."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    e = e.select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"))
-    k = F.col("k")
-    ok = F.col("event_type") != "error"
-    raw = F.when(~ok, _pick(ERROR_TEXTS, (k % 6 + 1).cast("int")))
-    detected = k % 7 == 0
-    solved = F.when(detected, F.when(k % 3 == 1, F.lit(True)).when(k % 3 == 2, F.lit(False)))
-    statuses = F.array(*[F.lit(s).cast("int") for s in ERROR_STATUS])
-    return e.select(
-        F.col("event_id").alias("seq"),
-        F.col("ts"),
+    k = e.selectExpr("event_id", "ts", "user_id", "event_type", "value", "CAST(get_json_object(props, '$.k') AS INT) AS k")
+    raw = f"CASE WHEN event_type <> 'error' THEN CAST(NULL AS STRING) WHEN k IS NOT NULL THEN element_at({_arr(ERROR_TEXTS)}, CAST(k % 6 + 1 AS INT)) END"
+    sel = f"CASE WHEN k IS NOT NULL THEN element_at({_arr(SELECTORS)}, CAST(k % 4 + 1 AS INT)) END"
+    return k.selectExpr(
+        "event_id AS seq",
+        "ts",
         # one collection run per day: a search is (run_id, term, site) with its retries
-        F.date_format("ts", "yyyy-MM-dd").alias("run_id"),
-        F.concat(F.lit("term_"), (F.col("user_id") % N_TERMS).cast("string")).alias("search_term"),
-        _pick(SITES, (F.col("event_id") % 4 + 1).cast("int")).alias("site"),
-        (F.col("user_id") % 4).alias("batch"),
-        ok.alias("success"),
-        F.when(ok, k).otherwise(0).cast("bigint").alias("jobs_found"),
-        F.when(k == 0, F.lit(0)).otherwise(F.floor(F.col("value") * 100)).cast("bigint").alias("duration_ms"),
-        F.when(ok, F.lit(200)).when(k.isNotNull(), F.element_at(statuses, (k % 6 + 1).cast("int"))).alias("http_status"),
-        F.when(~ok, tx.classify_error(raw)).alias("error_type"),
+        "date_format(ts, 'yyyy-MM-dd') AS run_id",
+        f"concat('term_', CAST(user_id % {N_TERMS} AS STRING)) AS search_term",
+        f"element_at({_arr(SITES)}, CAST(event_id % 4 + 1 AS INT)) AS site",
+        "user_id % 4 AS batch",
+        "event_type <> 'error' AS success",
+        "CAST(CASE WHEN event_type <> 'error' THEN k ELSE 0 END AS BIGINT) AS jobs_found",
+        "CAST(CASE WHEN k = 0 THEN 0 ELSE floor(value * 100) END AS BIGINT) AS duration_ms",
+        f"CASE WHEN event_type <> 'error' THEN 200 WHEN k IS NOT NULL THEN element_at({_arr(ERROR_STATUS)}, CAST(k % 6 + 1 AS INT)) END AS http_status",
+        f"CASE WHEN event_type = 'error' THEN {tx.classify_error_sql(raw)} END AS error_type",
         # mask first, then cut to 500 characters
-        tx.truncate_text(tx.mask_credentials(raw), 500).alias("error_message"),
-        raw.alias("error_raw"),
-        detected.alias("challenge_detected"),
-        solved.alias("challenge_solved"),
-        F.slice(F.array(*[F.lit(s) for s in SELECTORS]), 1, (k % 4 + 1).cast("int")).alias("selectors_tried"),
-        F.when(k % 5 != 0, _pick(SELECTORS, (k % 4 + 1).cast("int"))).alias("selector_matched"),
+        f"substring({tx.mask_credentials_sql(raw)}, 1, 500) AS error_message",
+        f"{raw} AS error_raw",
+        "k % 7 = 0 AS challenge_detected",
+        "CASE WHEN k % 7 = 0 THEN (CASE WHEN k % 3 = 1 THEN true WHEN k % 3 = 2 THEN false END) END AS challenge_solved",
+        f"slice({_arr(SELECTORS)}, 1, CAST(k % 4 + 1 AS INT)) AS selectors_tried",
+        f"CASE WHEN k % 5 <> 0 THEN {sel} END AS selector_matched",
     )
 
 
@@ -153,11 +148,13 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Submission events: each order submits its customer as a lead."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    # the domain is derived once per customer, before the join multiplies rows
+    c = read_table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey", "c_name", f"{tx.normalize_domain_sql(tx.guess_domain_sql('c_name'))} AS c_domain")
     j = o.join(c, o.o_custkey == c.c_custkey, "inner")
     return j.select(
         F.col("o_orderkey").alias("seq"),
-        tx.normalize_domain(tx.guess_domain("c_name")).alias("domain"),
+        F.col("c_domain").alias("domain"),
         F.col("c_name").alias("company"),
         F.concat(F.lit("lead_"), F.col("o_orderkey").cast("string")).alias("lead_id"),
         F.col("o_orderdate").alias("submitted_at"),
@@ -203,4 +200,4 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("supplier").alias("kind"), F.col("s_suppkey").alias("seq"), F.col("s_name").alias("company"),
         F.lit("SUPPLIER").alias("segment"))
     u = c.unionByName(s)
-    return u.select("kind", "seq", "company", tx.normalize_domain(tx.guess_domain("company")).alias("domain"), "segment")
+    return u.selectExpr("kind", "seq", "company", f"{tx.normalize_domain_sql(tx.guess_domain_sql('company'))} AS domain", "segment")
