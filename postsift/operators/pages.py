@@ -138,6 +138,26 @@ def fallback_links(pages: DataFrame, has_cards: DataFrame) -> DataFrame:
     return first_per_key(keep.select("page_id", "title", "pos"), ["page_id", "title"], "pos")
 
 
+def pages_to_postings(pages: DataFrame) -> DataFrame:
+    """A10: stored raw pages -> posting rows (title, company, location from the card,
+    description by H6, the page URL as the link), in one projection per page."""
+    card = F.regexp_extract("html", r"(?s)<article>(.*?)</article>", 1)
+    p = pages.select("page_id", "url", "html", _parts(card).alias("parts"))
+    loc = F.get("parts", 2)
+    ld = F.regexp_extract("html", r'(?s)<script type="application/ld\+json">(.*?)</script>', 1)
+    ld_desc = F.get_json_object(F.nullif(ld, F.lit("")), "$.description")
+    main = html_to_text(card)
+    out = p.select(
+        F.col("page_id").alias("seq"),
+        F.get("parts", 0).alias("title"),
+        F.coalesce(F.get("parts", 1), F.lit("")).alias("company"),
+        F.coalesce(F.when(loc.contains("..."), tx.clean_location(loc)).otherwise(loc), F.lit("")).alias("location"),
+        F.col("url").alias("job_url"),
+        F.coalesce(F.nullif(html_to_text(ld_desc), F.lit("")), tx.text_length_gate(main, MIN_MAIN_TEXT), F.lit("")).alias("description"),
+    )
+    return out.filter(F.col("title").isNotNull() & (F.col("title") != ""))
+
+
 def valid_postings(postings: DataFrame) -> DataFrame:
     """H8: keep rows with a title and a company."""
     ok = lambda c: F.col(c).isNotNull() & (F.col(c) != "")

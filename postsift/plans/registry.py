@@ -36,6 +36,7 @@ def load_all() -> dict[str, Entry]:
     # importing the modules fills the registry
     from . import (  # noqa: F401
         evaluation_queries,
+        io_queries,
         leads_queries,
         page_queries,
         scoring_queries,

@@ -33,19 +33,28 @@ def sanitize_frame(df: DataFrame) -> DataFrame:
     )
 
 
-def read_labelled(spark: SparkSession, path: str) -> DataFrame:
+def read_labelled(spark: SparkSession, path: str, json_lines: bool = False) -> DataFrame:
     """A3: labelled items, wrapped ``{"metadata", "items"}`` or a bare array.
 
-    Fails (naming the 0-based item index) when a description is missing or a
-    label is missing or not strictly boolean. The check is one aggregate;
-    only the first offending index reaches the driver.
+    Fails (naming the item index) when a description is missing or a label is
+    missing or not strictly boolean. The check is one aggregate; only the
+    first offending index reaches the driver. ``json_lines`` reads one item
+    per line (splittable, for large label sets); the index is then the
+    row id.
     """
+    if json_lines:
+        items = spark.read.json(path).withColumn("idx", F.monotonically_increasing_id())
+        return _validate_items(items)
     raw = spark.read.option("multiLine", True).option("primitivesAsString", False).json(path)
     if "items" in raw.columns:
         items = raw.select(F.posexplode("items").alias("idx", "item")).select("idx", "item.*")
     else:
         items = spark.read.option("multiLine", True).json(path)
         items = items.withColumn("idx", F.monotonically_increasing_id())
+    return _validate_items(items)
+
+
+def _validate_items(items: DataFrame) -> DataFrame:
     cols = set(items.columns)
     if "description" not in cols:
         raise ValueError("Item 0 missing required field 'description'")
@@ -60,16 +69,19 @@ def read_labelled(spark: SparkSession, path: str) -> DataFrame:
     return items
 
 
-def read_run_artifacts(spark: SparkSession, root: str, kind: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+def read_run_artifacts(spark: SparkSession, root: str, kind: str, schema: T.StructType,
+                       one_object_per_file: bool = True) -> tuple[DataFrame, DataFrame]:
     """A4: all JSON artifacts of one kind, with an explicit schema.
 
     Returns (good rows, corrupt rows). Corrupt files do not stop the read;
-    they come back on the side output with their file name.
+    they come back on the side output with their file name. Artifacts are one
+    (pretty-printed) object per file by default; ``one_object_per_file=False``
+    reads JSON lines, as Spark's own JSON sink writes them.
     """
     # one row per artifact file; a file that does not parse fills the corrupt field
     sch = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
     raw = (
-        spark.read.option("wholetext", True).text(f"{root.rstrip('/')}/{kind}")
+        spark.read.option("wholetext", one_object_per_file).text(f"{root.rstrip('/')}/{kind}")
         .withColumn("source_file", F.input_file_name())
         .withColumn("__p", F.from_json("value", sch, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
     )
@@ -96,7 +108,10 @@ def run_partition(path_col: str = "source_file"):
 def write_leads_csv(leads: DataFrame, root: str, run_id: str, batch: int | None = None, mode: str = "errorifexists") -> str:
     """Sanitised CSV with header, one folder per (run, batch): batches never collide."""
     path = f"{root.rstrip('/')}/leads/run_id={run_id}" + (f"/batch={batch}" if batch is not None else "")
-    sanitize_frame(leads).write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    (sanitize_frame(leads).write.mode(mode).option("header", True).option("escape", '"')
+     # values are written as they are (Spark trims blanks around values by default)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
     return path
 
 
