@@ -133,3 +133,24 @@ def lead_upsert(spark, d):
 
 
 _ = RUN_ID
+
+
+@query("attach_scores", "D1", W + """SELECT p.seq, p.company, s.score, s.qualified FROM postings p JOIN scored s ON s.posting_id = p.posting_id""")
+def attach_scores(spark, d):
+    # scores stored apart from the postings are attached back by key (an equi-join)
+    scores = scored(spark, d).select("posting_id", "score", "qualified")
+    return b.postings(spark, d).select("seq", "posting_id", "company").join(scores, "posting_id").drop("posting_id")
+
+
+@query("rejected_id", "B26", W + """SELECT seq, printf('rejected_%03d_%s', rn, substr(coalesce(company, 'None'), 1, 20)) AS id FROM (
+  SELECT seq, company, row_number() OVER (ORDER BY seq) AS rn FROM scored WHERE NOT qualified)""")
+def rejected_id(spark, d):
+    # every rejected row numbered in arrival order (no export cap): bucketed running offsets
+    return ld.rejected_postings(scored(spark, d), None).select("seq", "id")
+
+
+@query("top_k_counts", "G1", ov.with_(ov.POSTINGS) + """SELECT company, CAST(count(*) AS BIGINT) AS n FROM postings
+WHERE company IS NOT NULL AND company <> '' GROUP BY company ORDER BY n DESC, min(seq) LIMIT 10""")
+def top_k_counts(spark, d):
+    p = b.postings(spark, d).filter(F.col("company").isNotNull() & (F.col("company") != ""))
+    return rs.top_counts(p, "company", 10).withColumn("n", F.col("n").cast("bigint"))

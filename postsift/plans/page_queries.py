@@ -166,3 +166,12 @@ def first_per_job_id(spark, d):
 
 
 _ = tx
+
+
+@query("absolute_url", "B18", ov.with_(LINKS_SQL) + f"""SELECT page_id, CAST(pos AS BIGINT) AS pos,
+  CASE WHEN starts_with(url, 'http') THEN url ELSE '{BASE}' || url END AS abs_url,
+  CASE WHEN starts_with(url, '/') THEN '{BASE}' || url ELSE url END AS abs_url_slash FROM links""")
+def absolute_url(spark, d):
+    links = pg.page_links(pages(spark, d))
+    return links.select("page_id", F.col("pos").cast("bigint").alias("pos"), tx.absolute_url("url", BASE).alias("abs_url"),
+                        tx.absolute_url("url", BASE, slash_only=True).alias("abs_url_slash"))

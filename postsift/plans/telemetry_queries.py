@@ -305,3 +305,9 @@ def sample_per_term(spark, d):
 
 
 _ = F
+
+
+@query("distinct_sites", "G7", A + """SELECT search_term, string_agg(DISTINCT site, ',' ORDER BY site) AS sites FROM attempts GROUP BY search_term""")
+def distinct_sites(spark, d):
+    a = att(spark, d)
+    return a.groupBy("search_term").agg(F.array_join(F.array_sort(F.collect_set("site")), ",").alias("sites"))
