@@ -136,7 +136,7 @@ def term_performance(att: DataFrame) -> DataFrame:
     return g.withColumn("success_rate", tx.rate_pct("successful_attempts", "total_attempts"))
 
 
-def timing_distribution(att: DataFrame, bucket_width: int = 1 << 12) -> DataFrame:
+def timing_distribution(att: DataFrame, bucket_width: int | None = None) -> DataFrame:
     """Count, min, max, rounded mean and index-rule p50 / p90 / p99 of successful durations > 0.
 
     Index rule: p50 = sorted[n // 2]; p90 = sorted[int(n * 0.9)] if n >= 10 else

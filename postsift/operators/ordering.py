@@ -21,6 +21,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET = 1 << 16
+MAX_BUCKETS = 100_000
+
+
+def adaptive_width(df: DataFrame, order_col: str, minimum: int = DEFAULT_BUCKET, max_buckets: int = MAX_BUCKETS) -> int:
+    """A bucket width that keeps the number of buckets below ``max_buckets``.
+
+    One scalar aggregate (min and max of the key); only two numbers reach the
+    driver. Rows per bucket stay bounded by the width (keys are unique per group).
+    """
+    r = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
+    if r is None or r["lo"] is None:
+        return minimum
+    span = int(r["hi"]) - int(r["lo"]) + 1
+    return max(minimum, -(-span // max_buckets))
 
 
 def first_per_key(df: DataFrame, keys: list[str], order_col: str = "seq") -> DataFrame:
@@ -52,13 +66,16 @@ def row_numbers(
     order_col: str = "seq",
     out: str = "rn",
     total: str | None = None,
-    bucket_width: int = DEFAULT_BUCKET,
+    bucket_width: int | None = None,
 ) -> DataFrame:
     """Exact ``row_number() over (partition by group_cols order by order_col)``.
 
     ``order_col`` must be an integral, unique-within-group column (the arrival
-    ``seq``). ``total`` optionally adds the group size.
+    ``seq``). ``total`` optionally adds the group size. Without a width, one is
+    chosen from the key range so the offsets table stays small (``adaptive_width``).
     """
+    if bucket_width is None:
+        bucket_width = adaptive_width(df, order_col)
     bkt = "__bkt"
     d = df.withColumn(bkt, F.floor(F.col(order_col) / F.lit(bucket_width)))
     keys = [*group_cols, bkt]
@@ -80,13 +97,15 @@ def running_total(
     out: str = "cum",
     total: str | None = None,
     group_cols: list[str] | None = None,
-    bucket_width: int = DEFAULT_BUCKET,
+    bucket_width: int | None = None,
 ) -> DataFrame:
     """Add ``out`` = sum of ``count_col`` over rows with ``value_col`` <= this row's.
 
     ``hist`` holds one row per distinct (group, value), e.g. ``groupBy(v).count()``.
     """
     group_cols = group_cols or []
+    if bucket_width is None:
+        bucket_width = adaptive_width(hist, value_col, minimum=1 << 12)
     bkt = "__bkt"
     d = hist.withColumn(bkt, F.floor(F.col(value_col) / F.lit(bucket_width)))
     keys = [*group_cols, bkt]
