@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from .ordering import row_numbers, running_total
+from .ordering import adaptive_width, row_numbers, running_total
 from .runstats import top_counts
 
 def _cnt():
@@ -392,8 +392,9 @@ def failure_streak(att: DataFrame, cut: int = 3) -> DataFrame:
     before a failure = its island; the streak is the rank inside the island.
     """
     a = att.select("seq", "site", "success")
-    all_n = row_numbers(a, ["site"], "seq", out="p")
-    fails = row_numbers(all_n.filter(~F.col("success")), ["site"], "seq", out="f")
+    width = adaptive_width(a, "seq")  # one range probe serves both numberings
+    all_n = row_numbers(a, ["site"], "seq", out="p", bucket_width=width)
+    fails = row_numbers(all_n.filter(~F.col("success")), ["site"], "seq", out="f", bucket_width=width)
     isl = fails.withColumn("island", F.col("p") - F.col("f"))
     starts = isl.groupBy("site", "island").agg(F.min("f").alias("f0"))
     streaks = isl.join(starts, ["site", "island"]).withColumn("streak", F.col("f") - F.col("f0") + 1)

@@ -47,17 +47,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a text-heavy scan over the cluster when its files plan too few tasks.
+def spread(df: DataFrame, key: str, min_bytes: int = 4 << 20) -> DataFrame:
+    """Spread a scan over the cluster when its files plan too few tasks for its size.
 
     A scan already split into at least ``defaultParallelism`` partitions (many
     files or row groups: the normal case at scale) is returned untouched, so no
-    shuffle is added. A scan of one big row group would run all per-row text
-    work in one task; it is hash-partitioned on its key (deterministic on retry).
-    The check reads the file plan only, no data.
+    shuffle is added; so is a scan too small to be worth a shuffle. A big
+    table stored as one row group would run all per-row work in one task; it
+    is hash-partitioned on its key (deterministic on retry). Only the file
+    plan and the scan statistics are read, no data. (A single row group may be
+    planned as several byte-range splits of which only one reads rows, so the
+    split count alone does not tell the parallelism.)
     """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size < min_bytes:
+        return df
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if df._jdf.rdd().getNumPartitions() >= target:
         return df
     return df.repartition(target, key)
 
@@ -110,7 +116,8 @@ def labelled_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return attempts_from(read_table(spark, sf_dir, "events"))
+    e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    return attempts_from(spread(e, "event_id"))
 
 
 def attempts_from(e: DataFrame) -> DataFrame:
