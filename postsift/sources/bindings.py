@@ -25,7 +25,7 @@ from ..functions.rule_sql import sql_str
 
 # --- fixed values of the bindings -----------------------------------------
 COMPANY_SUFFIXES = ("", " LLC", " Inc.", " & Sons Co", " Corp")
-SITES = ("indeed", "linkedin", "zip_recruiter", "glassdoor")
+SITES = ("board_a", "board_b", "board_c", "board_d")
 # error texts by k % 6; the second one is the blocking message
 ERROR_TEXTS = (
     "HTTP 429 Too Many Requests from https://bot:hunter2@proxy.example.com:8080/search",
