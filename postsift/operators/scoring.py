@@ -94,6 +94,9 @@ def score_postings(
     """
     tmp = "__ps_"
     E = F.expr
+    # optional inputs the frame lacks are scored as missing, like an absent field
+    title = title if title and title in df.columns else None
+    company = company if company and company in df.columns else None
     d = f"`{description}`"
     pre = df.withColumns(
         {

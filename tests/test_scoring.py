@@ -145,3 +145,38 @@ def test_dedupe_first_per_company_and_missing_company(spark):
     assert set(leads) == {"Sun Co", "sun co"}  # exact-case companies
     assert leads["Sun Co"]["job_title"] == "a" and leads["Sun Co"]["domain"] == "sun.com"
     assert F is not None
+
+
+LADDER_RULES = parse_rules({
+    "company_blocklist": [],
+    "required_context": {"patterns": ["pv"]},
+    "exclusions": {
+        "chips": {"patterns": ["asic design"], "description": "Chip roles"},
+        "execs": {"patterns": ["ceo"], "description": "Top roles"},
+        "pitch": {"patterns": ["technical sales"], "description": "Pitch roles"},
+        "courts": {"patterns": ["racket"], "description": "Tennis stringing"},
+        "bosses": {"patterns": ["project manager"], "description": "People leads"},
+        "eng": {"patterns": ["relay engineer"], "description": "Other roles"},
+    },
+    "positive_signals": {},
+})
+
+
+@pytest.mark.parametrize("text,category,group", [
+    ("pv asic design", "exclusions.eda_tools", "exclusions.chips"),      # 'asic' checked before semiconductor words
+    ("pv ceo", "exclusions.other", "exclusions.execs"),                   # "'ceo'" is quoted: no ' ceo' in the reason
+    ("pv technical sales", "exclusions.sales", "exclusions.pitch"),
+    ("pv racket", "exclusions.tennis", "exclusions.courts"),              # reached through the group description only
+    ("pv project manager", "exclusions.management", "exclusions.bosses"),
+    ("pv relay engineer", "exclusions.other", "exclusions.eng"),          # no listed keyword in the reason
+    ("pv nothing", "below_threshold", "below_threshold"),
+])
+def test_category_ladder_traps(spark, text, category, group):
+    r = score(spark, [(1, "A", "t", text)], LADDER_RULES)
+    assert (r[1]["rejection_category"], r[1]["rule_group"]) == (category, group)
+
+
+def test_missing_optional_columns(spark):
+    df = spark.createDataFrame([(1, "pv layoutpro")], "seq long, description string")
+    r = score_postings(df, R).first()
+    assert r["score"] == 100.0 and r["reasons"][0] == "+0: Has solar/PV context in description (required)"
