@@ -49,21 +49,28 @@ def unique_companies(scored: DataFrame, batch_col: str = "batch") -> DataFrame:
 
 
 def run_stats(attempts: DataFrame, scored: DataFrame, leads: DataFrame, run_id: str) -> DataFrame:
-    """E5: run totals: terms, time span, raw / kept / unique, completion and filter rates."""
-    a = attempts.agg(
-        F.count_distinct("search_term").alias("search_terms_total"),
-        F.count_distinct(F.when(F.col("seq").isNotNull(), F.col("search_term"))).alias("search_terms_completed"),
+    """E5: run totals: terms, time span, raw / kept / unique, completion and filter rates.
+
+    The three inputs are narrowed and unioned, then reduced by one aggregate
+    (no join of one-row frames).
+    """
+    a = attempts.select(F.lit("attempt").alias("__k"), "search_term", "ts")
+    s = scored.select(F.lit("posting").alias("__k"), "qualified")
+    u = leads.select(F.lit("lead").alias("__k"))
+    x = a.unionByName(s, allowMissingColumns=True).unionByName(u, allowMissingColumns=True)
+    k = F.col("__k")
+    g = x.agg(
+        F.count_distinct(F.when(k == "attempt", F.col("search_term"))).alias("search_terms_total"),
         tx.ts_string(F.min("ts")).alias("start_time"),
         tx.ts_string(F.max("ts")).alias("end_time"),
-    ).withColumn("run_id", F.lit(run_id))
-    s = scored.agg(
-        F.count(F.lit(1)).alias("total_jobs_raw"),
-        F.count_if(F.col("qualified")).alias("total_jobs_filtered"),
-    ).withColumn("run_id", F.lit(run_id))
-    u = leads.agg(F.count(F.lit(1)).alias("unique_companies")).withColumn("run_id", F.lit(run_id))
-    j = a.join(s, "run_id").join(u, "run_id")
-    return j.select(
-        "run_id", "start_time", "end_time", "search_terms_total", "search_terms_completed",
+        F.count_if(k == "posting").alias("total_jobs_raw"),
+        F.count_if((k == "posting") & F.col("qualified")).alias("total_jobs_filtered"),
+        F.count_if(k == "lead").alias("unique_companies"),
+    )
+    # every term in the attempt table was searched: completed = total
+    g = g.withColumn("search_terms_completed", F.col("search_terms_total"))
+    return g.select(
+        F.lit(run_id).alias("run_id"), "start_time", "end_time", "search_terms_total", "search_terms_completed",
         tx.rate_pct("search_terms_completed", "search_terms_total").alias("completion_rate"),
         "total_jobs_raw", "total_jobs_filtered", "unique_companies",
         F.when(F.col("total_jobs_raw") > 0,

@@ -85,10 +85,9 @@ def associate_by_domain(leads: DataFrame, companies: DataFrame) -> DataFrame:
 
 
 def state_summary(submitted: DataFrame, tried: DataFrame) -> DataFrame:
-    """E23 (totals): submitted domains and tried queries, joined on a run key (one row each)."""
-    a = submitted.agg(F.count(F.lit(1)).alias("total_submitted")).withColumn("k", F.lit(1))
-    b = tried.agg(F.count(F.lit(1)).alias("total_queries_tried")).withColumn("k", F.lit(1))
-    return a.join(b, "k").drop("k")
+    """E23 (totals): submitted domains and tried queries, one aggregate over both tables."""
+    u = submitted.select(F.lit(True).alias("__s")).unionByName(tried.select(F.lit(False).alias("__s")))
+    return u.agg(F.count_if("__s").alias("total_submitted"), F.count_if(~F.col("__s")).alias("total_queries_tried"))
 
 
 def source_status(progress: DataFrame) -> DataFrame:

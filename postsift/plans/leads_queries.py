@@ -69,10 +69,9 @@ def rejected_postings(spark, d):
 @query("rejected_sample", "G5", W + """SELECT count(*) AS exported, max(total) AS total_rejected FROM (
   SELECT row_number() OVER (ORDER BY seq) AS rn, count(*) OVER () AS total FROM scored WHERE NOT qualified) WHERE rn <= 100""")
 def rejected_sample(spark, d):
-    s = scored(spark, d)
-    exported = ld.rejected_postings(s, 100).agg(F.count(F.lit(1)).alias("exported"))
-    total = s.filter(~F.col("qualified")).agg(F.count(F.lit(1)).alias("total_rejected"))
-    return exported.withColumn("k", F.lit(1)).join(total.withColumn("k", F.lit(1)), "k").drop("k")
+    # the export holds the first min(total, 100) rejected rows: one aggregate gives both counts
+    total = scored(spark, d).filter(~F.col("qualified")).agg(F.count(F.lit(1)).alias("total_rejected"))
+    return total.select(F.least(F.col("total_rejected"), F.lit(100)).cast("bigint").alias("exported"), "total_rejected")
 
 
 @query("preview", "G4", WL + f"SELECT {LEAD_SELECT} FROM leads ORDER BY seq LIMIT 10")
