@@ -15,13 +15,17 @@ LEAD_COLUMNS = (
 )
 
 
-def process_leads(qualified: DataFrame, rules: RuleSet, run_date: str) -> DataFrame:
+def process_leads(qualified: DataFrame, rules: RuleSet, run_date: str, keep: str = "first") -> DataFrame:
     """Qualified scored postings -> one lead per company.
 
     confidence (B16) -> drop missing company -> first posting per exact company
     (F2, an aggregate: one shuffle on company, partial map-side) -> domain (B6)
     -> run date (B25) -> renames -> four search URLs (B8-B11) -> fixed order.
+    ``keep="best"`` keeps the highest-scoring posting of a company instead of
+    the first one (earliest wins a tie).
     """
+    if keep not in ("first", "best"):
+        raise ValueError(f"keep must be 'first' or 'best', got {keep!r}")
     # columns the input lacks are kept as NULL (the reference keeps whatever is available)
     for c in ("title", "location", "job_url", "description"):
         if c not in qualified.columns:
@@ -29,8 +33,15 @@ def process_leads(qualified: DataFrame, rules: RuleSet, run_date: str) -> DataFr
     base = qualified.select(
         "seq", "company", "title", "location", "job_url", "description",
         tx.confidence_score("score", "qualified").alias("confidence_score"),
+        F.col("score").alias("__score"),
     ).filter(F.col("company").isNotNull() & (F.col("company") != ""))
-    first = first_per_key(base, ["company"], "seq")
+    if keep == "best":
+        rest = [c for c in base.columns if c != "company"]
+        # max by (score, -seq): the best score, then the earliest arrival
+        order = F.struct(F.col("__score"), -F.col("seq"))
+        first = base.groupBy("company").agg(F.max_by(F.struct(*rest), order).alias("__b")).select("company", "__b.*")
+    else:
+        first = first_per_key(base, ["company"], "seq")
     keywords = rules.template_keywords()
     return first.select(
         "company",

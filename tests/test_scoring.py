@@ -180,3 +180,13 @@ def test_missing_optional_columns(spark):
     df = spark.createDataFrame([(1, "pv layoutpro")], "seq long, description string")
     r = score_postings(df, R).first()
     assert r["score"] == 100.0 and r["reasons"][0] == "+0: Has solar/PV context in description (required)"
+
+
+def test_dedupe_keep_best(spark):
+    rows = [(1, "Sun Co", "a", "pv drafter design cadkit"), (2, "Sun Co", "b", "pv layoutpro"), (3, "Sun Co", "c", "pv layoutpro")]
+    s = qualified_postings(score_postings(spark.createDataFrame(rows, SCHEMA), R))
+    first = process_leads(s, R, "2026-01-01").first()
+    best = process_leads(s, R, "2026-01-01", keep="best").first()
+    assert first["job_title"] == "a" and best["job_title"] == "b"
+    with pytest.raises(ValueError):
+        process_leads(s, R, "2026-01-01", keep="last")
