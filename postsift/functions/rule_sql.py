@@ -18,20 +18,32 @@ def sql_array(values) -> str:
     return "array(" + ", ".join(sql_str(v) for v in values) + ")"
 
 
-def sql_any(x: str, pats) -> str:
+def word_regex(p: str) -> str:
+    """A Java regex matching ``p`` literally, not inside a longer word (Unicode word characters)."""
+    return r"(?U)(?<!\w)\Q" + p.replace(r"\E", r"\E\\E\Q") + r"\E(?!\w)"
+
+
+def sql_has(x: str, p: str, word_boundary: bool = False) -> str:
+    """Substring test (the reference's rule), or a whole-word test when asked."""
+    if word_boundary:
+        return f"({x} RLIKE {sql_str(word_regex(p))})"
+    return f"contains({x}, {sql_str(p)})"
+
+
+def sql_any(x: str, pats, word_boundary: bool = False) -> str:
     """True when any pattern is a substring of ``x`` (NULL ``x`` -> false)."""
     pats = list(pats)
     if not pats:
         return "false"
-    return "coalesce(" + " OR ".join(f"contains({x}, {sql_str(p)})" for p in pats) + ", false)"
+    return "coalesce(" + " OR ".join(sql_has(x, p, word_boundary) for p in pats) + ", false)"
 
 
-def sql_first_index(x: str, pats) -> str:
+def sql_first_index(x: str, pats, word_boundary: bool = False) -> str:
     """1-based index of the first pattern, in list order, contained in ``x``; NULL if none."""
     pats = list(pats)
     if not pats:
         return "CAST(NULL AS INT)"
-    return "CASE " + " ".join(f"WHEN contains({x}, {sql_str(p)}) THEN {i}" for i, p in enumerate(pats, 1)) + " END"
+    return "CASE " + " ".join(f"WHEN {sql_has(x, p, word_boundary)} THEN {i}" for i, p in enumerate(pats, 1)) + " END"
 
 
 def sql_pick(values, idx: str) -> str:

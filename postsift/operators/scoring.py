@@ -27,7 +27,7 @@ from ..functions.rules import (
     TITLE_AREA_CHARS,
     RuleSet,
 )
-from ..functions.rule_sql import sql_any, sql_first_index, sql_pick, sql_str
+from ..functions.rule_sql import sql_any, sql_first_index, sql_has, sql_pick, sql_str
 
 # --- fixed values ---------------------------------------------------------
 # Rejection categories are read from the text of the first reason, in this
@@ -115,7 +115,7 @@ def score_postings(
             ex_groups.append(ex.name)
             ex_pats.append(p)
             ex_reasons.append(ex.reason(p))
-            ex_cases.append(f"WHEN contains({scope}, {sql_str(p)}) THEN {len(ex_pats)}")
+            ex_cases.append(f"WHEN {sql_has(scope, p, ex.word_boundary)} THEN {len(ex_pats)}")
     ex_idx = ("CASE " + " ".join(ex_cases) + " END") if ex_cases else "CAST(NULL AS INT)"
 
     t1, t2, t3, t4, t5, t6 = (rules.tier(k) for k in (
@@ -133,12 +133,13 @@ def score_postings(
             tmp + "ex": E(ex_idx),
             # Design-role indicator (guard of tiers 2, 3, 5)
             tmp + "design": E(design),
-            tmp + "t1": E(sql_first_index(desc, t1.patterns) if t1 else none_i),
-            tmp + "t2": E(f"CASE WHEN {design} THEN {sql_first_index(desc, t2.patterns)} END" if t2 else none_i),
-            tmp + "t3": E(f"{design} AND {sql_any(desc, t3.patterns_cad)} AND {sql_any(desc, t3.patterns_project)}" if t3 else "false"),
-            tmp + "t4": E(sql_first_index(head, t4.patterns) if t4 else none_i),
-            tmp + "t5": E(f"{design} AND {sql_any(desc, t5.patterns_cad)}" if t5 else "false"),
-            tmp + "t6": E(sql_first_index(desc, t6.patterns) if t6 else none_i),
+            tmp + "t1": E(sql_first_index(desc, t1.patterns, t1.word_boundary) if t1 else none_i),
+            tmp + "t2": E(f"CASE WHEN {design} THEN {sql_first_index(desc, t2.patterns, t2.word_boundary)} END" if t2 else none_i),
+            tmp + "t3": E(f"{design} AND {sql_any(desc, t3.patterns_cad, t3.word_boundary)} AND "
+                          f"{sql_any(desc, t3.patterns_project, t3.word_boundary)}" if t3 else "false"),
+            tmp + "t4": E(sql_first_index(head, t4.patterns, t4.word_boundary) if t4 else none_i),
+            tmp + "t5": E(f"{design} AND {sql_any(desc, t5.patterns_cad, t5.word_boundary)}" if t5 else "false"),
+            tmp + "t6": E(sql_first_index(desc, t6.patterns, t6.word_boundary) if t6 else none_i),
         }
     )
     c = {n: tmp + n for n in ("blk", "hasdesc", "ctxt", "ctxd", "ex", "design", "t1", "t2", "t3", "t4", "t5", "t6")}
@@ -274,11 +275,15 @@ def rule_hits(postings: DataFrame, rule_df: DataFrame, max_rules: int = 100_000)
         F.lower(F.col("company")).alias("_c"),
     )
     r = broadcast(rule_df)
+    def has(col):
+        # whole-word rules carry their regex; all others are substring tests
+        return F.when(r.word_boundary, F.expr(f"{col} RLIKE regex")).otherwise(F.col(col).contains(r.pattern))
+
     cond = (
-        F.when(r.scope == "company", F.col("_c").contains(r.pattern))
-        .when(r.scope == "title", F.col("_h").contains(r.pattern))
-        .when(r.scope == "title_or_description", F.col("_t").contains(r.pattern) | F.col("_d").contains(r.pattern))
-        .otherwise(F.col("_d").contains(r.pattern))
+        F.when(r.scope == "company", has("_c"))
+        .when(r.scope == "title", has("_h"))
+        .when(r.scope == "title_or_description", has("_t") | has("_d"))
+        .otherwise(has("_d"))
     )
     return p.join(r, F.coalesce(cond, F.lit(False)), "inner").select(
         "seq", "priority", "rule_group", "kind", "scope", "pattern", "weight"

@@ -167,6 +167,7 @@ def _rules_sql() -> str:
     from ..functions.rules import rule_rows
 
     vals = ", ".join(f"({r[0]}, {ov.q(r[1])}, {ov.q(r[2])}, {ov.q(r[3])}, {ov.q(r[4])}, {r[5]})" for r in rule_rows(R))
+    assert not any(r[6] for r in rule_rows(R)), "the oracle restates substring rules only"
     return f"rules(priority, rule_group, kind, scope, pattern, weight) AS (VALUES {vals})"
 
 
