@@ -203,3 +203,16 @@ def test_word_boundary_option(spark):
     assert s[1]["score"] == -100.0 and s[2]["score"] == -100.0
     # whole words when asked: only the standalone 'cto' excludes; 'cad' does not fire inside 'cadence'
     assert w[1]["score"] == 100.0 and w[2]["score"] == -100.0 and w[3]["score"] == 0.0
+
+
+def test_qualified_plus_rejected_is_all(spark):
+    from conftest import SF_SMALL
+    from postsift.operators.runstats import filter_stats, rejection_breakdown
+    from postsift.plans.probe_rules import probe_rules
+    from postsift.sources import bindings as b
+
+    s = score_postings(b.postings(spark, SF_SMALL), probe_rules())
+    st_ = filter_stats(s).first()
+    assert st_["qualified"] + st_["rejected"] == st_["total_processed"] == 200
+    cats = rejection_breakdown(s, None).collect()
+    assert sum(r["n"] for r in cats) == st_["rejected"]
