@@ -59,11 +59,14 @@ def spread(df: DataFrame, key: str, min_bytes: int = 4 << 20) -> DataFrame:
     planned as several byte-range splits of which only one reads rows, so the
     split count alone does not tell the parallelism.)
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # statistics unavailable (e.g. a remote session): decide on the split count only
+        size = min_bytes
     if size < min_bytes:
         return df
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df._jdf.rdd().getNumPartitions() >= target:
+    if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, key)
 
