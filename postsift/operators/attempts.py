@@ -415,3 +415,25 @@ def sample_per_term(postings: DataFrame, k: int = 2) -> DataFrame:
     partial WindowGroupLimit before the shuffle, so a hot term sends k rows per task)."""
     w = Window.partitionBy("search_term").orderBy("seq")
     return postings.select("seq", "search_term", "title").withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k).withColumn("rn", _i(F.col("rn")))
+
+
+def phase_breakdown(fetches: DataFrame, phase_cols: list[str]) -> DataFrame:
+    """Mean time per phase of a fetch and its share of the mean total.
+
+    ``fetches`` has one row per fetch and one duration column per phase; the
+    phases are unpivoted (one row per fetch and phase) and aggregated.
+    """
+    long = fetches.unpivot([], phase_cols, "phase", "ms")
+    g = long.groupBy("phase").agg(F.avg("ms").alias("avg_ms"), F.sum("ms").alias("__sum"))
+    share = F.when(F.sum("__sum").over(Window.partitionBy()) > 0,
+                   F.round(F.col("__sum") / F.sum("__sum").over(Window.partitionBy()) * 100, 1)).otherwise(0.0)
+    # one row per phase: the window over the aggregate is tiny
+    return g.select("phase", F.round("avg_ms", 1).alias("avg_ms"), share.alias("share_pct"))
+
+
+def search_phases(att: DataFrame) -> DataFrame:
+    """Per search (run, term, site): time of the first try and time spent in retries."""
+    g = att.groupBy("run_id", "search_term", "site").agg(
+        F.min_by("duration_ms", "seq").alias("first_try_ms"), F.sum("duration_ms").alias("__all"))
+    return g.select("run_id", "search_term", "site", F.col("first_try_ms").cast("double").alias("first_try_ms"),
+                    (F.col("__all") - F.col("first_try_ms")).cast("double").alias("retries_ms"))

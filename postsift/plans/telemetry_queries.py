@@ -311,3 +311,17 @@ _ = F
 def distinct_sites(spark, d):
     a = att(spark, d)
     return a.groupBy("search_term").agg(F.array_join(F.array_sort(F.collect_set("site")), ",").alias("sites"))
+
+
+PHASES = ov.with_(ov.ATTEMPTS, """s AS (
+  SELECT run_id, search_term, site, arg_min(duration_ms, seq) AS first_ms, sum(duration_ms) AS all_ms
+  FROM attempts GROUP BY run_id, search_term, site)""")
+
+
+@query("phase_breakdown", "E28", PHASES + """SELECT phase, round(avg(ms), 1) AS avg_ms,
+  CASE WHEN sum(sum(ms)) OVER () > 0 THEN round(sum(ms) / sum(sum(ms)) OVER () * 100, 1) ELSE 0.0 END AS share_pct
+FROM (SELECT 'first_try_ms' AS phase, CAST(first_ms AS DOUBLE) AS ms FROM s
+      UNION ALL SELECT 'retries_ms', CAST(all_ms - first_ms AS DOUBLE) FROM s)
+GROUP BY phase""")
+def phase_breakdown(spark, d):
+    return at.phase_breakdown(at.search_phases(att(spark, d)), ["first_try_ms", "retries_ms"])
