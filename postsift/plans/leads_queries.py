@@ -11,7 +11,7 @@ from ..operators import scoring as sc
 from ..sources import bindings as b
 from . import oracle_views as ov
 from .probe_rules import probe_rules
-from .registry import RUN_DATE, RUN_ID, query
+from .registry import RUN_DATE, query
 
 R = probe_rules()
 W = ov.with_(ov.POSTINGS, ov.scored_sql(R))
@@ -131,7 +131,6 @@ def lead_upsert(spark, d):
     return ld.lead_upsert(per_batch)
 
 
-_ = RUN_ID
 
 
 @query("attach_scores", "D1", W + """SELECT p.seq, p.company, s.score, s.qualified FROM postings p JOIN scored s ON s.posting_id = p.posting_id""")

@@ -10,7 +10,6 @@ from ..sources import bindings as b
 from . import oracle_views as ov
 from .registry import query
 
-P = ""  # pages is a base table in the oracle
 BASE = pg.BASE_URL
 EMPLOYMENT = ("FULL_TIME", "PART_TIME", "CONTRACT", "")
 
@@ -165,7 +164,6 @@ def first_per_job_id(spark, d):
     return pg.first_per_job_id(p, "job_id", "seq")
 
 
-_ = tx
 
 
 @query("absolute_url", "B18", ov.with_(LINKS_SQL) + f"""SELECT page_id, CAST(pos AS BIGINT) AS pos,

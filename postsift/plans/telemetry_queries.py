@@ -304,7 +304,6 @@ def sample_per_term(spark, d):
     return at.sample_per_term(b.postings(spark, d), 2)
 
 
-_ = F
 
 
 @query("distinct_sites", "G7", A + """SELECT search_term, string_agg(DISTINCT site, ',' ORDER BY site) AS sites FROM attempts GROUP BY search_term""")
