@@ -65,3 +65,12 @@ def test_small_helpers(spark):
     assert one(spark, tx.job_id_from_url, ["https://x/jobs/123/abc", "https://x/job/1"]) == ["123", ""]
     assert one(spark, lambda c: tx.absolute_url(c, "https://b"), ["/a", "http://c"]) == ["https://b/a", "http://c"]
     assert one(spark, lambda c: tx.text_length_gate(c, 5), ["123456", "12345"]) == ["123456", None]
+
+
+def test_mask_before_cut_at_500(spark):
+    # the password straddles character 500: cutting first would leave part of it readable (Q12)
+    msg = "x" * 480 + " https://user:secretpassword@host/path"
+    df = spark.createDataFrame([(msg,)], "m string")
+    out = df.select(tx.truncate_text(tx.mask_credentials("m"), 500).alias("o")).first()["o"]
+    assert "secret" not in out and len(out) == 500
+    assert out.endswith("https://user:****@host/pa"[: 500 - 481])
