@@ -310,9 +310,27 @@ def clean_location(c: ColumnOrName) -> Column:
     return py_strip(F.substring_index(_c(c), "...", 1))
 
 
+CASED = r"[\p{Lu}\p{Ll}\p{Lt}]"
+
+
+def py_title(c: ColumnOrName) -> Column:
+    """Python's ``str.title()``: a letter after any uncased character is upper-cased,
+    every other letter lower-cased (``full-time`` -> ``Full-Time``, ``1st`` -> ``1St``).
+    ``initcap`` only capitalises after blanks. The sharp s title-cases to ``Ss``."""
+    col = _c(c)
+    chars = F.split(col, "")
+
+    def one(ch, i):
+        prev = F.element_at(chars, F.greatest(i, F.lit(1)))  # 1-based: the character before 0-based i
+        up = F.when(ch == "\u00df", F.lit("Ss")).otherwise(F.upper(ch))
+        return F.when((i == 0) | ~prev.rlike(CASED), up).otherwise(F.lower(ch))
+
+    return F.when(col.isNotNull(), F.array_join(F.transform(chars, one), ""))
+
+
 def employment_type(c: ColumnOrName) -> Column:
-    """B22: '_' -> blank, then capitalise words (initcap capitalises after blanks only)."""
-    return F.initcap(F.replace(_c(c), F.lit("_"), F.lit(" ")))
+    """B22: '_' -> blank, then title case like Python's ``str.title()``."""
+    return py_title(F.replace(_c(c), F.lit("_"), F.lit(" ")))
 
 
 def salary_text(c: ColumnOrName) -> Column:

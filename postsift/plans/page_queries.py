@@ -97,7 +97,10 @@ jd AS (SELECT seq, CASE WHEN seq % 11 = 0 THEN substr(j, 1, length(j) - 1) ELSE
 
 
 def _title_case_sql(x: str) -> str:
-    return f"array_to_string(list_transform(string_split(replace({x}, '_', ' '), ' '), lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ')"
+    # Python str.title(): upper after an uncased character, lower otherwise; the sharp s gives 'Ss'
+    chars = f"string_split(replace({x}, '_', ' '), '')"
+    return (f"array_to_string(list_transform({chars}, lambda ch, i: CASE WHEN i = 1 OR NOT regexp_matches({chars}[i - 1], "
+            f"'[\\p{{Lu}}\\p{{Ll}}\\p{{Lt}}]') THEN (CASE WHEN ch = chr(223) THEN 'Ss' ELSE upper(ch) END) ELSE lower(ch) END), '')")
 
 
 @query("json_ld_fields", "H3", ov.with_(JSON_DOCS_SQL) + f"""SELECT seq,

@@ -10,6 +10,7 @@ from ..sources import bindings as b
 from ..sources import files as fs
 from . import oracle_views as ov
 from .leads_queries import LEAD_SELECT, WL, leads
+from .page_queries import _title_case_sql
 from .probe_rules import probe_rules
 from .registry import query
 
@@ -187,9 +188,8 @@ def clean_location(spark, d):
     return p.select("seq", tx.clean_location(F.concat("location", F.lit(" ... "), "title")).alias("location"))
 
 
-@query("employment_type", "B22", ov.with_("ev AS (SELECT event_id, upper(event_type) || '_TIME' AS raw FROM events)") + """SELECT event_id,
-  array_to_string(list_transform(string_split(replace(raw, '_', ' '), ' '), lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ') AS employment_type
-FROM ev""")
+@query("employment_type", "B22", ov.with_("ev AS (SELECT event_id, upper(event_type) || '_TIME' AS raw FROM events)") + f"""SELECT event_id,
+  {_title_case_sql('raw')} AS employment_type FROM ev""")
 def employment_type(spark, d):
     e = b.read_table(spark, d, "events").select("event_id", F.concat(F.upper("event_type"), F.lit("_TIME")).alias("raw"))
     return e.select("event_id", tx.employment_type("raw").alias("employment_type"))

@@ -60,7 +60,8 @@ def test_classify_and_status(spark):
 
 def test_small_helpers(spark):
     assert one(spark, tx.clean_location, ["Austin, TX...more", "Denver"]) == ["Austin, TX", "Denver"]
-    assert one(spark, tx.employment_type, ["FULL_TIME", "part_time"]) == ["Full Time", "Part Time"]
+    vals = ["FULL_TIME", "part_time", "full-time", "o'neil", "1st shift", "ß test", "中a", "", None]
+    assert one(spark, tx.employment_type, vals) == [None if v is None else v.replace("_", " ").title() for v in vals]
     assert one(spark, tx.salary_text, ["$50k", "50k"]) == ["$50k", None]
     assert one(spark, tx.job_id_from_url, ["https://x/jobs/123/abc", "https://x/job/1"]) == ["123", ""]
     assert one(spark, lambda c: tx.absolute_url(c, "https://b"), ["/a", "http://c"]) == ["https://b/a", "http://c"]
