@@ -437,3 +437,15 @@ def search_phases(att: DataFrame) -> DataFrame:
         F.min_by("duration_ms", "seq").alias("first_try_ms"), F.sum("duration_ms").alias("__all"))
     return g.select("run_id", "search_term", "site", F.col("first_try_ms").cast("double").alias("first_try_ms"),
                     (F.col("__all") - F.col("first_try_ms")).cast("double").alias("retries_ms"))
+
+
+def alias_sites(att: DataFrame, aliases: dict[str, str], col: str = "site") -> DataFrame:
+    """Q15: one board known under two names counts as one site (optional, none by default).
+
+    ``aliases`` maps a spelling to its canonical name; it is a literal map (the
+    option's size, not the data's), applied per row before any grouping.
+    """
+    if not aliases:
+        return att
+    m = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv])
+    return att.withColumn(col, F.coalesce(F.element_at(m, F.col(col)), F.col(col)))

@@ -34,3 +34,14 @@ def test_queries_strip_and_progress_merge(spark):
     assert merged == {"status": "done", "last_page": "3"}
     remaining, found = st.reset_source(st.merge_source_progress(new, old), "dir")
     assert remaining.count() == 0 and found.first()["found"]
+
+
+def test_site_alias_merges_spellings(spark):
+    from postsift.operators.attempts import alias_sites, site_summary
+
+    rows = [(1, "board x", True, 3, 10, False, None), (2, "boardx", False, 0, 20, False, None), (3, "other", True, 1, 5, False, None)]
+    att = spark.createDataFrame(rows, "seq long, site string, success boolean, jobs_found long, duration_ms long, "
+                                      "challenge_detected boolean, challenge_solved boolean")
+    merged = {r["site"]: r["total_attempts"] for r in site_summary(alias_sites(att, {"boardx": "board x"})).collect()}
+    assert merged == {"board x": 2, "other": 1}
+    assert alias_sites(att, {}) is att
