@@ -449,3 +449,26 @@ def alias_sites(att: DataFrame, aliases: dict[str, str], col: str = "site") -> D
         return att
     m = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv])
     return att.withColumn(col, F.coalesce(F.element_at(m, F.col(col)), F.col(col)))
+
+
+def term_failure_streak(att: DataFrame, cut: int = 3) -> DataFrame:
+    """F7 (run level): per run, terms in search order; a term without any posting
+    extends the streak of result-less terms, a term with results ends it. The
+    run is cut where a streak first reaches ``cut``. One row per run: number of
+    terms, longest streak, the seq of the term that reached the cut (NULL if none).
+    """
+    terms = att.groupBy("run_id", "search_term").agg(
+        F.min("seq").alias("seq"),
+        F.coalesce(F.bool_or(F.col("success") & (F.col("jobs_found") > 0)), F.lit(False)).alias("has_result"),
+    )
+    width = adaptive_width(terms, "seq")
+    all_n = row_numbers(terms, ["run_id"], "seq", out="p", bucket_width=width)
+    fails = row_numbers(all_n.filter(~F.col("has_result")), ["run_id"], "seq", out="f", bucket_width=width)
+    isl = fails.withColumn("island", F.col("p") - F.col("f"))
+    starts = isl.groupBy("run_id", "island").agg(F.min("f").alias("f0"))
+    streaks = isl.join(starts, ["run_id", "island"]).withColumn("streak", F.col("f") - F.col("f0") + 1)
+    per_run = streaks.groupBy("run_id").agg(
+        F.max("streak").alias("longest"), F.min(F.when(F.col("streak") >= cut, F.col("seq"))).alias("cut_seq"))
+    runs = terms.groupBy("run_id").agg(_i(_cnt()).alias("terms"))
+    j = runs.join(per_run, "run_id", "left")
+    return j.select("run_id", "terms", _i(F.coalesce(F.col("longest"), F.lit(0))).alias("longest_streak"), "cut_seq")

@@ -324,3 +324,17 @@ FROM (SELECT 'first_try_ms' AS phase, CAST(first_ms AS DOUBLE) AS ms FROM s
 GROUP BY phase""")
 def phase_breakdown(spark, d):
     return at.phase_breakdown(at.search_phases(att(spark, d)), ["first_try_ms", "retries_ms"])
+
+
+@query("term_failure_streak", "F7", ov.with_(ov.ATTEMPTS, """terms AS (
+  SELECT run_id, search_term, min(seq) AS seq, coalesce(bool_or(success AND jobs_found > 0), FALSE) AS has_result
+  FROM attempts GROUP BY run_id, search_term)""", """isl AS (
+  SELECT run_id, seq, has_result, sum(CASE WHEN has_result THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY seq) AS island FROM terms)""",
+    """st AS (
+  SELECT run_id, seq, row_number() OVER (PARTITION BY run_id, island ORDER BY seq) AS streak FROM isl WHERE NOT has_result)""")
+    + """SELECT r.run_id, CAST(r.terms AS BIGINT) AS terms, CAST(coalesce(s.longest, 0) AS BIGINT) AS longest_streak, s.cut_seq
+FROM (SELECT run_id, count(*) AS terms FROM terms GROUP BY run_id) r
+LEFT JOIN (SELECT run_id, max(streak) AS longest, min(CASE WHEN streak >= 3 THEN seq END) AS cut_seq FROM st GROUP BY run_id) s
+USING (run_id)""")
+def term_failure_streak(spark, d):
+    return at.term_failure_streak(att(spark, d))

@@ -64,3 +64,15 @@ def test_timing_index_rule(spark, n):
     df = spark.createDataFrame(rows, "seq long, success boolean, duration_ms long")
     r = at.timing_distribution(df, bucket_width=16).first()
     assert (r["count"], r["p50_ms"], r["p90_ms"], r["p99_ms"]) == py_timing(durs)
+
+
+def test_term_failure_streak_cuts_at_three(spark):
+    # run r1: ok, fail, fail, fail (cut at seq 40), fail, ok; run r2: always ok
+    outcome = [True, False, False, False, False, True]
+    rows = [("r1", f"t{i}", (i + 1) * 10, ok, 5 if ok else 0) for i, ok in enumerate(outcome)]
+    rows += [("r2", f"u{i}", 100 + i, True, 1) for i in range(3)]
+    # retries of a term do not change its outcome unless one of them finds postings
+    rows += [("r1", "t1", 11, True, 0)]
+    df = spark.createDataFrame(rows, "run_id string, search_term string, seq long, success boolean, jobs_found long")
+    got = {r["run_id"]: (r["terms"], r["longest_streak"], r["cut_seq"]) for r in at.term_failure_streak(df).collect()}
+    assert got == {"r1": (6, 4, 40), "r2": (3, 0, None)}
