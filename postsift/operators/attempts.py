@@ -325,15 +325,15 @@ def search_consistency(att: DataFrame) -> DataFrame:
 
 
 def slowdown_check(att: DataFrame, factor: float = 2.0) -> DataFrame:
-    """Per (site, term): first fetch time against the mean of the later ones; flag throttling."""
-    g = att.groupBy("site", "search_term").agg(
+    """Per search (run, term, site): first fetch time against the mean of the later ones; flag throttling."""
+    g = att.groupBy("run_id", "site", "search_term").agg(
         F.min_by("duration_ms", "seq").alias("first_ms"),
         F.sum("duration_ms").alias("sum_ms"),
         _cnt().alias("n"),
     )
     later = F.when(F.col("n") > 1, F.round((F.col("sum_ms") - F.col("first_ms")) / (F.col("n") - 1), 1))
     return g.select(
-        "site", "search_term", _i(F.col("first_ms")).alias("first_ms"), later.alias("later_avg_ms"),
+        "run_id", "site", "search_term", _i(F.col("first_ms")).alias("first_ms"), later.alias("later_avg_ms"),
         F.coalesce(later > factor * F.col("first_ms"), F.lit(False)).alias("throttled"),
     )
 
@@ -368,9 +368,9 @@ def health_alerts(att: DataFrame, min_jobs_per_search: float = 50, min_success:
 
 
 def retry_number(att: DataFrame) -> DataFrame:
-    """0-based try number within (term, site) in arrival order."""
-    n = row_numbers(att.select("seq", "search_term", "site"), ["search_term", "site"], "seq", out="rn")
-    return n.select("seq", "search_term", "site", _i(F.col("rn") - 1).alias("retry_number"))
+    """0-based try number within a search (run, term, site) in arrival order."""
+    n = row_numbers(att.select("seq", "run_id", "search_term", "site"), ["run_id", "search_term", "site"], "seq", out="rn")
+    return n.select("seq", "run_id", "search_term", "site", _i(F.col("rn") - 1).alias("retry_number"))
 
 
 def circuit_breaker(att: DataFrame) -> DataFrame:

@@ -242,11 +242,11 @@ def search_consistency(spark, d):
     return at.search_consistency(att(spark, d))
 
 
-@query("slowdown_check", "E32", A + """SELECT site, search_term, CAST(first_ms AS BIGINT) AS first_ms, later_avg_ms,
+@query("slowdown_check", "E32", A + """SELECT run_id, site, search_term, CAST(first_ms AS BIGINT) AS first_ms, later_avg_ms,
   coalesce(later_avg_ms > 2.0 * first_ms, FALSE) AS throttled
-FROM (SELECT site, search_term, arg_min(duration_ms, seq) AS first_ms,
+FROM (SELECT run_id, site, search_term, arg_min(duration_ms, seq) AS first_ms,
   CASE WHEN count(*) > 1 THEN round((sum(duration_ms) - arg_min(duration_ms, seq)) / (count(*) - 1), 1) END AS later_avg_ms
-  FROM attempts GROUP BY site, search_term)""")
+  FROM attempts GROUP BY run_id, site, search_term)""")
 def slowdown_check(spark, d):
     return at.slowdown_check(att(spark, d))
 
@@ -272,8 +272,8 @@ def health_alerts(spark, d):
     return at.health_alerts(att(spark, d))
 
 
-@query("retry_number", "F5", A + """SELECT seq, search_term, site,
-  CAST(row_number() OVER (PARTITION BY search_term, site ORDER BY seq) - 1 AS BIGINT) AS retry_number FROM attempts""")
+@query("retry_number", "F5", A + """SELECT seq, run_id, search_term, site,
+  CAST(row_number() OVER (PARTITION BY run_id, search_term, site ORDER BY seq) - 1 AS BIGINT) AS retry_number FROM attempts""")
 def retry_number(spark, d):
     return at.retry_number(att(spark, d))
 
