@@ -472,3 +472,19 @@ def term_failure_streak(att: DataFrame, cut: int = 3) -> DataFrame:
     runs = terms.groupBy("run_id").agg(_i(_cnt()).alias("terms"))
     j = runs.join(per_run, "run_id", "left")
     return j.select("run_id", "terms", _i(F.coalesce(F.col("longest"), F.lit(0))).alias("longest_streak"), "cut_seq")
+
+
+def run_progress(att: DataFrame, cut: int = 3) -> DataFrame:
+    """E5 per run: terms searched, terms completed before the stop rule (F7: the run
+    ends at the term where ``cut`` result-less terms in a row are reached, that term
+    included), completion rate and time span."""
+    streak = term_failure_streak(att, cut)
+    terms = att.groupBy("run_id", "search_term").agg(F.min("seq").alias("seq"))
+    j = terms.join(streak.select("run_id", "cut_seq"), "run_id")
+    done = j.groupBy("run_id").agg(
+        _i(_cnt()).alias("search_terms_total"),
+        _i(F.count_if(F.col("cut_seq").isNull() | (F.col("seq") <= F.col("cut_seq")))).alias("search_terms_completed"),
+    )
+    span = att.groupBy("run_id").agg(tx.ts_string(F.min("ts")).alias("start_time"), tx.ts_string(F.max("ts")).alias("end_time"))
+    out = done.join(span, "run_id")
+    return out.withColumn("completion_rate", tx.rate_pct("search_terms_completed", "search_terms_total"))

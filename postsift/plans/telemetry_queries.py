@@ -338,3 +338,22 @@ LEFT JOIN (SELECT run_id, max(streak) AS longest, min(CASE WHEN streak >= 3 THEN
 USING (run_id)""")
 def term_failure_streak(spark, d):
     return at.term_failure_streak(att(spark, d))
+
+
+@query("run_progress", "E5", ov.with_(ov.ATTEMPTS, """terms AS (
+  SELECT run_id, search_term, min(seq) AS seq, coalesce(bool_or(success AND jobs_found > 0), FALSE) AS has_result
+  FROM attempts GROUP BY run_id, search_term)""", """isl AS (
+  SELECT run_id, seq, has_result, sum(CASE WHEN has_result THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY seq) AS island FROM terms)""",
+    """st AS (
+  SELECT run_id, seq, row_number() OVER (PARTITION BY run_id, island ORDER BY seq) AS streak FROM isl WHERE NOT has_result)""",
+    """cuts AS (SELECT run_id, min(CASE WHEN streak >= 3 THEN seq END) AS cut_seq FROM st GROUP BY run_id)""")
+    + """SELECT t.run_id, CAST(count(*) AS BIGINT) AS search_terms_total,
+  CAST(count_if(c.cut_seq IS NULL OR t.seq <= c.cut_seq) AS BIGINT) AS search_terms_completed,
+  min(a.start_time) AS start_time, min(a.end_time) AS end_time,
+  CASE WHEN count(*) > 0 THEN round(count_if(c.cut_seq IS NULL OR t.seq <= c.cut_seq) / count(*) * 100, 1) ELSE 0.0 END AS completion_rate
+FROM terms t LEFT JOIN cuts c USING (run_id)
+JOIN (SELECT run_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start_time, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS end_time
+      FROM attempts GROUP BY run_id) a USING (run_id)
+GROUP BY t.run_id""")
+def run_progress(spark, d):
+    return at.run_progress(att(spark, d))

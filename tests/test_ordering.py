@@ -76,3 +76,13 @@ def test_term_failure_streak_cuts_at_three(spark):
     df = spark.createDataFrame(rows, "run_id string, search_term string, seq long, success boolean, jobs_found long")
     got = {r["run_id"]: (r["terms"], r["longest_streak"], r["cut_seq"]) for r in at.term_failure_streak(df).collect()}
     assert got == {"r1": (6, 4, 40), "r2": (3, 0, None)}
+
+
+def test_run_progress_stops_at_the_cut(spark):
+    from datetime import datetime
+
+    outcome = [True, False, False, False, False, True]
+    rows = [("r1", f"t{i}", (i + 1) * 10, ok, 5 if ok else 0, datetime(2026, 1, 1, i)) for i, ok in enumerate(outcome)]
+    df = spark.createDataFrame(rows, "run_id string, search_term string, seq long, success boolean, jobs_found long, ts timestamp_ntz")
+    r = at.run_progress(df).first()
+    assert (r["search_terms_total"], r["search_terms_completed"], r["completion_rate"]) == (6, 4, 66.7)
