@@ -42,3 +42,18 @@ def test_evaluate_flow(spark, tmp_dir):
     m = evaluate(spark, path, R).first()
     assert (m["true_positives"], m["false_negatives"], m["true_negatives"]) == (1, 1, 1)
     assert m["precision"] == 1.0 and m["recall"] == 0.5
+
+
+def test_command_line_run_and_merge(spark, tmp_dir):
+    from postsift.__main__ import main
+    from postsift.plans.probe_rules import PROBE_RULES
+
+    b.postings(spark, SF_SMALL).write.parquet(f"{tmp_dir}/postings")
+    b.attempts(spark, SF_SMALL).drop("selectors_tried").write.parquet(f"{tmp_dir}/attempts")
+    with open(f"{tmp_dir}/rules.json", "w") as f:
+        json.dump(PROBE_RULES, f)
+    assert main(["run-batch", "--rules", f"{tmp_dir}/rules.json", "--postings", f"{tmp_dir}/postings",
+                 "--attempts", f"{tmp_dir}/attempts", "--out", f"{tmp_dir}/out", "--run-id", "r9",
+                 "--run-date", "2026-01-22", "--batch", "0"]) == 0
+    assert main(["merge", "--out", f"{tmp_dir}/out", "--run-id", "r9", "--write", f"{tmp_dir}/merged"]) == 0
+    assert spark.read.json(f"{tmp_dir}/merged/filter").first()["total_processed"] == 200
