@@ -75,7 +75,7 @@ def rejected_postings(scored: DataFrame, max_export: int | None = 100) -> DataFr
         numbered = row_numbers(rej, [], "seq", out="rn")
     return numbered.select(
         "seq",
-        "rn",
+        F.col("rn").cast("bigint").alias("rn"),
         tx.rejected_id("rn", "company").alias("id"),
         F.substring(F.coalesce(F.col("description"), F.lit("")), 1, 2000).alias("description"),
         F.lit(False).alias("label"),

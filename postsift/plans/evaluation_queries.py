@@ -17,9 +17,11 @@ def predictions(spark, d):
     return sc.is_match(b.labelled_postings(spark, d), R)
 
 
-CM = """SELECT count_if(label AND qualified) AS true_positives, count_if(NOT label AND qualified) AS false_positives,
-  count_if(label AND NOT qualified) AS false_negatives, count_if(NOT label AND NOT qualified) AS true_negatives,
-  count(*) AS total, count_if(label) AS positives FROM scored"""
+CM = """SELECT CAST(count_if(label AND qualified) AS BIGINT) AS true_positives,
+  CAST(count_if(NOT label AND qualified) AS BIGINT) AS false_positives,
+  CAST(count_if(label AND NOT qualified) AS BIGINT) AS false_negatives,
+  CAST(count_if(NOT label AND NOT qualified) AS BIGINT) AS true_negatives,
+  count(*) AS total, CAST(count_if(label) AS BIGINT) AS positives FROM scored"""
 
 
 @query("confusion_matrix", "E21", WL + f"""SELECT *, total - positives AS negatives,

@@ -83,8 +83,8 @@ def preview(spark, d):
     return full.join(firsts, "company").orderBy("seq").limit(10).drop("seq")
 
 
-@query("filter_stats", "E1", W + """SELECT count(*) AS total_processed, count_if(qualified) AS qualified,
-  count_if(NOT qualified) AS rejected, count_if(company_score < 0) AS company_blocked,
+@query("filter_stats", "E1", W + """SELECT count(*) AS total_processed, CAST(count_if(qualified) AS BIGINT) AS qualified,
+  CAST(count_if(NOT qualified) AS BIGINT) AS rejected, CAST(count_if(company_score < 0) AS BIGINT) AS company_blocked,
   CASE WHEN count(*) > 0 THEN round(count_if(qualified) / count(*) * 100, 2) ELSE 0.0 END AS pass_rate FROM scored""")
 def filter_stats(spark, d):
     return rs.filter_stats(scored(spark, d))
@@ -102,7 +102,7 @@ def tier_breakdown(spark, d):
 
 
 @query("unique_companies", "E20", WL + """SELECT (SELECT count(DISTINCT company) FROM leads) AS unique_companies,
-  (SELECT sum(n) FROM (SELECT count(DISTINCT company) AS n FROM scored
+  (SELECT CAST(sum(n) AS BIGINT) FROM (SELECT count(DISTINCT company) AS n FROM scored
      WHERE qualified AND company IS NOT NULL AND company <> '' GROUP BY batch)) AS summed_companies""")
 def unique_companies(spark, d):
     return rs.unique_companies(scored(spark, d))

@@ -1,7 +1,7 @@
 """Run a registered query in Spark and its oracle SQL in DuckDB; compare.
 
-Comparison: same column names, same row count, and equal multisets of rows
-after sorting columns by name, with doubles rounded to 6 digits.
+Comparison: same column names and types, same row count, and equal multisets
+of rows after sorting columns by name, with doubles rounded to 6 digits.
 Usable from pytest and as a script: ``python tests/oracle_check.py [sf_dir] [key ...]``.
 """
 
@@ -29,6 +29,9 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
@@ -57,11 +60,16 @@ def compare(spark, key: str, sf_dir: str, con=None):
     if sql is None:
         return True, f"{key}: rows-only ({len(s_rows)} rows)"
     con = con or duck(sf_dir)
-    res = con.execute(sql)
-    d_cols = [c[0] for c in res.description]
-    d_rows = res.fetchall()
+    rel = con.sql(sql)
+    d_cols = list(rel.columns)
+    d_types = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    d_rows = rel.fetchall()
     if sorted(s_cols) != sorted(d_cols):
         return False, f"{key}: columns differ spark={s_cols} duck={d_cols}"
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    wrong = {n: (s_types[n], d_types[n]) for n in s_types if s_types[n] != d_types[n]}
+    if wrong:
+        return False, f"{key}: column types differ (spark, duck): {wrong}"
     if len(s_rows) != len(d_rows):
         return False, f"{key}: row count spark={len(s_rows)} duck={len(d_rows)}"
     a, b = rows_key(s_cols, s_rows), rows_key(d_cols, d_rows)
