@@ -165,7 +165,7 @@ def pack(docs: DataFrame, vocab_path: str, ranks_path: str | None = None, end_id
         for ids, encoded in blocks(batches):
             sizes = [len(e) // 4 for e in encoded]
             pieces, n = assign(sizes, seq_len, linear, quadratic)
-            columns = (
+            columns = [
                 pa.array([ids[p[0]] for p in pieces], pa.int64()),
                 pa.array([p[1] for p in pieces], pa.int64()),
                 pa.array([p[2] for p in pieces], pa.int64()),
@@ -173,7 +173,7 @@ def pack(docs: DataFrame, vocab_path: str, ranks_path: str | None = None, end_id
                 pa.array([sizes[p[0]] for p in pieces], pa.int64()),
                 pa.array([first + p[3] for p in pieces], pa.int64()),
                 pa.array([p[4] for p in pieces], pa.int64()),
-            )
+            ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
             first += n
 
