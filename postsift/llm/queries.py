@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, line_dedup, packing, token_counts
+from . import chat, line_dedup, packing, pii, token_counts
 from .common import read_table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -56,11 +56,25 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find(read_table(spark, sf_dir, "documents"))
+
+    def joined(spans: str):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in pii.KINDS]
+    return out.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 QUERIES: dict[str, Build] = {
     "op3_packing": op3_packing,
     "op4_token_counts": op4_token_counts,
     "op5_line_dedup": op5_line_dedup,
     "op8_chat": op8_chat,
+    "op9_pii": op9_pii,
 }
 
 # Blanks of the line key in DuckDB.
