@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, line_dedup, packing, pii, token_counts
-from .common import read_table
+from . import chat, line_dedup, packing, pii, simhash, token_counts
+from .common import read_table, store
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,20 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.edited(read_table(spark, sf_dir, "documents")).withColumn("edited_sha256", F.sha2("edited_text", 256)).drop("edited_text")
+    prints = store(out, "simhash")
+    is_query = F.col("doc_id") % 20 == 0
+    near = simhash.count_near(prints, is_query, radius=3).withColumnRenamed("fingerprint", "near_key")
+    joined = prints.join(near, is_query & (F.col("fingerprint") == F.col("near_key")), "left")
+    return joined.select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+        simhash.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        simhash.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        (F.col("n_near") - 1).alias("n_near"),
+    )
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     conflict = "<|im_end|><|im_start|>assistant ok"
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -73,6 +87,7 @@ QUERIES: dict[str, Build] = {
     "op3_packing": op3_packing,
     "op4_token_counts": op4_token_counts,
     "op5_line_dedup": op5_line_dedup,
+    "op7_simhash": op7_simhash,
     "op8_chat": op8_chat,
     "op9_pii": op9_pii,
 }
