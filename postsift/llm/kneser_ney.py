@@ -1,0 +1,222 @@
+"""Interpolated Kneser-Ney character models over the words of grouped texts.
+
+A word is a run of letters in lower case; its characters and the mark after it
+are predicted from up to ``order - 1`` characters before, the word's start
+included. A group (a language, a class) has its own model.
+
+Counting is one pass over all training texts: each task counts its distinct
+words, then the n-grams of those words, and Spark sums the counts by key. An
+n-gram is one 64-bit number of ``order`` symbols, so lower orders are the low
+bits. Lower orders use continuation counts (distinct characters to the left);
+orders up to ``shared`` are counted over all groups together and back off all
+groups alike.
+
+What scoring needs is broadcast, so its size has a bound: an n-gram is kept
+for a group if its share of the group's counts of that order is at least
+``groups / entries``, hence at most ``entries`` per order in all, whatever the
+size of the corpus. The weight of what is left out goes to the lower order, so
+every distribution still sums to one.
+"""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import store
+
+WORD = re.compile(r"[^\W\d_]+")
+FLUSH_WORDS = 200_000
+
+
+def words_of(text: str) -> list[str]:
+    return WORD.findall(text.lower())
+
+
+def symbols(codes: np.ndarray, bits: int) -> np.ndarray:
+    """Code points as numbers of ``bits`` bits: themselves below three quarters of the range, hashed into the last above."""
+    size = 1 << bits
+    direct = size * 3 // 4
+    folded = direct + ((codes.astype(np.uint64) * np.uint64(2654435761)) >> np.uint64(7)) % np.uint64(size - direct)
+    return np.where(codes < direct, codes, folded.astype(np.int64)).astype(np.int64)
+
+
+def ngrams(words: list[str], order: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the n-grams that end at each character and at the end mark (0) of each word, and the word's index."""
+    text = "\n".join(words) + "\n"
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    ends = codes == 10
+    s = np.where(ends, 0, symbols(codes, bits))
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    index = np.repeat(np.arange(len(words)), lengths)
+    offset = np.arange(len(s)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    keys = s.copy()
+    for back in range(1, order):
+        keys[back:] |= np.where(offset[back:] >= back, s[:-back], 0) << (bits * back)
+    return keys, index
+
+
+def count_ngrams(texts: DataFrame, order: int, bits: int) -> DataFrame:
+    """``grp, g, c`` over all rows of ``texts`` (columns ``grp`` string, ``text`` string)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, Counter] = {}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for grp, counts in seen.items():
+                if not counts:
+                    continue
+                keys, index = ngrams(list(counts), order, bits)
+                weight = np.fromiter(counts.values(), np.int64, len(counts))[index]
+                distinct, inverse = np.unique(keys, return_inverse=True)
+                total = np.bincount(inverse, weights=weight).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([grp] * len(distinct)), pa.array(distinct), pa.array(total)], ["grp", "g", "c"])
+            seen.clear()
+
+        for batch in batches:
+            for grp, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                seen.setdefault(grp, Counter()).update(words_of(text.as_py()))
+                if sum(map(len, seen.values())) > FLUSH_WORDS:
+                    yield from flush()
+        yield from flush()
+
+    return texts.select("grp", "text").mapInArrow(run, "grp string, g long, c long").groupBy("grp", "g").agg(F.sum("c").alias("c"))
+
+
+@dataclass
+class Model:
+    """Sorted key arrays per order with one column of weights per group."""
+
+    order: int
+    bits: int
+    groups: list[str]
+    keys: list[np.ndarray] = field(default_factory=list)
+    alpha: list[np.ndarray] = field(default_factory=list)
+    contexts: list[np.ndarray] = field(default_factory=list)
+    rest: list[np.ndarray] = field(default_factory=list)
+    uniform: float = 1.0
+
+    def log_probabilities(self, keys: np.ndarray) -> np.ndarray:
+        """Natural logarithms for each n-gram key and group."""
+        p = np.full((len(keys), len(self.groups)), self.uniform)
+        for k in range(1, self.order + 1):
+            own = keys & ((1 << (self.bits * k)) - 1)
+            if k == 1:
+                lam = self.rest[0] if len(self.rest[0]) else np.ones((1, len(self.groups)))
+                p *= lam[0]
+            else:
+                at, hit = _find(self.contexts[k - 1], own >> self.bits)
+                p[hit] *= self.rest[k - 1][at[hit]]
+            at, hit = _find(self.keys[k - 1], own)
+            p[hit] += self.alpha[k - 1][at[hit]]
+        return np.log(p)
+
+
+def _find(sorted_keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(sorted_keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.searchsorted(sorted_keys, wanted)
+    at[at == len(sorted_keys)] = 0
+    return at, sorted_keys[at] == wanted
+
+
+def _arrays(table: pa.Table, groups: list[str], name: str, value: str, default: float) -> tuple[np.ndarray, np.ndarray]:
+    keys = table.column(name).to_numpy()
+    distinct, row = np.unique(keys, return_inverse=True)
+    out = np.full((len(distinct), len(groups)), default, np.float32)
+    if len(keys):
+        column = {g: i for i, g in enumerate(groups)}
+        grp = table.column("grp").to_pylist()
+        values = table.column(value).to_numpy()
+        everyone = np.array([g is None for g in grp])
+        out[row[everyone]] = values[everyone, None]
+        own = np.flatnonzero(~everyone)
+        out[row[own], np.array([column[grp[i]] for i in own], np.int64)] = values[own]
+    return distinct, out
+
+
+def fit(counts: DataFrame, order: int, bits: int, shared: int = 0, entries: int = 1 << 19) -> Model | None:
+    """The model of all groups in ``counts``; None if there are no counts."""
+    spark = counts.sparkSession
+    level = {order: store(counts, "ngram-counts")}
+    groups = sorted(r["grp"] for r in level[order].select("grp").distinct().collect())
+    if not groups:
+        return None
+    for k in range(order - 1, 0, -1):
+        above = level[k + 1]
+        if k == shared:  # distinct over all groups together
+            above = above.select(F.lit(None).cast("string").alias("grp"), "g").distinct()
+        mask = F.lit((1 << (bits * k)) - 1).cast("long")
+        level[k] = above.groupBy("grp", F.col("g").bitwiseAND(mask).alias("g")).agg(F.count(F.lit(1)).alias("c"))
+        if k == order - 1:
+            level[k] = store(level[k], "ngram-continuations")
+    model = Model(order, bits, groups)
+    least = len(groups) / entries
+    for k in range(1, order + 1):
+        context = F.shiftright("g", bits) if k > 1 else F.lit(0).cast("long")
+        rows = level[k].withColumn("ctx", context)
+        stats = rows.groupBy("grp").agg(F.sum("c").alias("all"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2"))
+        stats = stats.select(F.col("grp").alias("s_grp"), "all", F.when((F.col("n1") > 0) & (F.col("n2") > 0), F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(0.75).alias("d"))
+        totals = rows.groupBy("grp", "ctx").agg(F.sum("c").alias("total")).withColumnsRenamed({"grp": "t_grp", "ctx": "t_ctx"})
+        kept = rows.join(F.broadcast(stats), F.col("grp").eqNullSafe(F.col("s_grp"))).where(F.col("c") >= F.col("all") * least)  # a row per group
+        kept = kept.join(totals, F.col("grp").eqNullSafe(F.col("t_grp")) & (F.col("ctx") == F.col("t_ctx")))
+        kept = kept.select("grp", "g", "ctx", ((F.col("c") - F.col("d")) / F.col("total")).cast("float").alias("alpha"))
+        table = kept.toArrow()  # at most ``entries`` rows
+        keys, alpha = _arrays(table, groups, "g", "alpha", 0.0)
+        model.keys.append(keys)
+        model.alpha.append(alpha)
+        left = table.group_by(["grp", "ctx"]).aggregate([("alpha", "sum")])
+        left = left.append_column("rest", pa.compute.subtract(1.0, left.column("alpha_sum")))
+        contexts, rest = _arrays(left, groups, "ctx", "rest", 1.0)
+        model.contexts.append(contexts)
+        model.rest.append(np.clip(rest, 1e-6, 1.0))
+    model.uniform = 1.0 / (1 << bits)
+    del spark
+    return model
+
+
+class WordScores(dict):
+    """Row of each word in a matrix of log-likelihoods (one column per group), computed for many new words at once."""
+
+    def __init__(self, model: Model, keep: int = 300_000, longest: int = 64):
+        super().__init__()
+        self.model, self.keep, self.longest = model, keep, longest
+        self.rows = np.zeros((0, len(model.groups)), np.float32)
+
+    def _likelihoods(self, words: list[str]) -> np.ndarray:
+        keys, index = ngrams(words, self.model.order, self.model.bits)
+        distinct, inverse = np.unique(keys, return_inverse=True)
+        logs = self.model.log_probabilities(distinct)
+        return np.stack([np.bincount(index, weights=logs[inverse, g], minlength=len(words)) for g in range(logs.shape[1])], axis=1)
+
+    def score(self, words: list[str]) -> np.ndarray:
+        """Log-likelihoods, one row per word."""
+        if len(self) > self.keep:
+            self.clear()
+            self.rows = self.rows[:0]
+        missing = list(set(words).difference(self))
+        if missing:
+            at = len(self.rows)
+            self.update(zip(missing, range(at, at + len(missing))))
+            self.rows = np.concatenate([self.rows, self._likelihoods(missing).astype(np.float32)])
+        return self.rows[np.fromiter(map(self.__getitem__, words), np.int64, len(words))]
+
+
+def slices(texts: Iterable[str], chars: int = 2_000_000) -> Iterator[list[list[str]]]:
+    """Words of consecutive texts, in lists of texts of about ``chars`` characters."""
+    out, size = [], 0
+    for t in texts:
+        out.append(words_of(t))
+        size += len(t)
+        if size >= chars:
+            yield out
+            out, size = [], 0
+    if out:
+        yield out

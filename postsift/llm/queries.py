@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, line_dedup, packing, pii, simhash, token_counts
-from .common import read_table, store
+from . import chat, language, line_dedup, packing, pii, simhash, token_counts, toxicity
+from .common import held_out, read_table, store
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = toxicity.labelled_rows(docs, read_table(spark, sf_dir, "labels"))
+    learned = toxicity.fit(known.where(~held_out("doc_id", 5, 0)))
+    scored = toxicity.score(docs, learned)
+    return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     pieces = packing.pack(docs, vocabulary("byte_bpe_50k.json"), vocabulary("byte_bpe_50k.tiktoken"))
@@ -35,6 +43,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.identify(docs, ~held_out("doc_id", 4, 2))
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.edited(read_table(spark, sf_dir, "documents")).withColumn("edited_sha256", F.sha2("edited_text", 256)).drop("edited_text")
     prints = store(out, "simhash")
@@ -84,9 +98,11 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Build] = {
+    "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
     "op4_token_counts": op4_token_counts,
     "op5_line_dedup": op5_line_dedup,
+    "op6_language": op6_language,
     "op7_simhash": op7_simhash,
     "op8_chat": op8_chat,
     "op9_pii": op9_pii,
