@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,18 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def find_package(spark: SparkSession) -> None:
+    """Let Python workers import this package where the driver did (on a cluster it is installed or sent along)."""
+    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *[k for k in known if k]])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

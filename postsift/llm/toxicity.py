@@ -6,12 +6,14 @@ expression falls back to the same counts in both models and says nothing
 unless its longer parts were seen more often in one class.
 
 A word's evidence is the difference of its two log-likelihoods. A document is
-judged by length-normalised evidence: the highest mean over ``window``
-consecutive words (an abusive passage in a long document counts as much as in
-a short one) and the mean over the whole document. A logistic curve over these
-and the logarithm of the length gives the score; it is fitted on a bounded
-sample (the ``calibration`` smallest hashes) of a eighth of the labelled rows
-that the models do not count.
+judged by the evidence of its distinct words (a word repeated a hundred times
+is evidence once) beyond ``BEYOND`` nats, which chance likeness of ordinary
+words seldom passes: the sum of what lies beyond and the number of such words,
+both in logarithms and set against the logarithm of the number of distinct
+words, so that length is normalised by a fitted power and an abusive passage
+in a long document counts. A logistic curve over these gives the score; it is
+fitted on a bounded sample (the ``calibration`` smallest hashes) of an eighth
+of the labelled rows that the models do not count.
 
 Defined cases: null and empty texts and texts without letters have no evidence
 and get the curve's value at zero; labels that are null or whose document is
@@ -34,37 +36,38 @@ from . import kneser_ney as kn
 from .common import text_or_empty
 from .language import logistic
 
-ORDER, BITS, SHARED = 6, 10, 3
-FEATURES = ("one", "peak", "mean", "size")
+ORDER, BITS, SHARED = 5, 12, 4
+BEYOND = 3.0
+FEATURES = ("excess", "strong", "size")
 
 
-def _evidence(rows: DataFrame, shared, window: int) -> DataFrame:
-    """``key, peak, mean, size`` per row of (key, text)."""
+def _evidence(rows: DataFrame, shared) -> DataFrame:
+    """``key, excess, strong, size`` per row of (key, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         toxic, plain = model.groups.index("1"), model.groups.index("0")
         scorer = kn.WordScores(model)
         for batch in batches:
-            peak, mean, size = [], [], []
+            found = []
             for texts in kn.slices(t.as_py() for t in batch.column(1)):
-                matrix = scorer.score([w for words in texts for w in words]).astype(np.float64)
-                sums = np.concatenate([[0.0], np.cumsum(matrix[:, toxic] - matrix[:, plain])])
+                distinct = [list(dict.fromkeys(words)) for words in texts]
+                matrix = scorer.score([w for words in distinct for w in words]).astype(np.float64)
+                evidence = matrix[:, toxic] - matrix[:, plain]
                 at = 0
-                for words in texts:
-                    n = len(words)
-                    own = sums[at:at + n + 1]
-                    at += n
-                    peak.append(float((own[window:] - own[:-window]).max() if n > window else own[-1] - own[0]) / window)
-                    mean.append(float(own[-1] - own[0]) / max(n, 1))
-                    size.append(float(np.log1p(n)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.float64()) for c in (peak, mean, size)]], ["key", "peak", "mean", "size"])
+                for words in distinct:
+                    beyond = evidence[at:at + len(words)] - BEYOND
+                    at += len(words)
+                    beyond = beyond[beyond > 0]
+                    found.append((float(beyond.sum()), len(beyond), len(words)))
+            columns = np.log1p(np.array(found, np.float64).reshape(-1, 3)).T
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c) for c in columns]], ["key", *FEATURES])
 
     key_type = rows.schema["key"].dataType.simpleString()
-    return rows.select("key", "text").mapInArrow(run, f"key {key_type}, peak double, mean double, size double")
+    return rows.select("key", "text").mapInArrow(run, f"key {key_type}, " + ", ".join(f"{c} double" for c in FEATURES))
 
 
-def fit(labelled: DataFrame, entries: int = 1 << 19, calibration: int = 20_000, window: int = 32):
+def fit(labelled: DataFrame, entries: int = 1 << 20, calibration: int = 20_000):
     """Models and curve from ``labelled`` (columns ``doc_id``, ``text``, ``toxic``); None without both classes."""
     rows = labelled.where(F.col("toxic").isin(0, 1)).select(
         F.col("doc_id"), text_or_empty("text").alias("text"), F.col("toxic").cast("int").cast("string").alias("grp"))
@@ -74,12 +77,12 @@ def fit(labelled: DataFrame, entries: int = 1 << 19, calibration: int = 20_000,
         return None
     sample = rows.where(kept_back).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(calibration)
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    found = _evidence(sample.select(F.col("grp").alias("key"), "text"), shared, window).collect()  # at most ``calibration`` rows
+    found = _evidence(sample.select(F.col("grp").alias("key"), "text"), shared).collect()  # at most ``calibration`` rows
     if len({r["key"] for r in found}) < 2:
         return None
-    x = np.array([[1.0, r["peak"], r["mean"], r["size"]] for r in found])
+    x = np.array([[1.0, *(r[c] for c in FEATURES)] for r in found])
     y = np.array([float(r["key"]) for r in found])
-    return shared, logistic(x, y, ridge=1e-2), window
+    return shared, logistic(x, y, ridge=0.1)
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -92,8 +95,8 @@ def score(docs: DataFrame, learned, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).cast("long").alias("key"), text_or_empty(text_col).alias("text"))
     if learned is None:
         return rows.select(F.col("key").alias("doc_id"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    shared, curve, window = learned
-    found = _evidence(rows, shared, window)
-    z = sum((F.col(c) * float(w) for c, w in zip(FEATURES[1:], curve[1:])), F.lit(float(curve[0])))
+    shared, curve = learned
+    found = _evidence(rows, shared)
+    z = sum((F.col(c) * float(w) for c, w in zip(FEATURES, curve[1:])), F.lit(float(curve[0])))
     scored = found.select(F.col("key").alias("doc_id"), (1.0 / (1.0 + F.exp(-z))).alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
