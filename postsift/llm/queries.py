@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, language, line_dedup, packing, pii, simhash, token_counts, toxicity
+from . import chat, decontaminate, language, line_dedup, packing, pii, simhash, token_counts, toxicity
 from .common import held_out, read_table, store
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Build] = {
     "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
@@ -106,6 +110,7 @@ QUERIES: dict[str, Build] = {
     "op7_simhash": op7_simhash,
     "op8_chat": op8_chat,
     "op9_pii": op9_pii,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 # Blanks of the line key in DuckDB.
