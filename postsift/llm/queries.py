@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, line_dedup, packing, pii, simhash, token_counts, toxicity
+from . import chat, decontaminate, jaccard, language, line_dedup, packing, pii, simhash, token_counts, toxicity
 from .common import held_out, read_table, store
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     known = toxicity.labelled_rows(docs, read_table(spark, sf_dir, "labels"))
@@ -102,6 +106,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Build] = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
     "op4_token_counts": op4_token_counts,
@@ -117,6 +122,30 @@ QUERIES: dict[str, Build] = {
 _SQL_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _SQL_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+OP1_SQL = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array({_SQL_LOWER.format("coalesce(text, '')")}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), met AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM met JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 100 * c >= 75 * (x.n + y.n - c)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, e.b FROM reach r JOIN (SELECT a, b FROM links UNION SELECT b, a FROM links) e ON r.b = e.a
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
+"""
+
 OP5_SQL = f"""
 WITH lines AS (
   SELECT doc_id, n, line, {_SQL_LOWER.format(f"trim(line, {_SQL_BLANKS})")} AS key
@@ -149,6 +178,7 @@ FROM turns GROUP BY conv_id
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_jaccard_join": OP1_SQL,
     "op5_line_dedup": OP5_SQL,
     "op8_chat": OP8_SQL,
 }
