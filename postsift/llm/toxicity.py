@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import kneser_ney as kn
 from .common import text_or_empty
@@ -42,7 +43,7 @@ FEATURES = ("excess", "strong", "size")
 
 
 def _evidence(rows: DataFrame, shared) -> DataFrame:
-    """``key, excess, strong, size`` per row of (key, text)."""
+    """``key, excess, strong, size`` per row of (key, text); the key may be a struct of a whole row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -63,8 +64,8 @@ def _evidence(rows: DataFrame, shared) -> DataFrame:
             columns = np.log1p(np.array(found, np.float64).reshape(-1, 3)).T
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c) for c in columns]], ["key", *FEATURES])
 
-    key_type = rows.schema["key"].dataType.simpleString()
-    return rows.select("key", "text").mapInArrow(run, f"key {key_type}, " + ", ".join(f"{c} double" for c in FEATURES))
+    schema = T.StructType([rows.schema["key"], *[T.StructField(c, T.DoubleType()) for c in FEATURES]])
+    return rows.select("key", "text").mapInArrow(run, schema)
 
 
 def fit(labelled: DataFrame, entries: int = 1 << 20, calibration: int = 20_000):
@@ -97,6 +98,20 @@ def score(docs: DataFrame, learned, id_col: str = "doc_id", text_col: str = "tex
         return rows.select(F.col("key").alias("doc_id"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     shared, curve = learned
     found = _evidence(rows, shared)
-    z = sum((F.col(c) * float(w) for c, w in zip(FEATURES, curve[1:])), F.lit(float(curve[0])))
-    scored = found.select(F.col("key").alias("doc_id"), (1.0 / (1.0 + F.exp(-z))).alias("score"))
+    scored = found.select(F.col("key").alias("doc_id"), _score(curve).alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
+def keep(docs: DataFrame, learned, text_col: str = "text") -> DataFrame:
+    """The documents that are not predicted toxic, with all their columns; nothing is shuffled."""
+    if learned is None:
+        return docs
+    shared, curve = learned
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("key"), text_or_empty(text_col).alias("text"))
+    found = _evidence(rows, shared)
+    return found.where(_score(curve) < 0.5).select("key.*")
+
+
+def _score(curve: np.ndarray):
+    z = sum((F.col(c) * float(w) for c, w in zip(FEATURES, curve[1:])), F.lit(float(curve[0])))
+    return 1.0 / (1.0 + F.exp(-z))
