@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from .ordering import adaptive_width, row_numbers, running_total
+from .ordering import first_per_key, row_numbers, running_total
 from .runstats import top_counts
 
 def _cnt():
@@ -28,61 +28,53 @@ def _i(c):
     return c.cast("bigint")
 
 
-def term_site_pairs(att: DataFrame) -> DataFrame:
-    """Retries collapse to one search per (run, term, site)."""
+def term_site_pairs(att: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Retries collapse to one search per (run, term, site); numbers only, so the aggregate hashes."""
     blocked = F.col("error_type") == "blocked"
-    return att.groupBy("run_id", "search_term", "site").agg(
+    return att.groupBy(*extra, "run_id", "search_term", "site").agg(
         F.coalesce(F.bool_or("success"), F.lit(False)).alias("ok"),
         F.sum(F.when(F.col("success"), F.col("jobs_found")).otherwise(0)).alias("jobs"),
         F.coalesce(F.bool_or(blocked), F.lit(False)).alias("was_blocked"),
         F.min(F.when(blocked, F.col("seq"))).alias("block_seq"),
-        F.max_by(F.struct("error_type", "error_message", "error_raw", "ts"), F.when(~F.col("success"), F.col("seq"))).alias("last_error"),
+        F.max(F.when(~F.col("success"), F.col("seq"))).alias("last_error_seq"),
         F.count_if(~F.col("success")).alias("failed_attempts"),
         F.min("seq").alias("first_seq"),
     )
 
 
-def site_stats(att: DataFrame, by_batch: bool = False) -> DataFrame:
+def site_stats(att: DataFrame, keys: tuple[str, ...] = ("site",)) -> DataFrame:
     """Per site searches attempted / successful, jobs, blocked, blocked term, errors, rate.
 
     A blocked search is not also an error; an empty result is a success.
+    ``keys`` may add ``run_id`` and ``batch``.
     """
-    keys = ["batch", "site"] if by_batch else ["site"]
-    src = att
-    pairs = (term_site_pairs(src) if not by_batch else _pairs_by_batch(src))
-    return pairs.groupBy(*keys).agg(
+    pairs = term_site_pairs(att, tuple(k for k in keys if k not in ("run_id", "search_term", "site")))
+    totals = pairs.groupBy(*keys).agg(
         _i(_cnt()).alias("searches_attempted"),
         _i(F.count_if("ok")).alias("searches_successful"),
         _i(F.sum("jobs")).alias("total_jobs_found"),
         F.bool_or("was_blocked").alias("blocked"),
-        F.min_by(F.when(F.col("was_blocked"), F.col("search_term")), F.when(F.col("was_blocked"), F.col("block_seq"))).alias("blocked_at_term"),
         _i(F.count_if(~F.col("ok") & ~F.col("was_blocked"))).alias("error_count"),
-    ).withColumn("success_rate", tx.rate_pct("searches_successful", "searches_attempted"))
-
-
-def _pairs_by_batch(att: DataFrame) -> DataFrame:
-    blocked = F.col("error_type") == "blocked"
-    return att.groupBy("batch", "run_id", "search_term", "site").agg(
-        F.coalesce(F.bool_or("success"), F.lit(False)).alias("ok"),
-        F.sum(F.when(F.col("success"), F.col("jobs_found")).otherwise(0)).alias("jobs"),
-        F.coalesce(F.bool_or(blocked), F.lit(False)).alias("was_blocked"),
-        F.min(F.when(blocked, F.col("seq"))).alias("block_seq"),
     )
+    first = first_per_key(pairs.filter("was_blocked").select(*keys, "block_seq", F.col("search_term").alias("blocked_at_term")), list(keys), "block_seq")
+    out = totals.join(first.drop("block_seq"), list(keys), "left")
+    return out.select(*keys, "searches_attempted", "searches_successful", "total_jobs_found", "blocked", "blocked_at_term", "error_count",
+                      tx.rate_pct("searches_successful", "searches_attempted").alias("success_rate"))
 
 
 def blocked_sites(att: DataFrame) -> DataFrame:
-    """One row per blocked site: the first blocking attempt (message masked, cut to 500)."""
-    b = att.filter(F.col("error_type") == "blocked")
-    first = b.groupBy("site").agg(F.min_by(F.struct("search_term", "error_message", "ts"), F.col("seq")).alias("f"))
+    """One row per run and blocked site: the first blocking attempt (message masked, cut to 500)."""
+    b = att.filter(F.col("error_type") == "blocked").select("run_id", "site", "seq", "search_term", "error_message", "ts")
+    first = first_per_key(b, ["run_id", "site"], "seq")
     return first.select(
-        "site", F.col("f.search_term").alias("search_term"),
-        tx.truncate_text(F.col("f.error_message"), 500).alias("error_message"),
-        tx.ts_string("f.ts").alias("timestamp"),
+        "run_id", "site", "search_term",
+        tx.truncate_text(F.col("error_message"), 500).alias("error_message"),
+        tx.ts_string("ts").alias("timestamp"),
     )
 
 
-def site_summary(att: DataFrame) -> DataFrame:
-    """Attempts, successes, jobs of successes, durations, challenge outcomes, rates."""
+def site_summary(att: DataFrame, more: dict | None = None) -> DataFrame:
+    """Attempts, successes, jobs of successes, durations, challenge outcomes, rates; ``more`` adds aggregates."""
     det = F.col("challenge_detected")
     g = att.groupBy("site").agg(
         _i(_cnt()).alias("total_attempts"),
@@ -92,6 +84,7 @@ def site_summary(att: DataFrame) -> DataFrame:
         _i(F.count_if(det)).alias("cloudflare_encounters"),
         _i(F.count_if(det & (F.col("challenge_solved") == True))).alias("cloudflare_solved"),  # noqa: E712
         _i(F.count_if(det & (F.col("challenge_solved") == False))).alias("cloudflare_failed"),  # noqa: E712
+        *[c.alias(n) for n, c in (more or {}).items()],
     )
     return g.withColumns(
         {
@@ -136,7 +129,7 @@ def term_performance(att: DataFrame) -> DataFrame:
     return g.withColumn("success_rate", tx.rate_pct("successful_attempts", "total_attempts"))
 
 
-def timing_distribution(att: DataFrame, bucket_width: int | None = None) -> DataFrame:
+def timing_distribution(att: DataFrame) -> DataFrame:
     """Count, min, max, rounded mean and index-rule p50 / p90 / p99 of successful durations > 0.
 
     Index rule: p50 = sorted[n // 2]; p90 = sorted[int(n * 0.9)] if n >= 10 else
@@ -146,7 +139,7 @@ def timing_distribution(att: DataFrame, bucket_width: int | None = None) -> Data
     """
     succ = att.filter(F.col("success") & (F.col("duration_ms") > 0))
     hist = succ.groupBy("duration_ms").agg(_cnt().alias("n"))
-    cum = running_total(hist, "duration_ms", "n", out="cum", total="total", bucket_width=bucket_width)
+    cum = running_total(hist, "duration_ms", "n", out="cum", total="total")
     n = F.col("total")
     i50 = F.floor(n / 2)
     i90 = F.when(n >= 10, F.floor(n * 0.9)).otherwise(n - 1)
@@ -205,15 +198,15 @@ def challenge_by_site(att: DataFrame) -> DataFrame:
 
 
 def search_errors(att: DataFrame) -> DataFrame:
-    """Search errors: a failed, not blocked (term, site) search, typed by its last error."""
-    p = term_site_pairs(att).filter(~F.col("ok") & ~F.col("was_blocked"))
-    return p.select(
-        "run_id", "search_term", "site",
-        F.col("last_error.error_type").alias("error_type"),
-        tx.truncate_text(F.col("last_error.error_message"), 500).alias("error_message"),
+    """Search errors: a failed, not blocked (run, term, site) search, typed by its last error."""
+    p = term_site_pairs(att).filter(~F.col("ok") & ~F.col("was_blocked")).select("last_error_seq", "failed_attempts")
+    last = att.select("seq", "run_id", "search_term", "site", "error_type", "error_message", "error_raw", "ts")
+    return last.join(p, last["seq"] == p["last_error_seq"]).select(
+        "run_id", "search_term", "site", "error_type",
+        tx.truncate_text("error_message", 500).alias("error_message"),
         _i(F.col("failed_attempts")).alias("attempts"),
-        tx.ts_string("last_error.ts").alias("timestamp"),
-        tx.error_status_code(F.col("last_error.error_raw")).alias("status_code"),
+        tx.ts_string("ts").alias("timestamp"),
+        tx.error_status_code("error_raw").alias("status_code"),
     )
 
 
@@ -225,27 +218,26 @@ def error_summary(att: DataFrame) -> DataFrame:
 
 
 def merge_run_stats(att: DataFrame) -> DataFrame:
-    """Per-batch site stats merged: sums, blocked = any, first blocked term in batch order,
-    success rate recomputed from the sums."""
-    per_batch = site_stats(att, by_batch=True)
-    return per_batch.groupBy("site").agg(
+    """Per-batch site stats of a run merged: sums, blocked = any, first blocked term in
+    batch order, success rate recomputed from the sums; runs stay apart."""
+    keys = ["run_id", "site"]
+    per_batch = site_stats(att, ("batch", "run_id", "site"))
+    total = per_batch.groupBy(*keys).agg(
         _i(_cnt()).alias("batches"),
         _i(F.sum("searches_attempted")).alias("searches_attempted"),
         _i(F.sum("searches_successful")).alias("searches_successful"),
         _i(F.sum("total_jobs_found")).alias("total_jobs_found"),
         _i(F.sum("error_count")).alias("error_count"),
         F.bool_or("blocked").alias("blocked"),
-        F.min_by(F.col("blocked_at_term"), F.when(F.col("blocked_at_term").isNotNull(), F.col("batch"))).alias("blocked_at_term"),
-    ).withColumn("success_rate", tx.rate_pct("searches_successful", "searches_attempted"))
+    )
+    first = first_per_key(per_batch.filter("blocked_at_term IS NOT NULL").select(*keys, "batch", "blocked_at_term"), keys, "batch").drop("batch")
+    return total.join(first, keys, "left").withColumn("success_rate", tx.rate_pct("searches_successful", "searches_attempted"))
 
 
-def merge_count_maps(att: DataFrame, k: int | None = 10) -> DataFrame:
-    """Per-batch error-type count maps, merged by key (summing), top k by count then key."""
-    f = att.filter(~F.col("success")).withColumn("error_type", F.coalesce(F.col("error_type"), F.lit("unknown")))
-    per_batch = f.groupBy("batch", "error_type").agg(_cnt().alias("n"))
-    maps = per_batch.groupBy("batch").agg(F.map_from_entries(F.collect_list(F.struct("error_type", "n"))).alias("counts"))
-    exploded = maps.select(F.explode("counts").alias("key", "n"))
-    merged = exploded.groupBy("key").agg(_i(F.sum("n")).alias("n"))
+def merge_count_maps(att: DataFrame, k: int | None = None) -> DataFrame:
+    """Error-type counts of all batches, merged by key (summing), largest first, then by key; uncut unless ``k`` is given."""
+    f = att.filter(~F.col("success"))
+    merged = f.groupBy(F.coalesce(F.col("error_type"), F.lit("unknown")).alias("key")).agg(_i(_cnt()).alias("n"))
     ordered = merged.orderBy(F.col("n").desc(), F.col("key").asc())
     return ordered.limit(k) if k is not None else ordered
 
@@ -253,9 +245,7 @@ def merge_count_maps(att: DataFrame, k: int | None = 10) -> DataFrame:
 def merge_attempt_analytics(att: DataFrame) -> DataFrame:
     """Attempts of all batches recomputed as one (site summary over the union),
     with the number of batches seen per site."""
-    s = site_summary(att)
-    b = att.groupBy("site").agg(_i(F.count_distinct("batch")).alias("batches"))
-    return s.join(b, "site")
+    return site_summary(att, {"batches": _i(F.count_distinct("batch"))})
 
 
 def session_totals(att: DataFrame) -> DataFrame:
@@ -353,9 +343,7 @@ def variant_comparison(att: DataFrame, variant_col: str = "site") -> DataFrame:
 
 def health_alerts(att: DataFrame, min_jobs_per_search: float = 50, min_success: float = 80, min_solve: float = 70) -> DataFrame:
     """One row per (site, alert) crossing a documented threshold."""
-    summ = site_summary(att).select("site", "total_attempts", "total_jobs", "success_rate", "cloudflare_encounters", "cloudflare_solved")
-    blk = site_stats(att).select("site", "blocked")
-    j = summ.join(blk, "site")
+    j = site_summary(att, {"blocked": F.coalesce(F.bool_or(F.col("error_type") == "blocked"), F.lit(False))})
     jobs_per_search = F.col("total_jobs") / F.col("total_attempts")
     solve = F.when(F.col("cloudflare_encounters") > 0, F.col("cloudflare_solved") / F.col("cloudflare_encounters") * 100)
     alerts = F.array(
@@ -367,21 +355,27 @@ def health_alerts(att: DataFrame, min_jobs_per_search: float = 50, min_success:
     return j.select("site", F.explode(F.array_compact(alerts)).alias("alert"))
 
 
-def retry_number(att: DataFrame) -> DataFrame:
-    """0-based try number within a search (run, term, site) in arrival order."""
-    n = row_numbers(att.select("seq", "run_id", "search_term", "site"), ["run_id", "search_term", "site"], "seq", out="rn")
-    return n.select("seq", "run_id", "search_term", "site", _i(F.col("rn") - 1).alias("retry_number"))
+def retry_number(att: DataFrame, tries: int = 2) -> DataFrame:
+    """0-based try number within a search (run, term, site). A series of tries ends
+    with a success or after ``tries`` tries; the next attempt begins a new series."""
+    search = ["run_id", "search_term", "site"]
+    before = Window.partitionBy(*search).orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    ended = F.coalesce(F.sum(F.col("success").cast("int")).over(before), F.lit(0))
+    rows = att.select("seq", *search, "success").withColumn("__ended", ended)
+    place = F.row_number().over(Window.partitionBy(*search, "__ended").orderBy("seq")) - 1
+    return rows.select("seq", *search, _i(place % tries).alias("retry_number"))
 
 
 def circuit_breaker(att: DataFrame) -> DataFrame:
-    """once a site is blocked, its later attempts would be skipped.
+    """once a site is blocked, its later attempts of the same run would be skipped.
 
-    The first blocking seq per site is an aggregate (one row per site), joined
+    The first blocking seq is an aggregate (one row per run and site), joined
     back; no window runs over a whole site.
     """
-    first_block = att.filter(F.col("error_type") == "blocked").groupBy("site").agg(F.min("seq").alias("block_seq"))
-    j = att.select("seq", "site").join(first_block, "site", "left")
-    return j.select("seq", "site", F.coalesce(F.col("seq") > F.col("block_seq"), F.lit(False)).alias("skipped"))
+    keys = ["run_id", "site"]
+    first_block = att.filter(F.col("error_type") == "blocked").groupBy(*keys).agg(F.min("seq").alias("block_seq"))
+    j = att.select("seq", *keys).join(first_block, keys, "left")
+    return j.select("seq", *keys, F.coalesce(F.col("seq") > F.col("block_seq"), F.lit(False)).alias("skipped"))
 
 
 def failure_streak(att: DataFrame, cut: int = 3) -> DataFrame:
@@ -392,9 +386,8 @@ def failure_streak(att: DataFrame, cut: int = 3) -> DataFrame:
     before a failure = its island; the streak is the rank inside the island.
     """
     a = att.select("seq", "site", "success")
-    width = adaptive_width(a, "seq")  # one range probe serves both numberings
-    all_n = row_numbers(a, ["site"], "seq", out="p", bucket_width=width)
-    fails = row_numbers(all_n.filter(~F.col("success")), ["site"], "seq", out="f", bucket_width=width)
+    all_n = row_numbers(a, ["site"], "seq", out="p")
+    fails = row_numbers(all_n.filter(~F.col("success")), ["site"], "seq", out="f")
     isl = fails.withColumn("island", F.col("p") - F.col("f"))
     starts = isl.groupBy("site", "island").agg(F.min("f").alias("f0"))
     streaks = isl.join(starts, ["site", "island"]).withColumn("streak", F.col("f") - F.col("f0") + 1)
@@ -405,9 +398,17 @@ def failure_streak(att: DataFrame, cut: int = 3) -> DataFrame:
 
 
 def description_quota(postings: DataFrame, quota: int = 10) -> DataFrame:
-    """a posting gets a description slot while its term's running count is below the quota."""
-    n = row_numbers(postings.select("seq", "search_term"), ["search_term"], "seq", out="rn")
-    return n.select("seq", "search_term", _i(F.col("rn")).alias("rn"), (F.col("rn") <= quota).alias("gets_description"))
+    """a posting gets a description slot while its term has fetched fewer than ``quota`` descriptions.
+
+    The slots end with the term's quota-th posting that has a description: a
+    group limit keeps ``quota`` rows per term and task, one row per term is joined back.
+    """
+    rows = postings.select("seq", "search_term", (F.length("description") > 0).alias("__has"))
+    w = Window.partitionBy("search_term").orderBy("seq")
+    fetched = rows.filter("__has").withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= quota)
+    ends = fetched.groupBy("search_term").agg(F.max("seq").alias("__end"), F.max("__rn").alias("__n")).filter(F.col("__n") == quota)
+    j = rows.join(ends.drop("__n"), "search_term", "left")
+    return j.select("seq", "search_term", F.coalesce(F.col("seq") <= F.col("__end"), F.lit(True)).alias("gets_description"))
 
 
 def sample_per_term(postings: DataFrame, k: int = 2) -> DataFrame:
@@ -451,40 +452,44 @@ def alias_sites(att: DataFrame, aliases: dict[str, str], col: str = "site") -> D
     return att.withColumn(col, F.coalesce(F.element_at(m, F.col(col)), F.col(col)))
 
 
-def term_failure_streak(att: DataFrame, cut: int = 3) -> DataFrame:
-    """F7 (run level): per run, terms in search order; a term without any posting
-    extends the streak of result-less terms, a term with results ends it. The
-    run is cut where a streak first reaches ``cut``. One row per run: number of
-    terms, longest streak, the seq of the term that reached the cut (NULL if none).
+def searched_terms(att: DataFrame, cut: int = 3, more: tuple = ()) -> DataFrame:
+    """The terms of each run in search order, with the streak of terms without any posting that ends at a term
+    (0 for a term with postings) and the seq at which a streak of the run first reaches ``cut``.
+
+    One aggregate (``more`` adds to it), then windows over the few terms of a run.
     """
     terms = att.groupBy("run_id", "search_term").agg(
         F.min("seq").alias("seq"),
         F.coalesce(F.bool_or(F.col("success") & (F.col("jobs_found") > 0)), F.lit(False)).alias("has_result"),
+        *more,
     )
-    width = adaptive_width(terms, "seq")
-    all_n = row_numbers(terms, ["run_id"], "seq", out="p", bucket_width=width)
-    fails = row_numbers(all_n.filter(~F.col("has_result")), ["run_id"], "seq", out="f", bucket_width=width)
-    isl = fails.withColumn("island", F.col("p") - F.col("f"))
-    starts = isl.groupBy("run_id", "island").agg(F.min("f").alias("f0"))
-    streaks = isl.join(starts, ["run_id", "island"]).withColumn("streak", F.col("f") - F.col("f0") + 1)
-    per_run = streaks.groupBy("run_id").agg(
-        F.max("streak").alias("longest"), F.min(F.when(F.col("streak") >= cut, F.col("seq"))).alias("cut_seq"))
-    runs = terms.groupBy("run_id").agg(_i(_cnt()).alias("terms"))
-    j = runs.join(per_run, "run_id", "left")
-    return j.select("run_id", "terms", _i(F.coalesce(F.col("longest"), F.lit(0))).alias("longest_streak"), "cut_seq")
-
-
-def run_progress(att: DataFrame, cut: int = 3) -> DataFrame:
-    """E5 per run: terms searched, terms completed before the stop rule (F7: the run
-    ends at the term where ``cut`` result-less terms in a row are reached, that term
-    included), completion rate and time span."""
-    streak = term_failure_streak(att, cut)
-    terms = att.groupBy("run_id", "search_term").agg(F.min("seq").alias("seq"))
-    j = terms.join(streak.select("run_id", "cut_seq"), "run_id")
-    done = j.groupBy("run_id").agg(
-        _i(_cnt()).alias("search_terms_total"),
-        _i(F.count_if(F.col("cut_seq").isNull() | (F.col("seq") <= F.col("cut_seq")))).alias("search_terms_completed"),
+    order = Window.partitionBy("run_id").orderBy("seq")
+    island = terms.withColumn("__island", F.sum(F.col("has_result").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    inside = F.sum((~F.col("has_result")).cast("int")).over(Window.partitionBy("run_id", "__island").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0))
+    streaks = island.withColumn("streak", inside).drop("__island")
+    return streaks.withColumn("cut_seq", F.min(F.when(F.col("streak") >= cut, F.col("seq"))).over(Window.partitionBy("run_id")))
+
+
+def term_failure_streak(att: DataFrame, cut: int = 3) -> DataFrame:
+    """F7 (run level): a term without any posting extends the streak of result-less
+    terms, a term with results ends it; the run is cut where a streak first reaches
+    ``cut``. One row per run: number of terms, longest streak, the seq of the term
+    that reached the cut (NULL if none).
+    """
+    return searched_terms(att, cut).groupBy("run_id").agg(
+        _i(_cnt()).alias("terms"), _i(F.max("streak")).alias("longest_streak"), F.min("cut_seq").alias("cut_seq"))
+
+
+def run_progress(att: DataFrame, planned: DataFrame, cut: int = 3) -> DataFrame:
+    """E5 per run: terms planned (``run_id``, ``search_term``), planned terms completed before the
+    stop rule (F7: the run ends at the term where ``cut`` result-less terms in a row are
+    reached, that term included), completion rate and time span of the run's searches."""
+    done = searched_terms(att, cut, (F.min("ts").alias("start"), F.max("ts").alias("end"))).select(
+        "run_id", "search_term", "start", "end", (F.col("cut_seq").isNull() | (F.col("seq") <= F.col("cut_seq"))).alias("done"))
+    plan = planned.select("run_id", "search_term", F.lit(True).alias("planned"))
+    g = done.join(plan, ["run_id", "search_term"], "full").groupBy("run_id").agg(
+        _i(F.count_if("planned")).alias("search_terms_total"),
+        _i(F.count_if(F.col("planned") & F.col("done"))).alias("search_terms_completed"),
+        tx.ts_string(F.min("start")).alias("start_time"), tx.ts_string(F.max("end")).alias("end_time"),
     )
-    span = att.groupBy("run_id").agg(tx.ts_string(F.min("ts")).alias("start_time"), tx.ts_string(F.max("ts")).alias("end_time"))
-    out = done.join(span, "run_id")
-    return out.withColumn("completion_rate", tx.rate_pct("search_terms_completed", "search_terms_total"))
+    return g.withColumn("completion_rate", tx.rate_pct("search_terms_completed", "search_terms_total"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.rules import RuleSet
-from .ordering import first_per_key, row_numbers
+from .ordering import first_per_key, last_per_key, row_numbers
 
 LEAD_COLUMNS = (
     "company", "domain", "job_title", "location", "confidence_score", "posting_url", "description",
@@ -15,14 +15,14 @@ LEAD_COLUMNS = (
 )
 
 
-def process_leads(qualified: DataFrame, rules: RuleSet, run_date: str, keep: str = "first") -> DataFrame:
+def process_leads(qualified: DataFrame, rules: RuleSet, run_date: str, keep: str = "first", carry: list[str] | None = None) -> DataFrame:
     """Qualified scored postings -> one lead per company.
 
     confidence (B16) -> drop missing company -> first posting per exact company
-    (F2, an aggregate: one shuffle on company, partial map-side) -> domain (B6)
+    (F2, a group limit: one row per company and task goes into the only shuffle) -> domain (B6)
     -> run date (B25) -> renames -> four search URLs (B8-B11) -> fixed order.
     ``keep="best"`` keeps the highest-scoring posting of a company instead of
-    the first one (earliest wins a tie).
+    the first one (earliest wins a tie). ``carry`` (e.g. ``seq``) adds columns at the end.
     """
     if keep not in ("first", "best"):
         raise ValueError(f"keep must be 'first' or 'best', got {keep!r}")
@@ -36,10 +36,8 @@ def process_leads(qualified: DataFrame, rules: RuleSet, run_date: str, keep: str
         F.col("score").alias("__score"),
     ).filter(F.col("company").isNotNull() & (F.col("company") != ""))
     if keep == "best":
-        rest = [c for c in base.columns if c != "company"]
-        # max by (score, -seq): the best score, then the earliest arrival
-        order = F.struct(F.col("__score"), -F.col("seq"))
-        first = base.groupBy("company").agg(F.max_by(F.struct(*rest), order).alias("__b")).select("company", "__b.*")
+        # the best score, then the earliest arrival
+        first = last_per_key(base.withColumn("__late", -F.col("seq")), ["company"], ["__score", "__late"])
     else:
         first = first_per_key(base, ["company"], "seq")
     keywords = rules.template_keywords()
@@ -56,6 +54,7 @@ def process_leads(qualified: DataFrame, rules: RuleSet, run_date: str, keep: str
         tx.search_url_role("company", "title").alias("linkedin_role"),
         tx.search_url_enduser("company", keywords).alias("google_enduser"),
         tx.run_stamp(run_date).alias("date_scraped"),
+        *(carry or []),
     )
 
 
@@ -85,6 +84,27 @@ def rejected_postings(scored: DataFrame, max_export: int | None = 100) -> DataFr
     )
 
 
+def rejected_sample(scored: DataFrame, n: int = 100) -> DataFrame:
+    """The first ``n`` rejected rows in arrival order, each with the number of all rejected rows."""
+    rejected = scored.filter(~F.col("qualified"))
+    total = rejected.agg(F.count(F.lit(1)).alias("n")).scalar()
+    first = rejected.select("seq", "company", "title", "rejection_category", "score").orderBy("seq").limit(n)
+    return first.withColumn("total_rejected", total)
+
+
+def insert_leads(existing: DataFrame, batch: DataFrame, key=("company", "job_title", "date_scraped"), order: str = "seq") -> tuple[DataFrame, DataFrame]:
+    """Insert a batch into an existing lead table: the new rows, and one row of counts.
+
+    A key that the table holds is skipped, of a key that the batch repeats the first row counts.
+    """
+    keyed = first_per_key(batch, list(key), order)
+    new = keyed.join(existing.select(*key).distinct(), list(key), "left_anti").select(*batch.columns)
+    counts = batch.agg(F.count(F.lit(1)).alias("rows")).select(
+        new.agg(F.count(F.lit(1))).scalar().alias("inserted"),
+        (F.col("rows") - new.agg(F.count(F.lit(1))).scalar()).alias("duplicates_skipped"))
+    return new, counts
+
+
 def lead_upsert(batches: DataFrame, key=("company", "job_title", "date_scraped"), order=("batch", "seq")) -> DataFrame:
     """Insert leads by key in batch order; the first insert of a key wins.
 

@@ -1,16 +1,15 @@
 """Order-dependent building blocks that stay distributed and skew-safe.
 
-The reference's order-dependent results (first wins, numbering, batch slices,
-index-rule percentiles) become:
-
-* ``first_per_key``  an aggregate, ``min_by(struct(row), seq)``: partial
-  aggregation runs map-side, so a key holding a third of all rows is reduced
-  to one row per map task before the shuffle.
-* ``row_numbers``    exact 1-based numbering inside groups by ``seq`` without a
-  window over a whole group: rows are cut into ``seq`` buckets, bucket counts
-  are aggregated (small), running offsets are summed over buckets, and rows
-  are numbered only inside (group, bucket), whose size is bounded by the
-  bucket width. A hot group is spread over many buckets and tasks.
+* ``first_per_key`` / ``last_per_key``  the first or last row of each key by a
+  group limit: Spark keeps one row per key in every task before the shuffle,
+  so a key holding a third of all rows sends one row per task, and the input
+  is read once.
+* ``row_numbers``    exact 1-based numbering inside groups without a window
+  over a whole group: rows are cut into ranges at percentiles of the order
+  column (part of the plan, no driver probe; clustered values make no large
+  range), range counts are aggregated (one row per group and range), running
+  offsets are summed over ranges, and rows are numbered only inside (group,
+  range). A hot group is spread over many ranges and tasks.
 * ``running_total``  the same running sum over a pre-aggregated histogram,
   for index-rule percentiles.
 """
@@ -20,36 +19,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET = 1 << 16
-MAX_BUCKETS = 100_000
+RANGES = 200
 
 
-def adaptive_width(df: DataFrame, order_col: str, minimum: int = DEFAULT_BUCKET, max_buckets: int = MAX_BUCKETS) -> int:
-    """A bucket width that keeps the number of buckets below ``max_buckets``.
-
-    One scalar aggregate (min and max of the key); only two numbers reach the
-    driver. Rows per bucket stay bounded by the width (keys are unique per group).
-    """
-    r = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
-    if r is None or r["lo"] is None:
-        return minimum
-    span = int(r["hi"]) - int(r["lo"]) + 1
-    return max(minimum, -(-span // max_buckets))
+def with_range(df: DataFrame, order_col: str, out: str, ranges: int = RANGES) -> DataFrame:
+    """Add the range of ``order_col``: how many of its percentiles (a scalar subquery) lie below it."""
+    steps = [k / ranges for k in range(1, ranges)]
+    cuts = df.agg(F.array_distinct(F.percentile_approx(order_col, steps, 20 * ranges)).alias("cuts")).scalar()
+    below = F.size(F.filter("__cuts", lambda c: c < F.col(order_col)))
+    return df.withColumn("__cuts", cuts).withColumn(out, F.coalesce(below, F.lit(0))).drop("__cuts")
 
 
 def first_per_key(df: DataFrame, keys: list[str], order_col: str = "seq") -> DataFrame:
     """One row per key: the row with the smallest ``order_col`` (first arrival wins)."""
-    rest = [c for c in df.columns if c not in keys]
-    agg = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(order_col)).alias("__first"))
-    return agg.select(*keys, "__first.*")
+    return _one_per_key(df, keys, [F.col(order_col).asc_nulls_last()])
 
 
 def last_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:
     """One row per key: the row with the greatest ordering tuple (last writer wins)."""
-    rest = [c for c in df.columns if c not in keys]
-    order = F.struct(*[F.col(c) for c in order_cols])
-    agg = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("__last"))
-    return agg.select(*keys, "__last.*")
+    return _one_per_key(df, keys, [F.col(c).desc_nulls_last() for c in order_cols])
+
+
+def _one_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    first = df.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("__rn = 1")
+    return first.select(*keys, *[c for c in df.columns if c not in keys])
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -66,18 +59,15 @@ def row_numbers(
     order_col: str = "seq",
     out: str = "rn",
     total: str | None = None,
-    bucket_width: int | None = None,
+    ranges: int = RANGES,
 ) -> DataFrame:
     """Exact ``row_number() over (partition by group_cols order by order_col)``.
 
-    ``order_col`` must be an integral, unique-within-group column (the arrival
-    ``seq``). ``total`` optionally adds the group size. Without a width, one is
-    chosen from the key range so the offsets table stays small (``adaptive_width``).
+    ``order_col`` must be numeric and unique within a group (the arrival
+    ``seq``). ``total`` optionally adds the group size.
     """
-    if bucket_width is None:
-        bucket_width = adaptive_width(df, order_col)
     bkt = "__bkt"
-    d = df.withColumn(bkt, F.floor(F.col(order_col) / F.lit(bucket_width)))
+    d = with_range(df, order_col, bkt, ranges)
     keys = [*group_cols, bkt]
     counts = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*group_cols).orderBy(bkt).rowsBetween(Window.unboundedPreceding, -1)
@@ -97,17 +87,15 @@ def running_total(
     out: str = "cum",
     total: str | None = None,
     group_cols: list[str] | None = None,
-    bucket_width: int | None = None,
+    ranges: int = RANGES,
 ) -> DataFrame:
     """Add ``out`` = sum of ``count_col`` over rows with ``value_col`` <= this row's.
 
     ``hist`` holds one row per distinct (group, value), e.g. ``groupBy(v).count()``.
     """
     group_cols = group_cols or []
-    if bucket_width is None:
-        bucket_width = adaptive_width(hist, value_col, minimum=1 << 12)
     bkt = "__bkt"
-    d = hist.withColumn(bkt, F.floor(F.col(value_col) / F.lit(bucket_width)))
+    d = with_range(hist, value_col, bkt, ranges)
     keys = [*group_cols, bkt]
     per_bucket = d.groupBy(*keys).agg(F.sum(count_col).alias("__bn"))
     before = Window.partitionBy(*group_cols).orderBy(bkt).rowsBetween(Window.unboundedPreceding, -1)
@@ -137,12 +125,15 @@ def batch_slice(df: DataFrame, total_batches: int, order_col: str = "seq", out:
     return numbered.withColumn(out, batch_of(F.col("__rn") - 1, F.col("__total"), total_batches)).drop("__rn", "__total")
 
 
+# Fixed texts of the errors on bad batch arguments.
+TOTAL_TOO_SMALL = "total_batches must be >= 1, got {total}"
+BATCH_TOO_SMALL = "batch must be >= 0, got {batch}"
+BATCH_TOO_LARGE = "batch ({batch}) must be < total_batches ({total})"
+
+
 def select_batch(df: DataFrame, batch: int, total_batches: int, order_col: str = "seq") -> DataFrame:
-    """The items of one batch; errors like the reference on bad arguments."""
-    if total_batches < 1:
-        raise ValueError(f"total_batches must be >= 1, got {total_batches}")
-    if batch < 0:
-        raise ValueError(f"batch must be >= 0, got {batch}")
-    if batch >= total_batches:
-        raise ValueError(f"batch ({batch}) must be < total_batches ({total_batches})")
+    """The items of one batch; bad arguments raise a ValueError with a fixed text."""
+    problem = TOTAL_TOO_SMALL if total_batches <= 0 else BATCH_TOO_SMALL if batch < 0 else BATCH_TOO_LARGE if batch not in range(total_batches) else None
+    if problem:
+        raise ValueError(problem.format(batch=batch, total=total_batches))
     return batch_slice(df, total_batches, order_col, "__b").filter(F.col("__b") == batch).drop("__b")

@@ -7,7 +7,7 @@ built-in regex functions, and the one-row-per-link step is an ``explode``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,8 @@ MIN_MAIN_TEXT = 100
 BASE_URL = "https://jobs.example.com"
 
 HREF = r'href="([^"]+)"'
-ANCHOR_TEXT = r"<a [^>]*>([^<]*)</a>"
+ANCHOR = r'<a [^>]*href="([^"]*)"[^>]*>([^<]*)</a>'
+JOB_LINK = "/jobs?/"
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
 
@@ -40,22 +41,28 @@ def html_to_text(html, limit: int | None = DESCRIPTION_CHARS):
     return F.substring(h, 1, limit) if limit else h
 
 
-def page_links(pages: DataFrame) -> DataFrame:
-    """H1 + F4: every href of a page, one row each, first occurrence per (page, url) kept;
-    absolute URL (B18) and job id (B19)."""
-    links = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(HREF), 1)).alias("pos", "url"))
-    first = first_per_key(links, ["page_id", "url"], "pos")
-    return first.select(
-        "page_id", "pos", "url",
-        tx.absolute_url("url", BASE_URL).alias("abs_url"),
-        tx.job_id_from_url(tx.absolute_url("url", BASE_URL)).alias("job_id"),
+def page_links(pages: DataFrame, cap: int | None = None) -> DataFrame:
+    """H1 + F4 + F8: every href of a page, one row each, first occurrence per (page, url) kept,
+    at most ``cap`` of them in page order; absolute URL (B18) and job id (B19).
+
+    Distinctness and cap concern one row's array, so nothing is shuffled.
+    """
+    urls = F.array_distinct("__all")
+    kept = urls if cap is None else F.slice(urls, 1, cap)
+    links = pages.select("page_id", F.regexp_extract_all("html", F.lit(HREF), 1).alias("__all")).select(
+        "page_id", F.explode(F.transform(kept, lambda u: F.struct((F.array_position("__all", u) - 1).cast("int").alias("pos"), u.alias("url")))).alias("__l"))
+    return links.select(
+        "page_id", "__l.pos", "__l.url",
+        tx.absolute_url("__l.url", BASE_URL).alias("abs_url"),
+        tx.job_id_from_url(tx.absolute_url("__l.url", BASE_URL)).alias("job_id"),
     )
 
 
-def page_cap(links: DataFrame, cap: int = FALLBACK_LINK_CAP) -> DataFrame:
-    """F8: at most ``cap`` links per page, in page order (planned with a partial group limit)."""
-    w = Window.partitionBy("page_id").orderBy("pos")
-    return links.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= cap).drop("rn")
+def links_per_page(pages: DataFrame) -> DataFrame:
+    """distinct and all hrefs of each page that has any."""
+    hrefs = F.regexp_extract_all("html", F.lit(HREF), 1)
+    n = pages.select("page_id", F.size(F.array_distinct(hrefs)).cast("bigint").alias("distinct_links"), F.size(hrefs).cast("bigint").alias("all_links"))
+    return n.filter(F.col("all_links") > 0)
 
 
 def _parts(fragment):
@@ -126,16 +133,21 @@ def description_fallback(pages: DataFrame) -> DataFrame:
     )
 
 
-def fallback_links(pages: DataFrame, has_cards: DataFrame) -> DataFrame:
-    """H7: for pages without cards, link texts longer than 5 characters that are not
-    navigation, distinct per page, first 50 links of the page considered."""
+def fallback_links(pages: DataFrame, has_cards: DataFrame, job_link: str = JOB_LINK, cap: int = FALLBACK_LINK_CAP) -> DataFrame:
+    """H7: for pages without cards, of the first ``cap`` links whose target matches ``job_link``
+    the texts longer than 5 characters that are not navigation, distinct per page.
+
+    The job links are selected before the cap, so menu links do not use it up.
+    """
     no_cards = pages.join(has_cards.select("page_id"), "page_id", "left_anti")
-    links = no_cards.select(
-        "page_id", F.posexplode(F.regexp_extract_all("html", F.lit(ANCHOR_TEXT), 1)).alias("pos", "text")
-    ).filter(F.col("pos") < FALLBACK_LINK_CAP)
-    t = tx.py_strip("text")
-    keep = links.withColumn("title", t).filter((F.length("title") > MIN_LINK_TEXT) & ~tx.contains_any(F.lower("title"), NAVIGATION_WORDS))
-    return first_per_key(keep.select("page_id", "title", "pos"), ["page_id", "title"], "pos")
+    targets, texts = (F.regexp_extract_all("html", F.lit(ANCHOR), k) for k in (1, 2))
+    links = no_cards.select("page_id", F.arrays_zip(targets.alias("target"), texts.alias("text")).alias("__all"))
+    job = F.slice(F.filter(F.transform("__all", lambda x, i: F.struct(i.alias("pos"), x["target"].alias("target"), tx.py_strip(x["text"]).alias("title"))),
+                           lambda x: x["target"].rlike(job_link)), 1, cap)
+    named = F.filter(job, lambda x: (F.length(x["title"]) > MIN_LINK_TEXT) & ~tx.contains_any(F.lower(x["title"]), NAVIGATION_WORDS))
+    titles = F.transform("__named", lambda x: x["title"])
+    first = F.filter("__named", lambda x, i: F.array_position(titles, x["title"]) == i + 1)
+    return links.select("page_id", named.alias("__named")).select("page_id", F.explode(first).alias("__l")).select("page_id", "__l.title", "__l.pos")
 
 
 def pages_to_postings(pages: DataFrame) -> DataFrame:

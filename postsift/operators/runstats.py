@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -48,27 +48,27 @@ def unique_companies(scored: DataFrame, batch_col: str = "batch") -> DataFrame:
     )
 
 
-def run_stats(attempts: DataFrame, scored: DataFrame, leads: DataFrame, run_id: str) -> DataFrame:
-    """E5: run totals: terms, time span, raw / kept / unique, completion and filter rates.
+def run_stats(attempts: DataFrame, planned: DataFrame, scored: DataFrame, leads: DataFrame, run_id: str) -> DataFrame:
+    """E5: run totals: planned and searched terms, time span, raw / kept / unique, completion and filter rates.
 
-    The three inputs are narrowed and unioned, then reduced by one aggregate
+    The four inputs are narrowed and unioned, then reduced by one aggregate
     (no join of one-row frames).
     """
     a = attempts.select(F.lit("attempt").alias("__k"), "search_term", "ts")
     s = scored.select(F.lit("posting").alias("__k"), "qualified")
     u = leads.select(F.lit("lead").alias("__k"))
-    x = a.unionByName(s, allowMissingColumns=True).unionByName(u, allowMissingColumns=True)
+    p = planned.select(F.lit("plan").alias("__k"), "search_term")
+    x = a.unionByName(s, allowMissingColumns=True).unionByName(u, allowMissingColumns=True).unionByName(p, allowMissingColumns=True)
     k = F.col("__k")
     g = x.agg(
-        F.count_distinct(F.when(k == "attempt", F.col("search_term"))).alias("search_terms_total"),
+        F.count_distinct(F.when(k == "plan", F.col("search_term"))).alias("search_terms_total"),
+        F.count_distinct(F.when(k == "attempt", F.col("search_term"))).alias("search_terms_completed"),
         tx.ts_string(F.min("ts")).alias("start_time"),
         tx.ts_string(F.max("ts")).alias("end_time"),
         F.count_if(k == "posting").alias("total_jobs_raw"),
         F.count_if((k == "posting") & F.col("qualified")).alias("total_jobs_filtered"),
         F.count_if(k == "lead").alias("unique_companies"),
     )
-    # every term in the attempt table was searched: completed = total
-    g = g.withColumn("search_terms_completed", F.col("search_terms_total"))
     return g.select(
         F.lit(run_id).alias("run_id"), "start_time", "end_time", "search_terms_total", "search_terms_completed",
         tx.rate_pct("search_terms_completed", "search_terms_total").alias("completion_rate"),
@@ -77,7 +77,3 @@ def run_stats(attempts: DataFrame, scored: DataFrame, leads: DataFrame, run_id:
                F.round((1 - F.col("total_jobs_filtered") / F.col("total_jobs_raw")) * 100, 1)).otherwise(0.0).alias("filter_rate"),
     )
 
-
-def with_share_of_total(df: DataFrame, count_col: str, out: str = "total") -> DataFrame:
-    """Add the grand total of ``count_col`` to every row of a small aggregate."""
-    return df.withColumn(out, F.sum(count_col).over(Window.partitionBy()))

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import (
+    RULE_TABLE_SCHEMA,
     REASON_CONTEXT_DESC,
     REASON_CONTEXT_TITLE,
     REASON_DESIGN,
@@ -26,6 +27,7 @@ from ..functions.rules import (
     REASON_NO_DESCRIPTION,
     TITLE_AREA_CHARS,
     RuleSet,
+    rule_rows,
 )
 from ..functions.rule_sql import sql_any, sql_first_index, sql_has, sql_pick, sql_str
 
@@ -255,18 +257,12 @@ def qualified_postings(scored: DataFrame) -> DataFrame:
     return scored.filter(F.col("qualified"))
 
 
-def rule_hits(postings: DataFrame, rule_df: DataFrame, max_rules: int = 100_000) -> DataFrame:
+def rule_hits(postings: DataFrame, rules: RuleSet) -> DataFrame:
     """One row per (posting, rule pattern) hit; explains a score.
 
-    A theta join on ``contains``: the rule table is broadcast because its size
-    is bounded by the rule file (checked against ``max_rules`` on the driver
-    from the rule set, not from data). Postings never move.
+    The rule set is a literal array (its size is the rule file's), filtered per
+    posting in a projection: no join, postings never move.
     """
-    from pyspark.sql.functions import broadcast
-
-    n_rules = rule_df.count()
-    if n_rules > max_rules:
-        raise ValueError(f"rule table has {n_rules} rows, above the broadcast bound {max_rules}")
     p = postings.select(
         "seq",
         F.lower(F.col("description")).alias("_d"),
@@ -274,17 +270,31 @@ def rule_hits(postings: DataFrame, rule_df: DataFrame, max_rules: int = 100_000)
         F.coalesce(F.lower(F.col("title")), F.lit("")).alias("_t"),
         F.lower(F.col("company")).alias("_c"),
     )
-    r = broadcast(rule_df)
-    def has(col):
-        # whole-word rules carry their regex; all others are substring tests
-        return F.when(r.word_boundary, F.expr(f"{col} RLIKE regex")).otherwise(F.col(col).contains(r.pattern))
-
-    cond = (
-        F.when(r.scope == "company", has("_c"))
-        .when(r.scope == "title", has("_h"))
-        .when(r.scope == "title_or_description", has("_t") | has("_d"))
-        .otherwise(has("_d"))
-    )
-    return p.join(r, F.coalesce(cond, F.lit(False)), "inner").select(
-        "seq", "priority", "rule_group", "kind", "scope", "pattern", "weight"
-    )
+    fields = [f.name for f in RULE_TABLE_SCHEMA.fields]
+    table = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, RULE_TABLE_SCHEMA.fields)]) for row in rule_rows(rules)])
+
+    whole_words = any(row[6] for row in rule_rows(rules))
+
+    def hit(r):
+        def has(col):
+            # whole-word rules carry their regex; all others are substring tests
+            plain = F.col(col).contains(r["pattern"])
+            return F.when(r["word_boundary"], F.rlike(F.col(col), r["regex"])).otherwise(plain) if whole_words else plain
+
+        cond = (
+            F.when(r["scope"] == "company", has("_c"))
+            .when(r["scope"] == "title", has("_h"))
+            .when(r["scope"] == "title_or_description", has("_t") | has("_d"))
+            .otherwise(has("_d"))
+        )
+        return F.coalesce(cond, F.lit(False))
+
+    hits = p.select("seq", F.inline(F.filter(table, hit)))
+    return hits.select("seq", *[c for c in fields if c not in ("word_boundary", "regex")])
+
+
+def first_hits(hits: DataFrame) -> DataFrame:
+    """The hit of the lowest priority per posting and rule group."""
+    from .ordering import first_per_key
+
+    return first_per_key(hits, ["seq", "rule_group"], "priority")

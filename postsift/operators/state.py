@@ -38,13 +38,6 @@ def merge_source_progress(entries: DataFrame, state: DataFrame | None = None) ->
     return last_per_key(src, ["source", "key"], ["seq"])
 
 
-def progress_maps(progress: DataFrame) -> DataFrame:
-    """Per source the merged entries as a map (built last, for a nested report)."""
-    return progress.groupBy("source").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("progress")
-    )
-
-
 def reset_source(progress: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:
     """Drop one source; also returns a one-row frame telling whether it existed."""
     found = progress.agg(F.coalesce(F.bool_or(F.col("source") == source), F.lit(False)).alias("found"))

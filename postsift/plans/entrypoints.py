@@ -16,18 +16,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as tx
 from ..functions.rules import RuleSet
 from ..operators import attempts as at
 from ..operators import evaluation as ev
 from ..operators import leads as ld
 from ..operators import runstats as rs
 from ..operators import scoring as sc
+from ..operators.ordering import first_per_key
+from ..session import path_exists
 from ..sources import files as fs
 
+FILTER_STATS = "total_processed bigint, qualified bigint, rejected bigint, company_blocked bigint"
+SITE_STATS = ("site string, searches_attempted bigint, searches_successful bigint, total_jobs_found bigint, "
+              "blocked boolean, blocked_at_term string, error_count bigint")
+RUN_STATS = ("start_time string, end_time string, search_terms_total bigint, search_terms_completed bigint, "
+             "total_jobs_raw bigint, total_jobs_filtered bigint")
+
 
 def run_batch(spark: SparkSession, postings: DataFrame, attempts: DataFrame, rules: RuleSet, out_root: str,
-              run_id: str, run_date: str, batch: int | None = None) -> dict[str, str | None]:
-    """§3.1: one batch of a run; returns the written paths by kind."""
+              run_id: str, run_date: str, batch: int | None = None, planned: DataFrame | None = None) -> dict[str, str | None]:
+    """§3.1: one batch of a run; returns the written paths by kind.
+
+    ``planned`` (``search_term``) is the search plan; without one the searched terms are taken as the plan.
+    """
     root = out_root.rstrip("/")
     part = f"run_id={run_id}" + (f"/batch={batch}" if batch is not None else "")
     scored_path = f"{root}/scored/{part}"
@@ -38,7 +50,7 @@ def run_batch(spark: SparkSession, postings: DataFrame, attempts: DataFrame, rul
     paths: dict[str, str | None] = {"scored": scored_path}
     paths["leads"] = fs.write_leads_csv(leads, root, run_id, batch, mode="overwrite")
     paths["rejected"] = fs.write_report_json(ld.rejected_postings(scored, 100), root, "rejected", run_id, batch, mode="overwrite")
-    paths["run_stats"] = fs.write_report_json(rs.run_stats(attempts, scored, leads, run_id), root, "run_stats", run_id, batch,
+    paths["run_stats"] = fs.write_report_json(rs.run_stats(attempts, attempts if planned is None else planned, scored, leads, run_id), root, "run_stats", run_id, batch,
                                               mode="overwrite")
     paths["filter_stats"] = fs.write_report_json(rs.filter_stats(scored), root, "filter_stats", run_id, batch, mode="overwrite")
     paths["rejection_reasons"] = fs.write_report_json(rs.rejection_breakdown(scored, None), root, "rejection_reasons", run_id,
@@ -60,37 +72,56 @@ def merge_batches(spark: SparkSession, out_root: str, run_id: str) -> dict[str,
     """
     root = out_root.rstrip("/")
 
-    def read(kind):
-        return spark.read.json(f"{root}/{kind}").filter(F.col("run_id") == run_id)
+    def read(kind: str, schema: str | None = None) -> DataFrame:
+        """All batches of the run; the batch is null for a run that was not cut into batches."""
+        path = f"{root}/{kind}/run_id={run_id}"
+        reader = spark.read.option("recursiveFileLookup", True)
+        rows = reader.json(path) if schema is None else reader.schema(schema).json(path)
+        name = F.regexp_extract(F.input_file_name(), r"/batch=([0-9]+)/", 1)
+        return rows.withColumn("batch", F.nullif(name, F.lit("")).cast("int"))
 
-    filt = read("filter_stats").agg(
+    filt = read("filter_stats", FILTER_STATS).agg(
         F.sum("total_processed").alias("total_processed"), F.sum("qualified").alias("qualified"),
         F.sum("rejected").alias("rejected"), F.sum("company_blocked").alias("company_blocked"),
     )
-    from ..functions import text as tx
-
     filt = filt.withColumn("pass_rate", tx.rate_pct("qualified", "total_processed", 2))
-    reasons = read("rejection_reasons").groupBy("rejection_category").agg(F.sum("n").alias("n")) \
+    reasons = read("rejection_reasons", "rejection_category string, n bigint").groupBy("rejection_category").agg(F.sum("n").alias("n")) \
         .orderBy(F.col("n").desc(), F.col("rejection_category")).limit(10)
-    sites = read("site_stats").groupBy("site").agg(
+    per_batch = read("site_stats", SITE_STATS)
+    first = first_per_key(per_batch.filter("blocked_at_term IS NOT NULL").select("site", "batch", "blocked_at_term"), ["site"], "batch").drop("batch")
+    sites = per_batch.groupBy("site").agg(
         F.sum("searches_attempted").alias("searches_attempted"), F.sum("searches_successful").alias("searches_successful"),
         F.sum("total_jobs_found").alias("total_jobs_found"), F.sum("error_count").alias("error_count"),
         F.bool_or("blocked").alias("blocked"),
-        F.min_by("blocked_at_term", F.when(F.col("blocked_at_term").isNotNull(), F.col("batch"))).alias("blocked_at_term"),
-    ).withColumn("success_rate", tx.rate_pct("searches_successful", "searches_attempted"))
+    ).join(first, "site", "left").withColumn("success_rate", tx.rate_pct("searches_successful", "searches_attempted"))
+    run = read("run_stats", RUN_STATS).agg(
+        F.count(F.lit(1)).alias("batches"), F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),
+        *[F.sum(c).alias(c) for c in ("search_terms_total", "search_terms_completed", "total_jobs_raw", "total_jobs_filtered")],
+    )
+    run = run.select(
+        F.lit(run_id).alias("run_id"), "*", tx.rate_pct("search_terms_completed", "search_terms_total").alias("completion_rate"),
+        F.when(F.col("total_jobs_raw") > 0, F.round((1 - F.col("total_jobs_filtered") / F.col("total_jobs_raw")) * 100, 1)).otherwise(0.0).alias("filter_rate"))
     raw = read("attempts").withColumn("ts", F.to_timestamp("ts"))
-    errors_path = f"{root}/search_errors"
-    try:
-        errors = spark.read.json(errors_path).filter(F.col("run_id") == run_id).groupBy("error_type").agg(F.count(F.lit(1)).alias("n"))
-    except Exception:  # no batch had search errors
-        errors = spark.createDataFrame([], "error_type string, n bigint")
+    errors_path = f"{root}/search_errors/run_id={run_id}"
+    # a batch without search errors writes none
+    errors = read("search_errors", "error_type string").groupBy("error_type").agg(F.count(F.lit(1)).alias("n")) \
+        if path_exists(spark, errors_path) else spark.createDataFrame([], "error_type string, n bigint")
     companies = spark.read.option("header", True).option("multiLine", True).option("escape", '"') \
-        .csv(f"{root}/leads").filter(F.col("run_id") == run_id).agg(F.count_distinct("company").alias("unique_companies"))
+        .option("recursiveFileLookup", True) \
+        .csv(f"{root}/leads/run_id={run_id}").agg(F.count_distinct("company").alias("unique_companies"))
     return {
+        "run": run,
         "filter": filt,
         "rejection_reasons": reasons,
         "sites": sites,
         "site_summary": at.site_summary(raw),
+        "site_values": at.site_value_counts(raw),
+        "terms": at.term_performance(raw),
+        "errors_by_type": at.errors_by_type(raw),
+        "errors_by_site": at.errors_by_site(raw),
+        "top_errors": at.top_error_messages(raw),
+        "challenges": at.challenge_analysis(raw),
+        "challenges_by_site": at.challenge_by_site(raw),
         "timing": at.timing_distribution(raw),
         "error_summary": errors,
         "unique_companies": companies,

@@ -100,7 +100,7 @@ STATS_SCHEMA = T.StructType([
 FROM (""" + _site_stats_sql("batch, site") + """ FROM bpairs GROUP BY batch, site)""")
 def read_run_artifacts(spark, d):
     root = work_dir(spark, "artifacts")
-    stats = at.site_stats(b.attempts(spark, d), by_batch=True).select("batch", *[f.name for f in STATS_SCHEMA.fields])
+    stats = at.site_stats(b.attempts(spark, d), ("batch", "site")).select("batch", *[f.name for f in STATS_SCHEMA.fields])
     stats.write.partitionBy("batch").json(f"{root}/run_stats")
     # one unreadable artifact next to the good ones: skipped, reported on the side
     spark.createDataFrame([("{not json",)], "value string").write.text(f"{root}/run_stats/batch=99")

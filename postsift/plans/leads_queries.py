@@ -9,6 +9,7 @@ from ..operators import ordering as od
 from ..operators import runstats as rs
 from ..operators import scoring as sc
 from ..sources import bindings as b
+from ..streaming.streams import work_dir
 from . import oracle_views as ov
 from .probe_rules import probe_rules
 from .registry import RUN_DATE, query
@@ -66,21 +67,16 @@ def rejected_postings(spark, d):
     return ld.rejected_postings(scored(spark, d), 100)
 
 
-@query("rejected_sample", "G5", W + """SELECT count(*) AS exported, max(total) AS total_rejected FROM (
-  SELECT row_number() OVER (ORDER BY seq) AS rn, count(*) OVER () AS total FROM scored WHERE NOT qualified) WHERE rn <= 100""")
+@query("rejected_sample", "G5", W + """SELECT seq, company, title, rejection_category, score, total AS total_rejected FROM (
+  SELECT *, row_number() OVER (ORDER BY seq) AS rn, count(*) OVER () AS total FROM scored WHERE NOT qualified) WHERE rn <= 100""")
 def rejected_sample(spark, d):
-    # the export holds the first min(total, 100) rejected rows: one aggregate gives both counts
-    total = scored(spark, d).filter(~F.col("qualified")).agg(F.count(F.lit(1)).alias("total_rejected"))
-    return total.select(F.least(F.col("total_rejected"), F.lit(100)).cast("bigint").alias("exported"), "total_rejected")
+    return ld.rejected_sample(scored(spark, d), 100)
 
 
 @query("preview", "G4", WL + f"SELECT {LEAD_SELECT} FROM leads ORDER BY seq LIMIT 10")
 def preview(spark, d):
-    # leads carry no seq; keep it for the order, then drop
-    q = sc.qualified_postings(scored(spark, d))
-    full = ld.process_leads(q, R, RUN_DATE)
-    firsts = od.first_per_key(q.filter(F.col("company").isNotNull() & (F.col("company") != "")).select("company", "seq"), ["company"], "seq")
-    return full.join(firsts, "company").orderBy("seq").limit(10).drop("seq")
+    full = ld.process_leads(sc.qualified_postings(scored(spark, d)), R, RUN_DATE, carry=["seq"])
+    return full.orderBy("seq").limit(10).drop("seq")
 
 
 @query("filter_stats", "E1", W + """SELECT count(*) AS total_processed, CAST(count_if(qualified) AS BIGINT) AS qualified,
@@ -135,9 +131,10 @@ def lead_upsert(spark, d):
 
 @query("attach_scores", "D1", W + """SELECT p.seq, p.company, s.score, s.qualified FROM postings p JOIN scored s ON s.posting_id = p.posting_id""")
 def attach_scores(spark, d):
-    # scores stored apart from the postings are attached back by key (an equi-join)
-    scores = scored(spark, d).select("posting_id", "score", "qualified")
-    return b.postings(spark, d).select("seq", "posting_id", "company").join(scores, "posting_id").drop("posting_id")
+    # scores stored apart from the postings (a table in the shared folder) are attached back by key
+    path = f"{work_dir(spark, 'scores')}/scored"
+    scored(spark, d).select("posting_id", "score", "qualified").write.parquet(path)
+    return b.postings(spark, d).select("seq", "posting_id", "company").join(spark.read.parquet(path), "posting_id").drop("posting_id")
 
 
 @query("rejected_id", "B26", W + """SELECT seq, printf('rejected_%03d_%s', rn, substr(coalesce(company, 'None'), 1, 20)) AS id FROM (

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..functions.rules import rule_table
 from ..operators import scoring as sc
 from ..sources import bindings as b
 from . import oracle_views as ov
@@ -179,4 +178,4 @@ FROM postings p JOIN rules r ON coalesce(CASE
   WHEN r.scope = 'title_or_description' THEN contains(coalesce(lower(p.title), ''), r.pattern) OR contains(lower(p.description), r.pattern)
   ELSE contains(lower(p.description), r.pattern) END, FALSE)""")
 def rule_hits(spark, d):
-    return sc.rule_hits(b.postings(spark, d), rule_table(spark, R))
+    return sc.rule_hits(b.postings(spark, d), R)

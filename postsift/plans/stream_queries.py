@@ -11,7 +11,7 @@ from ..sources import bindings as b
 from ..streaming import streams as ss
 from . import oracle_views as ov
 from .probe_rules import probe_rules
-from .registry import query
+from .registry import RUN_ID, query
 
 R = probe_rules()
 
@@ -28,8 +28,7 @@ def stream_score(spark, d):
   FROM postings WHERE company IS NOT NULL AND company <> '') WHERE rn = 1""")
 def stream_new_companies(spark, d):
     src = b.postings_from(b.stream_table(spark, d, "documents")).select("company", "seq", "title")
-    out = ss.stream_new_companies(spark, src)
-    return spark.read.parquet(out).select("company", "seq", "title")
+    return ss.stream_new_companies(spark, src, ss.work_dir(spark, "new-companies"), RUN_ID)
 
 
 @query("stream_site_health", "J3", ov.with_(ov.ATTEMPTS) + """SELECT strftime(time_bucket(INTERVAL 1 DAY, ts), '%Y-%m-%d %H:%M:%S') AS window_start, site,
@@ -38,4 +37,4 @@ def stream_new_companies(spark, d):
 FROM attempts GROUP BY 1, 2""")
 def stream_site_health(spark, d):
     src = b.attempts_from(b.stream_table(spark, d, "events"))
-    return ss.run_health(spark, src)
+    return ss.stream_site_health(spark, src)

@@ -46,8 +46,8 @@ def site_stats(spark, d):
     return at.site_stats(att(spark, d))
 
 
-@query("blocked_sites", "E6", A + """SELECT site, arg_min(search_term, seq) AS search_term, substr(arg_min(error_message, seq), 1, 500) AS error_message,
-  strftime(arg_min(ts, seq), '%Y-%m-%d %H:%M:%S') AS timestamp FROM attempts WHERE error_type = 'blocked' GROUP BY site""")
+@query("blocked_sites", "E6", A + """SELECT run_id, site, arg_min(search_term, seq) AS search_term, substr(arg_min(error_message, seq), 1, 500) AS error_message,
+  strftime(arg_min(ts, seq), '%Y-%m-%d %H:%M:%S') AS timestamp FROM attempts WHERE error_type = 'blocked' GROUP BY run_id, site""")
 def blocked_sites(spark, d):
     return at.blocked_sites(att(spark, d))
 
@@ -152,23 +152,23 @@ def error_summary(spark, d):
 
 
 @query("merge_run_stats", "E17", ov.with_(ov.ATTEMPTS, """bpairs AS (
-  SELECT batch, search_term, site, coalesce(bool_or(success), FALSE) AS ok,
+  SELECT batch, run_id, search_term, site, coalesce(bool_or(success), FALSE) AS ok,
     sum(CASE WHEN success THEN jobs_found ELSE 0 END) AS jobs,
     coalesce(bool_or(error_type = 'blocked'), FALSE) AS was_blocked,
     min(CASE WHEN error_type = 'blocked' THEN seq END) AS block_seq
-  FROM attempts GROUP BY batch, run_id, search_term, site)""", """per_batch AS (""" + _site_stats_sql("batch, site") + """ FROM bpairs GROUP BY batch, site)""") + """
-SELECT site, CAST(count(*) AS BIGINT) AS batches, CAST(sum(searches_attempted) AS BIGINT) AS searches_attempted,
+  FROM attempts GROUP BY batch, run_id, search_term, site)""", """per_batch AS (""" + _site_stats_sql("batch, run_id, site") + """ FROM bpairs GROUP BY batch, run_id, site)""") + """
+SELECT run_id, site, CAST(count(*) AS BIGINT) AS batches, CAST(sum(searches_attempted) AS BIGINT) AS searches_attempted,
   CAST(sum(searches_successful) AS BIGINT) AS searches_successful, CAST(sum(total_jobs_found) AS BIGINT) AS total_jobs_found,
   CAST(sum(error_count) AS BIGINT) AS error_count, bool_or(blocked) AS blocked,
   arg_min(blocked_at_term, batch) FILTER (WHERE blocked_at_term IS NOT NULL) AS blocked_at_term,
   CASE WHEN sum(searches_attempted) > 0 THEN round(sum(searches_successful) / sum(searches_attempted) * 100, 1) ELSE 0.0 END AS success_rate
-FROM per_batch GROUP BY site""")
+FROM per_batch GROUP BY run_id, site""")
 def merge_run_stats(spark, d):
     return at.merge_run_stats(att(spark, d))
 
 
 @query("merge_count_maps", "E18", A + """SELECT coalesce(error_type, 'unknown') AS key, CAST(count(*) AS BIGINT) AS n
-FROM attempts WHERE NOT success GROUP BY 1 ORDER BY n DESC, key LIMIT 10""")
+FROM attempts WHERE NOT success GROUP BY 1 ORDER BY n DESC, key""")
 def merge_count_maps(spark, d):
     return at.merge_count_maps(att(spark, d))
 
@@ -185,14 +185,14 @@ R = probe_rules()
 @query("run_stats", "E5", ov.with_(ov.ATTEMPTS, ov.POSTINGS, ov.scored_sql(R)) + f"""SELECT '{RUN_ID}' AS run_id, *,
   CASE WHEN search_terms_total > 0 THEN round(search_terms_completed / search_terms_total * 100, 1) ELSE 0.0 END AS completion_rate,
   CASE WHEN total_jobs_raw > 0 THEN round((1 - total_jobs_filtered / total_jobs_raw) * 100, 1) ELSE 0.0 END AS filter_rate
-FROM (SELECT CAST(count(DISTINCT search_term) AS BIGINT) AS search_terms_total, CAST(count(DISTINCT search_term) AS BIGINT) AS search_terms_completed,
+FROM (SELECT CAST((SELECT count(DISTINCT user_id % 53) FROM events) AS BIGINT) AS search_terms_total, CAST(count(DISTINCT search_term) AS BIGINT) AS search_terms_completed,
   strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start_time, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS end_time FROM attempts),
  (SELECT CAST(count(*) AS BIGINT) AS total_jobs_raw, CAST(count_if(qualified) AS BIGINT) AS total_jobs_filtered FROM scored),
  (SELECT CAST(count(DISTINCT company) AS BIGINT) AS unique_companies FROM scored WHERE qualified AND company IS NOT NULL AND company <> '')""")
 def run_stats(spark, d):
     s = sc.score_postings(b.postings(spark, d), R)
     leads = ld.process_leads(sc.qualified_postings(s), R, RUN_DATE)
-    return rs.run_stats(att(spark, d), s, leads, RUN_ID)
+    return rs.run_stats(att(spark, d), b.planned_terms(spark, d), s, leads, RUN_ID)
 
 
 @query("session_totals", "E25", A + """SELECT strftime(ts, '%Y-%m-%d') AS session_id, CAST(count(*) AS BIGINT) AS searches,
@@ -273,12 +273,15 @@ def health_alerts(spark, d):
 
 
 @query("retry_number", "F5", A + """SELECT seq, run_id, search_term, site,
-  CAST(row_number() OVER (PARTITION BY run_id, search_term, site ORDER BY seq) - 1 AS BIGINT) AS retry_number FROM attempts""")
+  CAST((row_number() OVER (PARTITION BY run_id, search_term, site, ended ORDER BY seq) - 1) % 2 AS BIGINT) AS retry_number
+FROM (SELECT *, coalesce(sum(CASE WHEN success THEN 1 ELSE 0 END) OVER (
+  PARTITION BY run_id, search_term, site ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ended FROM attempts)""")
 def retry_number(spark, d):
     return at.retry_number(att(spark, d))
 
 
-@query("circuit_breaker", "F6", A + """SELECT seq, site, coalesce(seq > (SELECT min(seq) FROM attempts b WHERE b.site = a.site AND b.error_type = 'blocked'), FALSE) AS skipped
+@query("circuit_breaker", "F6", A + """SELECT seq, run_id, site, coalesce(seq > (SELECT min(seq) FROM attempts b
+  WHERE b.run_id = a.run_id AND b.site = a.site AND b.error_type = 'blocked'), FALSE) AS skipped
 FROM attempts a""")
 def circuit_breaker(spark, d):
     return at.circuit_breaker(att(spark, d))
@@ -292,8 +295,8 @@ def failure_streak(spark, d):
     return at.failure_streak(att(spark, d))
 
 
-@query("description_quota", "F9", ov.with_(ov.POSTINGS) + """SELECT seq, search_term, CAST(rn AS BIGINT) AS rn, rn <= 10 AS gets_description FROM (
-  SELECT seq, search_term, row_number() OVER (PARTITION BY search_term ORDER BY seq) AS rn FROM postings)""")
+@query("description_quota", "F9", ov.with_(ov.POSTINGS) + """SELECT seq, search_term, coalesce(sum(CASE WHEN length(description) > 0 THEN 1 ELSE 0 END) OVER (
+  PARTITION BY search_term ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 10 AS gets_description FROM postings""")
 def description_quota(spark, d):
     return at.description_quota(b.postings(spark, d), 10)
 
@@ -347,13 +350,14 @@ def term_failure_streak(spark, d):
     """st AS (
   SELECT run_id, seq, row_number() OVER (PARTITION BY run_id, island ORDER BY seq) AS streak FROM isl WHERE NOT has_result)""",
     """cuts AS (SELECT run_id, min(CASE WHEN streak >= 3 THEN seq END) AS cut_seq FROM st GROUP BY run_id)""")
-    + """SELECT t.run_id, CAST(count(*) AS BIGINT) AS search_terms_total,
-  CAST(count_if(c.cut_seq IS NULL OR t.seq <= c.cut_seq) AS BIGINT) AS search_terms_completed,
+    + """SELECT p.run_id, CAST(count(*) AS BIGINT) AS search_terms_total,
+  CAST(count_if(t.seq IS NOT NULL AND (c.cut_seq IS NULL OR t.seq <= c.cut_seq)) AS BIGINT) AS search_terms_completed,
   min(a.start_time) AS start_time, min(a.end_time) AS end_time,
-  CASE WHEN count(*) > 0 THEN round(count_if(c.cut_seq IS NULL OR t.seq <= c.cut_seq) / count(*) * 100, 1) ELSE 0.0 END AS completion_rate
-FROM terms t LEFT JOIN cuts c USING (run_id)
+  CASE WHEN count(*) > 0 THEN round(count_if(t.seq IS NOT NULL AND (c.cut_seq IS NULL OR t.seq <= c.cut_seq)) / count(*) * 100, 1) ELSE 0.0 END AS completion_rate
+FROM (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS run_id, 'term_' || (user_id % 53) AS search_term FROM events) p
+LEFT JOIN terms t USING (run_id, search_term) LEFT JOIN cuts c USING (run_id)
 JOIN (SELECT run_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start_time, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS end_time
       FROM attempts GROUP BY run_id) a USING (run_id)
-GROUP BY t.run_id""")
+GROUP BY p.run_id""")
 def run_progress(spark, d):
-    return at.run_progress(att(spark, d))
+    return at.run_progress(att(spark, d), b.planned_terms(spark, d))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings that matter for the engine's plans at any scale.
@@ -43,18 +44,39 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder; set a scratch one only when none is configured.
+    """The folder for stored intermediate data: ``spark.checkpoint.dir``, shared by driver and executors.
 
-    On a cluster ``spark.checkpoint.dir`` must name a shared folder and is
-    taken as it is. Only an unset value (a test or a laptop) gets a fresh
-    temporary folder.
+    Only a local session (one machine: a test, the bench, a laptop) may go
+    without it and then gets a scratch folder; any other session must name one.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="postsift-ckpt-")
-    sc.setCheckpointDir(path)
-    return path
+    if not current:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        current = tempfile.mkdtemp(prefix="postsift-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file is there, asked of the store that Spark reads."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a stored Parquet table with files is there; any other failure is raised."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True

@@ -40,6 +40,7 @@ SELECTORS = ("div.job-card", "article.result", "li.listing", "ul.jobs li")
 PROGRESS_KEYS = ("status", "last_page", "companies_submitted")
 PROGRESS_STATUS = ("in_progress", "done")
 N_TERMS = 40
+N_PLANNED = 53
 N_POSTING_TERMS = 37
 
 
@@ -47,39 +48,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str, min_bytes: int = 4 << 20) -> DataFrame:
-    """Spread a scan over the cluster when its files plan too few tasks for its size.
-
-    A scan already split into at least ``defaultParallelism`` partitions (many
-    files or row groups: the normal case at scale) is returned untouched, so no
-    shuffle is added; so is a scan too small to be worth a shuffle. A big
-    table stored as one row group would run all per-row work in one task; it
-    is hash-partitioned on its key (deterministic on retry). Only the file
-    plan and the scan statistics are read, no data. (A single row group may be
-    planned as several byte-range splits of which only one reads rows, so the
-    split count alone does not tell the parallelism.)
-    """
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # statistics unavailable (e.g. a remote session): decide on the split count only
-        size = min_bytes
-    if size < min_bytes:
-        return df
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, key)
-
-
-def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int = 1) -> DataFrame:
-    """A table's files as a streaming source (schema taken from the batch read)."""
-    schema = read_table(spark, sf_dir, name).schema
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(sf_dir)
-    )
+def stream_table(spark: SparkSession, sf_dir: str, name: str, files_per_trigger: int | None = 1000) -> DataFrame:
+    """A table (one file or a folder of part files) as a streaming source, schema taken from the batch read."""
+    reader = spark.readStream.schema(read_table(spark, sf_dir, name).schema)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    # a pattern, since a stream takes a single file only through one; it also matches a folder
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parque[t]")
 
 
 def _pick(values, idx):
@@ -88,7 +63,7 @@ def _pick(values, idx):
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return postings_from(spread(d, "doc_id"))
+    return postings_from(d)
 
 
 def _arr(values) -> str:
@@ -120,7 +95,7 @@ def labelled_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
-    return attempts_from(spread(e, "event_id"))
+    return attempts_from(e)
 
 
 def attempts_from(e: DataFrame) -> DataFrame:
@@ -152,7 +127,7 @@ def attempts_from(e: DataFrame) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"), "page_id")
+    return read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
 
 
 def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,6 +147,12 @@ def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planned_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search plan: the terms each run (one per day) set out to search; not all of them are searched."""
+    e = read_table(spark, sf_dir, "events").select("ts", "user_id")
+    return e.selectExpr("date_format(ts, 'yyyy-MM-dd') AS run_id", f"concat('term_', CAST(user_id % {N_PLANNED} AS STRING)) AS search_term").distinct()
+
+
 def query_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query events: raw query text (with blanks around it), time, companies found."""
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")

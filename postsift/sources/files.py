@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
+from ..session import table_exists
 from . import schemas as S
 
 
@@ -137,11 +138,11 @@ def write_state_version(df: DataFrame, root: str, table: str, version: int) -> s
 
 
 def read_state(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The newest version of a state table; missing or unreadable state is empty."""
+    """The newest version of a state table; a missing table is empty, any other failure is raised."""
     schema = S.STATE_SCHEMAS[table]
-    try:
-        df = spark.read.parquet(f"{root.rstrip('/')}/{table}")
-    except Exception:  # no state yet: the reference starts from an empty store
+    path = f"{root.rstrip('/')}/{table}"
+    if not table_exists(spark, path):
         return spark.createDataFrame([], schema)
+    df = spark.read.parquet(path)
     newest = df.agg(F.max("version").alias("__v"))
     return df.join(newest, df["version"] == newest["__v"], "left_semi").select(*[f.name for f in schema.fields])

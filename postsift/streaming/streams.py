@@ -1,11 +1,11 @@
 """Structured Streaming variants.
 
 * ``stream_score``          readStream -> the same scoring columns -> qualified rows (append).
-* ``stream_new_companies``  first posting per new company across micro-batches; the
-  seen-company state is a versioned table in the checkpoint folder, written per
-  batch id, so a replayed batch rewrites its own version (idempotent).
-* ``stream_site_health``    attempts per site in tumbling event-time windows with a
-  watermark (update mode; finished windows leave the state).
+* ``stream_new_companies``  first posting per company that no earlier run has
+  emitted; parts per micro-batch and the companies of each run are kept below
+  a state path, so later runs and restarts remember them.
+* ``stream_site_health``    attempts per site in tumbling event-time windows:
+  counts per micro-batch, summed when read, so late rows count.
 
 Sinks and state live under the session's ``spark.checkpoint.dir`` (a shared
 folder on a cluster), never on a machine-local path.
@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import RuleSet
 from ..operators import scoring as sc
-from ..operators.ordering import first_per_key, last_per_key
-from ..session import ensure_checkpoint_dir
+from ..operators.ordering import first_per_key
+from ..session import ensure_checkpoint_dir, table_exists
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -48,74 +48,75 @@ def run_to_table(spark: SparkSession, stream_df: DataFrame, name: str, output_mo
     return f"{base}/out"
 
 
-def stream_new_companies(spark: SparkSession, stream_df: DataFrame, key: str = "company", order_col: str = "seq") -> str:
-    """Keep the first posting of each company never seen in an earlier batch.
+def stream_new_companies(spark: SparkSession, stream_df: DataFrame, state_path: str, run_id: str,
+                         key: str = "company", order_col: str = "seq") -> DataFrame:
+    """The first posting (smallest ``order_col``) of each company that no earlier run has emitted.
 
-    Per micro-batch: first row per company inside the batch (an aggregate),
-    anti join with the seen-company table, append the new rows, and write the
-    batch's new keys as state version ``batch_id``. Returns the output path.
+    Below ``state_path`` every run has a folder: its checkpoint, one part per
+    micro-batch with the first row per company of that batch (a replayed batch
+    overwrites its own part), and the companies it emitted. The result is the
+    smallest row over all parts, less the companies of all other runs, so it
+    does not depend on how files fall into batches; a run that is started again
+    goes on from its checkpoint and emits the same companies.
     """
-    base = work_dir(spark, "new-companies")
-    out, state = f"{base}/out", f"{base}/state"
+    root = state_path.rstrip("/")
+    parts, emitted = f"{root}/parts/run={run_id}", f"{root}/emitted"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        s = batch.sparkSession
         rows = batch.filter(F.col(key).isNotNull() & (F.col(key) != ""))
-        firsts = first_per_key(rows, [key], order_col)
-        try:
-            seen = s.read.parquet(state).filter(F.col("batch_id") < batch_id).select(key)
-            new = firsts.join(seen, key, "left_anti")
-        except Exception:  # no state yet
-            new = firsts
-        new = new.withColumn("batch_id", F.lit(batch_id))
-        # replay-safe: the batch's own partitions are overwritten, never appended twice
-        new.write.mode("overwrite").partitionBy("batch_id").option("partitionOverwriteMode", "dynamic").parquet(out)
-        new.select(key, "batch_id").write.mode("overwrite").partitionBy("batch_id").option("partitionOverwriteMode", "dynamic").parquet(state)
+        first_per_key(rows, [key], order_col).write.mode("overwrite").parquet(f"{parts}/batch_id={batch_id}")
 
     q = (
         stream_df.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", f"{base}/ckpt")
+        .option("checkpointLocation", f"{root}/checkpoints/{run_id}")
         .trigger(availableNow=True)
         .start()
     )
     q.awaitTermination()
-    return out
-
-
-def stream_site_health(stream_df: DataFrame, window: str = "1 day", delay: str = "1 hour") -> DataFrame:
-    """Attempts, successes, success rate and blocks per site in tumbling event-time windows."""
-    # watermarks need TIMESTAMP; a wall-clock (NTZ) column is read in the session time zone
-    ev = stream_df.withColumn("ts", F.col("ts").cast("timestamp"))
-    w = ev.withWatermark("ts", delay).groupBy(F.window("ts", window).alias("w"), "site").agg(
+    if not table_exists(spark, parts):
+        return spark.createDataFrame([], stream_df.schema)
+    first = first_per_key(spark.read.parquet(parts).drop("batch_id"), [key], order_col)
+    if table_exists(spark, emitted):
+        known = spark.read.schema(f"`{key}` {stream_df.schema[key].dataType.simpleString()}, run string").parquet(emitted)
+        first = first.join(known.filter(F.col("run") != run_id).select(key), key, "left_anti")
+    out = f"{root}/new/run={run_id}"
+    first.write.mode("overwrite").parquet(out)
+    new = spark.read.parquet(out)
+    new.select(key).write.mode("overwrite").parquet(f"{emitted}/run={run_id}")
+    return new.select(*stream_df.columns)
+
+
+HEALTH_COUNTS = ("attempts", "successes", "blocks")
+
+
+def site_health_counts(attempts: DataFrame, window: str = "1 day") -> DataFrame:
+    """Attempts, successes and blocks per site in tumbling event-time windows."""
+    # windows need TIMESTAMP; a wall-clock (NTZ) column is read in the session time zone
+    ev = attempts.withColumn("ts", F.col("ts").cast("timestamp"))
+    w = ev.groupBy(F.window("ts", window).alias("w"), "site").agg(
         F.count(F.lit(1)).alias("attempts"),
         F.count_if("success").alias("successes"),
         F.count_if(F.col("error_type") == "blocked").alias("blocks"),
     )
-    return w.select(
-        F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "site",
-        F.col("attempts").cast("bigint").alias("attempts"), F.col("successes").cast("bigint").alias("successes"),
-        F.round(F.col("successes") / F.col("attempts") * 100, 1).alias("success_rate"),
-        F.col("blocks").cast("bigint").alias("blocks"),
-    )
+    return w.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "site", *[F.col(c).cast("bigint").alias(c) for c in HEALTH_COUNTS])
+
 
+def stream_site_health(spark: SparkSession, stream_df: DataFrame, window: str = "1 day", state_path: str | None = None) -> DataFrame:
+    """The stream's window counts with their success rate.
 
-def run_health(spark: SparkSession, stream_df: DataFrame, window: str = "1 day", delay: str = "1 hour") -> DataFrame:
-    """Run J3 in update mode; every batch writes its updated windows tagged with the batch id.
-    The final value per (window, site) is the one from the latest batch."""
-    base = work_dir(spark, "site-health")
-    out = f"{base}/out"
+    Each micro-batch writes its own counts per window and site (a replayed
+    batch overwrites its own); the result sums them, so no row is too late and
+    no state is held between batches.
+    """
+    base = (state_path or work_dir(spark, "site-health")).rstrip("/")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").partitionBy("batch_id") \
-            .option("partitionOverwriteMode", "dynamic").parquet(out)
+        site_health_counts(batch, window).write.mode("overwrite").parquet(f"{base}/counts/batch_id={batch_id}")
 
-    q = (
-        stream_site_health(stream_df, window, delay).writeStream.foreachBatch(handle)
-        .outputMode("update")
-        .option("checkpointLocation", f"{base}/ckpt")
-        .trigger(availableNow=True)
-        .start()
-    )
+    q = stream_df.writeStream.foreachBatch(handle).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
-    res = spark.read.parquet(out)
-    return last_per_key(res, ["window_start", "site"], ["batch_id"]).drop("batch_id")
+    schema = "window_start string, site string, " + ", ".join(f"{c} bigint" for c in HEALTH_COUNTS)
+    counts = spark.read.schema(schema).parquet(f"{base}/counts") if table_exists(spark, f"{base}/counts") else spark.createDataFrame([], schema)
+    total = counts.groupBy("window_start", "site").agg(*[F.sum(c).alias(c) for c in HEALTH_COUNTS])
+    return total.select("window_start", "site", "attempts", "successes",
+                        F.round(F.col("successes") / F.col("attempts") * 100, 1).alias("success_rate"), "blocks")

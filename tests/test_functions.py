@@ -75,3 +75,28 @@ def test_mask_before_cut_at_500(spark):
     out = df.select(tx.truncate_text(tx.mask_credentials("m"), 500).alias("o")).first()["o"]
     assert "secret" not in out and len(out) == 500
     assert out.endswith("https://user:****@host/pa"[: 500 - 481])
+
+
+def test_job_links_are_selected_before_the_cap(spark):
+    from postsift.operators import pages as pg
+
+    menu = "".join(f'<a href="/menu/{i}">Menu entry {i}</a>' for i in range(60))
+    jobs = "".join(f'<a class="x" href="/jobs/{i}/y">Panel person {i}</a>' for i in (1, 2, 2, 3))
+    df = spark.createDataFrame([(1, "u", menu + jobs)], "page_id long, url string, html string")
+    none = df.filter("page_id = 0")
+    got = pg.fallback_links(df, none).orderBy("pos").collect()
+    assert [(r["title"], r["pos"]) for r in got] == [("Panel person 1", 60), ("Panel person 2", 61), ("Panel person 3", 63)]
+    assert [r["url"] for r in pg.page_links(df, 2).collect()] == ["/menu/0", "/menu/1"]
+
+
+def test_insert_leads_into_an_existing_table(spark):
+    from postsift.operators import leads as ld
+
+    schema = "company string, job_title string, date_scraped string, seq long"
+    old = spark.createDataFrame([("A", "x", "d", 1)], schema)
+    batch = spark.createDataFrame([("A", "x", "d", 2), ("B", "y", "d", 4), ("B", "y", "d", 3), ("A", "z", "d", 5)], schema)
+    new, counts = ld.insert_leads(old, batch)
+    assert sorted(tuple(r) for r in new.collect()) == [("A", "z", "d", 5), ("B", "y", "d", 3)]
+    assert tuple(counts.first()) == (2, 2)
+    again, counts = ld.insert_leads(old.unionByName(new), batch)
+    assert again.count() == 0 and tuple(counts.first()) == (0, 4)

@@ -39,7 +39,7 @@ def test_batch_argument_errors(spark):
 
 def test_row_numbers_equal_window(spark):
     df = spark.range(5000).select(F.col("id").alias("seq"), (F.col("id") % 3).alias("g"), F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 2).alias("h"))
-    mine = row_numbers(df, ["g", "h"], "seq", out="rn", bucket_width=64)
+    mine = row_numbers(df, ["g", "h"], "seq", out="rn", ranges=64)
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g", "h").orderBy("seq")))
     assert sorted(mine.select("seq", "rn").collect()) == sorted(ref.select("seq", "rn").collect())
 
@@ -62,7 +62,7 @@ def test_timing_index_rule(spark, n):
     durs = [(i * 37) % 101 + 1 for i in range(n)]
     rows = [(i, True, d) for i, d in enumerate(durs)] + [(n + 1, False, 5), (n + 2, True, 0)]
     df = spark.createDataFrame(rows, "seq long, success boolean, duration_ms long")
-    r = at.timing_distribution(df, bucket_width=16).first()
+    r = at.timing_distribution(df).first()
     assert (r["count"], r["p50_ms"], r["p90_ms"], r["p99_ms"]) == py_timing(durs)
 
 
@@ -84,5 +84,43 @@ def test_run_progress_stops_at_the_cut(spark):
     outcome = [True, False, False, False, False, True]
     rows = [("r1", f"t{i}", (i + 1) * 10, ok, 5 if ok else 0, datetime(2026, 1, 1, i)) for i, ok in enumerate(outcome)]
     df = spark.createDataFrame(rows, "run_id string, search_term string, seq long, success boolean, jobs_found long, ts timestamp_ntz")
-    r = at.run_progress(df).first()
-    assert (r["search_terms_total"], r["search_terms_completed"], r["completion_rate"]) == (6, 4, 66.7)
+    planned = spark.createDataFrame([("r1", f"t{i}") for i in range(8)] + [("r2", "t0")], "run_id string, search_term string")
+    r1, r2 = at.run_progress(df, planned).orderBy("run_id").collect()
+    # eight terms planned, six searched, the fourth ends the run
+    assert (r1["search_terms_total"], r1["search_terms_completed"], r1["completion_rate"]) == (8, 4, 50.0)
+    assert (r2["search_terms_total"], r2["search_terms_completed"], r2["completion_rate"]) == (1, 0, 0.0)
+
+
+def test_row_numbers_with_clustered_keys(spark):
+    df = spark.range(2000).select(F.when(F.col("id") < 1990, F.col("id")).otherwise(F.col("id") * 10**9).alias("seq"))
+    mine = row_numbers(df, [], "seq", out="rn", ranges=16)
+    assert [r["rn"] for r in mine.orderBy("seq").collect()] == list(range(1, 2001))
+
+
+ATTEMPT = "run_id string, search_term string, site string, seq long, success boolean, error_type string, jobs_found long, error_message string, ts timestamp_ntz, batch int"
+
+
+def _attempts(spark, rows):
+    from datetime import datetime
+
+    return spark.createDataFrame([(run, "t", site, seq, ok, err, 1, err, datetime(2026, 1, 1), 0) for run, site, seq, ok, err in rows], ATTEMPT)
+
+
+def test_blocks_end_with_their_run(spark):
+    df = _attempts(spark, [("r1", "a", 1, False, "blocked"), ("r1", "a", 2, True, None), ("r2", "a", 3, True, None), ("r2", "b", 4, False, "blocked")])
+    assert {r["seq"]: r["skipped"] for r in at.circuit_breaker(df).collect()} == {1: False, 2: True, 3: False, 4: False}
+    assert sorted((r["run_id"], r["site"]) for r in at.blocked_sites(df).collect()) == [("r1", "a"), ("r2", "b")]
+    assert {(r["run_id"], r["site"]): r["blocked"] for r in at.merge_run_stats(df).collect()} == {("r1", "a"): True, ("r2", "a"): False, ("r2", "b"): True}
+
+
+def test_a_series_of_tries_ends_with_a_success_or_after_two(spark):
+    df = _attempts(spark, [("r", "a", i, ok, None) for i, ok in enumerate([False, True, True, False, False, False, True])])
+    got = [r["retry_number"] for r in at.retry_number(df).orderBy("seq").collect()]
+    assert got == [0, 1, 0, 0, 1, 0, 1]
+
+
+def test_description_quota_counts_descriptions(spark):
+    rows = [(i, "t", None if i % 2 else "text") for i in range(10)] + [(20 + i, "u", "x") for i in range(2)]
+    got = {r["seq"]: r["gets_description"] for r in at.description_quota(spark.createDataFrame(rows, "seq long, search_term string, description string"), 3).collect()}
+    # the third description of t is at 4
+    assert [got[i] for i in range(10)] == [True] * 5 + [False] * 5 and got[21]

@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postsift.functions.rules import DEFAULT_THRESHOLD, load_rules, parse_rules
@@ -144,7 +143,6 @@ def test_dedupe_first_per_company_and_missing_company(spark):
     leads = {r["company"]: r for r in process_leads(qualified_postings(s), R, "2026-01-01").collect()}
     assert set(leads) == {"Sun Co", "sun co"}  # exact-case companies
     assert leads["Sun Co"]["job_title"] == "a" and leads["Sun Co"]["domain"] == "sun.com"
-    assert F is not None
 
 
 LADDER_RULES = parse_rules({

@@ -1,43 +1,50 @@
-"""Streams over several files (one per trigger) equal the batch results."""
+"""Streams over several files equal the batch results, whatever the order of the files; later runs remember."""
 
 from datetime import datetime, timedelta
 
+from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
-from postsift.operators.attempts import site_summary
+from __spark_entry__ import queries
 from postsift.operators.ordering import first_per_key
 from postsift.streaming import streams as ss
 
 
 def _write_batches(spark, rows, schema, path, n_files):
-    size = -(-len(rows) // n_files)
+    """Rows dealt over the files by position, so that files overlap in time and companies."""
     for i in range(n_files):
-        part = rows[i * size:(i + 1) * size]
-        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+        spark.createDataFrame(rows[i::n_files], schema).coalesce(1).write.mode("append").parquet(path)
 
 
-def test_new_companies_across_batches(spark, tmp_dir):
-    rows = [(i, f"Co{i % 7}", f"title {i}") for i in range(60)]
-    schema = "seq long, company string, title string"
-    path = f"{tmp_dir}/postings"
-    _write_batches(spark, rows, schema, path, 4)
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
-    out = ss.stream_new_companies(spark, src)
-    got = sorted(tuple(r) for r in spark.read.parquet(out).select("company", "seq", "title").collect())
-    want = sorted(tuple(r) for r in first_per_key(spark.createDataFrame(rows, schema), ["company"], "seq").collect())
-    assert got == want
-    # every company appears once although it recurs in every file
-    assert len(got) == 7
+def _source(spark, schema, path):
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-def test_site_health_windows_across_batches(spark, tmp_dir):
+def test_new_companies_across_batches_and_runs(spark, tmp_dir):
+    rows = [(59 - i, f"Co{i % 7}", f"title {i}") for i in range(60)] + [(100, None, "x"), (101, "", "y")]
+    schema = "seq long, company string, title string"
+    path, state = f"{tmp_dir}/postings", f"{tmp_dir}/state"
+    _write_batches(spark, rows, schema, path, 4)
+    got = sorted(tuple(r) for r in ss.stream_new_companies(spark, _source(spark, schema, path), state, "r1").select("company", "seq", "title").collect())
+    want = first_per_key(spark.createDataFrame(rows, schema).filter("company <> ''"), ["company"], "seq")
+    assert got == sorted(tuple(r) for r in want.collect()) and len(got) == 7
+    # started again, the run emits the same; a later run emits only companies it does not know
+    again = ss.stream_new_companies(spark, _source(spark, schema, path), state, "r1")
+    assert sorted(r["company"] for r in again.collect()) == [f"Co{i}" for i in range(7)]
+    more = [(200, "Co1", "t"), (202, "New", "late"), (201, "New", "early")]
+    later = f"{tmp_dir}/later"
+    _write_batches(spark, more, schema, later, 3)
+    second = ss.stream_new_companies(spark, _source(spark, schema, later), state, "r2").collect()
+    assert [(r["company"], r["seq"]) for r in second] == [("New", 201)]
+
+
+def test_site_health_counts_rows_in_any_order(spark, tmp_dir):
     t0 = datetime(2026, 1, 1)
     rows = [(i, t0 + timedelta(hours=3 * i), ["a", "b"][i % 2], i % 5 != 0, None if i % 5 else "blocked") for i in range(80)]
     schema = "seq long, ts timestamp_ntz, site string, success boolean, error_type string"
     path = f"{tmp_dir}/attempts"
-    _write_batches(spark, rows, schema, path, 5)
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
-    got = {(r["window_start"], r["site"]): (r["attempts"], r["successes"], r["blocks"]) for r in ss.run_health(spark, src).collect()}
+    _write_batches(spark, rows[::-1], schema, path, 5)
+    got = {(r["window_start"], r["site"]): (r["attempts"], r["successes"], r["blocks"]) for r in ss.stream_site_health(spark, _source(spark, schema, path)).collect()}
     df = spark.createDataFrame(rows, schema)
     want = {
         (r["d"], r["site"]): (r["n"], r["ok"], r["blk"])
@@ -46,4 +53,11 @@ def test_site_health_windows_across_batches(spark, tmp_dir):
         .collect()
     }
     assert got == want
-    assert site_summary is not None
+
+
+def test_registered_streams_read_tables_of_several_files(spark, tmp_dir):
+    for t, key in (("documents", "doc_id"), ("events", "event_id")):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").repartition(4, key).write.parquet(f"{tmp_dir}/{t}.parquet")
+    for key in ("stream_score", "stream_new_companies", "stream_site_health"):
+        one, four = (sorted(map(repr, queries()[key](spark, d).collect())) for d in (SF_SMALL, tmp_dir))
+        assert one == four and one
