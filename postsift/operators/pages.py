@@ -26,17 +26,43 @@ BASE_URL = "https://jobs.example.com"
 HREF = r'href="([^"]+)"'
 ANCHOR = r'<a [^>]*href="([^"]*)"[^>]*>([^<]*)</a>'
 JOB_LINK = "/jobs?/"
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+# Named entities (fixed values); numeric ones are decoded by their code. A no-break space counts as a blank.
+ENTITIES = {
+    "nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&", "ndash": "–", "mdash": "—",
+    "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "bull": "•", "hellip": "…",
+    "middot": "·", "copy": "©", "reg": "®", "trade": "™", "deg": "°", "euro": "€", "pound": "£",
+    "aacute": "á", "agrave": "à", "acirc": "â", "auml": "ä", "aring": "å", "ccedil": "ç",
+    "eacute": "é", "egrave": "è", "ecirc": "ê", "euml": "ë", "iacute": "í", "icirc": "î", "iuml": "ï",
+    "ntilde": "ñ", "oacute": "ó", "ocirc": "ô", "ouml": "ö", "uacute": "ú", "ugrave": "ù", "uuml": "ü",
+    "szlig": "ß", "Auml": "Ä", "Eacute": "É", "Ouml": "Ö", "Uuml": "Ü",
+}
+
+
+def decode_entities(text):
+    """Named and numeric entities decoded once, from left to right; unknown ones stay."""
+    names = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+
+    def char(code):
+        c = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(code == 160, " ").when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF), c)
+
+    def piece(p, i):
+        name = F.regexp_extract(p, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]{2,8});", 1)
+        number = F.when(name.rlike("^#[0-9]"), F.substring(name, 2, 8).try_cast("bigint")).when(
+            name.startswith("#"), F.conv(F.substring(name, 3, 8), 16, 10).try_cast("bigint"))
+        decoded = F.when(name.startswith("#"), char(number)).otherwise(F.try_element_at(names, name))
+        return F.when(i == 0, p).otherwise(F.coalesce(F.concat(decoded, F.substring(p, F.length(name) + 2, F.length(p))), F.concat(F.lit("&"), p)))
+
+    return F.when(text.contains("&"), F.array_join(F.transform(F.split(text, "&", -1), piece), "")).otherwise(text)
 
 
 def html_to_text(html, limit: int | None = DESCRIPTION_CHARS):
-    """H4: drop scripts, styles, comments and tags, decode common entities, collapse blanks, cut."""
+    """H4: drop scripts, styles, comments and tags, decode entities, collapse blanks, cut."""
     h = F.regexp_replace(html, r"(?is)<script[^>]*>.*?</script>", " ")
     h = F.regexp_replace(h, r"(?is)<style[^>]*>.*?</style>", " ")
     h = F.regexp_replace(h, r"(?s)<!--.*?-->", " ")
     h = F.regexp_replace(h, r"<[^>]+>", " ")
-    for ent, ch in ENTITIES:
-        h = F.replace(h, F.lit(ent), F.lit(ch))
+    h = decode_entities(h)
     h = F.trim(F.regexp_replace(h, r"\s+", " "))
     return F.substring(h, 1, limit) if limit else h
 

@@ -23,8 +23,11 @@ def html_to_text_sql(x: str, limit: int | None = 5000) -> str:
     h = f"regexp_replace({h}, '(?is)<style[^>]*>.*?</style>', ' ', 'g')"
     h = f"regexp_replace({h}, '(?s)<!--.*?-->', ' ', 'g')"
     h = f"regexp_replace({h}, '<[^>]+>', ' ', 'g')"
-    for ent, ch in pg.ENTITIES:
-        h = f"replace({h}, {ov.q(ent)}, {ov.q(ch)})"
+    names = " ".join(f"WHEN {ov.q(n)} THEN {ov.q(c)}" for n, c in pg.ENTITIES.items())
+    h = f"""array_to_string(list_transform(string_split({h}, '&'), lambda p, i: CASE WHEN i = 1 THEN p
+      WHEN regexp_matches(p, '^#(160|[xX]0*[aA]0);') THEN ' ' || regexp_replace(p, '^[^;]*;', '')
+      WHEN regexp_matches(p, '^#[0-9]{{1,7}};') THEN chr(CAST(regexp_extract(p, '^#([0-9]+);', 1) AS INTEGER)) || regexp_replace(p, '^[^;]*;', '')
+      ELSE coalesce((CASE regexp_extract(p, '^([A-Za-z]{{2,8}});', 1) {names} END) || regexp_replace(p, '^[^;]*;', ''), '&' || p) END), '')"""
     h = f"trim(regexp_replace({h}, '\\s+', ' ', 'g'))"
     return f"substr({h}, 1, {limit})" if limit else h
 

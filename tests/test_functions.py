@@ -100,3 +100,26 @@ def test_insert_leads_into_an_existing_table(spark):
     assert tuple(counts.first()) == (2, 2)
     again, counts = ld.insert_leads(old.unionByName(new), batch)
     assert again.count() == 0 and tuple(counts.first()) == (0, 4)
+
+
+def test_entities_like_the_standard_library(spark):
+    import html
+
+    from postsift.operators import pages as pg
+
+    texts = ["a &lt;b&gt; &amp;lt; &amp;amp;", "it&#8217;s &eacute;t&#xe9; &apos;x&apos; &#X1F600;", "R&D & co &unknown; &;", "&nbsp;x&#160;y&#xA0;", "plain", "&#0; &#99999999; &#55296;"]
+    got = [r["t"] for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(pg.decode_entities(F.col("t")).alias("t")).collect()]
+    assert got[:5] == [html.unescape(t).replace("\xa0", " ") for t in texts[:5]]
+    assert got[5] == texts[5]  # no characters: kept as they are
+
+
+def test_fixed_values_that_the_oracle_shares():
+    """Lists that both sides read are held against literals, so a slip in one cannot pass as agreement."""
+    from postsift.functions import text as tx
+    from postsift.operators import pages as pg
+    from postsift.operators import scoring as sc
+
+    assert pg.NAVIGATION_WORDS == ("search", "filter", "sort", "page", "next", "prev")
+    assert len(pg.ENTITIES) == 46 and pg.ENTITIES["amp"] == "&" and pg.ENTITIES["rsquo"] == "\u2019"
+    assert all(isinstance(w, str) and w == w.lower() for words in (tx.BLOCKED_WORDS, tx.TIMEOUT_WORDS, tx.RATE_LIMIT_WORDS, tx.CONNECTION_WORDS) for w in words)
+    assert len({c for c, _ in sc.CATEGORY_LADDER}) == len(sc.CATEGORY_LADDER)
