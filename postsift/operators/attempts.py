@@ -276,14 +276,15 @@ def selector_performance(att: DataFrame) -> DataFrame:
 
 
 def postings_per_term(att: DataFrame, postings: DataFrame, expected: int = 20) -> DataFrame:
-    """Postings per searched term (0 when none); ok at >= 80 % of expected, warning above 0, else failed."""
+    """Postings per searched term (0 when none) and, on every row, the average per search
+    with its rating: ok at >= 80 % of expected, warning above 0, else failed."""
     terms = att.select("search_term").distinct()
     counts = postings.groupBy("search_term").agg(_cnt().alias("n"))
     j = terms.join(counts, "search_term", "left").withColumn("postings", _i(F.coalesce(F.col("n"), F.lit(0)))).drop("n")
-    return j.withColumn(
-        "status",
-        F.when(F.col("postings") >= 0.8 * expected, F.lit("ok")).when(F.col("postings") > 0, F.lit("warning")).otherwise(F.lit("failed")),
-    )
+    mean = F.col("__mean")
+    rated = j.withColumn("__mean", j.agg(F.avg("postings")).scalar())
+    status = F.when(mean >= 0.8 * expected, F.lit("ok")).when(mean > 0, F.lit("warning")).otherwise(F.lit("failed"))
+    return rated.select("search_term", "postings", F.round(mean, 1).alias("avg_postings"), status.alias("status"))
 
 
 def description_fill_rate(postings: DataFrame) -> DataFrame:
@@ -303,12 +304,15 @@ def search_consistency(att: DataFrame) -> DataFrame:
         _i(F.min("duration_ms")).alias("min_ms"),
         _i(F.max("duration_ms")).alias("max_ms"),
         F.round(F.avg("jobs_found"), 1).alias("avg_fill"),
+        _i(F.min("jobs_found")).alias("min_fill"),
+        _i(F.max("jobs_found")).alias("max_fill"),
         F.bool_and(F.col("jobs_found") >= 60).alias("all_filled"),
     )
     spread = F.col("max_ms") - F.col("min_ms")
     ratio = F.when(F.col("avg_ms") > 0, spread / F.col("avg_ms"))
     return g.select(
         "site", "searches", "avg_ms", "min_ms", "max_ms", _i(spread).alias("spread_ms"),
+        "avg_fill", "min_fill", "max_fill", _i(F.col("max_fill") - F.col("min_fill")).alias("fill_range"),
         F.when(ratio < 0.3, "consistent").when(ratio < 0.5, "moderate").otherwise("variable").alias("timing_rating"),
         F.when(F.col("all_filled"), "reliable").when(F.col("avg_fill") >= 60, "mostly_reliable").otherwise("unreliable").alias("reliability"),
     )

@@ -32,9 +32,10 @@ def record_queries(events: DataFrame, state: DataFrame | None = None) -> DataFra
     return last_per_key(src, ["query"], ["tried_at", "seq"])
 
 
-def merge_source_progress(entries: DataFrame, state: DataFrame | None = None) -> DataFrame:
-    """New keys merged into each source's stored entries; the newer value wins."""
-    src = entries if state is None else state.unionByName(entries, allowMissingColumns=True)
+def merge_source_progress(entries: DataFrame, state: DataFrame | None = None, stamp: str | None = None) -> DataFrame:
+    """New keys merged into each source's stored entries; the newer value wins. ``stamp`` marks the new entries' time."""
+    new = entries if stamp is None else entries.withColumn("last_updated", F.lit(stamp))
+    src = new if state is None else state.unionByName(new, allowMissingColumns=True)
     return last_per_key(src, ["source", "key"], ["seq"])
 
 
@@ -70,6 +71,18 @@ def lookup_submission(candidates: DataFrame, submitted: DataFrame) -> DataFrame:
     return j.select("kind", "seq", "domain", F.col("lead_id").isNotNull().alias("submitted"), F.coalesce("lead_id", F.lit("")).alias("lead_id"))
 
 
+def lookup_tried(queries: DataFrame, tried: DataFrame, col: str = "query") -> DataFrame:
+    """D4 (lookup): each query (stripped) with the time it was tried, NULL when never."""
+    q = queries.withColumn(col, tx.py_strip(col))
+    return q.join(tried.select(F.col("query").alias(col), "tried_at"), col, "left")
+
+
+def lookup_progress(sources: DataFrame, progress: DataFrame) -> DataFrame:
+    """D4 (lookup): each source with its stored entries as ``key=value``, sorted; empty when there are none."""
+    entries = progress.groupBy("source").agg(F.array_sort(F.collect_list(F.concat_ws("=", "key", "value"))).alias("entries"))
+    return sources.join(entries, "source", "left").withColumn("entries", F.coalesce("entries", F.array().cast("array<string>")))
+
+
 def associate_by_domain(leads: DataFrame, companies: DataFrame) -> DataFrame:
     """Attach leads to known companies by normalised domain (left equi-join)."""
     l = leads.withColumn("domain", tx.normalize_domain("domain"))
@@ -104,5 +117,5 @@ def recent_submissions(submitted: DataFrame, k: int = 10) -> DataFrame:
 
 
 def listing_by_time(df: DataFrame, time_col: str, cols: list[str]) -> DataFrame:
-    """A full listing, newest first."""
-    return df.orderBy(F.col(time_col).desc()).select(*cols, tx.ts_string(time_col).alias(time_col))
+    """A full listing, newest first, ties by the listed columns."""
+    return df.orderBy(F.col(time_col).desc(), *cols).select(*cols, tx.ts_string(time_col).alias(time_col))

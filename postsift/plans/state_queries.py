@@ -85,6 +85,21 @@ def lookup_state(spark, d):
     return st.lookup_submission(b.candidates(spark, d), submitted(spark, d))
 
 
+@query("lookup_tried", "D4", ov.with_(ov.QUERY_LOG, TRIED) + """SELECT c.query, strftime(t.tried_at, '%Y-%m-%d %H:%M:%S') AS tried_at
+FROM (SELECT DISTINCT 'term_' || (c_custkey % 60) AS query FROM customer) c LEFT JOIN tried t ON t.query = c.query""")
+def lookup_tried(spark, d):
+    asked = b.read_table(spark, d, "customer").select(F.concat(F.lit(" term_"), (F.col("c_custkey") % 60).cast("string")).alias("query")).distinct()
+    return st.lookup_tried(asked, tried(spark, d)).select("query", tx.ts_string("tried_at").alias("tried_at"))
+
+
+@query("lookup_progress", "D4", WP + """SELECT c.source, coalesce(m.entries, '') AS entries
+FROM (SELECT DISTINCT 'dir' || (s_suppkey % 9) AS source FROM supplier) c
+LEFT JOIN (SELECT source, string_agg(key || '=' || value, ',' ORDER BY key || '=' || value) AS entries FROM merged GROUP BY source) m USING (source)""")
+def lookup_progress(spark, d):
+    asked = b.read_table(spark, d, "supplier").select(F.concat(F.lit("dir"), (F.col("s_suppkey") % 9).cast("string")).alias("source")).distinct()
+    return st.lookup_progress(asked, merged(spark, d)).select("source", F.array_join("entries", ",").alias("entries"))
+
+
 @query("associate_by_domain", "D5", ov.with_(ov.SUBMISSIONS, SUBMITTED, ov.CANDIDATES) + """SELECT s.domain, s.lead_id, c.kind, c.seq AS company_seq, c.segment
 FROM submitted s LEFT JOIN candidates c ON c.domain = s.domain""")
 def associate_by_domain(spark, d):
@@ -115,11 +130,11 @@ def recent_submissions(spark, d):
     return st.recent_submissions(submitted(spark, d))
 
 
-@query("queries_by_time", "G3", WT + "SELECT query, strftime(tried_at, '%Y-%m-%d %H:%M:%S') AS tried_at FROM tried ORDER BY tried_at DESC")
+@query("queries_by_time", "G3", WT + "SELECT query, strftime(tried_at, '%Y-%m-%d %H:%M:%S') AS tried_at FROM tried ORDER BY tried_at DESC, query")
 def queries_by_time(spark, d):
     return st.listing_by_time(tried(spark, d), "tried_at", ["query"])
 
 
-@query("submitted_by_time", "G3", WS + """SELECT domain, company, strftime(submitted_at, '%Y-%m-%d %H:%M:%S') AS submitted_at FROM submitted ORDER BY submitted_at DESC""")
+@query("submitted_by_time", "G3", WS + """SELECT domain, company, strftime(submitted_at, '%Y-%m-%d %H:%M:%S') AS submitted_at FROM submitted ORDER BY submitted_at DESC, domain""")
 def submitted_by_time(spark, d):
     return st.listing_by_time(submitted(spark, d), "submitted_at", ["domain", "company"])

@@ -224,19 +224,21 @@ def selector_performance(spark, d):
     return at.selector_performance(att(spark, d))
 
 
-@query("postings_per_term", "E30", ov.with_(ov.ATTEMPTS, ov.POSTINGS) + """SELECT t.search_term, CAST(coalesce(c.n, 0) AS BIGINT) AS postings,
-  CASE WHEN coalesce(c.n, 0) >= 16 THEN 'ok' WHEN coalesce(c.n, 0) > 0 THEN 'warning' ELSE 'failed' END AS status
+@query("postings_per_term", "E30", ov.with_(ov.ATTEMPTS, ov.POSTINGS) + """SELECT *, CASE WHEN avg(postings) OVER () >= 16 THEN 'ok' WHEN avg(postings) OVER () > 0 THEN 'warning' ELSE 'failed' END AS status,
+  round(avg(postings) OVER (), 1) AS avg_postings FROM (
+SELECT t.search_term, CAST(coalesce(c.n, 0) AS BIGINT) AS postings
 FROM (SELECT DISTINCT search_term FROM attempts) t
-LEFT JOIN (SELECT search_term, count(*) AS n FROM postings GROUP BY search_term) c USING (search_term)""")
+LEFT JOIN (SELECT search_term, count(*) AS n FROM postings GROUP BY search_term) c USING (search_term))""")
 def postings_per_term(spark, d):
     return at.postings_per_term(att(spark, d), b.postings(spark, d), expected=20)
 
 
 @query("search_consistency", "E31", A + """SELECT site, searches, avg_ms, min_ms, max_ms, CAST(max_ms - min_ms AS BIGINT) AS spread_ms,
+  avg_fill, min_fill, max_fill, CAST(max_fill - min_fill AS BIGINT) AS fill_range,
   CASE WHEN (max_ms - min_ms) / avg_ms < 0.3 THEN 'consistent' WHEN (max_ms - min_ms) / avg_ms < 0.5 THEN 'moderate' ELSE 'variable' END AS timing_rating,
   CASE WHEN all_filled THEN 'reliable' WHEN avg_fill >= 60 THEN 'mostly_reliable' ELSE 'unreliable' END AS reliability
 FROM (SELECT site, CAST(count(*) AS BIGINT) AS searches, round(avg(duration_ms), 1) AS avg_ms, CAST(min(duration_ms) AS BIGINT) AS min_ms,
-  CAST(max(duration_ms) AS BIGINT) AS max_ms, round(avg(jobs_found), 1) AS avg_fill, bool_and(jobs_found >= 60) AS all_filled
+  CAST(max(duration_ms) AS BIGINT) AS max_ms, round(avg(jobs_found), 1) AS avg_fill, CAST(min(jobs_found) AS BIGINT) AS min_fill, CAST(max(jobs_found) AS BIGINT) AS max_fill, bool_and(jobs_found >= 60) AS all_filled
   FROM attempts WHERE success GROUP BY site)""")
 def search_consistency(spark, d):
     return at.search_consistency(att(spark, d))
