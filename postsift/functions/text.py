@@ -264,6 +264,11 @@ def error_status_code(message: ColumnOrName, status: ColumnOrName | None = None)
     return parsed if status is None else F.coalesce(_c(status).cast("int"), parsed)
 
 
+def error_context(exception_class: ColumnOrName, message: ColumnOrName, status: ColumnOrName | None = None) -> Column:
+    """Exception class and status code of an error; a missing class is NULL."""
+    return F.struct(F.nullif(_c(exception_class), F.lit("")).alias("exception_class"), error_status_code(message, status).alias("status_code"))
+
+
 def challenge_flag(message: ColumnOrName, browser: bool = False) -> Column:
     """Challenge seen in an error text (two word lists)."""
     words = CHALLENGE_WORDS_BROWSER if browser else CHALLENGE_WORDS_HTTP

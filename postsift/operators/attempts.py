@@ -200,14 +200,14 @@ def challenge_by_site(att: DataFrame) -> DataFrame:
 def search_errors(att: DataFrame) -> DataFrame:
     """Search errors: a failed, not blocked (run, term, site) search, typed by its last error."""
     p = term_site_pairs(att).filter(~F.col("ok") & ~F.col("was_blocked")).select("last_error_seq", "failed_attempts")
-    last = att.select("seq", "run_id", "search_term", "site", "error_type", "error_message", "error_raw", "ts")
+    last = att.select("seq", "run_id", "search_term", "site", "error_type", "error_message", "error_raw", "exception_class", "ts")
     return last.join(p, last["seq"] == p["last_error_seq"]).select(
         "run_id", "search_term", "site", "error_type",
         tx.truncate_text("error_message", 500).alias("error_message"),
         _i(F.col("failed_attempts")).alias("attempts"),
         tx.ts_string("ts").alias("timestamp"),
-        tx.error_status_code("error_raw").alias("status_code"),
-    )
+        tx.error_context("exception_class", "error_raw").alias("context"),
+    ).select("*", "context.*").drop("context")
 
 
 def error_summary(att: DataFrame) -> DataFrame:

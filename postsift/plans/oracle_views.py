@@ -102,6 +102,7 @@ attempts AS (
     CASE WHEN event_type = 'error' THEN {_classify_sql(sql_list(ERROR_TEXTS) + "[k % 6 + 1]")} END AS error_type,
     CASE WHEN event_type = 'error' THEN substr({MASK_SQL.format(x=sql_list(ERROR_TEXTS) + "[k % 6 + 1]")}, 1, 500) END AS error_message,
     CASE WHEN event_type = 'error' THEN {sql_list(ERROR_TEXTS)}[k % 6 + 1] END AS error_raw,
+    CASE WHEN event_type = 'error' THEN ['HTTPError', 'HTTPError', 'ReadTimeout', 'ConnectionError', 'HTTPError', 'ValueError'][k % 6 + 1] END AS exception_class,
     k % 7 = 0 AS challenge_detected,
     CASE WHEN k % 7 = 0 THEN (CASE k % 3 WHEN 1 THEN TRUE WHEN 2 THEN FALSE END) END AS challenge_solved,
     {sql_list(SELECTORS)}[1:(k % 4 + 1)] AS selectors_tried,

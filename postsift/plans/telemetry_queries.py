@@ -29,6 +29,7 @@ PAIRS = """pairs AS (
     arg_max(error_message, CASE WHEN NOT success THEN seq END) AS last_message,
     arg_max(error_raw, CASE WHEN NOT success THEN seq END) AS last_raw,
     arg_max(ts, CASE WHEN NOT success THEN seq END) AS last_ts,
+    arg_max(exception_class, CASE WHEN NOT success THEN seq END) AS last_class,
     count_if(NOT success) AS failed_attempts
   FROM attempts GROUP BY run_id, search_term, site)"""
 
@@ -135,7 +136,7 @@ def challenge_by_site(spark, d):
 
 
 SEARCH_ERRORS_SQL = ov.with_(ov.ATTEMPTS, PAIRS) + """SELECT run_id, search_term, site, last_type AS error_type, substr(last_message, 1, 500) AS error_message,
-  CAST(failed_attempts AS BIGINT) AS attempts, strftime(last_ts, '%Y-%m-%d %H:%M:%S') AS timestamp,
+  CAST(failed_attempts AS BIGINT) AS attempts, strftime(last_ts, '%Y-%m-%d %H:%M:%S') AS timestamp, last_class AS exception_class,
   CAST(nullif(regexp_extract(last_raw, '\\b([3-5]\\d{2})\\b', 1), '') AS INTEGER) AS status_code
 FROM pairs WHERE NOT ok AND NOT was_blocked"""
 

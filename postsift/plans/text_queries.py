@@ -126,14 +126,14 @@ def classify_error(spark, d):
     return a.select("seq", tx.classify_error("error_raw", cls).alias("error_type"))
 
 
-@query("error_status_code", "B14", A + """SELECT seq, CAST(nullif(regexp_extract(error_raw, '\\b([3-5]\\d{2})\\b', 1), '') AS INTEGER) AS from_text,
+@query("error_status_code", "B14", A + """SELECT seq, exception_class, CAST(nullif(regexp_extract(error_raw, '\\b([3-5]\\d{2})\\b', 1), '') AS INTEGER) AS from_text,
   coalesce(CAST(CASE WHEN seq % 2 = 0 THEN http_status END AS INTEGER), CAST(nullif(regexp_extract(error_raw, '\\b([3-5]\\d{2})\\b', 1), '') AS INTEGER)) AS status_code
 FROM attempts WHERE NOT success""")
 def error_status_code(spark, d):
     a = b.attempts(spark, d).filter(~F.col("success"))
     explicit = F.when(F.col("seq") % 2 == 0, F.col("http_status"))
-    return a.select("seq", tx.error_status_code("error_raw").alias("from_text"),
-                    tx.error_status_code("error_raw", explicit).alias("status_code"))
+    context = tx.error_context("exception_class", "error_raw", explicit)
+    return a.select("seq", tx.error_status_code("error_raw").alias("from_text"), context.alias("c")).select("seq", "from_text", "c.*")
 
 
 @query("challenge_flag", "B15", A + f"""SELECT seq, {ov.any_sql('lower(error_raw)', tx.CHALLENGE_WORDS_HTTP)} AS detected_http,

@@ -36,6 +36,8 @@ ERROR_TEXTS = (
     "Unexpected page layout, no results container",
 )
 ERROR_STATUS = (429, 403, None, None, 502, None)
+# exception classes by k % 6
+ERROR_CLASSES = ("HTTPError", "HTTPError", "ReadTimeout", "ConnectionError", "HTTPError", "ValueError")
 SELECTORS = ("div.job-card", "article.result", "li.listing", "ul.jobs li")
 PROGRESS_KEYS = ("status", "last_page", "companies_submitted")
 PROGRESS_STATUS = ("in_progress", "done")
@@ -119,6 +121,7 @@ def attempts_from(e: DataFrame) -> DataFrame:
         # mask first, then cut to 500 characters
         f"substring({tx.mask_credentials_sql(raw)}, 1, 500) AS error_message",
         f"{raw} AS error_raw",
+        f"CASE WHEN event_type = 'error' AND k IS NOT NULL THEN element_at({_arr(ERROR_CLASSES)}, CAST(k % 6 + 1 AS INT)) END AS exception_class",
         "k % 7 = 0 AS challenge_detected",
         "CASE WHEN k % 7 = 0 THEN (CASE WHEN k % 3 = 1 THEN true WHEN k % 3 = 2 THEN false END) END AS challenge_solved",
         f"slice({_arr(SELECTORS)}, 1, CAST(k % 4 + 1 AS INT)) AS selectors_tried",
