@@ -12,7 +12,7 @@ words seldom passes: the sum of what lies beyond and the number of such words,
 both in logarithms and set against the logarithm of the number of distinct
 words, so that length is normalised by a fitted power and an abusive passage
 in a long document counts. A logistic curve over these gives the score; it is
-fitted on a bounded sample (the ``calibration`` smallest hashes) of an eighth
+fitted on a bounded sample (about ``calibration`` rows, by hash) of an eighth
 of the labelled rows that the models do not count.
 
 Defined cases: null and empty texts and texts without letters have no evidence
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import kneser_ney as kn
-from .common import text_or_empty
+from .common import about, text_or_empty
 from .language import logistic
 
 ORDER, BITS, SHARED = 5, 12, 4
@@ -76,9 +76,9 @@ def fit(labelled: DataFrame, entries: int = 1 << 20, calibration: int = 20_000):
     model = kn.fit(kn.count_ngrams(rows.where(~kept_back), ORDER, BITS), ORDER, BITS, SHARED, entries)
     if model is None or model.groups != ["0", "1"]:
         return None
-    sample = rows.where(kept_back).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(calibration)
+    sample = about(rows.where(kept_back), calibration, "doc_id")
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    found = _evidence(sample.select(F.col("grp").alias("key"), "text"), shared).collect()  # at most ``calibration`` rows
+    found = _evidence(sample.select(F.col("grp").alias("key"), "text"), shared).collect()  # about ``calibration`` rows at most
     if len({r["key"] for r in found}) < 2:
         return None
     x = np.array([[1.0, *(r[c] for c in FEATURES)] for r in found])
@@ -87,8 +87,9 @@ def fit(labelled: DataFrame, entries: int = 1 << 20, calibration: int = 20_000):
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(
-        labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic"), "doc_id")
+    """Documents with their labels. Labels grow with the corpus, so the join is a merge join at every size."""
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").hint("merge")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(known, "doc_id")
 
 
 def score(docs: DataFrame, learned, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
