@@ -63,7 +63,9 @@ def _validate_items(items: DataFrame) -> DataFrame:
         raise ValueError("Item 0 missing required field 'label'")
     label_type = dict(items.dtypes)["label"]
     if label_type != "boolean":
-        raise ValueError(f"Items field 'label' must be boolean, found {label_type}")
+        is_bool = F.coalesce(F.lower(F.col("label").cast("string")).isin("true", "false"), F.lit(False))
+        first = items.filter(~is_bool).agg(F.min("idx").alias("i")).first()["i"]
+        raise ValueError(f"Item {0 if first is None else first} field 'label' must be boolean, found {label_type}")
     bad = items.filter(F.col("description").isNull() | F.col("label").isNull()).agg(F.min("idx").alias("i")).first()
     if bad is not None and bad["i"] is not None:
         raise ValueError(f"Item {bad['i']} missing required field 'description' or 'label'")

@@ -27,6 +27,9 @@ def test_read_labelled_rejects_non_boolean_label(spark, tmp_dir):
     p = write(f"{tmp_dir}/bad.json", {"items": [{"description": "x", "label": "yes"}]})
     with pytest.raises(ValueError, match="boolean"):
         fs.read_labelled(spark, p)
+    p1 = write(f"{tmp_dir}/bad1.json", {"items": [{"description": "x", "label": True}, {"description": "y", "label": "maybe"}]})
+    with pytest.raises(ValueError, match="Item 1 field 'label'"):
+        fs.read_labelled(spark, p1)
     p2 = write(f"{tmp_dir}/bad2.json", {"items": [{"description": "x", "label": True}, {"label": False}]})
     with pytest.raises(ValueError, match="Item 1"):
         fs.read_labelled(spark, p2)
