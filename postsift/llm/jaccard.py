@@ -6,10 +6,11 @@ their sets reaches the threshold; the join returns each document's component.
 
 1. Equal sets are one class (a 64-bit hash of the set), however many copies.
 2. Groups of similar classes: classes that share a minimum under one of four
-   hash functions are compared with four members of that bucket (its smallest,
-   its largest and two others by hash, all plain aggregates); each class keeps
-   its two best by sketch, these are verified on the full sets, and verified
-   links make groups. Work is linear in the classes, whatever a bucket's size.
+   hash functions are compared with eight members of that bucket (the smallest
+   under eight hashes, plain aggregates), if they meet in two buckets at least;
+   each class keeps its two best by sketch, these are verified on the full sets,
+   and verified links make groups. Work is linear in the classes, whatever a
+   bucket's size.
 3. Token-group matrix: one row for each token and each group whose union of
    members' prefixes has it. With sets in a common token order, two sets that
    reach the threshold share at least k tokens of their first
@@ -18,11 +19,12 @@ their sets reaches the threshold; the join returns each document's component.
    The order puts frequent tokens last (frequent in a sixteenth of the
    documents, kept as a fixed-size bitmap): common passages stay out of the
    prefixes. The order has no influence on the result, only on the work.
-4. Only the qualifying groups are opened: the classes of the smaller group are
-   held against those of the larger one by size and by sketches (the 64
-   smallest hashes; a linked pair shares fewer than 22 of them with a
-   probability below 1e-11) inside the join, and what is left is verified on
-   the full sets.
+4. Only the qualifying groups are opened: the classes of the smaller group
+   query the larger one. A semi join by size and by sketches (the 64 smallest
+   hashes; a linked pair shares fewer than 22 of them with a probability below
+   1e-11) keeps the queries that may be linked. Their full sets meet the members'
+   full sets in blocks of bounded size, and one link for each query and block is
+   returned: the members are one component already, so no pairs are listed.
 5. Verified links, inside groups and between them, make the components.
 
 Full sets are rebuilt from the texts for the verified pairs only; a fixed-size
@@ -52,8 +54,11 @@ from .components import components
 
 SKETCH, SKETCH_LEAST = 64, 22
 KEYS = 4
+PIVOTS = 8
 EXTRA = 0.05
 BITMAP = 1 << 22
+BLOCK = 256  # classes on either side of a block of the final comparison
+SLICE = 1000  # rows handled at a time by the tasks that build sets
 HOT_SHARE, HOT_LEAST = 16, 5
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _TURNS = [np.uint64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
@@ -63,7 +68,7 @@ class WordHashes(dict):
     """64-bit hashes of words, kept while there is room."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -83,6 +88,12 @@ def shingle_set(text: str, size: int, known: WordHashes) -> np.ndarray:
     return np.unique(out)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def class_key(tokens: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(tokens.tobytes())).astype(np.int64))
 
@@ -100,7 +111,7 @@ def signatures(rows: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
-        for batch in batches:
+        for batch in _slices(batches):
             n, ck, sketch, minima = [], [], [], []
             for text in batch.column(3):
                 s = shingle_set(text.as_py(), size, known)
@@ -134,7 +145,7 @@ def full_sets(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, bitmap = WordHashes(), shared.value
-        for batch in batches:
+        for batch in _slices(batches):
             held = _held(bitmap, batch.column(2).to_numpy())
             part = batch.filter(pa.array(held))
             rid, ck, tokens = [], [], []
@@ -170,13 +181,21 @@ def linked(rows: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, per
 
 
 def similar_pairs(classes: DataFrame) -> DataFrame:
-    """For each class its two most similar among four members of each bucket of a shared minimum."""
+    """For each class its two most similar among ``PIVOTS`` members of each bucket of a shared minimum.
+
+    A pivot is the bucket's smallest class under one of as many hashes, the same in all buckets, so a class
+    meets the pivots of its likes in several buckets; only those it meets at least twice are compared.
+    """
     keyed = classes.select("ck", F.posexplode(F.array(*[f"m{i}" for i in range(KEYS)])).alias("i", "m"))
-    spread = [F.xxhash64("ck", F.lit(k)) for k in (1, 2)]
+    pivots = [f"p{k}" for k in range(PIVOTS)]
     buckets = keyed.groupBy("i", "m").agg(
-        F.count(F.lit(1)).alias("size"), F.min("ck").alias("p0"), F.max("ck").alias("p1"),
-        *[F.min_by("ck", h).alias(f"p{k + 2}") for k, h in enumerate(spread)]).where("size > 1")
-    pairs = keyed.join(buckets, ["i", "m"]).select("ck", F.explode(F.array("p0", "p1", "p2", "p3")).alias("p")).where("ck <> p").distinct()
+        F.count(F.lit(1)).alias("size"), *[F.min(F.xxhash64("ck", F.lit(k))).alias(p) for k, p in enumerate(pivots)]).where("size > 1")
+    of = keyed.join(buckets, ["i", "m"]).select("ck", "i", F.posexplode(F.array(*pivots)).alias("k", "h"))
+    named = F.expr("CASE k " + " ".join(f"WHEN {k} THEN xxhash64(ck, {k})" for k in range(PIVOTS)) + " END")
+    pivot = of.withColumn("own", named)
+    is_pivot = pivot.where("own = h").select(F.col("ck").alias("p"), "k", "h").distinct()
+    met = of.groupBy("ck", "k", "h").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    pairs = met.join(is_pivot, ["k", "h"]).where("ck <> p").select("ck", "p").distinct()
     mine = classes.select("ck", "n", "sketch")
     other = classes.select(F.col("ck").alias("p"), F.col("n").alias("pn"), F.col("sketch").alias("psketch"))
     likely = pairs.join(mine, "ck").join(other, "p").select("ck", "p", _shared_sketch().alias("common"), F.least(F.size("sketch"), F.size("psketch")).alias("least"))
@@ -207,7 +226,7 @@ def prefixes(rows: DataFrame, size: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, hot, met = WordHashes(), shared.value, set()
-        for batch in batches:
+        for batch in _slices(batches):
             keys, sizes, tokens = [], [], []
             for text in batch.column(0):
                 s = shingle_set(text.as_py(), size, known)
@@ -237,18 +256,53 @@ def group_pairs(prefix: DataFrame, groups: DataFrame, percent: int) -> DataFrame
     return counted.where(F.col("common") >= F.greatest(F.lit(1), F.floor(F.col("low") * EXTRA))).select("g", "h")
 
 
-def opened(pairs: DataFrame, classes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes of the paired groups that may be linked; the smaller group's classes query the larger group."""
-    members = classes.select("ck", "n", "sketch").join(groups.toDF("ck", "root"), "ck", "left").withColumn("grp", F.coalesce("root", "ck")).drop("root")
+def opened(rows: DataFrame, pairs: DataFrame, classes: DataFrame, groups: DataFrame, size: int, percent: int) -> DataFrame:
+    """Verified links (``a``, ``b``) between paired groups: the smaller group's classes query the larger group.
+
+    A query is kept if some member may be linked (a semi join on sizes and sketches); its full set
+    then meets the members' full sets in blocks of bounded size, which return one link for each query.
+    """
+    members = classes.select("ck", "rid", "n", "sketch").join(groups.toDF("ck", "root"), "ck", "left").withColumn("grp", F.coalesce("root", "ck")).drop("root")
     count = groups.groupBy("root").agg(F.count(F.lit(1)).alias("c"))
     sized = pairs.join(count.toDF("g", "gc"), "g", "left").join(count.toDF("h", "hc"), "h", "left")
     small = F.coalesce("gc", F.lit(1)) <= F.coalesce("hc", F.lit(1))
     asked = sized.select(F.when(small, F.col("g")).otherwise(F.col("h")).alias("grp"), F.when(small, F.col("h")).otherwise(F.col("g")).alias("into"))
-    queries = asked.join(members, "grp").select("into", F.col("ck").alias("a"), "n", "sketch")
-    held = members.select(F.col("grp").alias("into"), F.col("ck").alias("b"), F.col("n").alias("pn"), F.col("sketch").alias("psketch"))
+    queries = asked.join(members, "grp").select("into", F.col("ck").alias("a"), "rid", "n", "sketch")
+    held = members.select(F.col("grp").alias("of"), F.col("n").alias("pn"), F.col("sketch").alias("psketch"))
     alike = (F.col("n") * 100 >= F.col("pn") * percent) & (F.col("pn") * 100 >= F.col("n") * percent)
     enough = _shared_sketch() >= F.greatest(F.lit(1), F.floor(F.least(F.size("sketch"), F.size("psketch")) * SKETCH_LEAST / SKETCH))
-    return queries.alias("q").join(held.alias("d"), (F.col("q.into") == F.col("d.into")) & alike & enough).select("a", "b")
+    asking = store(queries.join(held, (F.col("into") == F.col("of")) & alike & enough, "left_semi").select("into", "a", "rid"), "jaccard-asking")
+    into = asking.groupBy("into").agg(F.count(F.lit(1)).alias("asked"))
+    answering = store(members.join(into, members["grp"] == into["into"]).select("into", F.col("ck").alias("b"), "rid", "asked"), "jaccard-answering")
+    wanted = asking.select(F.col("a").alias("ck"), "rid").union(answering.select("b", "rid")).distinct()
+    sets = store(full_sets(rows, store(wanted, "jaccard-wanted"), size), "jaccard-sets")
+    # blocks: at most about BLOCK queries against BLOCK members, spread by hash
+    parts = answering.groupBy("into").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("rows"), F.ceil(F.max("asked") / BLOCK).alias("cols"))
+    left = asking.join(parts, "into").join(sets.toDF("a", "tokens"), "a").select(
+        "into", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), F.pmod(F.xxhash64("a"), F.col("cols")).alias("j"), "a", "tokens")
+    right = answering.join(parts, "into").join(sets.toDF("b", "tokens"), "b").select(
+        "into", F.pmod(F.xxhash64("b"), F.col("rows")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("j"), "b", "tokens")
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        found_a, found_b = [], []
+        if left.num_rows and right.num_rows:
+            names = right.column("b").to_pylist()
+            sets_b = [np.frombuffer(t, np.uint64) for t in right.column("tokens").to_pylist()]
+            sizes = np.array([len(t) for t in sets_b])
+            owner, every = np.repeat(np.arange(len(sets_b)), sizes), np.concatenate(sets_b)
+            for a, t in zip(left.column("a").to_pylist(), left.column("tokens").to_pylist()):
+                t = np.frombuffer(t, np.uint64)
+                at = np.searchsorted(t, every)
+                at[at == len(t)] = 0
+                common = np.bincount(owner[t[at] == every], minlength=len(sets_b))
+                best = np.flatnonzero(100 * common >= percent * (sizes + len(t) - common))
+                if len(best):
+                    found_a.append(a)
+                    found_b.append(names[best[0]])
+        return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
+    keys = ["into", "i", "j"]
+    return store(left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "a long, b long"), "jaccard-opened")
 
 
 def join(docs: DataFrame, size: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -259,7 +313,7 @@ def join(docs: DataFrame, size: int = 5, percent: int = 75, id_col: str = "doc_i
     links = linked(rows, classes, store(similar_pairs(classes), "jaccard-similar"), size, percent)
     groups = components(links)
     candidates = store(group_pairs(prefixes(rows, size, percent), groups, percent), "jaccard-groups")
-    more = linked(rows, classes, store(opened(candidates, classes, groups, percent), "jaccard-opened"), size, percent)
+    more = opened(rows, candidates, classes, groups, size, percent)
     roots = components(links.union(more)).toDF("ck", "root")
     ids = signed.where("n > 0").groupBy("ck").agg(F.min("doc_id").alias("first")).join(roots, "ck", "left")
     ids = ids.select("ck", "first", F.coalesce("root", "ck").alias("root"))
