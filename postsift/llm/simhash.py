@@ -142,12 +142,13 @@ def with_next(docs: DataFrame, columns: list[str], id_col: str, text_col: str) -
     around = F.struct(F.lit(min(order, default=0)).alias("range"), _long(BELOW_ALL).alias("place"), F.lit(True).alias("copy"))
     largest = F.col("_at") == _long(max(heads.values(), default=0))
     places = F.filter(F.array(own, F.when(up["range"].isNotNull(), up), F.when(largest, around)), lambda x: x.isNotNull())
-    dealt = docs.select("*", at.alias("_at")).withColumn("_p", F.explode(places))
-    by_text = Window.partitionBy("_p.range").orderBy("_p.place", text_col)
-    before = F.lag("_p.place").over(by_text)
-    below = Window.partitionBy("_p.range").orderBy("_p.place").rangeBetween(Window.unboundedPreceding, -1)
-    firsts = dealt.withColumn("_first", F.when(before.isNull() | (before != F.col("_p.place")), F.struct(*columns)))
-    return firsts.withColumn("next", F.last("_first", ignorenulls=True).over(below)).where("NOT _p.copy").drop("_first", "_p", "_at")
+    dealt = docs.select("*", at.alias("_at")).select("*", F.inline(places).alias("_range", "_place", "_copy"))
+    # plain columns as keys, so that both windows use one shuffle
+    by_text = Window.partitionBy("_range").orderBy("_place", text_col)
+    before = F.lag("_place").over(by_text)
+    below = Window.partitionBy("_range").orderBy("_place").rangeBetween(Window.unboundedPreceding, -1)
+    firsts = dealt.withColumn("_first", F.when(before.isNull() | (before != F.col("_place")), F.struct(*columns)))
+    return firsts.withColumn("next", F.last("_first", ignorenulls=True).over(below)).where("NOT _copy").drop("_first", "_range", "_place", "_copy", "_at")
 
 
 def _long(n: int) -> Column:
