@@ -11,29 +11,42 @@ bits. Lower orders use continuation counts (distinct characters to the left);
 orders up to ``shared`` are counted over all groups together and back off all
 groups alike.
 
-What scoring needs is broadcast, so its size has a bound: an n-gram is kept
-for a group if its share of the group's counts of that order is at least
-``groups / entries``, hence at most ``entries`` per order in all, whatever the
-size of the corpus. The weight of what is left out goes to the lower order, so
-every distribution still sums to one.
+Scoring uses all counts (``Tables``), which stay stored and grow with the
+corpus: the n-grams of the distinct words to be scored meet the count tables
+level by level in joins, a join key never having more rows than there are
+symbols; their logarithms are summed per word. Broadcast are only the finished
+values of frequent words (at most ``cache``, by share of all tokens); the other
+words of a text are joined with the word table, so the cache changes no value. Words whose
+values are all zero are left out of table and sums; a filter of fixed size over
+the table's words keeps most of them from the join, which decides.
+
+``fit`` gives a bounded extract as arrays on the driver, for looking at a
+model: an n-gram is kept for a group if its share of the group's counts of that
+order is at least ``groups / entries``, hence at most ``entries`` per order in
+all. The weight of what is left out goes to the lower order, so every
+distribution still sums to one. No operator scores with it.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import store
 
 WORD = re.compile(r"[^\W\d_]+")
 FLUSH_WORDS = 200_000
+LONGEST_CACHED = 64
+FILTER_BITS = 24
 
 
 def words_of(text: str) -> list[str]:
@@ -142,9 +155,26 @@ def _arrays(table: pa.Table, groups: list[str], name: str, value: str, default:
     return distinct, out
 
 
-def fit(counts: DataFrame, order: int, bits: int, shared: int = 0, entries: int = 1 << 19) -> Model | None:
-    """The model of all groups in ``counts``; None if there are no counts."""
-    spark = counts.sparkSession
+@dataclass
+class Tables:
+    """The stored counts of every order (``grp, g, c``; ``grp`` is null for orders counted over all groups)
+    and the discount of each order and group."""
+
+    order: int
+    bits: int
+    shared: int
+    groups: list[str]
+    levels: dict[int, DataFrame]
+    discounts: dict[int, dict[str | None, float]]
+
+
+def _discount() -> Column:
+    n1, n2 = F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)
+    return F.when((n1 > 0) & (n2 > 0), n1 / (n1 + 2 * n2)).otherwise(0.75)
+
+
+def tables(counts: DataFrame, order: int, bits: int, shared: int = 0) -> Tables | None:
+    """All counts of all groups in ``counts``, stored; None if there are no counts."""
     level = {order: store(counts, "ngram-counts")}
     groups = sorted(r["grp"] for r in level[order].select("grp").distinct().collect())
     if not groups:
@@ -154,16 +184,174 @@ def fit(counts: DataFrame, order: int, bits: int, shared: int = 0, entries: int
         if k == shared:  # distinct over all groups together
             above = above.select(F.lit(None).cast("string").alias("grp"), "g").distinct()
         mask = F.lit((1 << (bits * k)) - 1).cast("long")
-        level[k] = above.groupBy("grp", F.col("g").bitwiseAND(mask).alias("g")).agg(F.count(F.lit(1)).alias("c"))
-        if k == order - 1:
-            level[k] = store(level[k], "ngram-continuations")
+        level[k] = store(above.groupBy("grp", F.col("g").bitwiseAND(mask).alias("g")).agg(F.count(F.lit(1)).alias("c")), "ngram-continuations")
+    discounts = {k: {r["grp"]: r["d"] for r in rows.groupBy("grp").agg(_discount().alias("d")).collect()} for k, rows in level.items()}  # a row per group
+    return Tables(order, bits, shared, groups, level, discounts)
+
+
+def probabilities(model: Tables, wanted: DataFrame) -> DataFrame:
+    """``g, p0, p1, ...``: the probability of each distinct n-gram key ``g`` of ``wanted`` in every group, from all counts."""
+    below = None
+    for k in range(1, model.order + 1):
+        grps = model.groups if k > model.shared else [None]
+        size = range(len(grps))
+        mask = F.lit((1 << (model.bits * k)) - 1).cast("long")
+        seen = model.levels[k].select("g", *[F.when(F.col("grp").eqNullSafe(F.lit(x)), F.col("c")).otherwise(0).alias(f"c{i}") for i, x in enumerate(grps)], F.lit(False).alias("wanted"))
+        asked = wanted.select(F.col("g").bitwiseAND(mask).alias("g")).distinct().select("g", *[F.lit(0).cast("long").alias(f"c{i}") for i in size], F.lit(True).alias("wanted"))
+        context = F.shiftright("g", model.bits) if k > 1 else F.lit(0).cast("long")
+        rows = seen.unionByName(asked).withColumn("ctx", context).repartition("ctx")  # a context has at most 2^bits n-grams
+        rows = rows.groupBy("ctx", "g").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in size], F.max("wanted").alias("wanted"))
+        own = Window.partitionBy("ctx")
+        rows = rows.select("g", "wanted", *[f"c{i}" for i in size], *[F.sum(f"c{i}").over(own).alias(f"t{i}") for i in size], *[F.count_if(F.col(f"c{i}") > 0).over(own).alias(f"n{i}") for i in size])
+        discounts = [model.discounts[k].get(x, 0.75) for x in grps]
+        rows = rows.where("wanted").select(
+            "g",
+            *[F.when(F.col(f"c{i}") > 0, (F.col(f"c{i}") - d) / F.col(f"t{i}")).otherwise(0.0).alias(f"a{i}") for i, d in enumerate(discounts)],
+            *[F.when(F.col(f"t{i}") > 0, F.col(f"n{i}") * d / F.col(f"t{i}")).otherwise(1.0).alias(f"r{i}") for i, d in enumerate(discounts)])
+        if below is None:
+            lower = [F.lit(1.0 / (1 << model.bits))] * len(grps)
+        else:
+            low = F.lit((1 << (model.bits * (k - 1))) - 1).cast("long")
+            rows = rows.join(below.withColumnRenamed("g", "low"), F.col("g").bitwiseAND(low) == F.col("low"))
+            lower = [F.col(f"p{i if k - 1 > model.shared else 0}") for i in size]
+        below = rows.select("g", *[(F.col(f"a{i}") + F.col(f"r{i}") * lower[i]).alias(f"p{i}") for i in size])
+    if model.shared >= model.order:
+        below = below.select("g", *[F.col("p0").alias(f"p{i}") for i in range(len(model.groups))])
+    return below
+
+
+def word_key(word: str) -> bytes:
+    return hashlib.md5(word.encode("utf-8", "surrogatepass"), usedforsecurity=False).digest()
+
+
+def vocabulary(texts: DataFrame) -> DataFrame:
+    """``w, word, n``: each distinct word of the column ``text`` with its 128-bit key and its number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+
+        def flush() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(map(word_key, seen), pa.binary()), pa.array(list(seen), pa.string()), pa.array(seen.values(), pa.int64())], ["w", "word", "n"])
+            seen.clear()
+            return out
+
+        for batch in batches:
+            for text in batch.column(0):
+                seen.update(words_of(text.as_py()))
+                if len(seen) > FLUSH_WORDS:
+                    yield flush()
+        if seen:
+            yield flush()
+
+    found = texts.select("text").mapInArrow(run, "w binary, word string, n long")
+    return found.groupBy("w").agg(F.first("word").alias("word"), F.sum("n").alias("n"))
+
+
+def _word_ngrams(words: DataFrame, order: int, bits: int, chars: int = 500_000) -> DataFrame:
+    """``id, g``: a row per character of each word of (id, word)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, words, size = [], [], 0
+            for i, (key, word) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                keys.append(key)
+                words.append(word)
+                size += len(word)
+                if size >= chars or i == batch.num_rows - 1:
+                    g, index = ngrams(words, order, bits)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.int64)[index]), pa.array(g)], ["id", "g"])
+                    keys, words, size = [], [], 0
+
+    return words.select("id", "word").mapInArrow(run, "id long, g long")
+
+
+def word_table(model: Tables, texts: DataFrame, values: Callable[[list[Column]], list[Column]], cache: int) -> DataFrame:
+    """``w, word, v`` for every distinct word of ``texts`` whose values are not all zero, stored: ``values`` of its log-likelihoods, one per group.
+
+    ``word`` is null but for words to broadcast: those with at least a ``cache``-th of all tokens.
+    """
+    words = store(vocabulary(texts).withColumn("id", F.monotonically_increasing_id()), "words")
+    total = words.agg(F.sum("n")).first()[0] or 0
+    keys = _word_ngrams(words, model.order, model.bits)
+    wanted = store(keys.select("g").distinct(), "word-ngrams")
+    logs = [F.sum(F.log(f"p{i}")).alias(f"l{i}") for i in range(len(model.groups))]
+    scored = keys.join(probabilities(model, wanted), "g").groupBy("id").agg(*logs)
+    frequent = (F.col("n") * cache >= total) & (F.length("word") <= LONGEST_CACHED)
+    named = words.select("id", "w", F.when(frequent, F.col("word")).alias("word"))
+    out = scored.join(named, "id").select("w", "word", F.array(*values([F.col(f"l{i}") for i in range(len(model.groups))])).alias("v"))
+    return store(out.where(F.exists("v", lambda x: x != 0)), "word-values")
+
+
+def _filter(words: DataFrame) -> np.ndarray:
+    """Bitmap of 2^FILTER_BITS bits with two bits set for each key ``w`` (see ``_passes``)."""
+    at = F.explode(F.array(*[F.conv(F.hex(F.substring("w", start, FILTER_BITS // 8)), 16, 10).cast("long") for start in (1, 1 + FILTER_BITS // 8)]))
+    bits = words.select(at.alias("at")).select(F.shiftright("at", 6).alias("cell"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit"))
+    cells = bits.groupBy("cell").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2^(FILTER_BITS - 6) rows
+    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    out[cells.column("cell").to_numpy()] = cells.column("bits").to_numpy()
+    return out
+
+
+def _passes(bitmap: np.ndarray, keys: list[bytes]) -> np.ndarray:
+    size = FILTER_BITS // 8
+    raw = np.frombuffer(b"".join(keys), np.uint8).reshape(len(keys), 16)[:, :2 * size].reshape(len(keys), 2, size).astype(np.int64)
+    at = raw @ (1 << (8 * np.arange(size - 1, -1, -1)))
+    return ((bitmap[at >> 6] >> (at & 63)) & 1).all(axis=1)
+
+
+def sum_words(rows: DataFrame, model: Tables, values: Callable[[list[Column]], list[Column]], size: int, distinct: bool, cache: int = 1 << 17) -> DataFrame:
+    """``key, words, chars, sums`` per row of (key, text): the ``size`` values of its words summed (of its distinct words
+    if ``distinct``), the number of these words and of their characters with end marks.
+
+    Values of words outside the broadcast cache come by a join with the word table.
+    """
+    known = word_table(model, rows, values, cache)
+    frequent = known.where(F.col("word").isNotNull()).toArrow()  # at most ``cache`` rows
+    at = {w: i for i, w in enumerate(frequent.column("word").to_pylist())}
+    matrix = np.array(frequent.column("v").to_pylist(), np.float64).reshape(-1, size)
+    shared = rows.sparkSession.sparkContext.broadcast((at, matrix, _filter(known.where(F.col("word").isNull()))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, matrix, bitmap = shared.value
+        for batch in batches:
+            number, chars, sums, rest = [], [], [], []
+            for text in batch.column(1):
+                words = Counter(words_of(text.as_py()))
+                if distinct:
+                    words = dict.fromkeys(words, 1)
+                hit = [(at[w], n) for w, n in words.items() if w in at]
+                index, times = np.array(hit, np.int64).reshape(-1, 2).T
+                number.append(sum(words.values()))
+                chars.append(sum((len(w) + 1) * n for w, n in words.items()))
+                sums.append(times @ matrix[index])
+                others = [(word_key(w), n) for w, n in words.items() if w not in at]
+                hit = _passes(bitmap, [w for w, _ in others])
+                rest.append([{"w": w, "n": n} for (w, n), h in zip(others, hit) if h])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(number, pa.int64()), pa.array(chars, pa.int64()), pa.array(sums, pa.list_(pa.float64())),
+                 pa.array(rest, pa.list_(pa.struct([("w", pa.binary()), ("n", pa.int64())])))], ["key", "words", "chars", "sums", "rest"])
+
+    schema = T.StructType([rows.schema["key"], *T.StructType.fromDDL("words long, chars long, sums array<double>, rest array<struct<w: binary, n: long>>").fields])
+    parts = store(rows.select("key", "text").mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "text-values")
+    open_words = parts.select("row", F.explode("rest").alias("x")).select("row", "x.w", "x.n").join(known.select("w", "v"), "w")
+    more = open_words.groupBy("row").agg(*[F.sum(F.col("n") * F.col("v")[i]).alias(f"m{i}") for i in range(size)])
+    total = F.array(*[F.col("sums")[i] + F.coalesce(F.col(f"m{i}"), F.lit(0.0)) for i in range(size)])
+    return parts.drop("rest").join(more, "row", "left").select("key", "words", "chars", total.alias("sums"))
+
+
+def fit(counts: DataFrame, order: int, bits: int, shared: int = 0, entries: int = 1 << 19) -> Model | None:
+    """The bounded extract of all groups in ``counts``; None if there are no counts."""
+    stored = tables(counts, order, bits, shared)
+    if stored is None:
+        return None
+    groups, level = stored.groups, stored.levels
     model = Model(order, bits, groups)
     least = len(groups) / entries
     for k in range(1, order + 1):
         context = F.shiftright("g", bits) if k > 1 else F.lit(0).cast("long")
         rows = level[k].withColumn("ctx", context)
-        stats = rows.groupBy("grp").agg(F.sum("c").alias("all"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2"))
-        stats = stats.select(F.col("grp").alias("s_grp"), "all", F.when((F.col("n1") > 0) & (F.col("n2") > 0), F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(0.75).alias("d"))
+        stats = rows.groupBy(F.col("grp").alias("s_grp")).agg(F.sum("c").alias("all"), _discount().alias("d"))
         totals = rows.groupBy("grp", "ctx").agg(F.sum("c").alias("total")).withColumnsRenamed({"grp": "t_grp", "ctx": "t_ctx"})
         kept = rows.join(F.broadcast(stats), F.col("grp").eqNullSafe(F.col("s_grp"))).where(F.col("c") >= F.col("all") * least)  # a row per group
         kept = kept.join(totals, F.col("grp").eqNullSafe(F.col("t_grp")) & (F.col("ctx") == F.col("t_ctx")))
@@ -178,45 +366,4 @@ def fit(counts: DataFrame, order: int, bits: int, shared: int = 0, entries: int
         model.contexts.append(contexts)
         model.rest.append(np.clip(rest, 1e-6, 1.0))
     model.uniform = 1.0 / (1 << bits)
-    del spark
     return model
-
-
-class WordScores(dict):
-    """Row of each word in a matrix of log-likelihoods (one column per group), computed for many new words at once."""
-
-    def __init__(self, model: Model, keep: int = 300_000, longest: int = 64):
-        super().__init__()
-        self.model, self.keep, self.longest = model, keep, longest
-        self.rows = np.zeros((0, len(model.groups)), np.float32)
-
-    def _likelihoods(self, words: list[str]) -> np.ndarray:
-        keys, index = ngrams(words, self.model.order, self.model.bits)
-        distinct, inverse = np.unique(keys, return_inverse=True)
-        logs = self.model.log_probabilities(distinct)
-        return np.stack([np.bincount(index, weights=logs[inverse, g], minlength=len(words)) for g in range(logs.shape[1])], axis=1)
-
-    def score(self, words: list[str]) -> np.ndarray:
-        """Log-likelihoods, one row per word."""
-        if len(self) > self.keep:
-            self.clear()
-            self.rows = self.rows[:0]
-        missing = list(set(words).difference(self))
-        if missing:
-            at = len(self.rows)
-            self.update(zip(missing, range(at, at + len(missing))))
-            self.rows = np.concatenate([self.rows, self._likelihoods(missing).astype(np.float32)])
-        return self.rows[np.fromiter(map(self.__getitem__, words), np.int64, len(words))]
-
-
-def slices(texts: Iterable[str], chars: int = 2_000_000) -> Iterator[list[list[str]]]:
-    """Words of consecutive texts, in lists of texts of about ``chars`` characters."""
-    out, size = [], 0
-    for t in texts:
-        out.append(words_of(t))
-        size += len(t)
-        if size >= chars:
-            yield out
-            out, size = [], 0
-    if out:
-        yield out

@@ -25,16 +25,12 @@ columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import kneser_ney as kn
-from .common import about, text_or_empty
+from .common import about, store, text_or_empty
 from .language import logistic
 
 ORDER, BITS, SHARED = 5, 12, 4
@@ -42,48 +38,47 @@ BEYOND = 3.0
 FEATURES = ("excess", "strong", "size")
 
 
-def _evidence(rows: DataFrame, shared) -> DataFrame:
-    """``key, excess, strong, size`` per row of (key, text); the key may be a struct of a whole row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        toxic, plain = model.groups.index("1"), model.groups.index("0")
-        scorer = kn.WordScores(model)
-        for batch in batches:
-            found = []
-            for texts in kn.slices(t.as_py() for t in batch.column(1)):
-                distinct = [list(dict.fromkeys(words)) for words in texts]
-                matrix = scorer.score([w for words in distinct for w in words]).astype(np.float64)
-                evidence = matrix[:, toxic] - matrix[:, plain]
-                at = 0
-                for words in distinct:
-                    beyond = evidence[at:at + len(words)] - BEYOND
-                    at += len(words)
-                    beyond = beyond[beyond > 0]
-                    found.append((float(beyond.sum()), len(beyond), len(words)))
-            columns = np.log1p(np.array(found, np.float64).reshape(-1, 3)).T
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c) for c in columns]], ["key", *FEATURES])
-
-    schema = T.StructType([rows.schema["key"], *[T.StructField(c, T.DoubleType()) for c in FEATURES]])
-    return rows.select("key", "text").mapInArrow(run, schema)
-
-
-def fit(labelled: DataFrame, entries: int = 1 << 20, calibration: int = 20_000):
-    """Models and curve from ``labelled`` (columns ``doc_id``, ``text``, ``toxic``); None without both classes."""
+def _beyond(logs: list[Column], groups: list[str]) -> list[Column]:
+    beyond = logs[groups.index("1")] - logs[groups.index("0")] - BEYOND
+    return [F.greatest(beyond, F.lit(0.0)), (beyond > 0).cast("double")]
+
+
+def _evidence(rows: DataFrame, model: kn.Tables) -> DataFrame:
+    """``key, excess, strong, size`` per row of (key, text)."""
+    found = kn.sum_words(rows, model, lambda logs: _beyond(logs, model.groups), 2, distinct=True)
+    return found.select("key", F.log1p(F.col("sums")[0]).alias("excess"), F.log1p(F.col("sums")[1]).alias("strong"), F.log1p("words").alias("size"))
+
+
+def fit(labelled: DataFrame, calibration: int = 20_000):
+    """Counts and the curve's sample (``label, text``) from ``labelled`` (columns ``doc_id``, ``text``, ``toxic``); None without both classes."""
     rows = labelled.where(F.col("toxic").isin(0, 1)).select(
         F.col("doc_id"), text_or_empty("text").alias("text"), F.col("toxic").cast("int").cast("string").alias("grp"))
     kept_back = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(8)) == 0
-    model = kn.fit(kn.count_ngrams(rows.where(~kept_back), ORDER, BITS), ORDER, BITS, SHARED, entries)
+    model = kn.tables(kn.count_ngrams(rows.where(~kept_back), ORDER, BITS), ORDER, BITS, SHARED)
     if model is None or model.groups != ["0", "1"]:
         return None
-    sample = about(rows.where(kept_back), calibration, "doc_id")
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-    found = _evidence(sample.select(F.col("grp").alias("key"), "text"), shared).collect()  # about ``calibration`` rows at most
-    if len({r["key"] for r in found}) < 2:
+    sample = store(about(rows.where(kept_back), calibration, "doc_id").select(F.col("grp").alias("label"), "text"), "toxicity-sample")
+    if sample.select("label").distinct().count() < 2:
         return None
-    x = np.array([[1.0, *(r[c] for c in FEATURES)] for r in found])
-    y = np.array([float(r["key"]) for r in found])
-    return shared, logistic(x, y, ridge=0.1)
+    return model, sample
+
+
+def _curve(found: DataFrame) -> np.ndarray:
+    rows = found.collect()  # about ``calibration`` rows at most
+    x = np.array([[1.0, *(r[c] for c in FEATURES)] for r in rows])
+    y = np.array([float(r["label"]) for r in rows])
+    return logistic(x, y, ridge=0.1)
+
+
+def _judged(rows: DataFrame, learned) -> DataFrame:
+    """``key, score`` per row of (key, text). The curve's sample is scored along, so the count tables are met once."""
+    model, sample = learned
+    kind = rows.schema["key"].dataType
+    both = rows.select(F.struct("key", F.lit(None).cast("string").alias("label")).alias("key"), "text").unionByName(
+        sample.select(F.struct(F.lit(None).cast(kind).alias("key"), "label").alias("key"), "text"))
+    found = store(_evidence(both, model).select("key.*", *FEATURES), "toxicity-evidence")
+    curve = _curve(found.where(F.col("label").isNotNull()))
+    return found.where(F.col("label").isNull()).select("key", _score(curve).alias("score"))
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -97,22 +92,21 @@ def score(docs: DataFrame, learned, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).cast("long").alias("key"), text_or_empty(text_col).alias("text"))
     if learned is None:
         return rows.select(F.col("key").alias("doc_id"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    shared, curve = learned
-    found = _evidence(rows, shared)
-    scored = found.select(F.col("key").alias("doc_id"), _score(curve).alias("score"))
+    scored = _judged(rows, learned).withColumnRenamed("key", "doc_id")
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
 def keep(docs: DataFrame, learned, text_col: str = "text") -> DataFrame:
-    """The documents that are not predicted toxic, with all their columns; nothing is shuffled."""
+    """The documents that are not predicted toxic, with all their columns. A prediction depends on the text alone,
+    so the toxic texts are taken out by their 128-bit hash."""
     if learned is None:
         return docs
-    shared, curve = learned
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("key"), text_or_empty(text_col).alias("text"))
-    found = _evidence(rows, shared)
-    return found.where(_score(curve) < 0.5).select("key.*")
+    key = F.unhex(F.md5(text_or_empty(text_col).cast("binary")))
+    toxic = _judged(docs.select(key.alias("key"), text_or_empty(text_col).alias("text")), learned).where("score >= 0.5").select("key").distinct()
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), key.alias("key"))
+    return rows.join(toxic, "key", "left_anti").select("row.*")
 
 
-def _score(curve: np.ndarray):
+def _score(curve: np.ndarray) -> Column:
     z = sum((F.col(c) * float(w) for c, w in zip(FEATURES, curve[1:])), F.lit(float(curve[0])))
     return 1.0 / (1.0 + F.exp(-z))

@@ -88,3 +88,34 @@ def test_toxicity_without_both_classes(table, spark):
     assert toxicity.fit(docs) is None
     assert [tuple(r) for r in toxicity.score(docs.limit(1), None).collect()][0][1:] == (0.0, 0)
     assert toxicity.score(spark.createDataFrame([], "doc_id long, text string"), None).count() == 0
+
+
+def test_scoring_uses_every_count(table):
+    """Values by joins equal those of the uncut arrays, with and without the cache, also of n-grams seen once."""
+    rows = texts(n=20) + [("aa", "zyxwv"), ("bb", "qqjk")]
+    counts = kn.count_ngrams(table(rows, "grp string, text string"), 3, 8)
+    words = ["zyxwv", "thesh", "schung", "unseen", "q"]
+    for shared in (0, 2):
+        full, stored = kn.fit(counts, 3, 8, shared), kn.tables(counts, 3, 8, shared)
+        keys, index = kn.ngrams(words, 3, 8)
+        logs = full.log_probabilities(keys)
+        want = np.stack([logs[index == i].sum(axis=0) for i in range(len(words))])
+        docs = table([(i, w) for i, w in enumerate(words)] + [(9, "zyxwv q 1 q"), (10, "")], "key long, text string")
+        for cache in (0, 1 << 17):
+            got = {r["key"]: r for r in kn.sum_words(docs, stored, lambda logs: logs, 2, distinct=False, cache=cache).collect()}
+            assert np.allclose([got[i]["sums"] for i in range(len(words))], want, rtol=1e-4)
+            assert np.allclose(got[9]["sums"], want[0] + 2 * want[4], rtol=1e-4) and got[9]["chars"] == 10 and got[10]["sums"] == [0.0, 0.0]
+
+
+def test_rare_toxic_expression_counts_in_a_large_table(table):
+    """An expression of two documents among 5-grams whose share is below 1 / 2^19 of the class still says something."""
+    rng = random.Random(4)
+    rows = [(f"{y}", " ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(3000))) for y in (0, 1) for _ in range(100)]
+    rows += [("1", "qxqxz")] * 2
+    counts = kn.count_ngrams(table(rows, "grp string, text string"), toxicity.ORDER, toxicity.BITS)
+    docs = table([(0, "qxqxz")], "key long, text string")
+    found = toxicity._evidence(docs, kn.tables(counts, toxicity.ORDER, toxicity.BITS, toxicity.SHARED)).first()
+    assert found["strong"] > 0
+    cut = kn.fit(counts, toxicity.ORDER, toxicity.BITS, toxicity.SHARED)
+    logs = cut.log_probabilities(kn.ngrams(["qxqxz"], toxicity.ORDER, toxicity.BITS)[0]).sum(axis=0)
+    assert logs[1] - logs[0] < toxicity.BEYOND  # what the bounded arrays say of it
