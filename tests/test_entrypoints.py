@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 from postsift.operators import attempts as at
 from postsift.operators import runstats as rs
 from postsift.operators import scoring as sc

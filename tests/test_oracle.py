@@ -2,12 +2,15 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 from oracle_check import compare, duck
 
+import __spark_entry__
 from __spark_entry__ import entry, oracle_sql, queries
+from postsift.plans.registry import load_all
 
-KEYS = sorted(queries())
+# The optional subpackage's keys have tests of their own in tests/llm.
+KEYS = sorted(load_all())
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +29,15 @@ def test_query_matches_oracle(spark, con, key):
     assert ok, msg
 
 
+def test_entry_survives_without_the_optional_subpackage(monkeypatch):
+    import sys
+
+    monkeypatch.setitem(sys.modules, "postsift.llm", None)
+    monkeypatch.setitem(sys.modules, "postsift.llm.queries", None)
+    assert __spark_entry__._corpus_queries() == ({}, {})
+    assert sorted(queries()) == KEYS
+
+
 def test_entry_runs(spark):
     df = entry(spark)
     assert df.count() > 0

@@ -2,7 +2,7 @@
 
 import re
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 
 from __spark_entry__ import queries
 

@@ -204,7 +204,7 @@ def test_word_boundary_option(spark):
 
 
 def test_qualified_plus_rejected_is_all(spark):
-    from conftest import SF_SMALL
+    from tables import SF_SMALL
     from postsift.operators.runstats import filter_stats, rejection_breakdown
     from postsift.plans.probe_rules import probe_rules
     from postsift.sources import bindings as b

@@ -2,7 +2,7 @@
 
 from datetime import datetime, timedelta
 
-from conftest import SF_SMALL
+from tables import SF_SMALL
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
