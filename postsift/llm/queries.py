@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, language, line_dedup, packing, pii, simhash, token_counts, toxicity
+from . import chat, decontaminate, filter_audit, jaccard, language, line_dedup, packing, pii, simhash, token_counts, toxicity
 from .common import held_out, read_table, store
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.cells(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Build] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_toxicity": op2_toxicity,
@@ -116,6 +120,7 @@ QUERIES: dict[str, Build] = {
     "op8_chat": op8_chat,
     "op9_pii": op9_pii,
     "op10_decontaminate": op10_decontaminate,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 # Blanks of the line key in DuckDB.
@@ -177,8 +182,45 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+OP13_SQL = """
+WITH RECURSIVE marks AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id
+), texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), rows AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w), 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t),
+     regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS f
+  FROM texts LEFT JOIN marks USING (doc_id)
+), cells AS (
+  SELECT part, f, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic FROM rows GROUP BY part, f
+), orders AS (
+  SELECT '' AS o UNION ALL SELECT o || l FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l) WHERE NOT contains(o, l)
+), steps AS (
+  SELECT o, step, instr('ABCDE', substr(o, step, 1)) AS k, list_transform(string_split(substr(o, 1, step - 1), ''), lambda l: instr('ABCDE', l)) AS before
+  FROM orders, (SELECT unnest(range(1, 6)) AS step) WHERE length(o) = 5
+), walked AS (
+  SELECT part, o, step, k, n, good, toxic, f[k] AS fails, len(list_filter(f, lambda x: x)) = 1 AS only_one,
+    len(list_filter(before, lambda b: b > 0 AND f[b])) > 0 AS gone
+  FROM cells, steps
+), summed AS (
+  SELECT part, o AS filter_order, step, k,
+    coalesce(sum(n) FILTER (WHERE NOT gone AND NOT fails), 0) AS kept, coalesce(sum(n) FILTER (WHERE NOT gone AND fails), 0) AS removed,
+    coalesce(sum(n) FILTER (WHERE gone AND fails), 0) AS redundant, coalesce(sum(n) FILTER (WHERE fails AND only_one), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (WHERE NOT gone AND fails), 0) AS good_lost, coalesce(sum(toxic) FILTER (WHERE NOT gone AND fails), 0) AS toxic_lost
+  FROM walked GROUP BY part, o, step, k
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, k) AS BIGINT) AS shapley
+FROM summed
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_jaccard_join": OP1_SQL,
     "op5_line_dedup": OP5_SQL,
     "op8_chat": OP8_SQL,
+    "op13_filter_audit": OP13_SQL,
 }

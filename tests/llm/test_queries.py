@@ -17,10 +17,11 @@ COLUMNS = {
     "op8_chat": {"conv_id": "bigint", "n_turns": "bigint", "turns_sha256": "string", "loss_chars": "bigint", "loss_sha256": "string", "formatted_chars": "bigint"},
     "op9_pii": {"doc_id": "bigint", "n_email": "bigint", "n_ip": "bigint", "n_card": "bigint", "n_phone": "bigint", "base_sha256": "string", "spans": "string"},
     "op10_decontaminate": {"doc_id": "bigint", "item_id": "bigint"},
+    "op13_filter_audit": {"part": "string", "filter_order": "string", "step": "int", **dict.fromkeys(("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"), "bigint")},
 }
 
 
-@pytest.mark.parametrize("key", ["op1_jaccard_join", "op5_line_dedup", "op8_chat"])
+@pytest.mark.parametrize("key", ["op1_jaccard_join", "op5_line_dedup", "op8_chat", "op13_filter_audit"])
 def test_oracle(spark, key):
     ok, message = compare(spark, key, SF, duck(SF))
     assert ok, message
@@ -34,7 +35,7 @@ def test_columns_and_rows(spark, key):
     types = dict(out.dtypes)
     assert {c: types.get(c) for c in COLUMNS[key]} == COLUMNS[key]
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    if key in ("op3_packing", "op10_decontaminate", "op8_chat"):
+    if key in ("op3_packing", "op10_decontaminate", "op8_chat", "op13_filter_audit"):
         return
     assert sorted(r[0] for r in out.select("doc_id").collect()) == sorted(r[0] for r in docs.select("doc_id").collect())
 
