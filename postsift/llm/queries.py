@@ -199,11 +199,11 @@ WITH RECURSIVE marks AS (
 ), orders AS (
   SELECT '' AS o UNION ALL SELECT o || l FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l) WHERE NOT contains(o, l)
 ), steps AS (
-  SELECT o, step, instr('ABCDE', substr(o, step, 1)) AS k, list_transform(string_split(substr(o, 1, step - 1), ''), lambda l: instr('ABCDE', l)) AS before
+  SELECT o, step, instr('ABCDE', substr(o, step, 1)) AS k, list_transform(range(1, step), lambda i: instr('ABCDE', substr(o, i, 1))) AS before
   FROM orders, (SELECT unnest(range(1, 6)) AS step) WHERE length(o) = 5
 ), walked AS (
   SELECT part, o, step, k, n, good, toxic, f[k] AS fails, len(list_filter(f, lambda x: x)) = 1 AS only_one,
-    len(list_filter(before, lambda b: b > 0 AND f[b])) > 0 AS gone
+    len(list_filter(before, lambda b: f[b])) > 0 AS gone
   FROM cells, steps
 ), summed AS (
   SELECT part, o AS filter_order, step, k,
