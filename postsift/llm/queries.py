@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, filter_audit, jaccard, language, line_dedup, packing, pii, simhash, token_counts, toxicity
+from . import alignment, chat, decontaminate, filter_audit, jaccard, language, line_dedup, packing, pii, simhash, token_counts, toxicity
 from .common import held_out, read_table, store
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,16 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+    aligned = alignment.align_documents(read_table(spark, sf_dir, "documents"), *paths)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    stored = store(aligned.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    counts = alignment.link_counts(stored, len(alignment.Pair(*paths).possible()))
+    return alignment.rate_links(stored, counts, *paths).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(filter_audit.cells(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")))
 
@@ -120,6 +130,7 @@ QUERIES: dict[str, Build] = {
     "op8_chat": op8_chat,
     "op9_pii": op9_pii,
     "op10_decontaminate": op10_decontaminate,
+    "op12_alignment": op12_alignment,
     "op13_filter_audit": op13_filter_audit,
 }
 
