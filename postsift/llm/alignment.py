@@ -33,6 +33,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +57,15 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(other)}
 
 
+class Known(dict):
+    """Ids of the chunks that are remembered; those of one text's other chunks are ``fresh``."""
+
+    fresh: dict[str, bytes]
+
+    def __missing__(self, chunk: str) -> bytes:
+        return self.fresh[chunk]
+
+
 class Pair:
     """The two tokenizers, the bytes of their tokens and the id pairs that can be linked."""
 
@@ -80,8 +90,7 @@ class Pair:
         self.len_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.len_b = np.array([len(x) for x in self.bytes_b], np.int64)
         self.keep = keep
-        self.known_a: dict[str, bytes] = {}
-        self.known_b: dict[str, bytes] = {}
+        self.known_a, self.known_b = Known(), Known()
         self.bad: set[str] = set()
 
     def possible(self) -> np.ndarray:
@@ -105,41 +114,59 @@ class Pair:
         found_b = self.b.encode(texts, num_threads=1)
         for text, a, b in zip(texts, (x.ids for x in found_a), found_b):
             raw = (" " + text).encode()
-            same = b"".join([self.bytes_a[i] for i in a]) == raw == b"".join([self.bytes_b[i] for i in b])
+            same = b"".join(map(self.bytes_a.__getitem__, a)) == raw == b"".join(map(self.bytes_b.__getitem__, b))
             yield (np.asarray(a, "<u4").tobytes(), np.asarray(b, "<u4").tobytes()) if same else None
 
-    def _learn(self, chunks: list[str]) -> None:
-        if len(self.known_a) + len(chunks) > self.keep:
-            self.known_a.clear()
-            self.known_b.clear()
-            self.bad.clear()
+    def _learn(self, chunks: list[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """Ids of each chunk by both; chunks that are not spelled are ``bad`` from now on."""
+        new_a: dict[str, bytes] = {}
+        new_b: dict[str, bytes] = {}
         inner = [c for c in chunks if not (c[0].isspace() or c[-1].isspace())]
         if inner and (ids := next(self._spell([" ".join(inner)]))):  # one text of all of them, cut where they end
             to = np.cumsum([1 + len(c.encode()) for c in inner])
-            for known, lengths, raw in ((self.known_a, self.len_a, ids[0]), (self.known_b, self.len_b, ids[1])):
+            for new, lengths, raw in ((new_a, self.len_a, ids[0]), (new_b, self.len_b, ids[1])):
                 cut = [0, *(4 + 4 * np.searchsorted(np.cumsum(lengths[np.frombuffer(raw, "<u4")]), to)).tolist()]
-                known.update((c, raw[x:y]) for c, x, y in zip(inner, cut, cut[1:]))
-        chunks = [c for c in chunks if c not in self.known_a]
-        for chunk, ids in zip(chunks, self._spell(chunks) if chunks else ()):
+                new.update((c, raw[x:y]) for c, x, y in zip(inner, cut, cut[1:]))
+        rest = [c for c in chunks if c not in new_a]
+        for chunk, ids in zip(rest, self._spell(rest) if rest else ()):
             if ids is None:
+                if len(self.bad) >= self.keep:
+                    self.bad.clear()
                 self.bad.add(chunk)
-            self.known_a[chunk], self.known_b[chunk] = ids or (b"", b"")
+            new_a[chunk], new_b[chunk] = ids or (b"", b"")
+        return new_a, new_b
 
     def encode(self, text: str | None) -> tuple[bytes, bytes]:
-        """Little-endian unsigned 32-bit ids of both; empty where there are none."""
+        """Little-endian unsigned 32-bit ids of both; empty where there are none.
+
+        The first ``keep`` chunks met are remembered, so nearly all frequent
+        ones; later ones are encoded anew with each text.
+        """
         if not text:
             return b"", b""
         if not self.by_blanks or WHOLE.search(text):
             return next(self._spell([text])) or (b"", b"")
         chunks = text.split(" ")
-        missing = set(chunks).difference(self.known_a)
-        if missing:
-            if len(self.known_a) + len(missing) > self.keep:
-                missing = set(chunks)
-            self._learn(sorted(missing))
-        if self.bad and not self.bad.isdisjoint(chunks):
+        known_a, known_b = self.known_a, self.known_b
+        missing = set(chunks).difference(known_a)
+        if not missing:
+            return b"".join(map(known_a.__getitem__, chunks)), b"".join(map(known_b.__getitem__, chunks))
+        if not self.bad.isdisjoint(missing):
+            return b"", b""
+        new_a, new_b = self._learn(sorted(missing))
+        if not self.bad.isdisjoint(missing):
             return b"", b""
-        return b"".join(map(self.known_a.__getitem__, chunks)), b"".join(map(self.known_b.__getitem__, chunks))
+        if len(known_a) + len(new_a) <= self.keep:
+            known_a.update(new_a)
+            known_b.update(new_b)
+        known_a.fresh, known_b.fresh = new_a, new_b
+        return b"".join(map(known_a.__getitem__, chunks)), b"".join(map(known_b.__getitem__, chunks))
+
+
+@lru_cache(maxsize=1)
+def worker_pair(a_path: str, b_path: str) -> Pair:
+    """The pair of a worker process, kept for its next tasks."""
+    return Pair(a_path, b_path)
 
 
 def align(ends_a: np.ndarray, ends_b: np.ndarray, lane: int = LANE) -> tuple[np.ndarray, np.ndarray]:
@@ -241,7 +268,7 @@ def align_documents(docs: DataFrame, a_path: str, b_path: str, id_col: str = "do
             ["doc_id", "n_a", "n_b", "n_groups", "groups", "pairs", "times"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = Pair(a_path, b_path)
+        pair = worker_pair(a_path, b_path)
         possible, writer = pair.possible(), Writer(max(len(pair.bytes_a), len(pair.bytes_b)))
         rows, tokens = [], 0
         for batch in batches:
