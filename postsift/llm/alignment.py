@@ -148,7 +148,7 @@ class Pair:
             return next(self._spell([text])) or (b"", b"")
         chunks = text.split(" ")
         known_a, known_b = self.known_a, self.known_b
-        missing = set(chunks).difference(known_a)
+        missing = [c for c in set(chunks) if c not in known_a]
         if not missing:
             return b"".join(map(known_a.__getitem__, chunks)), b"".join(map(known_b.__getitem__, chunks))
         if not self.bad.isdisjoint(missing):
