@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, chat, decontaminate, filter_audit, jaccard, language, line_dedup, packing, pii, simhash, token_counts, toxicity
+from . import alignment, chat, decontaminate, filter_audit, jaccard, language, line_dedup, packing, pii, quality, simhash, token_counts, toxicity
 from .common import held_out, read_table, store
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,13 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    known = read_table(spark, sf_dir, "labels").where(~held_out("doc_id", 5, 0))
+    scored = quality.score(docs, quality.fit(docs, known))
+    return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", quality.predicted(0.3).alias("predicted"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
     aligned = alignment.align_documents(read_table(spark, sf_dir, "documents"), *paths)
@@ -130,6 +137,7 @@ QUERIES: dict[str, Build] = {
     "op8_chat": op8_chat,
     "op9_pii": op9_pii,
     "op10_decontaminate": op10_decontaminate,
+    "op11_quality": op11_quality,
     "op12_alignment": op12_alignment,
     "op13_filter_audit": op13_filter_audit,
 }

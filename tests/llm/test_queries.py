@@ -17,6 +17,7 @@ COLUMNS = {
     "op8_chat": {"conv_id": "bigint", "n_turns": "bigint", "turns_sha256": "string", "loss_chars": "bigint", "loss_sha256": "string", "formatted_chars": "bigint"},
     "op9_pii": {"doc_id": "bigint", "n_email": "bigint", "n_ip": "bigint", "n_card": "bigint", "n_phone": "bigint", "base_sha256": "string", "spans": "string"},
     "op10_decontaminate": {"doc_id": "bigint", "item_id": "bigint"},
+    "op11_quality": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op12_alignment": {"doc_id": "bigint", **dict.fromkeys(("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"), "bigint"), "groups_sha256": "string"},
     "op13_filter_audit": {"part": "string", "filter_order": "string", "step": "int", **dict.fromkeys(("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"), "bigint")},
 }
