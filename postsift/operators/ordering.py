@@ -133,7 +133,7 @@ BATCH_TOO_LARGE = "batch ({batch}) must be < total_batches ({total})"
 
 def select_batch(df: DataFrame, batch: int, total_batches: int, order_col: str = "seq") -> DataFrame:
     """The items of one batch; bad arguments raise a ValueError with a fixed text."""
-    problem = TOTAL_TOO_SMALL if total_batches <= 0 else BATCH_TOO_SMALL if batch < 0 else BATCH_TOO_LARGE if batch not in range(total_batches) else None
-    if problem:
-        raise ValueError(problem.format(batch=batch, total=total_batches))
+    if not 0 <= batch < total_batches:
+        text = TOTAL_TOO_SMALL if total_batches < 1 else BATCH_TOO_SMALL if batch < 0 else BATCH_TOO_LARGE
+        raise ValueError(text.format(batch=batch, total=total_batches))
     return batch_slice(df, total_batches, order_col, "__b").filter(F.col("__b") == batch).drop("__b")

@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import (
-    RULE_TABLE_SCHEMA,
     REASON_CONTEXT_DESC,
     REASON_CONTEXT_TITLE,
     REASON_DESIGN,
@@ -28,6 +27,7 @@ from ..functions.rules import (
     TITLE_AREA_CHARS,
     RuleSet,
     rule_rows,
+    rule_table,
 )
 from ..functions.rule_sql import sql_any, sql_first_index, sql_has, sql_pick, sql_str
 
@@ -260,37 +260,22 @@ def qualified_postings(scored: DataFrame) -> DataFrame:
 def rule_hits(postings: DataFrame, rules: RuleSet) -> DataFrame:
     """One row per (posting, rule pattern) hit; explains a score.
 
-    The rule set is a literal array (its size is the rule file's), filtered per
-    posting in a projection: no join, postings never move.
+    One generated test per rule in a projection: no join, postings never move.
+    For rule tables of thousands of patterns see ``rule_join.rule_hits``.
     """
-    p = postings.select(
-        "seq",
-        F.lower(F.col("description")).alias("_d"),
-        F.substring(F.lower(F.col("description")), 1, TITLE_AREA_CHARS).alias("_h"),
-        F.coalesce(F.lower(F.col("title")), F.lit("")).alias("_t"),
-        F.lower(F.col("company")).alias("_c"),
-    )
-    fields = [f.name for f in RULE_TABLE_SCHEMA.fields]
-    table = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, RULE_TABLE_SCHEMA.fields)]) for row in rule_rows(rules)])
-
-    whole_words = any(row[6] for row in rule_rows(rules))
-
-    def hit(r):
-        def has(col):
-            # whole-word rules carry their regex; all others are substring tests
-            plain = F.col(col).contains(r["pattern"])
-            return F.when(r["word_boundary"], F.rlike(F.col(col), r["regex"])).otherwise(plain) if whole_words else plain
-
-        cond = (
-            F.when(r["scope"] == "company", has("_c"))
-            .when(r["scope"] == "title", has("_h"))
-            .when(r["scope"] == "title_or_description", has("_t") | has("_d"))
-            .otherwise(has("_d"))
-        )
-        return F.coalesce(cond, F.lit(False))
-
-    hits = p.select("seq", F.inline(F.filter(table, hit)))
-    return hits.select("seq", *[c for c in fields if c not in ("word_boundary", "regex")])
+    p = postings.selectExpr(
+        "seq", "lower(description) AS _d", f"substring(lower(description), 1, {TITLE_AREA_CHARS}) AS _h",
+        "coalesce(lower(title), '') AS _t", "lower(company) AS _c")
+    columns = {"company": ("_c",), "title": ("_h",), "title_or_description": ("_t", "_d")}
+    tests = []
+    for priority, group, kind, scope, pattern, weight, whole_words, _ in rule_rows(rules):
+        cond = " OR ".join(sql_has(c, pattern, whole_words) for c in columns.get(scope, ("_d",)))
+        row = {"priority": str(priority), "rule_group": sql_str(group), "kind": sql_str(kind), "scope": sql_str(scope),
+               "pattern": sql_str(pattern), "weight": f"CAST({weight!r} AS DOUBLE)"}
+        tests.append(f"CASE WHEN {cond} THEN named_struct(" + ", ".join(f"'{k}', {v}" for k, v in row.items()) + ") END")
+    if not tests:
+        return p.select("seq").join(rule_table(postings.sparkSession, rules).drop("word_boundary", "regex"))
+    return p.selectExpr("seq", f"inline(array_compact(array({', '.join(tests)})))")
 
 
 def first_hits(hits: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions.rules import rule_table
+from ..operators import rule_join
 from ..operators import scoring as sc
 from ..sources import bindings as b
 from . import oracle_views as ov
@@ -170,12 +172,20 @@ def _rules_sql() -> str:
     return f"rules(priority, rule_group, kind, scope, pattern, weight) AS (VALUES {vals})"
 
 
-@query("rule_hits", "C21", ov.with_(ov.POSTINGS, _rules_sql()) + """SELECT p.seq, r.priority, r.rule_group, r.kind, r.scope, r.pattern,
+_RULE_HITS = (ov.with_(ov.POSTINGS, _rules_sql()) + """SELECT p.seq, r.priority, r.rule_group, r.kind, r.scope, r.pattern,
   CAST(r.weight AS DOUBLE) AS weight
 FROM postings p JOIN rules r ON coalesce(CASE
   WHEN r.scope = 'company' THEN contains(lower(p.company), r.pattern)
   WHEN r.scope = 'title' THEN contains(substr(lower(p.description), 1, 200), r.pattern)
   WHEN r.scope = 'title_or_description' THEN contains(coalesce(lower(p.title), ''), r.pattern) OR contains(lower(p.description), r.pattern)
   ELSE contains(lower(p.description), r.pattern) END, FALSE)""")
+
+
+@query("rule_hits", "C21", _RULE_HITS)
 def rule_hits(spark, d):
     return sc.rule_hits(b.postings(spark, d), R)
+
+
+@query("rule_table_hits", "C21", _RULE_HITS)
+def rule_table_hits(spark, d):
+    return rule_join.rule_hits(b.postings(spark, d), rule_table(spark, R))

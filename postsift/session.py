@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for the engine's plans at any scale.
 ENGINE_CONF = {
@@ -60,6 +61,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table below ``spark.checkpoint.dir`` and read it back: it is evaluated once, and its lineage ends at the files."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/postsift-tables/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder or file is there, asked of the store that Spark reads."""
     try:
