@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from .ordering import first_per_key, row_numbers, running_total
+from .ordering import first_per_key, running_total, streak_summaries
 from .runstats import top_counts
 
 def _cnt():
@@ -134,7 +134,7 @@ def timing_distribution(att: DataFrame) -> DataFrame:
 
     Index rule: p50 = sorted[n // 2]; p90 = sorted[int(n * 0.9)] if n >= 10 else
     the maximum; p99 likewise with 100. Computed exactly from a duration
-    histogram (pre-aggregated) and a bucketed running count: the value at
+    histogram (pre-aggregated) and its running count by stretches: the value at
     0-based index i is the smallest duration whose running count exceeds i.
     """
     succ = att.filter(F.col("success") & (F.col("duration_ms") > 0))
@@ -386,19 +386,12 @@ def failure_streak(att: DataFrame, cut: int = 3) -> DataFrame:
     """per site, consecutive failed attempts (gaps and islands) in arrival order:
     the longest streak and the seq at which a streak first reaches ``cut``.
 
-    position among all attempts minus position among failures = successes
-    before a failure = its island; the streak is the rank inside the island.
+    Summaries of stretches of the arrival order are merged (``ordering.streak_summaries``),
+    so attempts are read once and a site that holds all of them is spread over tasks.
+    A try whose outcome is unknown ends a streak; sites without a failure have no row.
     """
-    a = att.select("seq", "site", "success")
-    all_n = row_numbers(a, ["site"], "seq", out="p")
-    fails = row_numbers(all_n.filter(~F.col("success")), ["site"], "seq", out="f")
-    isl = fails.withColumn("island", F.col("p") - F.col("f"))
-    starts = isl.groupBy("site", "island").agg(F.min("f").alias("f0"))
-    streaks = isl.join(starts, ["site", "island"]).withColumn("streak", F.col("f") - F.col("f0") + 1)
-    return streaks.groupBy("site").agg(
-        _i(F.max("streak")).alias("longest_streak"),
-        F.min(F.when(F.col("streak") >= cut, F.col("seq"))).alias("cut_seq"),
-    )
+    found = streak_summaries(att, ["site"], ~F.col("success"), cut)
+    return found.where("s.longest > 0").select("site", F.col("s.longest").alias("longest_streak"), F.col("s.cut_at").alias("cut_seq"))
 
 
 def description_quota(postings: DataFrame, quota: int = 10) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.rules import RuleSet
+from ..session import stored
 from .ordering import first_per_key, last_per_key, row_numbers
 
 LEAD_COLUMNS = (
@@ -58,25 +59,38 @@ def process_leads(qualified: DataFrame, rules: RuleSet, run_date: str, keep: str
     )
 
 
+def rejected_ids(scored: DataFrame) -> DataFrame:
+    """``seq, company, rn, id`` of every rejected row, numbered in arrival order.
+
+    Postings are scored once: what leaves is the seq and the company of the rejected ones, a narrow stored table.
+    """
+    rejected = stored(scored.filter(~F.col("qualified")).select("seq", "company"), "rejected")
+    numbered = row_numbers(rejected, [], "seq", out="rn").withColumn("rn", F.col("rn").cast("bigint"))
+    return numbered.select("seq", "company", "rn", tx.rejected_id("rn", "company").alias("id"))
+
+
 def rejected_postings(scored: DataFrame, max_export: int | None = 100) -> DataFrame:
     """Rejected rows numbered in arrival order, in the labelling schema.
 
     ``rejected_id`` (B26), description cut to 2000, ``label`` false and a note
     with category and score. ``max_export`` keeps the first n (the export cap
-    is the feature here); ``None`` keeps all.
+    is the feature here); ``None`` keeps all: the export's rows are stored once,
+    numbered by their ``seq`` alone and met again by it.
     """
-    rej = scored.filter(~F.col("qualified")).select("seq", "company", "title", "description", "rejection_category", "score")
+    rej = scored.filter(~F.col("qualified")).select(
+        "seq", "company", "title", F.substring(F.coalesce(F.col("description"), F.lit("")), 1, 2000).alias("description"), "rejection_category", "score")
     if max_export is not None:
         # the cap is the feature: a top-k (k rows per task, then k overall), numbered after
         first = rej.orderBy("seq").limit(max_export)
         numbered = first.withColumn("rn", F.row_number().over(Window.orderBy("seq")))
     else:
-        numbered = row_numbers(rej, [], "seq", out="rn")
+        rej = stored(rej, "rejected-export")
+        numbered = rej.join(row_numbers(rej.select("seq"), [], "seq", out="rn"), "seq")
     return numbered.select(
         "seq",
         F.col("rn").cast("bigint").alias("rn"),
         tx.rejected_id("rn", "company").alias("id"),
-        F.substring(F.coalesce(F.col("description"), F.lit("")), 1, 2000).alias("description"),
+        "description",
         F.lit(False).alias("label"),
         "company",
         "title",

@@ -140,8 +140,8 @@ def attach_scores(spark, d):
 @query("rejected_id", "B26", W + """SELECT seq, printf('rejected_%03d_%s', rn, substr(coalesce(company, 'None'), 1, 20)) AS id FROM (
   SELECT seq, company, row_number() OVER (ORDER BY seq) AS rn FROM scored WHERE NOT qualified)""")
 def rejected_id(spark, d):
-    # every rejected row numbered in arrival order (no export cap): bucketed running offsets
-    return ld.rejected_postings(scored(spark, d), None).select("seq", "id")
+    # every rejected row numbered in arrival order (no export cap)
+    return ld.rejected_ids(scored(spark, d)).select("seq", "id")
 
 
 @query("top_k_counts", "G1", ov.with_(ov.POSTINGS) + """SELECT company, CAST(count(*) AS BIGINT) AS n FROM postings

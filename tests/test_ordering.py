@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from postsift.operators import attempts as at
+from postsift.operators import ordering
 from postsift.operators.ordering import batch_slice, first_per_key, row_numbers, select_batch
 
 
@@ -39,7 +40,7 @@ def test_batch_argument_errors(spark):
 
 def test_row_numbers_equal_window(spark):
     df = spark.range(5000).select(F.col("id").alias("seq"), (F.col("id") % 3).alias("g"), F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 2).alias("h"))
-    mine = row_numbers(df, ["g", "h"], "seq", out="rn", ranges=64)
+    mine = row_numbers(df, ["g", "h"], "seq", out="rn")
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g", "h").orderBy("seq")))
     assert sorted(mine.select("seq", "rn").collect()) == sorted(ref.select("seq", "rn").collect())
 
@@ -93,7 +94,7 @@ def test_run_progress_stops_at_the_cut(spark):
 
 def test_row_numbers_with_clustered_keys(spark):
     df = spark.range(2000).select(F.when(F.col("id") < 1990, F.col("id")).otherwise(F.col("id") * 10**9).alias("seq"))
-    mine = row_numbers(df, [], "seq", out="rn", ranges=16)
+    mine = row_numbers(df, [], "seq", out="rn")
     assert [r["rn"] for r in mine.orderBy("seq").collect()] == list(range(1, 2001))
 
 
@@ -124,3 +125,66 @@ def test_description_quota_counts_descriptions(spark):
     got = {r["seq"]: r["gets_description"] for r in at.description_quota(spark.createDataFrame(rows, "seq long, search_term string, description string"), 3).collect()}
     # the third description of t is at 4
     assert [got[i] for i in range(10)] == [True] * 5 + [False] * 5 and got[21]
+
+
+def py_streaks(tries, cut):
+    """site -> longest run of failures and the place where a run first reaches ``cut``, by a walk."""
+    out = {}
+    for site in {s for _, s, _ in tries}:
+        run, longest, cut_at = 0, 0, None
+        for seq, _, ok in sorted(t for t in tries if t[1] == site):
+            run = run + 1 if ok is False else 0
+            longest = max(longest, run)
+            if run == cut and cut_at is None:
+                cut_at = seq
+        if longest:
+            out[site] = (longest, cut_at)
+    return out
+
+
+@pytest.mark.parametrize("width,cut", [(2, 1), (2, 3), (3, 4), (7, 3), (4096, 3), (5, 40)])
+def test_streaks_over_stretches(spark, width, cut):
+    from random import Random
+
+    draw = Random(width * 100 + cut)
+    tries, seq = [], 0
+    for k in range(600):
+        seq += draw.choice([1, 1, 1, 2, 9])
+        site = draw.choice(["hot"] * 5 + ["a", "b", None])
+        ok = draw.random() < (0.1 if 200 < k < 300 else 0.5)
+        tries.append((seq, site, None if draw.random() < 0.02 else ok))
+    tries += [(10_000 + k, "long", False) for k in range(100)] + [(20_000 + k, "fine", True) for k in range(10)]
+    df = spark.createDataFrame(tries, "seq long, site string, success boolean").repartition(5)
+    got = ordering.streak_summaries(df, ["site"], ~F.col("success"), cut, width=width).where("s.longest > 0").collect()
+    assert {r["site"]: (r["s"]["longest"], r["s"]["cut_at"]) for r in got} == py_streaks([(q, s, ok) for q, s, ok in tries], cut)
+
+
+def test_one_site_is_spread_over_groups(spark):
+    df = spark.range(50_000).select(F.col("id").alias("seq"), F.lit("one").alias("site"), (F.col("id") % 5000 != 4999).alias("bad"))
+    p = ordering.streak_summaries(df, ["site"], F.col("bad"), 3)
+    assert p.first()["s"]["longest"] == 4999
+    plan = p._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Range (0, 50000") == 1 and "Window" not in plan
+
+
+def test_running_total_equals_window(spark):
+    hist = spark.createDataFrame([(v * v % 7919, v % 5 + 1) for v in range(1, 500)], "v long, n long").groupBy("v").agg(F.sum("n").alias("n"))
+    mine = ordering.running_total(hist, "v", "n", out="cum", total="all", width=100)
+    ref = hist.withColumn("cum", F.sum("n").over(Window.orderBy("v"))).withColumn("all", F.sum("n").over(Window.partitionBy()))
+    assert sorted(mine.select("v", "n", "cum", "all").collect()) == sorted(ref.select("v", "n", "cum", "all").collect())
+
+
+def test_rejected_rows_are_scored_once(spark):
+    from postsift.operators import leads
+
+    scored = spark.range(1000).select(
+        F.col("id").alias("seq"), F.concat(F.lit("c"), F.col("id") % 7).alias("company"), F.lit("t").alias("title"), F.repeat(F.lit("x"), 3000).alias("description"),
+        F.lit("unknown").alias("rejection_category"), F.lit(1.5).alias("score"), F.expr("id % 3 = 0 AND assert_true(id < 1000) IS NULL").alias("qualified"))
+    count = spark.sparkContext.accumulator(0)
+    seen = spark.createDataFrame(scored.rdd.map(lambda r: (count.add(1), r)[1]), scored.schema)
+    ids = {r["seq"]: r["id"] for r in leads.rejected_ids(seen).collect()}
+    assert count.value == 1000
+    wanted = [k for k in range(1000) if k % 3]
+    assert ids == {k: f"rejected_{n:03d}_c{k % 7}" for n, k in enumerate(wanted, 1)}
+    full = leads.rejected_postings(scored, None).collect()
+    assert {r["seq"]: r["id"] for r in full} == ids and {len(r["description"]) for r in full} == {2000}
