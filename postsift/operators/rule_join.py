@@ -7,8 +7,8 @@ rules are a table:
 1. Every pattern is anchored at its rarest trigram (shorter patterns at
    themselves): rarest in a share of the postings, which decides speed alone.
 2. A text is cut into pieces with enough of its neighbours around them to hold
-   any pattern that touches the piece; the distinct trigrams of a piece meet the
-   anchors by equality, and the piece must contain the pattern.
+   any pattern that touches the piece; the trigrams of a piece meet the anchors
+   by equality, and the piece must contain the pattern.
 3. Hits of a posting are made distinct. Patterns longer than ``HEAD`` characters
    are found by their head and confirmed on the whole text, by ``seq``.
 
@@ -51,25 +51,21 @@ def _pieces(areas: DataFrame, around: int) -> DataFrame:
     parts = areas.select("seq", "area", F.expr(f"IF(text = '', array(''), regexp_extract_all(text, '(?s).{{1,{size}}}', 0))").alias("parts"))
     return parts.selectExpr("seq", "area", f"""inline(transform(parts, (p, i) -> named_struct(
         'base', concat(p, coalesce(left(get(parts, i + 1), {Q - 1}), '')),
-        'starts', length(p),
         'window', concat(coalesce(right(get(parts, i - 1), {around}), ''), p, coalesce(left(get(parts, i + 1), {around}), '')),
         'first', i = 0, 'last', i = size(parts) - 1)))""")
 
 
-def _grams(text: str, q: int, starts: str | None = None) -> Column:
-    """The distinct substrings of ``q`` characters that begin in the first ``starts`` characters."""
-    n = f"length({text}) - {q - 1}"
-    n = f"least({n}, {starts})" if starts else n
-    return F.expr(f"array_distinct(IF({n} < 1, CAST(array() AS array<string>), transform(sequence(1, greatest({n}, 1)), i -> substr({text}, i, {q}))))")
+def _grams(text: str, q: int) -> Column:
+    """All substrings of ``q`` characters: what stands ahead of each place."""
+    return F.expr(f"regexp_extract_all({text}, '(?s)(?=({'.' * q}))', 1)")
 
 
-def _meet(pieces: DataFrame, grams: DataFrame, sizes: list[int]) -> DataFrame:
-    """Pieces with the rows of ``grams`` (``area, gram``, broadcast) whose gram they hold."""
-    held = [_grams("base", q, "starts") for q in sizes if q]
+def _held(pieces: DataFrame, sizes: list[int]) -> DataFrame:
+    """A row for each gram of each piece; the empty gram stands for a text once."""
+    held = [_grams("base", q) for q in sizes if q]
     if 0 in sizes:
         held.append(F.when(F.col("first"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>")))
-    rows = pieces.select("seq", "area", "window", "first", "last", F.explode(F.concat(*held)).alias("gram"))
-    return rows.join(F.broadcast(grams), ["area", "gram"])
+    return pieces.select("seq", "area", "window", "first", "last", F.explode(F.concat(*held)).alias("gram"))
 
 
 def _candidates(postings: DataFrame, rules: DataFrame, share: float) -> tuple[DataFrame, list[str], list[int], int]:
@@ -84,16 +80,16 @@ def _candidates(postings: DataFrame, rules: DataFrame, share: float) -> tuple[Da
     if not wanted:
         return spread.withColumn("gram", F.lit("")), wanted, sizes, longest
     own = F.expr("CASE q WHEN 0 THEN array('') WHEN 1 THEN array(head) WHEN 2 THEN array(head) END")
-    options = spread.select("area", "priority", "pattern", F.explode(F.coalesce(own, _grams("head", Q))).alias("gram"))
+    options = spread.select("area", "priority", "pattern", F.explode(F.coalesce(own, _grams("head", Q))).alias("gram")).distinct()
     used = options.groupBy("area", "gram").agg(F.count("*").alias("rules"))
     sample = postings.where(F.pmod(F.xxhash64("seq", F.lit("anchors")), F.lit(1 << 30)) < int(share * (1 << 30)))
-    seen = _meet(_pieces(_areas(sample, wanted), longest + 1), used.select("area", "gram"), sizes).groupBy("area", "gram").agg(F.count("*").alias("texts"))
-    cost = used.join(seen, ["area", "gram"], "left").select("area", "gram", F.struct(F.coalesce("texts", F.lit(0)).alias("texts"), "rules", "gram").alias("cost"))
-    anchor = options.join(cost, ["area", "gram"]).groupBy("area", "priority", "pattern").agg(F.min("cost")["gram"].alias("gram"))
-    return spread.join(anchor, ["area", "priority", "pattern"]), wanted, sizes, longest
+    seen = _held(_pieces(_areas(sample, wanted), longest + 1), sizes).groupBy("area", "gram").agg(F.count("*").alias("texts"))
+    cost = used.join(seen.hint("merge"), ["area", "gram"], "left").select("area", "gram", F.struct(F.coalesce("texts", F.lit(0)).alias("texts"), "rules", "gram").alias("cost"))
+    anchor = options.join(cost.hint("merge"), ["area", "gram"]).groupBy("area", "priority", "pattern").agg(F.min("cost")["gram"].alias("gram"))
+    return spread.join(anchor.hint("merge"), ["area", "priority", "pattern"]), wanted, sizes, longest
 
 
-def rule_hits(postings: DataFrame, rules: DataFrame, group: int = 200_000, share: float = 1 / 64) -> DataFrame:
+def rule_hits(postings: DataFrame, rules: DataFrame, group: int = 50_000, share: float = 1 / 64) -> DataFrame:
     """One row per posting and rule that hits it, as ``scoring.rule_hits``.
 
     ``rules`` has the columns of ``functions.rules.RULE_TABLE_SCHEMA``; ``priority``
@@ -115,7 +111,7 @@ def rule_hits(postings: DataFrame, rules: DataFrame, group: int = 200_000, share
     found = None
     for k in range(n_groups):
         some = anchored.where(F.pmod(F.xxhash64("priority", "pattern"), F.lit(n_groups)) == k)
-        hits = _meet(pieces, some, sizes).where(here)
+        hits = _held(pieces, sizes).join(F.broadcast(some), ["area", "gram"]).where(here)
         sure = hits.where(short).select("seq", *OUT)
         long = hits.where(~short).select("seq", "area", "word_boundary", "regex", *OUT).distinct()
         whole = F.when(F.col("word_boundary"), F.rlike("text", F.col("regex"))).otherwise(F.col("text").contains(F.col("pattern")))
