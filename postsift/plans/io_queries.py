@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import text as tx
 from ..operators import attempts as at
 from ..operators import pages as pg
-from ..operators import state as st
 from ..sources import bindings as b
 from ..sources import files as fs
+from ..sources import state_store as ss
 from ..streaming.streams import work_dir
 from . import oracle_views as ov
 from .leads_queries import LEADS_CTE, leads
@@ -131,11 +132,8 @@ def write_report_json(spark, d):
 @query("state_tables", "A9", ov.with_(ov.SUBMISSIONS, SUBMITTED) + "SELECT domain, company, lead_id FROM submitted")
 def state_tables(spark, d):
     root = work_dir(spark, "state")
-    cols = ["domain", "company", "lead_id", "submitted_at", "source_url"]
-    first = st.record_submissions(b.submissions(spark, d))
-    fs.write_state_version(first.select(*cols), root, "submitted", 1)
-    # a second session repeats the same upsert on top of the stored state
-    stored = fs.read_state(spark, root, "submitted").withColumn("seq", F.lit(None).cast("bigint"))
-    second = st.record_submissions(b.submissions(spark, d), stored)
-    fs.write_state_version(second.select(*cols), root, "submitted", 2)
-    return fs.read_state(spark, root, "submitted").select("domain", "company", "lead_id")
+    events = b.submissions(spark, d).withColumn("domain", tx.normalize_domain("domain"))
+    # two sessions: every third submission, then all of them on top of the stored state
+    ss.upsert(events.filter("seq % 3 = 0"), root, "submitted", n_buckets=8)
+    ss.upsert(events, root, "submitted")
+    return ss.read_state(spark, root, "submitted").select("domain", "company", "lead_id")

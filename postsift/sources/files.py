@@ -2,8 +2,7 @@
 
 Artifacts are partitioned datasets ``<root>/<kind>/run_id=<id>/batch=<n>/``:
 partition pruning replaces globbing by name, and a batch suffix can never
-collide. Writers never overwrite a table that is being read: state tables
-are written as new versions and the reader picks the greatest version.
+collide. State tables are in ``state_store``.
 """
 
 from __future__ import annotations
@@ -15,8 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
-from ..session import table_exists
-from . import schemas as S
 
 
 def union_postings(frames: list[DataFrame]) -> DataFrame:
@@ -130,21 +127,3 @@ def write_report_json(report: DataFrame, root: str, kind: str, run_id: str, batc
     path = f"{root.rstrip('/')}/{kind}/run_id={run_id}" + (f"/batch={batch}" if batch is not None else "")
     report.write.mode(mode).json(path)
     return path
-
-
-def write_state_version(df: DataFrame, root: str, table: str, version: int) -> str:
-    """Write a new version of a state table; readers take the greatest version."""
-    path = f"{root.rstrip('/')}/{table}/version={version:012d}"
-    df.write.mode("errorifexists").parquet(path)
-    return path
-
-
-def read_state(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The newest version of a state table; a missing table is empty, any other failure is raised."""
-    schema = S.STATE_SCHEMAS[table]
-    path = f"{root.rstrip('/')}/{table}"
-    if not table_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    df = spark.read.parquet(path)
-    newest = df.agg(F.max("version").alias("__v"))
-    return df.join(newest, df["version"] == newest["__v"], "left_semi").select(*[f.name for f in schema.fields])

@@ -67,17 +67,6 @@ def test_report_json_skips_empty(spark, tmp_dir):
     assert fs.write_report_json(spark.createDataFrame([("x",)], "error_type string"), tmp_dir, "search_errors", "r1") is not None
 
 
-def test_state_versions_newest_wins_and_missing_is_empty(spark, tmp_dir):
-    from datetime import datetime
-
-    assert fs.read_state(spark, tmp_dir, "submitted").count() == 0
-    row = ("a.com", "A", "l1", datetime(2026, 1, 1), None)
-    fs.write_state_version(spark.createDataFrame([row], "domain string, company string, lead_id string, submitted_at timestamp, source_url string"), tmp_dir, "submitted", 1)
-    row2 = ("b.com", "B", "l2", datetime(2026, 1, 2), None)
-    fs.write_state_version(spark.createDataFrame([row, row2], "domain string, company string, lead_id string, submitted_at timestamp, source_url string"), tmp_dir, "submitted", 2)
-    assert fs.read_state(spark, tmp_dir, "submitted").count() == 2
-
-
 def test_union_tolerates_missing_columns(spark):
     a = spark.createDataFrame([(1, "x")], "seq long, company string")
     b = spark.createDataFrame([(2, "t")], "seq long, title string")
