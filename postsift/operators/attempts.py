@@ -73,8 +73,8 @@ def blocked_sites(att: DataFrame) -> DataFrame:
     )
 
 
-def site_summary(att: DataFrame, more: dict | None = None) -> DataFrame:
-    """Attempts, successes, jobs of successes, durations, challenge outcomes, rates; ``more`` adds aggregates."""
+def site_summary(att: DataFrame) -> DataFrame:
+    """Attempts, successes, jobs of successes, durations, challenge outcomes, rates."""
     det = F.col("challenge_detected")
     g = att.groupBy("site").agg(
         _i(_cnt()).alias("total_attempts"),
@@ -84,8 +84,12 @@ def site_summary(att: DataFrame, more: dict | None = None) -> DataFrame:
         _i(F.count_if(det)).alias("cloudflare_encounters"),
         _i(F.count_if(det & (F.col("challenge_solved") == True))).alias("cloudflare_solved"),  # noqa: E712
         _i(F.count_if(det & (F.col("challenge_solved") == False))).alias("cloudflare_failed"),  # noqa: E712
-        *[c.alias(n) for n, c in (more or {}).items()],
     )
+    return site_rates(g)
+
+
+def site_rates(g: DataFrame) -> DataFrame:
+    """The rates and means of site totals."""
     return g.withColumns(
         {
             "success_rate": tx.rate_pct("successful_attempts", "total_attempts"),
@@ -138,7 +142,11 @@ def timing_distribution(att: DataFrame) -> DataFrame:
     0-based index i is the smallest duration whose running count exceeds i.
     """
     succ = att.filter(F.col("success") & (F.col("duration_ms") > 0))
-    hist = succ.groupBy("duration_ms").agg(_cnt().alias("n"))
+    return timing_of(succ.groupBy("duration_ms").agg(_cnt().alias("n")))
+
+
+def timing_of(hist: DataFrame) -> DataFrame:
+    """E10 of a histogram (``duration_ms, n``)."""
     cum = running_total(hist, "duration_ms", "n", out="cum", total="total")
     n = F.col("total")
     i50 = F.floor(n / 2)
@@ -217,37 +225,6 @@ def error_summary(att: DataFrame) -> DataFrame:
     return g.withColumn("total_errors", _i(F.sum("n").over(Window.partitionBy())))
 
 
-def merge_run_stats(att: DataFrame) -> DataFrame:
-    """Per-batch site stats of a run merged: sums, blocked = any, first blocked term in
-    batch order, success rate recomputed from the sums; runs stay apart."""
-    keys = ["run_id", "site"]
-    per_batch = site_stats(att, ("batch", "run_id", "site"))
-    total = per_batch.groupBy(*keys).agg(
-        _i(_cnt()).alias("batches"),
-        _i(F.sum("searches_attempted")).alias("searches_attempted"),
-        _i(F.sum("searches_successful")).alias("searches_successful"),
-        _i(F.sum("total_jobs_found")).alias("total_jobs_found"),
-        _i(F.sum("error_count")).alias("error_count"),
-        F.bool_or("blocked").alias("blocked"),
-    )
-    first = first_per_key(per_batch.filter("blocked_at_term IS NOT NULL").select(*keys, "batch", "blocked_at_term"), keys, "batch").drop("batch")
-    return total.join(first, keys, "left").withColumn("success_rate", tx.rate_pct("searches_successful", "searches_attempted"))
-
-
-def merge_count_maps(att: DataFrame, k: int | None = None) -> DataFrame:
-    """Error-type counts of all batches, merged by key (summing), largest first, then by key; uncut unless ``k`` is given."""
-    f = att.filter(~F.col("success"))
-    merged = f.groupBy(F.coalesce(F.col("error_type"), F.lit("unknown")).alias("key")).agg(_i(_cnt()).alias("n"))
-    ordered = merged.orderBy(F.col("n").desc(), F.col("key").asc())
-    return ordered.limit(k) if k is not None else ordered
-
-
-def merge_attempt_analytics(att: DataFrame) -> DataFrame:
-    """Attempts of all batches recomputed as one (site summary over the union),
-    with the number of batches seen per site."""
-    return site_summary(att, {"batches": _i(F.count_distinct("batch"))})
-
-
 def session_totals(att: DataFrame) -> DataFrame:
     """Per session (one per day): searches, ok, failed, jobs."""
     g = att.groupBy(tx.day_bucket("ts").alias("session_id")).agg(

@@ -117,18 +117,3 @@ def insert_leads(existing: DataFrame, batch: DataFrame, key=("company", "job_tit
         new.agg(F.count(F.lit(1))).scalar().alias("inserted"),
         (F.col("rows") - new.agg(F.count(F.lit(1))).scalar()).alias("duplicates_skipped"))
     return new, counts
-
-
-def lead_upsert(batches: DataFrame, key=("company", "job_title", "date_scraped"), order=("batch", "seq")) -> DataFrame:
-    """Insert leads by key in batch order; the first insert of a key wins.
-
-    Returns one row: inserted, duplicates_skipped, errors. The per-batch
-    'left anti join then append' loop equals numbering each key's
-    occurrences in (batch, seq) order; counted with one aggregate.
-    """
-    per_key = batches.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(
-        F.count(F.lit(1)).cast("bigint").alias("inserted"),
-        (F.sum("n") - F.count(F.lit(1))).cast("bigint").alias("duplicates_skipped"),
-        F.lit(0).cast("bigint").alias("errors"),
-    )

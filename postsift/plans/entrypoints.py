@@ -13,6 +13,8 @@ rules run once per batch however many reports follow.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,9 +23,9 @@ from ..functions.rules import RuleSet
 from ..operators import attempts as at
 from ..operators import evaluation as ev
 from ..operators import leads as ld
+from ..operators import merging as mg
 from ..operators import runstats as rs
 from ..operators import scoring as sc
-from ..operators.ordering import first_per_key
 from ..session import path_exists
 from ..sources import files as fs
 
@@ -31,7 +33,8 @@ FILTER_STATS = "total_processed bigint, qualified bigint, rejected bigint, compa
 SITE_STATS = ("site string, searches_attempted bigint, searches_successful bigint, total_jobs_found bigint, "
               "blocked boolean, blocked_at_term string, error_count bigint")
 RUN_STATS = ("start_time string, end_time string, search_terms_total bigint, search_terms_completed bigint, "
-             "total_jobs_raw bigint, total_jobs_filtered bigint")
+             "total_jobs_raw bigint, total_jobs_filtered bigint, unique_companies bigint")
+FILTER_MAPS = "rejection_reasons map<string,bigint>, qualification_tiers map<string,bigint>"
 
 
 def run_batch(spark: SparkSession, postings: DataFrame, attempts: DataFrame, rules: RuleSet, out_root: str,
@@ -50,12 +53,7 @@ def run_batch(spark: SparkSession, postings: DataFrame, attempts: DataFrame, rul
     paths: dict[str, str | None] = {"scored": scored_path}
     paths["leads"] = fs.write_leads_csv(leads, root, run_id, batch, mode="overwrite")
     paths["rejected"] = fs.write_report_json(ld.rejected_postings(scored, 100), root, "rejected", run_id, batch, mode="overwrite")
-    paths["run_stats"] = fs.write_report_json(rs.run_stats(attempts, attempts if planned is None else planned, scored, leads, run_id), root, "run_stats", run_id, batch,
-                                              mode="overwrite")
-    paths["filter_stats"] = fs.write_report_json(rs.filter_stats(scored), root, "filter_stats", run_id, batch, mode="overwrite")
-    paths["rejection_reasons"] = fs.write_report_json(rs.rejection_breakdown(scored, None), root, "rejection_reasons", run_id,
-                                                      batch, mode="overwrite")
-    paths["site_stats"] = fs.write_report_json(at.site_stats(attempts), root, "site_stats", run_id, batch, mode="overwrite")
+    paths |= write_run_reports(scored, attempts, rs.run_stats(attempts, attempts if planned is None else planned, scored, leads, run_id), root, run_id, batch)
     # search errors are exported only when there are any
     paths["search_errors"] = fs.write_report_json(at.search_errors(attempts), root, "search_errors", run_id, batch,
                                                   skip_empty=True, mode="overwrite")
@@ -63,68 +61,76 @@ def run_batch(spark: SparkSession, postings: DataFrame, attempts: DataFrame, rul
     return paths
 
 
+def write_run_reports(scored: DataFrame, attempts: DataFrame, stats: DataFrame, root: str, run_id: str, batch: int | None) -> dict[str, str | None]:
+    """What a batch reports for the merge: run totals, filter counters and their maps, site stats, attempt counters."""
+    reports = {
+        "run_stats": stats,
+        "filter_stats": rs.filter_stats(scored),
+        "filter_maps": filter_maps(scored),
+        "site_stats": at.site_stats(attempts),
+        "attempt_state": mg.attempt_state(attempts),
+    }
+    return {kind: fs.write_report_json(df, root, kind, run_id, batch, mode="overwrite") for kind, df in reports.items()}
+
+
+def filter_maps(scored: DataFrame) -> DataFrame:
+    """One row: rejected rows by category and qualified rows by tier, as maps of counters."""
+    kept = F.col("qualified")
+    counts = scored.groupBy(kept.alias("kept"), F.when(kept, F.col("top_tier")).otherwise(F.col("rejection_category")).alias("key")).agg(F.count("*").alias("n"))
+    entries = F.struct("key", "n")
+    counts = counts.where("key IS NOT NULL")
+    return counts.agg(F.map_from_entries(F.collect_list(F.when(~F.col("kept"), entries))).alias("rejection_reasons"),
+                      F.map_from_entries(F.collect_list(F.when(F.col("kept"), entries))).alias("qualification_tiers"))
+
+
 def merge_batches(spark: SparkSession, out_root: str, run_id: str) -> dict[str, DataFrame]:
     """§3.2: merged reports of one run, recomputed from the batch artifacts.
 
-    Counters are summed, rates recomputed from the sums, the attempt analytics
-    recomputed over the union of the batches' raw attempts, and unique
-    companies counted exactly over the union (not summed per batch).
+    Counters are added and rates recomputed from the sums; the attempt analytics
+    follow from the batches' counters, so no attempt is read again; unique
+    companies are counted exactly over the union of the leads (not added up). A
+    corrupt artifact is skipped and listed under ``corrupt``.
     """
     root = out_root.rstrip("/")
+    corrupt = []
+
+    def read(kind: str, schema: str) -> DataFrame:
+        good, bad = fs.read_batches(spark, root, kind, run_id, schema)
+        corrupt.append(bad.withColumn("kind", F.lit(kind)))
+        return good
 
-    def read(kind: str, schema: str | None = None) -> DataFrame:
-        """All batches of the run; the batch is null for a run that was not cut into batches."""
-        path = f"{root}/{kind}/run_id={run_id}"
-        reader = spark.read.option("recursiveFileLookup", True)
-        rows = reader.json(path) if schema is None else reader.schema(schema).json(path)
-        name = F.regexp_extract(F.input_file_name(), r"/batch=([0-9]+)/", 1)
-        return rows.withColumn("batch", F.nullif(name, F.lit("")).cast("int"))
-
-    filt = read("filter_stats", FILTER_STATS).agg(
-        F.sum("total_processed").alias("total_processed"), F.sum("qualified").alias("qualified"),
-        F.sum("rejected").alias("rejected"), F.sum("company_blocked").alias("company_blocked"),
-    )
+    filters = read("filter_stats", FILTER_STATS)
+    filt = filters.agg(*[F.sum(c).alias(c) for c in ("total_processed", "qualified", "rejected", "company_blocked")])
     filt = filt.withColumn("pass_rate", tx.rate_pct("qualified", "total_processed", 2))
-    reasons = read("rejection_reasons", "rejection_category string, n bigint").groupBy("rejection_category").agg(F.sum("n").alias("n")) \
-        .orderBy(F.col("n").desc(), F.col("rejection_category")).limit(10)
-    per_batch = read("site_stats", SITE_STATS)
-    first = first_per_key(per_batch.filter("blocked_at_term IS NOT NULL").select("site", "batch", "blocked_at_term"), ["site"], "batch").drop("batch")
-    sites = per_batch.groupBy("site").agg(
-        F.sum("searches_attempted").alias("searches_attempted"), F.sum("searches_successful").alias("searches_successful"),
-        F.sum("total_jobs_found").alias("total_jobs_found"), F.sum("error_count").alias("error_count"),
-        F.bool_or("blocked").alias("blocked"),
-    ).join(first, "site", "left").withColumn("success_rate", tx.rate_pct("searches_successful", "searches_attempted"))
-    run = read("run_stats", RUN_STATS).agg(
-        F.count(F.lit(1)).alias("batches"), F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),
-        *[F.sum(c).alias(c) for c in ("search_terms_total", "search_terms_completed", "total_jobs_raw", "total_jobs_filtered")],
-    )
-    run = run.select(
-        F.lit(run_id).alias("run_id"), "*", tx.rate_pct("search_terms_completed", "search_terms_total").alias("completion_rate"),
-        F.when(F.col("total_jobs_raw") > 0, F.round((1 - F.col("total_jobs_filtered") / F.col("total_jobs_raw")) * 100, 1)).otherwise(0.0).alias("filter_rate"))
-    raw = read("attempts").withColumn("ts", F.to_timestamp("ts"))
-    errors_path = f"{root}/search_errors/run_id={run_id}"
-    # a batch without search errors writes none
-    errors = read("search_errors", "error_type string").groupBy("error_type").agg(F.count(F.lit(1)).alias("n")) \
-        if path_exists(spark, errors_path) else spark.createDataFrame([], "error_type string, n bigint")
-    companies = spark.read.option("header", True).option("multiLine", True).option("escape", '"') \
-        .option("recursiveFileLookup", True) \
-        .csv(f"{root}/leads/run_id={run_id}").agg(F.count_distinct("company").alias("unique_companies"))
+    maps = read("filter_maps", FILTER_MAPS)
+    sites = read("site_stats", SITE_STATS)
+    totals = read("run_stats", RUN_STATS).withColumn("run_id", F.lit(run_id))
+    both = totals.unionByName(filters.withColumn("run_id", F.lit(run_id)), allowMissingColumns=True)
+    per_batch = both.groupBy("run_id", "batch").agg(*[F.max(c).alias(c) for c in both.columns if c not in ("run_id", "batch")])
+    state = mg.merge_states(read("attempt_state", mg.STATE))
+    errors = read("search_errors", "error_type string").groupBy("error_type").agg(F.count(F.lit(1)).alias("n"))
+    leads_path = f"{root}/leads/run_id={run_id}"
+    leads = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("recursiveFileLookup", True).csv(leads_path) \
+        if path_exists(spark, leads_path) else spark.createDataFrame([], "company string")
+    companies = leads.agg(F.count_distinct("company").alias("unique_companies"))
     return {
-        "run": run,
+        "run": mg.merge_run_stats(per_batch, sites.withColumn("run_id", F.lit(run_id))),
         "filter": filt,
-        "rejection_reasons": reasons,
-        "sites": sites,
-        "site_summary": at.site_summary(raw),
-        "site_values": at.site_value_counts(raw),
-        "terms": at.term_performance(raw),
-        "errors_by_type": at.errors_by_type(raw),
-        "errors_by_site": at.errors_by_site(raw),
-        "top_errors": at.top_error_messages(raw),
-        "challenges": at.challenge_analysis(raw),
-        "challenges_by_site": at.challenge_by_site(raw),
-        "timing": at.timing_distribution(raw),
+        "rejection_reasons": mg.merge_count_maps(maps, "rejection_reasons", 10),
+        "qualification_tiers": mg.merge_count_maps(maps, "qualification_tiers"),
+        "sites": mg.merge_site_stats(sites),
+        "site_summary": mg.site_summary(state),
+        "site_values": mg.site_value_counts(state),
+        "terms": mg.term_performance(state),
+        "errors_by_type": mg.errors_by_type(state),
+        "errors_by_site": mg.errors_by_site(state),
+        "top_errors": mg.top_error_messages(state),
+        "challenges": mg.challenge_analysis(state),
+        "challenges_by_site": mg.challenge_by_site(state),
+        "timing": mg.timing_distribution(state),
         "error_summary": errors,
         "unique_companies": companies,
+        "corrupt": reduce(DataFrame.unionByName, corrupt),
     }
 
 

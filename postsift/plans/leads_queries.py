@@ -8,7 +8,9 @@ from ..operators import leads as ld
 from ..operators import ordering as od
 from ..operators import runstats as rs
 from ..operators import scoring as sc
+from ..session import stored
 from ..sources import bindings as b
+from ..sources import state_store as ss
 from ..streaming.streams import work_dir
 from . import oracle_views as ov
 from .probe_rules import probe_rules
@@ -109,24 +111,23 @@ def batch_slice(spark, d):
     return od.batch_slice(b.postings(spark, d).select("seq"), 4)
 
 
-@query("lead_upsert", "I2", ov.with_(ov.POSTINGS, ov.scored_sql(R)) + f"""SELECT CAST(count(*) AS BIGINT) AS inserted,
-  CAST(sum(n) - count(*) AS BIGINT) AS duplicates_skipped, CAST(0 AS BIGINT) AS errors FROM (
-  SELECT company, job_title, date_scraped, count(*) AS n FROM (
-    SELECT batch, company, title AS job_title, '{RUN_DATE}' AS date_scraped FROM (
-      SELECT *, row_number() OVER (PARTITION BY batch, company ORDER BY seq) AS rn
-      FROM scored WHERE qualified AND company IS NOT NULL AND company <> '') WHERE rn = 1)
-  GROUP BY company, job_title, date_scraped)""")
+@query("lead_upsert", "I2", ov.with_(ov.POSTINGS, ov.scored_sql(R), f"""rows AS (
+  SELECT company, title, row_number() OVER (PARTITION BY company, title ORDER BY batch, seq) AS nth, coalesce(trim(title), '') = '' AS bad FROM (
+    SELECT *, row_number() OVER (PARTITION BY batch, company ORDER BY seq) AS rn
+    FROM scored WHERE qualified AND company IS NOT NULL AND company <> '') WHERE rn = 1)""") + """SELECT
+  CAST(count(*) FILTER (WHERE NOT bad AND nth = 1) AS BIGINT) AS inserted,
+  CAST(count(*) FILTER (WHERE NOT bad AND nth > 1) AS BIGINT) AS duplicates_skipped,
+  CAST(count(*) FILTER (WHERE bad) AS BIGINT) AS errors FROM rows""")
 def lead_upsert(spark, d):
-    s = sc.qualified_postings(scored(spark, d))
-    per_batch = (
-        od.first_per_key(
-            s.filter(F.col("company").isNotNull() & (F.col("company") != "")).select("batch", "company", "seq", "title"),
-            ["batch", "company"], "seq")
-        .select("batch", "company", F.col("title").alias("job_title"), F.lit(RUN_DATE).alias("date_scraped"))
-    )
-    return ld.lead_upsert(per_batch)
-
-
+    # the batches of a run go one after the other into one table; the last one is sent twice and reports the same again
+    s = stored(sc.qualified_postings(scored(spark, d)).filter("company IS NOT NULL AND company <> ''")
+               .select("batch", "company", "seq", "title", "location", "job_url", "score", "qualified"), "qualified")
+    root, batches, total = work_dir(spark, "leads"), sorted(r[0] for r in s.select("batch").distinct().collect()), {}
+    for k in [*batches, *batches[-1:]]:
+        batch = ld.process_leads(s.filter(F.col("batch") == k), R, RUN_DATE, carry=["seq"])
+        total[k] = ss.insert_leads(batch, root, f"batch{k}", n_buckets=4)
+    names = ("inserted", "duplicates_skipped", "errors")
+    return spark.createDataFrame([tuple(sum(t[n] for t in total.values()) for n in names)], ", ".join(f"{n} bigint" for n in names))
 
 
 @query("attach_scores", "D1", W + """SELECT p.seq, p.company, s.score, s.qualified FROM postings p JOIN scored s ON s.posting_id = p.posting_id""")

@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 
 from ..operators import attempts as at
 from ..operators import leads as ld
+from ..operators import merging as mg
 from ..operators import runstats as rs
 from ..operators import scoring as sc
 from ..sources import bindings as b
+from ..streaming.streams import work_dir
 from . import oracle_views as ov
+from .entrypoints import merge_batches, write_run_reports
 from .probe_rules import probe_rules
 from .registry import RUN_DATE, RUN_ID, query
 
@@ -165,19 +168,25 @@ SELECT run_id, site, CAST(count(*) AS BIGINT) AS batches, CAST(sum(searches_atte
   CASE WHEN sum(searches_attempted) > 0 THEN round(sum(searches_successful) / sum(searches_attempted) * 100, 1) ELSE 0.0 END AS success_rate
 FROM per_batch GROUP BY run_id, site""")
 def merge_run_stats(spark, d):
-    return at.merge_run_stats(att(spark, d))
+    return mg.merge_site_stats(at.site_stats(att(spark, d), ("batch", "run_id", "site")), ("run_id", "site"))
 
 
 @query("merge_count_maps", "E18", A + """SELECT coalesce(error_type, 'unknown') AS key, CAST(count(*) AS BIGINT) AS n
 FROM attempts WHERE NOT success GROUP BY 1 ORDER BY n DESC, key""")
 def merge_count_maps(spark, d):
-    return at.merge_count_maps(att(spark, d))
+    # one map of counters a batch, as the batches report them
+    failed = att(spark, d).filter("NOT success").groupBy("batch", F.coalesce("error_type", F.lit("unknown")).alias("key")).agg(F.count("*").alias("n"))
+    maps = failed.groupBy("batch").agg(F.map_from_entries(F.collect_list(F.struct("key", "n"))).alias("error_summary"))
+    return mg.merge_count_maps(maps, "error_summary")
 
 
 @query("merge_attempt_analytics", "E19", A + f"""SELECT s.*, b.batches FROM ({SITE_SUMMARY_SQL}) s
 JOIN (SELECT site, CAST(count(DISTINCT batch) AS BIGINT) AS batches FROM attempts GROUP BY site) b USING (site)""")
 def merge_attempt_analytics(spark, d):
-    return at.merge_attempt_analytics(att(spark, d))
+    # the batches' states are written as artifacts, read back and merged; no attempt is read again
+    root = work_dir(spark, "states")
+    mg.attempt_state(att(spark, d), ("batch",)).write.partitionBy("batch").json(f"{root}/attempt_state")
+    return mg.merge_attempt_analytics(spark.read.schema(mg.STATE + ", batch bigint").json(f"{root}/attempt_state"))
 
 
 R = probe_rules()
@@ -364,3 +373,28 @@ JOIN (SELECT run_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start_time, strft
 GROUP BY p.run_id""")
 def run_progress(spark, d):
     return at.run_progress(att(spark, d), b.planned_terms(spark, d))
+
+
+@query("merge_run_report", "E17", ov.with_(ov.ATTEMPTS, ov.POSTINGS, ov.scored_sql(R), """halves AS (
+  SELECT h, strftime(start_ts, '%Y-%m-%d %H:%M:%S') AS start_time, strftime(end_ts, '%Y-%m-%d %H:%M:%S') AS end_time, terms, sites, raw, kept, blocked, companies FROM
+    (SELECT batch % 2 AS h, min(ts) AS start_ts, max(ts) AS end_ts, count(DISTINCT search_term) AS terms,
+       list(DISTINCT site) FILTER (WHERE error_type = 'blocked') AS sites FROM attempts GROUP BY 1)
+    JOIN (SELECT batch % 2 AS h, count(*) AS raw, count_if(qualified) AS kept, count_if(company_score < 0) AS blocked,
+       count(DISTINCT CASE WHEN qualified AND company <> '' THEN company END) AS companies FROM scored GROUP BY 1) USING (h))""") + """
+SELECT 'r0' AS run_id, string_agg(CAST(h AS VARCHAR), ',' ORDER BY h) AS batches_processed, CAST(count(*) AS BIGINT) AS total_batches,
+  min(start_time) AS start_time, max(end_time) AS end_time, CAST(sum(terms) AS BIGINT) AS search_terms_total, CAST(sum(terms) AS BIGINT) AS search_terms_completed,
+  CAST(sum(raw) AS BIGINT) AS total_jobs_raw, CAST(sum(kept) AS BIGINT) AS total_jobs_filtered, CAST(sum(companies) AS BIGINT) AS unique_companies,
+  CAST(sum(raw) AS BIGINT) AS total_processed, CAST(sum(kept) AS BIGINT) AS qualified, CAST(sum(raw) - sum(kept) AS BIGINT) AS rejected,
+  CAST(sum(blocked) AS BIGINT) AS company_blocked,
+  coalesce(array_to_string(list_sort(list_distinct(flatten(list(sites)))), ','), '') AS blocked_sites, 100.0::DOUBLE AS completion_rate,
+  round((1 - sum(kept) / sum(raw)) * 100, 1) AS filter_rate, round(sum(kept) / sum(raw) * 100, 2) AS pass_rate
+FROM halves""")
+def merge_run_report(spark, d):
+    # two batches of one run write their reports; the merge reads nothing else
+    root = work_dir(spark, "run")
+    postings, attempts = sc.score_postings(b.postings(spark, d), R), att(spark, d)
+    for half in range(2):
+        scored, tries = postings.filter(F.col("batch") % 2 == half), attempts.filter(F.col("batch") % 2 == half)
+        companies = scored.filter("qualified AND company <> ''").select("company").distinct()
+        write_run_reports(scored, tries, rs.run_stats(tries, tries, scored, companies, RUN_ID), root, RUN_ID, half)
+    return merge_batches(spark, root, RUN_ID)["run"]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
+from ..session import path_exists
 
 
 def union_postings(frames: list[DataFrame]) -> DataFrame:
@@ -91,6 +92,28 @@ def read_run_artifacts(spark: SparkSession, root: str, kind: str, schema: T.Stru
     return good, bad
 
 
+def read_batches(spark: SparkSession, root: str, kind: str, run_id: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """A4: one kind of JSON-lines artifacts of all batches of a run, with an explicit schema.
+
+    Returns (rows with their ``batch``, null for a run that was not cut; corrupt
+    files). A file with a line that does not parse is skipped whole and named in
+    the second frame; a kind that no batch wrote is empty.
+    """
+    path = f"{root.rstrip('/')}/{kind}/run_id={run_id}"
+    fields = T._parse_datatype_string(schema)
+    if not path_exists(spark, path):
+        empty = spark.createDataFrame([], T.StructType([*fields.fields, T.StructField("batch", T.IntegerType())]))
+        return empty, spark.createDataFrame([], "source_file string")
+    sch = T.StructType([*fields.fields, T.StructField("_corrupt_record", T.StringType())])
+    lines = spark.read.option("recursiveFileLookup", True).text(path).withColumn("source_file", F.input_file_name())
+    parsed = F.from_json("value", sch, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    named = lines.select("source_file", parsed.alias("p")).select("source_file", "p.*")
+    bad = named.where(F.col("_corrupt_record").isNotNull()).select("source_file", F.lit(True).alias("__bad")).distinct()
+    good = named.join(bad, "source_file", "left").where("__bad IS NULL")
+    batch = F.nullif(F.regexp_extract("source_file", r"/batch=([0-9]+)/", 1), F.lit("")).cast("int")
+    return good.select(*[f.name for f in fields.fields], batch.alias("batch")), bad.select("source_file")
+
+
 def latest_export(df: DataFrame, key: str = "run_id") -> DataFrame:
     """A5: rows of the newest export = greatest partition value (a scalar subquery)."""
     newest = df.agg(F.max(key).alias("__m"))
