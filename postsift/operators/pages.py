@@ -7,9 +7,10 @@ built-in regex functions, and the one-row-per-link step is an ``explode``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import text as tx
 from .ordering import first_per_key
@@ -26,6 +27,10 @@ BASE_URL = "https://jobs.example.com"
 HREF = r'href="([^"]+)"'
 ANCHOR = r'<a [^>]*href="([^"]*)"[^>]*>([^<]*)</a>'
 JOB_LINK = "/jobs?/"
+# a card's link: target and what it encloses; the target's id
+CARD_LINK = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
+JOB_ID_LINK = r"/jobs/(\d+)/"
+LD_BLOCK = r"""(?is)<script[^>]*type=["']application/ld\+json["'][^>]*>(.*?)</script>"""
 # Named entities (fixed values); numeric ones are decoded by their code. A no-break space counts as a blank.
 ENTITIES = {
     "nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&", "ndash": "–", "mdash": "—",
@@ -53,7 +58,11 @@ def decode_entities(text):
         decoded = F.when(name.startswith("#"), char(number)).otherwise(F.try_element_at(names, name))
         return F.when(i == 0, p).otherwise(F.coalesce(F.concat(decoded, F.substring(p, F.length(name) + 2, F.length(p))), F.concat(F.lit("&"), p)))
 
-    return F.when(text.contains("&"), F.array_join(F.transform(F.split(text, "&", -1), piece), "")).otherwise(text)
+    def decoded_once(t):
+        return F.when(t.contains("&"), F.array_join(F.transform(F.split(t, "&", -1), piece), "")).otherwise(t)
+
+    # bound by a lambda, so a costly ``text`` is computed once however often it is used
+    return F.get(F.transform(F.array(text), decoded_once), F.lit(0))
 
 
 def html_to_text(html, limit: int | None = DESCRIPTION_CHARS):
@@ -97,66 +106,171 @@ def _parts(fragment):
     return F.filter(F.transform(pieces, lambda p: tx.py_strip(p)), lambda p: p != "")
 
 
-def listing_fields(pages: DataFrame) -> DataFrame:
-    """H2: title, company, location by position from the card text; kept only with title and id."""
-    card = F.regexp_extract("html", r"(?s)<article>(.*?)</article>", 1)
-    p = pages.select("page_id", _parts(card).alias("parts"))
-    loc = F.get("parts", 2)
-    out = p.select(
-        "page_id",
-        F.get("parts", 0).alias("title"),
-        F.coalesce(F.get("parts", 1), F.lit("")).alias("company"),
-        F.coalesce(F.when(loc.contains("..."), tx.clean_location(loc)).otherwise(loc), F.lit("")).alias("location"),
-    )
-    return out.filter(F.col("title").isNotNull() & (F.col("title") != ""))
+def cards(pages: DataFrame, tag: str = "article", link: str | None = None) -> DataFrame:
+    """H2: every card of a page, one row each: ``page_id, card, html, parts, target, job_id``, in page order.
+
+    A card is an element ``tag`` with any attributes (cards are not nested).
+    ``link`` is a pattern for the target of a card's own link whose first group is
+    the posting's id: cards without such a link are dropped, and of cards of a
+    page with the same target the first stays. Without ``link`` cards need none.
+    """
+    found = F.regexp_extract_all("html", F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>"), F.lit(1))
+    rows = pages.withColumn("__cards", found).select(*pages.columns, F.posexplode("__cards").alias("card", "__card"))
+    rows = rows.drop("html").withColumnRenamed("__card", "html").withColumn("parts", _parts(F.col("html")))
+    if link is None:
+        return rows.withColumn("target", F.lit(None).cast("string")).withColumn("job_id", F.lit(None).cast("string")).withColumn("title", F.get("parts", F.lit(0)))
+    targets, texts = (F.regexp_extract_all("html", F.lit(CARD_LINK), F.lit(k)) for k in (1, 2))
+    links = F.filter(F.arrays_zip(targets.alias("target"), texts.alias("text")), lambda x: x["target"].rlike(link))
+    rows = rows.withColumn("__link", F.get(links, F.lit(0))).where("__link IS NOT NULL")
+    rows = rows.select(*rows.columns[:-1], F.col("__link.target").alias("target"), F.regexp_extract("__link.target", link, 1).alias("job_id"),
+                       tx.py_strip(F.regexp_replace("__link.text", "<[^>]+>", "")).alias("title"))
+    rows = rows.where("job_id <> ''")
+    first = Window.partitionBy("page_id", "target").orderBy("card")
+    return rows.withColumn("__rn", F.row_number().over(first)).where("__rn = 1").drop("__rn")
+
+
+def _card_fields(rows: DataFrame) -> DataFrame:
+    loc = F.get("parts", F.lit(2))
+    return rows.withColumns({
+        "company": F.coalesce(F.get("parts", F.lit(1)), F.lit("")),
+        "location": F.coalesce(F.when(loc.contains("..."), tx.clean_location(loc)).otherwise(loc), F.lit("")),
+    }).where("title IS NOT NULL AND title <> ''")
+
+
+def listing_fields(pages: DataFrame, tag: str = "article", link: str | None = None) -> DataFrame:
+    """H2: title, company and location of every card of a page; cards without a title, or without an id where ``link`` asks for one, are dropped.
+
+    The title is the text of the card's own link, without ``link`` the card's first text.
+    """
+    out = _card_fields(cards(pages.select("page_id", "html"), tag, link))
+    return out.select("page_id", F.col("card").cast("bigint").alias("card"), "title", "company", "location",
+                      *([] if link is None else ["job_id", tx.absolute_url("target", BASE_URL).alias("job_url")]))
+
+
+def _posting_of(block: Column) -> Column:
+    """The posting of a JSON-LD text as a VARIANT: of its objects (itself, the elements of a list, of a ``@graph``) the
+    first of type JobPosting, else the first with a description; NULL for malformed text."""
+    def objects(v: Column) -> Column:
+        listed = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array(v))
+        graph = F.coalesce(F.try_variant_get(v, "$['@graph']", "array<variant>"), F.array().cast("array<variant>"))
+        return F.concat(listed, graph)
 
+    def rank(v: Column) -> Column:
+        kind = F.coalesce(F.try_variant_get(v, "$['@type']", "string"), F.try_variant_get(v, "$['@type'][0]", "string"))
+        return F.when(kind == "JobPosting", 0).when(F.try_variant_get(v, "$.description", "string").isNotNull(), 1).otherwise(2)
 
-JSON_LD_SCHEMA = T.StructType(
-    [
-        T.StructField("description", T.StringType()),
-        T.StructField("baseSalary", T.StructType([T.StructField("value", T.StructType([T.StructField("value", T.StringType())]))])),
-        T.StructField("employmentType", T.StringType()),
-        T.StructField("datePosted", T.StringType()),
-    ]
-)
+    def best(found: Column) -> Column:
+        ranks = F.transform(found, rank)
+        return F.get(found, (F.array_position(ranks, F.array_min(ranks)) - 1).cast("int"))
+
+    # bound by lambdas, so a block is parsed once
+    return F.get(F.transform(F.array(F.try_parse_json(block)), lambda v: best(objects(v))), F.lit(0))
+
+
+def _ld_text(v: str, path: str) -> Column:
+    """A text field of a VARIANT; numbers count as their digits, lists and objects are no text."""
+    value = F.try_variant_get(v, path, "string")
+    return F.when(F.schema_of_variant(F.try_variant_get(v, path, "variant")).rlike("^(ARRAY|OBJECT)"), F.lit(None)).otherwise(value)
 
 
 def json_ld_fields(docs: DataFrame, json_col: str = "json_ld") -> DataFrame:
-    """H3: fields of a JSON-LD block with type guards; malformed JSON yields NULL fields, not a failure."""
-    j = F.from_json(F.col(json_col), JSON_LD_SCHEMA, {"mode": "PERMISSIVE"})
-    d = docs.withColumn("__j", j)
-    desc = F.col("__j.description")
-    sal = F.col("__j.baseSalary.value.value")
-    emp = F.col("__j.employmentType")
+    """H3: fields of a JSON-LD block with type guards.
+
+    The block may be an object, a list or a ``@graph``. A field of another type
+    than text (a number for the salary's object, a list of employment types) is
+    NULL and leaves the others alone; malformed JSON yields NULL fields, not a failure.
+    """
+    d = docs.select("seq", _posting_of(F.col(json_col)).alias("__v"))
+    d = d.select("seq", *[_ld_text("__v", p).alias(n) for n, p in (
+        ("__d", "$.description"), ("__s", "$.baseSalary.value.value"), ("__e", "$.employmentType"), ("__p", "$.datePosted"))])
     return d.select(
         "seq",
-        F.when(F.length(desc) > 0, html_to_text(desc)).alias("description"),
-        tx.salary_text(sal).alias("salary"),
-        F.when(F.length(emp) > 0, tx.employment_type(emp)).alias("employment_type"),
-        F.when(F.length(F.col("__j.datePosted")) > 0, F.col("__j.datePosted")).alias("date_posted"),
+        F.when(F.length("__d") > 0, html_to_text(F.col("__d"))).alias("description"),
+        tx.salary_text(F.col("__s")).alias("salary"),
+        F.when(F.length("__e") > 0, tx.employment_type(F.col("__e"))).alias("employment_type"),
+        F.when(F.length("__p") > 0, F.col("__p")).alias("date_posted"),
     )
 
 
-def selector_fallback(pages: DataFrame) -> DataFrame:
-    """H5: ordered candidates per field, first non-empty wins, and which one matched."""
-    h1 = tx.py_strip(F.regexp_extract("html", r"(?s)<h1[^>]*>(.*?)</h1>", 1))
-    title = tx.py_strip(F.regexp_extract("html", r"(?s)<title[^>]*>(.*?)</title>", 1))
-    return pages.select(
-        "page_id",
-        F.coalesce(F.nullif(h1, F.lit("")), F.nullif(title, F.lit(""))).alias("heading"),
-        F.when(h1 != "", F.lit("h1")).when(title != "", F.lit("title")).alias("selector_matched"),
-    )
+def _page_ld(html: str = "html") -> Column:
+    """The posting of a page's JSON-LD blocks: the first block that holds a description, else NULL."""
+    found = F.transform(F.regexp_extract_all(html, F.lit(LD_BLOCK), F.lit(1)), lambda b: F.try_variant_get(_posting_of(b), "$.description", "string"))
+    return F.get(F.filter(found, lambda x: x != ""), F.lit(0))
 
 
-def description_fallback(pages: DataFrame) -> DataFrame:
-    """H6: JSON-LD description first, else the main container text when over 100 characters, else ''."""
-    ld = F.regexp_extract("html", r'(?s)<script type="application/ld\+json">(.*?)</script>', 1)
-    ld_desc = F.get_json_object(F.nullif(ld, F.lit("")), "$.description")
-    main = html_to_text(F.regexp_extract("html", r"(?s)<article>(.*?)</article>", 1))
-    return pages.select(
-        "page_id",
-        F.coalesce(F.nullif(html_to_text(ld_desc), F.lit("")), tx.text_length_gate(main, MIN_MAIN_TEXT), F.lit("")).alias("description"),
-    )
+def page_json_ld(pages: DataFrame) -> DataFrame:
+    """H3 over whole pages: the fields of every JSON-LD block, ``page_id, block`` and the fields."""
+    blocks = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(LD_BLOCK), F.lit(1))).alias("block", "json_ld"))
+    fields = json_ld_fields(blocks.withColumn("seq", F.struct("page_id", "block")))
+    return fields.select("seq.page_id", F.col("seq.block").cast("bigint").alias("block"), *[c for c in fields.columns if c != "seq"])
+
+
+_SELECTOR = re.compile(r"""([A-Za-z][\w-]*)?((?:[.#][\w-]+|\[[\w-]+(?:[*^$]?=(?:"[^"]*"|'[^']*'|[\w-]+))?\])*)""")
+_SELECTOR_PART = re.compile(r"""([.#])([\w-]+)|\[([\w-]+)(?:([*^$]?=)(?:"([^"]*)"|'([^']*)'|([\w-]+)))?\]""")
+
+
+def selector_regex(selector: str) -> str:
+    """A pattern for the opening tags that a selector names; group 1 is the tag.
+
+    A selector is a tag, then any of ``.class``, ``#id``, ``[attr]``, ``[attr="v"]``,
+    ``[attr*="v"]``, ``[attr^="v"]``, ``[attr$="v"]``; all must hold, in any order of the attributes.
+    """
+    whole = _SELECTOR.fullmatch(selector)
+    if not whole or not selector:
+        raise ValueError(f"not a selector: {selector!r}")
+    tests = ""
+    for sign, name, attr, op, *values in _SELECTOR_PART.findall(whole[2]):
+        attr, op = ("class", "~=") if sign == "." else ("id", "=") if sign == "#" else (attr, op)
+        v = re.escape(name or "".join(values))
+        body = {"~=": r"(?:[^{q}]*\s)?" + v + r"(?:\s[^{q}]*)?", "=": v, "*=": "[^{q}]*" + v + "[^{q}]*", "^=": v + "[^{q}]*", "$=": "[^{q}]*" + v}.get(op)
+        valued = "" if body is None else r"\s*=\s*(?:" + "|".join(q + body.replace("{q}", q) + q for q in "\"'") + ")"
+        tests += rf"(?=[^>]*\s(?i:{re.escape(attr)}){valued}" + (r"(?=[\s=>/])" if body is None else "") + ")"
+    tag = f"(?i:{re.escape(whole[1])})" if whole[1] else r"[A-Za-z][\w-]*"
+    return rf"<({tag})(?=[\s>/]){tests}[^>]*>"
+
+
+def _without_code(html: str) -> Column:
+    """Pages without what is no element: scripts, styles, comments."""
+    return F.regexp_replace(html, r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->", " ")
+
+
+def first_selector(pages: DataFrame, selectors: list[str] | tuple[str, ...]) -> DataFrame:
+    """H5: the first selector, in their order, that any element of the page matches, and how many do; NULL and 0 if none does."""
+    page = pages.select("page_id", F.inline(F.array(F.struct(_without_code("html").alias("html")))))
+    matched = F.coalesce(*[F.when(F.regexp_like("html", F.lit(selector_regex(s))), F.lit(s)) for s in selectors])
+    page = page.select("page_id", "html", matched.alias("selector_matched"))
+    count = F.lit(0)
+    for s in selectors:
+        count = F.when(F.col("selector_matched") == s, F.regexp_count("html", F.lit(selector_regex(s)))).otherwise(count)
+    return page.select("page_id", "selector_matched", count.cast("bigint").alias("n_matched"))
+
+
+def selector_fallback(pages: DataFrame, selectors: list[str] | tuple[str, ...] = ("h1", "title"), out: str = "heading") -> DataFrame:
+    """H5: the text of the first selector, in their order, whose first element has any, and which one that was.
+
+    An element ends at the first closing tag of its name.
+    """
+    page = pages.select("page_id", F.inline(F.array(F.struct(_without_code("html").alias("html")))))
+    texts = [tx.py_strip(F.regexp_extract("html", r"(?s)" + selector_regex(s) + r"(.*?)</\1\s*>", 2)) for s in selectors]
+    found = F.filter(F.array(*[F.struct(t.alias("text"), F.lit(s).alias("selector")) for t, s in zip(texts, selectors)]), lambda x: x["text"] != "")
+    page = page.select("page_id", F.get(found, F.lit(0)).alias("__f"))
+    return page.select("page_id", F.col("__f.text").alias(out), F.col("__f.selector").alias("selector_matched"))
+
+
+def description_fallback(pages: DataFrame, main: str = "article") -> DataFrame:
+    """H6: JSON-LD description first, else the main container (a selector) text when over 100 characters, else ''."""
+    body = F.regexp_extract("html", r"(?s)" + selector_regex(main) + r"(.*?)</\1\s*>", 2)
+    texts = pages.select("page_id", _page_ld().alias("ld"), body.alias("main"))
+    return texts.select("page_id", _description(F.col("ld"), F.col("main")).alias("description"))
+
+
+def _description(ld: Column, main: Column) -> Column:
+    def gated(t: Column) -> Column:
+        return F.coalesce(tx.text_length_gate(t, MIN_MAIN_TEXT), F.lit(""))
+
+    own = F.when(F.length(ld) > 0, html_to_text(ld)).otherwise("")
+    # the main text is turned into text only where the block gave none
+    return F.get(F.transform(F.array(own), lambda d: F.when(d != "", d).otherwise(F.get(F.transform(F.array(html_to_text(main)), gated), F.lit(0)))), F.lit(0))
 
 
 def fallback_links(pages: DataFrame, has_cards: DataFrame, job_link: str = JOB_LINK, cap: int = FALLBACK_LINK_CAP) -> DataFrame:
@@ -176,24 +290,25 @@ def fallback_links(pages: DataFrame, has_cards: DataFrame, job_link: str = JOB_L
     return links.select("page_id", named.alias("__named")).select("page_id", F.explode(first).alias("__l")).select("page_id", "__l.title", "__l.pos")
 
 
-def pages_to_postings(pages: DataFrame) -> DataFrame:
-    """A10: stored raw pages -> posting rows (title, company, location from the card,
-    description by H6, the page URL as the link), in one projection per page."""
-    card = F.regexp_extract("html", r"(?s)<article>(.*?)</article>", 1)
-    p = pages.select("page_id", "url", "html", _parts(card).alias("parts"))
-    loc = F.get("parts", 2)
-    ld = F.regexp_extract("html", r'(?s)<script type="application/ld\+json">(.*?)</script>', 1)
-    ld_desc = F.get_json_object(F.nullif(ld, F.lit("")), "$.description")
-    main = html_to_text(card)
-    out = p.select(
+def pages_to_postings(pages: DataFrame, tag: str = "article", link: str | None = None) -> DataFrame:
+    """A10: stored raw pages -> one posting row per card (``cards``), ``seq`` the page, ``card`` its place in it.
+
+    Title, company and location come from the card; the link is the card's own
+    where ``link`` asks for one, else the page. A page of one card is a posting's
+    own page, so its description may come from the page's JSON-LD (H6); of
+    several cards each has its own text.
+    """
+    one = F.size(F.regexp_extract_all("html", F.lit(rf"(?is)<{tag}[\s>]"), F.lit(0))) == 1
+    p = pages.select("page_id", "url", "html", F.when(one, _page_ld()).alias("__ld"))
+    out = _card_fields(cards(p, tag, link))
+    return out.select(
         F.col("page_id").alias("seq"),
-        F.get("parts", 0).alias("title"),
-        F.coalesce(F.get("parts", 1), F.lit("")).alias("company"),
-        F.coalesce(F.when(loc.contains("..."), tx.clean_location(loc)).otherwise(loc), F.lit("")).alias("location"),
-        F.col("url").alias("job_url"),
-        F.coalesce(F.nullif(html_to_text(ld_desc), F.lit("")), tx.text_length_gate(main, MIN_MAIN_TEXT), F.lit("")).alias("description"),
+        F.col("card").cast("bigint").alias("card"),
+        "title", "company", "location",
+        F.coalesce(tx.absolute_url("target", BASE_URL), F.col("url")).alias("job_url"),
+        _description(F.col("__ld"), F.col("html")).alias("description"),
+        *([] if link is None else ["job_id"]),
     )
-    return out.filter(F.col("title").isNotNull() & (F.col("title") != ""))
 
 
 def valid_postings(postings: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from ..sources import state_store as ss
 from ..streaming.streams import work_dir
 from . import oracle_views as ov
 from .leads_queries import LEADS_CTE, leads
-from .page_queries import html_to_text_sql
+from .page_queries import LOCATION_SQL, cards_sql, html_to_text_sql
 from .probe_rules import probe_rules
 from .registry import query
 from .state_queries import SUBMITTED
@@ -27,21 +27,16 @@ from .telemetry_queries import PAIRS, _site_stats_sql
 
 R = probe_rules()
 
-_PARTS_SQL = r"""list_filter(list_transform(string_split(regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<[^>]+>', '|', 'g'), '|'),
-  lambda p: regexp_replace(p, '^\s+|\s+$', '', 'g')), lambda p: p <> '')"""
 _LD_SQL = """CASE WHEN json_valid(nullif(regexp_extract(html, '(?s)<script type="application/ld\\+json">(.*?)</script>', 1), ''))
     THEN json_extract_string(regexp_extract(html, '(?s)<script type="application/ld\\+json">(.*?)</script>', 1), '$.description') END"""
-PAGE_POSTINGS = f"""page_postings AS (
-  SELECT page_id AS seq, parts[1] AS title, coalesce(parts[2], '') AS company,
-    coalesce(CASE WHEN contains(parts[3], '...') THEN regexp_replace(split_part(parts[3], '...', 1), '^\\s+|\\s+$', '', 'g') ELSE parts[3] END, '') AS location,
-    url AS job_url,
+PAGE_POSTINGS = cards_sql("article") + f""", page_postings AS (
+  SELECT page_id AS seq, CAST(card AS BIGINT) AS card, parts[1] AS title, coalesce(parts[2], '') AS company, {LOCATION_SQL} AS location, url AS job_url,
     coalesce(nullif({html_to_text_sql('ld')}, ''), CASE WHEN length(main) > 100 THEN main END, '') AS description
-  FROM (SELECT page_id, url, {_PARTS_SQL} AS parts, {_LD_SQL} AS ld,
-      {html_to_text_sql("regexp_extract(html, '(?s)<article>(.*?)</article>', 1)")} AS main FROM pages)
-  WHERE parts[1] IS NOT NULL AND parts[1] <> '')"""
+  FROM (SELECT *, CASE WHEN len(regexp_extract_all(html, '(?i)<article[\\s>]')) = 1 THEN {_LD_SQL} END AS ld, {html_to_text_sql("c")} AS main FROM cards)
+  WHERE parts[1] IS NOT NULL)"""
 
 
-@query("pages_to_postings", "A10", ov.with_(PAGE_POSTINGS) + "SELECT seq, title, company, location, job_url, description FROM page_postings")
+@query("pages_to_postings", "A10", ov.with_(PAGE_POSTINGS) + "SELECT seq, card, title, company, location, job_url, description FROM page_postings")
 def pages_to_postings(spark, d):
     return pg.pages_to_postings(b.pages(spark, d))
 

