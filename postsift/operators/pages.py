@@ -30,6 +30,8 @@ JOB_LINK = "/jobs?/"
 # a card's link: target and what it encloses; the target's id
 CARD_LINK = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
 JOB_ID_LINK = r"/jobs/(\d+)/"
+# scripts, styles and comments with what they hold, then any tag: whatever begins first
+MARKUP = r"(?s)<(?i:script)[^>]*>.*?</(?i:script)>|<(?i:style)[^>]*>.*?</(?i:style)>|<!--.*?-->|<[^>]+>"
 LD_BLOCK = r"""(?is)<script[^>]*type=["']application/ld\+json["'][^>]*>(.*?)</script>"""
 # Named entities (fixed values); numeric ones are decoded by their code. A no-break space counts as a blank.
 ENTITIES = {
@@ -67,10 +69,7 @@ def decode_entities(text):
 
 def html_to_text(html, limit: int | None = DESCRIPTION_CHARS):
     """H4: drop scripts, styles, comments and tags, decode entities, collapse blanks, cut."""
-    h = F.regexp_replace(html, r"(?is)<script[^>]*>.*?</script>", " ")
-    h = F.regexp_replace(h, r"(?is)<style[^>]*>.*?</style>", " ")
-    h = F.regexp_replace(h, r"(?s)<!--.*?-->", " ")
-    h = F.regexp_replace(h, r"<[^>]+>", " ")
+    h = F.regexp_replace(html, MARKUP, " ")
     h = decode_entities(h)
     h = F.trim(F.regexp_replace(h, r"\s+", " "))
     return F.substring(h, 1, limit) if limit else h

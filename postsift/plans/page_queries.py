@@ -19,10 +19,7 @@ def pages(spark, d):
 
 
 def html_to_text_sql(x: str, limit: int | None = 5000) -> str:
-    h = f"regexp_replace({x}, '(?is)<script[^>]*>.*?</script>', ' ', 'g')"
-    h = f"regexp_replace({h}, '(?is)<style[^>]*>.*?</style>', ' ', 'g')"
-    h = f"regexp_replace({h}, '(?s)<!--.*?-->', ' ', 'g')"
-    h = f"regexp_replace({h}, '<[^>]+>', ' ', 'g')"
+    h = f"regexp_replace({x}, '(?s)<(?i:script)[^>]*>.*?</(?i:script)>|<(?i:style)[^>]*>.*?</(?i:style)>|<!--.*?-->|<[^>]+>', ' ', 'g')"
     names = " ".join(f"WHEN {ov.q(n)} THEN {ov.q(c)}" for n, c in pg.ENTITIES.items())
     h = f"""array_to_string(list_transform(string_split({h}, '&'), lambda p, i: CASE WHEN i = 1 THEN p
       WHEN regexp_matches(p, '^#(160|[xX]0*[aA]0);') THEN ' ' || regexp_replace(p, '^[^;]*;', '')

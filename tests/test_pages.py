@@ -110,4 +110,4 @@ def test_entities_are_decoded_from_a_text_computed_once(spark):
     df = frame(spark, "<p>a &lt; b &amp;amp; c</p><!-- x --><style>s</style>")
     out = df.select(pg.html_to_text(F.col("html")).alias("t"))
     assert out.first()["t"] == "a < b &amp; c"
-    assert out._jdf.queryExecution().optimizedPlan().toString().count("<style") == 1
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("(?i:style)[^>]*>.*?") == 1
