@@ -7,21 +7,28 @@ engine's own reader, so the check covers writer and reader together.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
 from ..operators import attempts as at
+from ..operators import leads as ld
+from ..operators import merging as mg
 from ..operators import pages as pg
+from ..operators import runstats as rs
+from ..operators import scoring as sc
 from ..sources import bindings as b
 from ..sources import files as fs
 from ..sources import state_store as ss
 from ..streaming.streams import work_dir
 from . import oracle_views as ov
+from .entrypoints import FILTER_MAPS, FILTER_STATS, RUN_STATS, write_run_reports
 from .leads_queries import LEADS_CTE, leads
 from .page_queries import LOCATION_SQL, cards_sql, html_to_text_sql
 from .probe_rules import probe_rules
-from .registry import query
+from .registry import RUN_ID, query
 from .state_queries import SUBMITTED
 from .telemetry_queries import PAIRS, _site_stats_sql
 
@@ -124,6 +131,40 @@ def write_report_json(spark, d):
     return spark.read.schema("error_type string, n bigint, total_errors bigint").json(path)
 
 
+@query("report_sinks", "A7", ov.with_(ov.ATTEMPTS, PAIRS, ov.POSTINGS, ov.scored_sql(R)) + """SELECT 'run_stats' AS sink, 'total_jobs_raw' AS key, CAST(count(*) AS BIGINT) AS n FROM scored
+UNION ALL SELECT 'filter_stats', 'qualified', CAST(count_if(qualified) AS BIGINT) FROM scored
+UNION ALL SELECT 'filter_maps', rejection_category, CAST(count(*) AS BIGINT) FROM scored WHERE NOT qualified GROUP BY rejection_category
+UNION ALL SELECT 'attempt_state', site, CAST(count(*) AS BIGINT) FROM attempts GROUP BY site
+UNION ALL SELECT 'search_errors', last_type, CAST(count(*) AS BIGINT) FROM pairs WHERE NOT ok AND NOT was_blocked GROUP BY last_type
+UNION ALL SELECT 'rejected', id, rn FROM (SELECT row_number() OVER (ORDER BY seq) AS rn,
+  printf('rejected_%03d_%s', row_number() OVER (ORDER BY seq), substr(coalesce(company, 'None'), 1, 20)) AS id FROM scored WHERE NOT qualified) WHERE rn <= 100""")
+def report_sinks(spark, d):
+    # all sinks of a run's reports: written, read back with a fixed schema, one figure or row each
+    root = work_dir(spark, "sinks")
+    scored, attempts = sc.score_postings(b.postings(spark, d), R), b.attempts(spark, d)
+    companies = scored.filter("qualified AND company <> ''").select("company").distinct()
+    write_run_reports(scored, attempts, rs.run_stats(attempts, attempts, scored, companies, RUN_ID), root, RUN_ID, 0)
+    fs.write_report_json(at.search_errors(attempts), root, "search_errors", RUN_ID, 0, skip_empty=True)
+    fs.write_report_json(ld.rejected_postings(scored, 100), root, "rejected", RUN_ID, 0)
+
+    def back(kind, schema, key, n):
+        return fs.read_batches(spark, root, kind, RUN_ID, schema)[0].select(F.lit(kind).alias("sink"), key.alias("key"), n.cast("bigint").alias("n"))
+
+    def summed(df):
+        return df.groupBy("sink", "key").agg(F.sum("n").alias("n"))
+
+    maps = fs.read_batches(spark, root, "filter_maps", RUN_ID, FILTER_MAPS)[0]
+    states = fs.read_batches(spark, root, "attempt_state", RUN_ID, mg.STATE)[0].filter("measure = 'tried'")
+    return reduce(lambda x, y: x.unionByName(y), [
+        back("run_stats", RUN_STATS, F.lit("total_jobs_raw"), F.col("total_jobs_raw")),
+        back("filter_stats", FILTER_STATS, F.lit("qualified"), F.col("qualified")),
+        maps.select(F.lit("filter_maps").alias("sink"), F.explode("rejection_reasons").alias("key", "n")),
+        summed(states.select(F.lit("attempt_state").alias("sink"), F.col("site").alias("key"), "n")),
+        summed(back("search_errors", "error_type string", F.col("error_type"), F.lit(1))),
+        back("rejected", "rn bigint, id string", F.col("id"), F.col("rn")),
+    ])
+
+
 @query("state_tables", "A9", ov.with_(ov.SUBMISSIONS, SUBMITTED) + "SELECT domain, company, lead_id FROM submitted")
 def state_tables(spark, d):
     root = work_dir(spark, "state")

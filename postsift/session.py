@@ -80,10 +80,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a stored Parquet table with files is there; any other failure is raised."""
+def table_exists(spark: SparkSession, path: str, kind: str = "parquet") -> bool:
+    """Whether a stored table (Parquet unless told) with files is there; any other failure is raised."""
     try:
-        spark.read.parquet(path)
+        spark.read.format(kind).load(path)
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return False

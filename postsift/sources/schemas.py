@@ -38,6 +38,7 @@ SUBMITTED = _s(("domain", S), ("company", S), ("lead_id", S), ("submitted_at", T
 QUERIES_TRIED = _s(("query", S), ("tried_at", TS), ("companies_found", L))
 SOURCE_PROGRESS = _s(("source", S), ("key", S), ("value", S), ("last_updated", TS))
 
+SITE_HEALTH = _s(("window_start", S), ("site", S), ("attempts", L), ("successes", L), ("blocks", L))
 STORED_LEAD = T.StructType([*LEAD.fields, T.StructField("batch_id", S, True)])
 
-STATE_SCHEMAS = {"submitted": SUBMITTED, "queries_tried": QUERIES_TRIED, "source_progress": SOURCE_PROGRESS, "leads": STORED_LEAD}
+STATE_SCHEMAS = {"submitted": SUBMITTED, "queries_tried": QUERIES_TRIED, "source_progress": SOURCE_PROGRESS, "leads": STORED_LEAD, "site_health": SITE_HEALTH}

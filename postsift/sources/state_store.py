@@ -21,7 +21,9 @@ the earliest of equal ones.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +52,7 @@ TABLES = {
     "queries_tried": Keyed(("query",), ("tried_at", "seq"), ("query",)),
     # a source is one bucket, so taking it out touches no other
     "source_progress": Keyed(("source", "key"), ("seq",), ("source",)),
+    "site_health": Keyed(("window_start", "site"), (), ("window_start",)),
     "leads": Keyed(("company", "job_title", "date_scraped"), ("seq",), ("company", "job_title", "date_scraped")),
 }
 
@@ -127,10 +130,12 @@ def write_state_version(df: DataFrame, root: str, table: str, version: int, n_bu
     return f"{_base(root, table)}/manifest/version={version:012d}"
 
 
-def upsert(events: DataFrame, root: str, table: str, n_buckets: int = BUCKETS) -> Version | None:
+def upsert(events: DataFrame, root: str, table: str, n_buckets: int = BUCKETS, merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> Version | None:
     """Rows of ``events`` (the table's columns and its order) put into the table as a new version: the last row of a key wins.
 
-    Returns the new version, or the present one if there is no event.
+    ``merge(old rows of the touched buckets, events)`` gives those buckets' new
+    rows where another rule is wanted (adding up). Returns the new version, or the
+    present one if there is no event.
     """
     spark, spec = events.sparkSession, TABLES[table]
     at = manifest(spark, root, table)
@@ -140,11 +145,24 @@ def upsert(events: DataFrame, root: str, table: str, n_buckets: int = BUCKETS) -
     touched = {r[0] for r in new.select("__bucket").distinct().collect()}  # at most n numbers
     if not touched:
         return at
-    old = _rows(spark, root, table, [folders[b] for b in sorted(touched & set(folders))])
-    merged = last_per_key(old.unionByName(new.drop("__bucket"), allowMissingColumns=True), list(spec.keys), list(spec.order))
+    old, new = _rows(spark, root, table, [folders[b] for b in sorted(touched & set(folders))]), new.drop("__bucket")
+    merged = merge(old, new) if merge else last_per_key(old.unionByName(new, allowMissingColumns=True), list(spec.keys), list(spec.order))
     return _commit(spark, root, table, merged, n, at.number + 1 if at else 1, {b: f for b, f in folders.items() if b not in touched})
 
 
+def _bucket_of(spark: SparkSession, spec: Keyed, n_buckets: int, key: dict[str, str]) -> int:
+    one = spark.createDataFrame([tuple(key[c] for c in spec.bucket_by)], ", ".join(f"`{c}` string" for c in spec.bucket_by))
+    return one.select(_bucket(spec, n_buckets)).first()[0]
+
+
+def rows_of(spark: SparkSession, root: str, table: str, **key: str) -> DataFrame:
+    """The rows whose bucketing columns equal ``key``, read from their bucket alone."""
+    spec, at = TABLES[table], manifest(spark, root, table)
+    folder = at and at.folders.get(_bucket_of(spark, spec, at.n_buckets, key))
+    rows = _rows(spark, root, table, [folder] if folder else [])
+    return rows.where(reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(v)) for c, v in key.items()]))
+
+
 def remove(spark: SparkSession, root: str, table: str, **key: str) -> bool:
     """Take out all rows whose bucketing columns equal ``key`` (I6: one source); whether there were any.
 
@@ -155,14 +173,11 @@ def remove(spark: SparkSession, root: str, table: str, **key: str) -> bool:
         raise ValueError(f"{table} is bucketed by {', '.join(spec.bucket_by)}")
     if at is None:
         return False
-    one = spark.createDataFrame([tuple(key[c] for c in spec.bucket_by)], ", ".join(f"`{c}` string" for c in spec.bucket_by))
-    bucket = one.select(_bucket(spec, at.n_buckets)).first()[0]
+    bucket = _bucket_of(spark, spec, at.n_buckets, key)
     if bucket not in at.folders:
         return False
     rows = _rows(spark, root, table, [at.folders[bucket]])
-    gone = F.lit(True)
-    for c in spec.bucket_by:
-        gone = gone & F.col(c).eqNullSafe(F.lit(key[c]))
+    gone = reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(v)) for c, v in key.items()])
     if rows.where(gone).isEmpty():
         return False
     _commit(spark, root, table, rows.where(~gone), at.n_buckets, at.number + 1, {b: f for b, f in at.folders.items() if b != bucket})

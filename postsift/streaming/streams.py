@@ -2,10 +2,9 @@
 
 * ``stream_score``          readStream -> the same scoring columns -> qualified rows (append).
 * ``stream_new_companies``  first posting per company that no earlier run has
-  emitted; parts per micro-batch and the companies of each run are kept below
-  a state path, so later runs and restarts remember them.
+  emitted; the state store remembers the companies of all runs.
 * ``stream_site_health``    attempts per site in tumbling event-time windows:
-  counts per micro-batch, summed when read, so late rows count.
+  counts per micro-batch, added to a table in buckets by window, so late rows count.
 
 Sinks and state live under the session's ``spark.checkpoint.dir`` (a shared
 folder on a cluster), never on a machine-local path.
@@ -22,6 +21,7 @@ from ..functions.rules import RuleSet
 from ..operators import scoring as sc
 from ..operators.ordering import first_per_key
 from ..session import ensure_checkpoint_dir, table_exists
+from ..sources import state_store
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -48,42 +48,58 @@ def run_to_table(spark: SparkSession, stream_df: DataFrame, name: str, output_mo
     return f"{base}/out"
 
 
+def _run_number(spark: SparkSession, root: str, run_id: str) -> int:
+    """The place of a run among the runs that were started on a state path; one row a run."""
+    path = f"{root}/runs"
+    known = {r["run"]: r["number"] for r in spark.read.schema("run string, number long").json(path).collect()} if table_exists(spark, path, "json") else {}
+    if run_id not in known:
+        known[run_id] = len(known)
+        spark.createDataFrame([(run_id, known[run_id])], "run string, number long").coalesce(1).write.mode("append").json(path)
+    return known[run_id]
+
+
 def stream_new_companies(spark: SparkSession, stream_df: DataFrame, state_path: str, run_id: str,
                          key: str = "company", order_col: str = "seq") -> DataFrame:
     """The first posting (smallest ``order_col``) of each company that no earlier run has emitted.
 
-    Below ``state_path`` every run has a folder: its checkpoint, one part per
-    micro-batch with the first row per company of that batch (a replayed batch
-    overwrites its own part), and the companies it emitted. The result is the
-    smallest row over all parts, less the companies of all other runs, so it
-    does not depend on how files fall into batches; a run that is started again
-    goes on from its checkpoint and emits the same companies.
+    Two streams: a run's own one writes the smallest row per company of each
+    micro-batch to a feed below ``state_path`` (a replayed batch overwrites its
+    part); the second, which all runs go on with, takes the feed's new files into
+    a streaming aggregate. Its state store holds, per company, the number of the
+    run that met it first and that run's smallest row, so a run looks up the
+    companies of its input and reads nothing else of its history. Companies that
+    changed are written per micro-batch, those of earlier runs left out; the
+    result is the smallest row over the run's own parts. It does not depend on
+    how files fall into batches, and a run that is started again emits the same
+    companies. The state store's number of partitions is that of the first run.
     """
     root = state_path.rstrip("/")
-    parts, emitted = f"{root}/parts/run={run_id}", f"{root}/emitted"
+    number, parts = _run_number(spark, root, run_id), f"{root}/parts/run={run_id}"
+    others = [c for c in stream_df.columns if c not in (key, order_col)]
+    fed = f"{root}/feed"
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.filter(F.col(key).isNotNull() & (F.col(key) != ""))
-        first_per_key(rows, [key], order_col).write.mode("overwrite").parquet(f"{parts}/batch_id={batch_id}")
+    def feed(batch: DataFrame, batch_id: int) -> None:
+        rows = first_per_key(batch.filter(F.col(key).isNotNull() & (F.col(key) != "")), [key], order_col)
+        # of a company's rows those of its first run count, of these the one of the smallest order
+        ranked = rows.select(key, F.struct(F.lit(number).alias("run"), F.col(order_col), *[F.col(c) for c in others]).alias("row"))
+        ranked.write.mode("overwrite").parquet(f"{fed}/part={number}-{batch_id}")
 
-    q = (
-        stream_df.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", f"{root}/checkpoints/{run_id}")
-        .trigger(availableNow=True)
-        .start()
-    )
+    def changed(batch: DataFrame, batch_id: int) -> None:
+        batch.filter(F.col("row.run") == number).select(key, F.col(f"row.{order_col}").alias(order_col), *[F.col(f"row.{c}").alias(c) for c in others]) \
+            .write.mode("overwrite").parquet(f"{parts}/batch_id={batch_id}")
+
+    q = stream_df.writeStream.foreachBatch(feed).option("checkpointLocation", f"{root}/checkpoints/{run_id}").trigger(availableNow=True).start()
+    q.awaitTermination()
+    if not table_exists(spark, fed):
+        return spark.createDataFrame([], stream_df.schema)
+    row = ", ".join(f"`{c}` {stream_df.schema[c].dataType.simpleString()}" for c in (order_col, *others))
+    ranked = spark.readStream.schema(f"`{key}` {stream_df.schema[key].dataType.simpleString()}, row struct<run: int, {row.replace('` ', '`: ')}>").parquet(fed)
+    first = ranked.groupBy(key).agg(F.min("row").alias("row"))
+    q = first.writeStream.outputMode("update").foreachBatch(changed).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
     if not table_exists(spark, parts):
         return spark.createDataFrame([], stream_df.schema)
-    first = first_per_key(spark.read.parquet(parts).drop("batch_id"), [key], order_col)
-    if table_exists(spark, emitted):
-        known = spark.read.schema(f"`{key}` {stream_df.schema[key].dataType.simpleString()}, run string").parquet(emitted)
-        first = first.join(known.filter(F.col("run") != run_id).select(key), key, "left_anti")
-    out = f"{root}/new/run={run_id}"
-    first.write.mode("overwrite").parquet(out)
-    new = spark.read.parquet(out)
-    new.select(key).write.mode("overwrite").parquet(f"{emitted}/run={run_id}")
-    return new.select(*stream_df.columns)
+    return first_per_key(spark.read.schema(stream_df.schema).parquet(parts), [key], order_col).select(*stream_df.columns)
 
 
 HEALTH_COUNTS = ("attempts", "successes", "blocks")
@@ -104,9 +120,12 @@ def site_health_counts(attempts: DataFrame, window: str = "1 day") -> DataFrame:
 def stream_site_health(spark: SparkSession, stream_df: DataFrame, window: str = "1 day", state_path: str | None = None) -> DataFrame:
     """The stream's window counts with their success rate.
 
-    Each micro-batch writes its own counts per window and site (a replayed
-    batch overwrites its own); the result sums them, so no row is too late and
-    no state is held between batches.
+    A micro-batch writes its own counts per window and site (a replayed batch
+    overwrites its own). At the end of a run the new batches' counts are added to
+    the stored ones: a table in buckets by window (``sources.state_store``), of
+    which only the windows that got rows are read and written, early or late.
+    Old windows cost nothing and no row is too late. The last batch that was added
+    is a row of the same version, so a run that dies in between adds nothing twice.
     """
     base = (state_path or work_dir(spark, "site-health")).rstrip("/")
 
@@ -115,8 +134,33 @@ def stream_site_health(spark: SparkSession, stream_df: DataFrame, window: str =
 
     q = stream_df.writeStream.foreachBatch(handle).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
-    schema = "window_start string, site string, " + ", ".join(f"{c} bigint" for c in HEALTH_COUNTS)
-    counts = spark.read.schema(schema).parquet(f"{base}/counts") if table_exists(spark, f"{base}/counts") else spark.createDataFrame([], schema)
-    total = counts.groupBy("window_start", "site").agg(*[F.sum(c).alias(c) for c in HEALTH_COUNTS])
+    _add_counts(spark, base)
+    total = state_store.read_state(spark, base, "site_health").filter(F.col("window_start") != ADDED)
     return total.select("window_start", "site", "attempts", "successes",
                         F.round(F.col("successes") / F.col("attempts") * 100, 1).alias("success_rate"), "blocks")
+
+
+# The row that tells the last added batch (as its number of attempts).
+ADDED = "added"
+
+
+def _add_counts(spark: SparkSession, base: str) -> None:
+    """Counts of the batches that are not yet in the table, added to it as one version."""
+    done = state_store.rows_of(spark, base, "site_health", window_start=ADDED).first()
+    last = done["attempts"] if done else -1
+    if not table_exists(spark, f"{base}/counts"):
+        return
+    schema = "window_start string, site string, " + ", ".join(f"{c} bigint" for c in HEALTH_COUNTS) + ", batch_id bigint"
+    # partition pruning: parts of batches that were added are not read
+    fresh = spark.read.schema(schema).option("basePath", f"{base}/counts").parquet(f"{base}/counts").filter(F.col("batch_id") > last)
+    newest = fresh.agg(F.max("batch_id")).first()[0]
+    if newest is None:
+        return
+    counts = fresh.drop("batch_id").groupBy("window_start", "site").agg(*[F.sum(c).alias(c) for c in HEALTH_COUNTS])
+    marker = spark.createDataFrame([(ADDED, None, newest, 0, 0)], counts.schema)
+
+    def add(old: DataFrame, new: DataFrame) -> DataFrame:
+        kept = old.filter(F.col("window_start") != ADDED).unionByName(new.filter(F.col("window_start") != ADDED))
+        return kept.groupBy("window_start", "site").agg(*[F.sum(c).alias(c) for c in HEALTH_COUNTS]).unionByName(new.filter(F.col("window_start") == ADDED))
+
+    state_store.upsert(counts.unionByName(marker), base, "site_health", merge=add)
