@@ -4,9 +4,10 @@ The terms of a text are its distinct lower-case words, split at blanks. A term
 weighs as much as its length less two, from one to ten (short words are
 frequent and say little), and votes with its weight for every set bit of its
 128-bit hash and against every unset one. The fingerprint has the bits with a
-positive sum, as 32 hexadecimal digits. It is a projection of the text: four
-bits share one 64-bit sum in lanes of 16 bits, terms are taken in chunks that
-cannot overflow a lane, and the chunks' sums are added up.
+positive sum, as 32 hexadecimal digits. It is a projection of the text: eight
+bits share one 64-bit sum in lanes of 8 bits, a few terms at a time, whose sums
+go into lanes of 16 bits, and terms are taken in chunks that cannot overflow a
+lane.
 
 Search: the bits are cut into ``radius + 1`` blocks. Two fingerprints within
 the radius agree in at least one block, so each block, moved to the front,
@@ -33,27 +34,39 @@ from .common import text_or_empty
 
 BITS = 128
 CHUNK = 6000  # terms of weight up to 10 in lanes of 16 bits
-LANES = 0x0001000100010001
+FEW = 25  # in lanes of 8 bits
+LANES_8, LANES_16 = 0x0101010101010101, 0x00FF00FF00FF00FF
 BLANKS = r"[\x20\t\n\x0B\f\r]+"
 NULL_ID, BELOW_ALL = -(1 << 63) + 2, -(1 << 63) + 1
 
 
 def _votes(terms: Column) -> Column:
-    """Sums of at most CHUNK terms: the total weight, then the weight of the set terms for each bit."""
+    """Sums of at most CHUNK terms: the total weight, then the weight of the set terms for each bit.
+
+    FEW terms are added in lanes of 8 bits, their sums in lanes of 16.
+    """
+    keys = [(k, i) for k in (0, 1) for i in range(8)]
+    long = F.lit(0).cast("long")
 
     def add(acc: Column, t: Column) -> Column:
-        lanes = [(acc[f"s{k}_{i}"] + F.shiftrightunsigned(t[f"h{k}"], i).bitwiseAND(F.lit(LANES)) * t["w"]).alias(f"s{k}_{i}")
-                 for k in (0, 1) for i in range(16)]
+        lanes = [(acc[f"s{k}_{i}"] + F.shiftrightunsigned(t[f"h{k}"], i).bitwiseAND(F.lit(LANES_8)) * t["w"]).alias(f"s{k}_{i}") for k, i in keys]
         return F.struct((acc["total"] + t["w"]).alias("total"), *lanes)
 
-    zero = F.struct(F.lit(0).cast("long").alias("total"), *[F.lit(0).cast("long").alias(f"s{k}_{i}") for k in (0, 1) for i in range(16)])
+    def few(n: Column) -> Column:
+        return F.aggregate(F.slice(terms, n * FEW + 1, F.lit(FEW)), F.struct(long.alias("total"), *[long.alias(f"s{k}_{i}") for k, i in keys]), add)
+
+    def widen(acc: Column, x: Column) -> Column:
+        even = [(acc[f"e{k}_{i}"] + x[f"s{k}_{i}"].bitwiseAND(F.lit(LANES_16))).alias(f"e{k}_{i}") for k, i in keys]
+        odd = [(acc[f"o{k}_{i}"] + F.shiftrightunsigned(x[f"s{k}_{i}"], 8).bitwiseAND(F.lit(LANES_16))).alias(f"o{k}_{i}") for k, i in keys]
+        return F.struct((acc["total"] + x["total"]).alias("total"), *even, *odd)
 
     def unpack(acc: Column) -> Column:
         return F.array(acc["total"], *[
-            F.shiftrightunsigned(acc[f"s{k}_{i}"], 16 * lane).bitwiseAND(F.lit(0xFFFF).cast("long"))
-            for k in (0, 1) for lane in range(4) for i in range(16)])
+            F.shiftrightunsigned(acc[f"{half}{k}_{i}"], 16 * lane).bitwiseAND(F.lit(0xFFFF).cast("long"))
+            for k in (0, 1) for lane in range(4) for half in "eo" for i in range(8)])
 
-    return F.aggregate(terms, zero, add, unpack)
+    sums = F.transform(F.sequence(F.lit(0), (F.size(terms) / FEW).cast("int")), few)
+    return F.aggregate(sums, F.struct(long.alias("total"), *[long.alias(f"{half}{k}_{i}") for half in "eo" for k, i in keys]), widen, unpack)
 
 
 def with_fingerprint(rows: DataFrame, text_col: str, name: str) -> DataFrame:
