@@ -4,6 +4,13 @@ Each stage takes (spark, docs, sf_dir), works on all documents that its
 predecessor kept, and returns a DataFrame; all but the last return the columns
 of ``documents``. ``run`` writes each result as a table below
 ``spark.checkpoint.dir`` and reads it back as the next stage's documents.
+
+Defined cases, for every stage: a null or empty text is an empty document; it is
+not toxic evidence, has no line to lose, no near duplicate and no benchmark item,
+and packs as one end id; a null id stays null; repeated rows are judged alike
+(one row of a near-duplicate component stays, the smallest id); columns of any
+name beside ``doc_id`` and ``text`` are carried along as they are (``n_chars`` is
+counted anew where lines go); an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -26,9 +33,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier document holds; ``n_chars`` counts what is left."""
     find_package(spark)
-    carry = [c for c in docs.columns if c not in ("text", "n_chars")]
-    kept = line_dedup.drop_repeated_lines(docs, carry=carry)
-    return kept.withColumn("text", F.col("kept_text")).withColumn("n_chars", F.length("kept_text").cast("long")).select(*docs.columns)
+    # whole rows go along in a struct, so no column of theirs meets one of the operator's
+    packed = docs.select("doc_id", "text", F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    kept = line_dedup.drop_repeated_lines(packed, carry=["row"])
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return kept.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -334,7 +334,7 @@ def keep_first(docs: DataFrame, size: int = 5, percent: int = 75, id_col: str =
     stay = store(found.groupBy("root").agg(F.min(order).alias("first")).select("first.r", "first.k"), "jaccard-stay").toDF("_rid", "_key")
     text = text_or_empty(text_col)
     key = F.xxhash64(text)
-    rows = docs.withColumn("_key", key).withColumn("_rid", F.coalesce(F.col(id_col).cast("long"), key))
-    blank = F.length(F.regexp_replace(text, r"[\x20\t\n\x0B\f\r]+", "")) == 0
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), key.alias("_key"), F.coalesce(F.col(id_col).cast("long"), key).alias("_rid"), text.alias("_text"))
+    blank = F.length(F.regexp_replace("_text", r"[\x20\t\n\x0B\f\r]+", "")) == 0
     kept = rows.where(~blank).join(stay, ["_rid", "_key"]).dropDuplicates(["_rid", "_key"])
-    return kept.select(*docs.columns).unionByName(rows.where(blank).select(*docs.columns))
+    return kept.select("row.*").unionByName(rows.where(blank).select("row.*"))
