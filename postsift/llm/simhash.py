@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from .common import text_or_empty
 
 BITS = 128
-CHUNK = 6000  # terms of weight up to 10 in lanes of 16 bits
-FEW = 25  # in lanes of 8 bits
+# Terms of weight up to 10 that cannot overflow the highest lane, of 16 and of 8 bits: its first bit is the sum's sign.
+CHUNK, FEW = 3276, 12
 LANES_8, LANES_16 = 0x0101010101010101, 0x00FF00FF00FF00FF
 BLANKS = r"[\x20\t\n\x0B\f\r]+"
 NULL_ID, BELOW_ALL = -(1 << 63) + 2, -(1 << 63) + 1

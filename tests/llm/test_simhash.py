@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from postsift.llm import simhash
@@ -32,8 +33,9 @@ def test_one_document_follows_itself_and_empty_table(table, spark):
     assert simhash.edited(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_fingerprint_votes(spark):
-    text = " ".join(f"word{i}" for i in range(7000)) + " a bb"  # more than one chunk
+@pytest.mark.parametrize("text", [" ".join(f"word{i}" for i in range(7000)) + " a bb",  # more than one chunk
+                                  " ".join(f"longestwords{i:05}" for i in range(9000)), " ".join(f"longestwords{i:05}" for i in range(13))])
+def test_fingerprint_votes(spark, text):
     df = simhash.with_fingerprint(spark.createDataFrame([(text,), ("",), ("Same words here",), ("same  WORDS here",)], "text string"), "text", "fp")
     got = [r["fp"] for r in df.collect()]
     terms = spark.createDataFrame([(w,) for w in text.split()], "w string").select("w", F.xxhash64("w").alias("h0"), F.xxhash64("w", F.lit(1)).alias("h1")).collect()
