@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from postsift.operators import attempts as at
 from postsift.operators import ordering
+from postsift.operators.merging import merge_site_stats
 from postsift.operators.ordering import batch_slice, first_per_key, row_numbers, select_batch
 
 
@@ -111,7 +112,7 @@ def test_blocks_end_with_their_run(spark):
     df = _attempts(spark, [("r1", "a", 1, False, "blocked"), ("r1", "a", 2, True, None), ("r2", "a", 3, True, None), ("r2", "b", 4, False, "blocked")])
     assert {r["seq"]: r["skipped"] for r in at.circuit_breaker(df).collect()} == {1: False, 2: True, 3: False, 4: False}
     assert sorted((r["run_id"], r["site"]) for r in at.blocked_sites(df).collect()) == [("r1", "a"), ("r2", "b")]
-    assert {(r["run_id"], r["site"]): r["blocked"] for r in at.merge_run_stats(df).collect()} == {("r1", "a"): True, ("r2", "a"): False, ("r2", "b"): True}
+    assert {(r["run_id"], r["site"]): r["blocked"] for r in merge_site_stats(at.site_stats(df, ("batch", "run_id", "site")), ("run_id", "site")).collect()} == {("r1", "a"): True, ("r2", "a"): False, ("r2", "b"): True}
 
 
 def test_a_series_of_tries_ends_with_a_success_or_after_two(spark):
