@@ -6,11 +6,14 @@ their sets reaches the threshold; the join returns each document's component.
 
 1. Equal sets are one class (a 64-bit hash of the set), however many copies.
 2. Groups of similar classes: classes that share a minimum under one of four
-   hash functions are compared with eight members of that bucket (the smallest
-   under eight hashes, plain aggregates), if they meet in two buckets at least;
-   each class keeps its two best by sketch, these are verified on the full sets,
-   and verified links make groups. Work is linear in the classes, whatever a
-   bucket's size.
+   hash functions are compared by sketch with members of that bucket (the
+   smallest under eight hashes, plain aggregates), with the first of them always,
+   with the others if they meet in two buckets at least. Each class keeps its two
+   best, these are verified on the full sets, and verified links make parts. A
+   part follows the smallest first member that one of its classes is like
+   (``LIKE`` of the sketch): parts with one leader are one group, whether linked
+   or not, so a family of near copies is one group with one token union. Work is
+   linear in the classes, whatever a bucket's size.
 3. Token-group matrix: one row for each token and each group whose union of
    members' prefixes has it. With sets in a common token order, two sets that
    reach the threshold share at least k tokens of their first
@@ -20,11 +23,12 @@ their sets reaches the threshold; the join returns each document's component.
    documents, kept as a fixed-size bitmap): common passages stay out of the
    prefixes. The order has no influence on the result, only on the work.
 4. Only the qualifying groups are opened: the classes of the smaller group
-   query the larger one. A semi join by size and by sketches (the 64 smallest
-   hashes; a linked pair shares fewer than 22 of them with a probability below
-   1e-11) keeps the queries that may be linked. Their full sets meet the members'
-   full sets in blocks of bounded size, and one link for each query and block is
-   returned: the members are one component already, so no pairs are listed.
+   query the larger one, and in a group of several parts all classes outside its
+   largest part query the group. A semi join by size and by sketches (the 64
+   smallest hashes; a linked pair shares fewer than 22 of them with a probability
+   below 1e-11) keeps the queries that may be linked to another part. Their full
+   sets meet the members' full sets in blocks of bounded size; a block returns the
+   links that join parts not yet joined in it, so no pairs are listed.
 5. Verified links, inside groups and between them, make the components.
 
 Full sets are rebuilt from the texts for the verified pairs only; a fixed-size
@@ -53,6 +57,8 @@ from .common import store, text_or_empty
 from .components import components
 
 SKETCH, SKETCH_LEAST = 64, 22
+FIRST_LOOK = 32  # hashes of the sketch that the grouping compares
+LIKE = 0.6
 KEYS = 4
 PIVOTS = 8
 EXTRA = 0.05
@@ -180,11 +186,12 @@ def linked(rows: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, per
     return store(both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "jaccard-links")
 
 
-def similar_pairs(classes: DataFrame) -> DataFrame:
-    """For each class its two most similar among ``PIVOTS`` members of each bucket of a shared minimum.
+def likely_pairs(classes: DataFrame) -> DataFrame:
+    """``ck, p, k, alike``: classes with members of their buckets (pivots) and the share of their sketches they have in common.
 
-    A pivot is the bucket's smallest class under one of as many hashes, the same in all buckets, so a class
-    meets the pivots of its likes in several buckets; only those it meets at least twice are compared.
+    A pivot is the bucket's smallest class under one of ``PIVOTS`` hashes, the same in all buckets, so a class
+    meets the pivots of its likes in several buckets. It is compared with the first pivots (``k`` = 0) of all its
+    buckets and with others that it meets at least twice.
     """
     keyed = classes.select("ck", F.posexplode(F.array(*[f"m{i}" for i in range(KEYS)])).alias("i", "m"))
     pivots = [f"p{k}" for k in range(PIVOTS)]
@@ -194,17 +201,32 @@ def similar_pairs(classes: DataFrame) -> DataFrame:
     named = F.expr("CASE k " + " ".join(f"WHEN {k} THEN xxhash64(ck, {k})" for k in range(PIVOTS)) + " END")
     pivot = of.withColumn("own", named)
     is_pivot = pivot.where("own = h").select(F.col("ck").alias("p"), "k", "h").distinct()
-    met = of.groupBy("ck", "k", "h").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
-    pairs = met.join(is_pivot, ["k", "h"]).where("ck <> p").select("ck", "p").distinct()
-    mine = classes.select("ck", "n", "sketch")
-    other = classes.select(F.col("ck").alias("p"), F.col("n").alias("pn"), F.col("sketch").alias("psketch"))
-    likely = pairs.join(mine, "ck").join(other, "p").select("ck", "p", _shared_sketch().alias("common"), F.least(F.size("sketch"), F.size("psketch")).alias("least"))
-    best = likely.where("common >= 0.75 * least").groupBy("ck").agg(
-        F.slice(F.sort_array(F.collect_list(F.struct((F.col("common") / F.col("least")).alias("s"), "p")), asc=False), 1, 2).alias("best"))
+    met = of.groupBy("ck", "k", "h").agg(F.count(F.lit(1)).alias("times")).where("times > 1 OR k = 0")
+    pairs = met.join(is_pivot, ["k", "h"]).where("ck <> p").groupBy("ck", "p").agg(F.min("k").alias("k"))
+    look = F.slice("sketch", 1, FIRST_LOOK).alias("sketch")
+    mine = classes.select("ck", look)
+    other = classes.select(F.col("ck").alias("p"), look.alias("psketch"))
+    share = _shared_sketch() / F.least(F.size("sketch"), F.size("psketch"))
+    return pairs.join(mine, "ck").join(other, "p").select("ck", "p", "k", share.alias("alike")).where(F.col("alike") >= LIKE)
+
+
+def similar_pairs(likely: DataFrame) -> DataFrame:
+    """For each class its two most similar pivots."""
+    best = likely.where("alike >= 0.75").groupBy("ck").agg(
+        F.slice(F.sort_array(F.collect_list(F.struct(F.col("alike").alias("s"), "p")), asc=False), 1, 2).alias("best"))  # at most PIVOTS * KEYS a class
     return best.select(F.col("ck").alias("a"), F.explode("best.p").alias("b")).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def similarity_groups(likely: DataFrame, parts: DataFrame) -> DataFrame:
+    """``ck, part, grp`` for every class that is linked to, like or the leader of another one; ``parts`` (``ck``, ``root``) come from verified links."""
+    order = F.xxhash64("p", F.lit(0))  # the hash of the first pivots
+    leader = likely.where("k = 0").groupBy("ck").agg(F.min(F.struct(order.alias("h"), "p")).alias("lead"))
+    known = leader.join(parts, "ck", "full").select("ck", F.coalesce("root", "ck").alias("part"), "lead")
+    led = store(known.groupBy("part").agg(F.min("lead").alias("lead")).select("part", F.coalesce("lead.p", "part").alias("grp")), "jaccard-led")
+    return known.select("ck", "part").join(led, "part").select("ck", "part", "grp")
+
+
 def _shared_sketch() -> Column:
     return F.size(F.array_intersect("sketch", "psketch"))
 
@@ -247,7 +269,7 @@ def prefixes(rows: DataFrame, size: int, percent: int) -> DataFrame:
 
 def group_pairs(prefix: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs of groups (``g``, ``h``) that share enough rows of the token-group matrix."""
-    of = prefix.join(groups.toDF("ck", "root"), "ck", "left").select(F.coalesce("root", "ck").alias("g"), "n", F.explode("tokens").alias("token"))
+    of = prefix.join(groups.select("ck", "grp"), "ck", "left").select(F.coalesce("grp", "ck").alias("g"), "n", F.explode("tokens").alias("token"))
     matrix = of.repartition("token").groupBy("token", "g").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     other = matrix.select(F.col("token").alias("t"), F.col("g").alias("h"), F.col("low").alias("hlow"), F.col("high").alias("hhigh"))
     sizes = (F.col("high") * 100 >= F.col("hlow") * percent) & (F.col("hhigh") * 100 >= F.col("low") * percent)
@@ -257,48 +279,66 @@ def group_pairs(prefix: DataFrame, groups: DataFrame, percent: int) -> DataFrame
 
 
 def opened(rows: DataFrame, pairs: DataFrame, classes: DataFrame, groups: DataFrame, size: int, percent: int) -> DataFrame:
-    """Verified links (``a``, ``b``) between paired groups: the smaller group's classes query the larger group.
+    """Verified links (``a``, ``b``) between paired groups and between the parts of a group.
 
-    A query is kept if some member may be linked (a semi join on sizes and sketches); its full set
-    then meets the members' full sets in blocks of bounded size, which return one link for each query.
+    The classes of the smaller of two groups query the larger one; in a group of several parts the classes
+    outside its largest part query the group. A query is kept if some member of another part may be linked
+    (a semi join on sizes and sketches); its full set then meets the members' full sets in blocks of bounded size.
     """
-    members = classes.select("ck", "rid", "n", "sketch").join(groups.toDF("ck", "root"), "ck", "left").withColumn("grp", F.coalesce("root", "ck")).drop("root")
-    count = groups.groupBy("root").agg(F.count(F.lit(1)).alias("c"))
+    members = classes.select("ck", "rid", "n", "sketch").join(groups, "ck", "left").withColumns(
+        {"grp": F.coalesce("grp", "ck"), "part": F.coalesce("part", "ck")})
+    sizes = groups.groupBy("grp", "part").agg(F.count(F.lit(1)).alias("c"))
+    whole = store(sizes.groupBy("grp").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("c", "part")).alias("most")).select(
+        "grp", "c", "parts", F.col("most.part").alias("main")), "jaccard-sizes")
+    count = whole.select("grp", "c")
     sized = pairs.join(count.toDF("g", "gc"), "g", "left").join(count.toDF("h", "hc"), "h", "left")
     small = F.coalesce("gc", F.lit(1)) <= F.coalesce("hc", F.lit(1))
-    asked = sized.select(F.when(small, F.col("g")).otherwise(F.col("h")).alias("grp"), F.when(small, F.col("h")).otherwise(F.col("g")).alias("into"))
-    queries = asked.join(members, "grp").select("into", F.col("ck").alias("a"), "rid", "n", "sketch")
-    held = members.select(F.col("grp").alias("of"), F.col("n").alias("pn"), F.col("sketch").alias("psketch"))
+    none = F.lit(None).cast("long").alias("main")
+    asked = sized.select(F.when(small, F.col("g")).otherwise(F.col("h")).alias("grp"), F.when(small, F.col("h")).otherwise(F.col("g")).alias("into"), none)
+    asked = store(asked.unionByName(whole.where("parts > 1").select("grp", F.col("grp").alias("into"), "main")), "jaccard-asked")
+    queries = asked.join(members, "grp").where("main IS NULL OR part <> main").select("into", F.col("ck").alias("a"), F.col("part").alias("pa"), "rid", "n", "sketch")
+    held = members.join(asked.select(F.col("into").alias("of")).distinct(), F.col("grp") == F.col("of")).select(
+        "of", F.col("part").alias("pb"), F.col("n").alias("pn"), F.col("sketch").alias("psketch"))
     alike = (F.col("n") * 100 >= F.col("pn") * percent) & (F.col("pn") * 100 >= F.col("n") * percent)
     enough = _shared_sketch() >= F.greatest(F.lit(1), F.floor(F.least(F.size("sketch"), F.size("psketch")) * SKETCH_LEAST / SKETCH))
-    asking = store(queries.join(held, (F.col("into") == F.col("of")) & alike & enough, "left_semi").select("into", "a", "rid"), "jaccard-asking")
+    may = (F.col("into") == F.col("of")) & (F.col("pa") != F.col("pb")) & alike & enough
+    asking = store(queries.join(held, may, "left_semi").select("into", "a", "pa", "rid"), "jaccard-asking")
     into = asking.groupBy("into").agg(F.count(F.lit(1)).alias("asked"))
-    answering = store(members.join(into, members["grp"] == into["into"]).select("into", F.col("ck").alias("b"), "rid", "asked"), "jaccard-answering")
+    answering = store(members.join(into, members["grp"] == into["into"]).select("into", F.col("ck").alias("b"), F.col("part").alias("pb"), "rid", "asked"), "jaccard-answering")
     wanted = asking.select(F.col("a").alias("ck"), "rid").union(answering.select("b", "rid")).distinct()
     sets = store(full_sets(rows, store(wanted, "jaccard-wanted"), size), "jaccard-sets")
     # blocks: at most about BLOCK queries against BLOCK members, spread by hash
     parts = answering.groupBy("into").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("rows"), F.ceil(F.max("asked") / BLOCK).alias("cols"))
     left = asking.join(parts, "into").join(sets.toDF("a", "tokens"), "a").select(
-        "into", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), F.pmod(F.xxhash64("a"), F.col("cols")).alias("j"), "a", "tokens")
+        "into", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("i"), F.pmod(F.xxhash64("a"), F.col("cols")).alias("j"), "a", "pa", "tokens")
     right = answering.join(parts, "into").join(sets.toDF("b", "tokens"), "b").select(
-        "into", F.pmod(F.xxhash64("b"), F.col("rows")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("j"), "b", "tokens")
+        "into", F.pmod(F.xxhash64("b"), F.col("rows")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("cols") - 1)).alias("j"), "b", "pb", "tokens")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         found_a, found_b = [], []
         if left.num_rows and right.num_rows:
-            names = right.column("b").to_pylist()
+            names, part = right.column("b").to_pylist(), right.column("pb").to_pylist()
             sets_b = [np.frombuffer(t, np.uint64) for t in right.column("tokens").to_pylist()]
             sizes = np.array([len(t) for t in sets_b])
             owner, every = np.repeat(np.arange(len(sets_b)), sizes), np.concatenate(sets_b)
-            for a, t in zip(left.column("a").to_pylist(), left.column("tokens").to_pylist()):
+            joined: dict[int, int] = {}
+
+            def top(x: int) -> int:
+                while joined.get(x, x) != x:
+                    x = joined[x]
+                return x
+
+            for a, own, t in zip(left.column("a").to_pylist(), left.column("pa").to_pylist(), left.column("tokens").to_pylist()):
                 t = np.frombuffer(t, np.uint64)
                 at = np.searchsorted(t, every)
                 at[at == len(t)] = 0
                 common = np.bincount(owner[t[at] == every], minlength=len(sets_b))
-                best = np.flatnonzero(100 * common >= percent * (sizes + len(t) - common))
-                if len(best):
-                    found_a.append(a)
-                    found_b.append(names[best[0]])
+                for i in np.flatnonzero(100 * common >= percent * (sizes + len(t) - common)).tolist():
+                    x, y = top(own), top(part[i])
+                    if x != y:
+                        joined[x] = y
+                        found_a.append(a)
+                        found_b.append(names[i])
         return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
 
     keys = ["into", "i", "j"]
@@ -310,8 +350,9 @@ def join(docs: DataFrame, size: int = 5, percent: int = 75, id_col: str = "doc_i
     rows = _rows(docs, id_col, text_col)
     signed = store(signatures(rows, size), "jaccard-signatures")
     classes = store(signed.where("n > 0").dropDuplicates(["ck"]), "jaccard-classes")
-    links = linked(rows, classes, store(similar_pairs(classes), "jaccard-similar"), size, percent)
-    groups = components(links)
+    likely = store(likely_pairs(classes), "jaccard-likely")
+    links = linked(rows, classes, store(similar_pairs(likely), "jaccard-similar"), size, percent)
+    groups = store(similarity_groups(likely, components(links).toDF("ck", "root")), "jaccard-parts")
     candidates = store(group_pairs(prefixes(rows, size, percent), groups, percent), "jaccard-groups")
     more = opened(rows, candidates, classes, groups, size, percent)
     roots = components(links.union(more)).toDF("ck", "root")

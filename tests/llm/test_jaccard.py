@@ -65,6 +65,36 @@ def test_components_equal_all_pairs(table, seed):
     assert got == brute(rows)
 
 
+def family(seed, copies, changes):
+    """Near copies of one text, most of them below the threshold to each other: one group of many parts."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for doc in range(copies):
+        text = list(base)
+        for _ in range(rng.choice(changes)):
+            text[rng.randrange(len(text))] = f"x{rng.randrange(10_000)}"
+        rows.append((doc, " ".join(text)))
+    return rows + [(copies + i, " ".join(rng.choices(base, k=60))) for i in range(5)]
+
+
+@pytest.mark.parametrize("seed,changes", [(1, (3, 4, 5, 6)), (2, (2, 6, 9)), (3, (7, 8, 12))])
+def test_parts_of_a_family_are_linked_as_all_pairs_say(table, monkeypatch, seed, changes):
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    rows = family(seed, 150, changes)
+    out = jaccard.join(table(rows, "doc_id long, text string"))
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out.collect()), key=repr) == brute(rows)
+
+
+def test_a_family_of_unlinked_copies_is_one_group(table):
+    rows = jaccard._rows(table(family(4, 200, (5, 6)), "doc_id long, text string"), "doc_id", "text")
+    classes = jaccard.store(jaccard.signatures(rows, 5).where("n > 0").dropDuplicates(["ck"]), "classes")
+    nobody = classes.select("ck", classes["ck"].alias("root")).where("false")
+    groups = jaccard.similarity_groups(jaccard.store(jaccard.likely_pairs(classes), "likely"), nobody).collect()
+    sizes = sorted((sum(r["grp"] == g for r in groups) for g in {r["grp"] for r in groups}), reverse=True)
+    assert sizes[0] > 100 and len(sizes) < 40
+
+
 def test_similarity_at_the_threshold_links(table):
     # 7 of 8 and 6 of 8 common shingles: 6 / 8 = 0.75 exactly
     a = "a b c d e f g h i j k"
