@@ -50,7 +50,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import store, text_or_empty
@@ -269,8 +269,13 @@ def prefixes(rows: DataFrame, size: int, percent: int) -> DataFrame:
 
 def group_pairs(prefix: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs of groups (``g``, ``h``) that share enough rows of the token-group matrix."""
-    of = prefix.join(groups.select("ck", "grp"), "ck", "left").select(F.coalesce("grp", "ck").alias("g"), "n", F.explode("tokens").alias("token"))
-    matrix = of.repartition("token").groupBy("token", "g").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    # a prefix token of one class only joins nothing: tokens cross the network once, and groups meet what is left
+    tokens = prefix.select("ck", "n", F.explode("tokens").alias("token"))
+    own = Window.partitionBy("token")
+    several = tokens.withColumns({"first": F.min("ck").over(own), "last": F.max("ck").over(own)}).where("first <> last")
+    several = store(several.select("token", "ck", "n").distinct(), "jaccard-tokens")
+    of = several.join(groups.select("ck", "grp"), "ck", "left").select(F.coalesce("grp", "ck").alias("g"), "n", "token")
+    matrix = of.groupBy("token", "g").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     other = matrix.select(F.col("token").alias("t"), F.col("g").alias("h"), F.col("low").alias("hlow"), F.col("high").alias("hhigh"))
     sizes = (F.col("high") * 100 >= F.col("hlow") * percent) & (F.col("hhigh") * 100 >= F.col("low") * percent)
     met = matrix.join(other, (F.col("token") == F.col("t")) & (F.col("g") < F.col("h")) & sizes)
