@@ -13,7 +13,9 @@ both in logarithms and set against the logarithm of the number of distinct
 words, so that length is normalised by a fitted power and an abusive passage
 in a long document counts. A logistic curve over these gives the score; it is
 fitted on a bounded sample (about ``calibration`` rows, by hash) of an eighth
-of the labelled rows that the models do not count.
+of the labelled rows that the models do not count. A class with no row in that
+eighth is sampled from its counted rows, and one that lies in it as a whole is
+counted, so few labels of a class still give models and a curve.
 
 Defined cases: null and empty texts and texts without letters have no evidence
 and get the curve's value at zero; labels that are null or whose document is
@@ -55,11 +57,19 @@ def fit(labelled: DataFrame, calibration: int = 20_000):
         F.col("doc_id"), text_or_empty("text").alias("text"), F.col("toxic").cast("int").cast("string").alias("grp"))
     kept_back = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(8)) == 0
     model = kn.tables(kn.count_ngrams(rows.where(~kept_back), ORDER, BITS), ORDER, BITS, SHARED)
+    if model is None or model.groups != ["0", "1"]:  # a class may lie in the eighth as a whole
+        kept_back = F.lit(False)
+        model = kn.tables(kn.count_ngrams(rows, ORDER, BITS), ORDER, BITS, SHARED)
     if model is None or model.groups != ["0", "1"]:
         return None
-    sample = store(about(rows.where(kept_back), calibration, "doc_id").select(F.col("grp").alias("label"), "text"), "toxicity-sample")
-    if sample.select("label").distinct().count() < 2:
-        return None
+
+    def drawn(part: DataFrame) -> DataFrame:
+        return store(about(part, calibration, "doc_id").select(F.col("grp").alias("label"), "text"), "toxicity-sample")
+
+    sample = drawn(rows.where(kept_back))
+    held = {r["label"] for r in sample.select("label").distinct().collect()}  # at most two
+    for label in sorted({"0", "1"} - held):
+        sample = sample.unionByName(drawn(rows.where(F.col("grp") == label)))
     return model, sample
 
 

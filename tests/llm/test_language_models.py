@@ -83,6 +83,17 @@ def test_toxicity_separates_classes(table):
     assert kept.columns == docs.columns and kept.count() == sum(r["predicted"] == 0 for r in out.values())
 
 
+def test_few_toxic_labels_still_give_a_curve(table):
+    plain = [(i, t, 0) for i, t, y in toxic_rows(300) if not y]
+    for shift in (0, 1000, 2000):  # ids decide which rows the models do not count
+        rows = plain + [(shift + 10_000 + i, "idiot moron scum thing " + t, 1) for i, (_, t, _) in enumerate(plain[:3])]
+        learned = toxicity.fit(table(rows, "doc_id long, text string, toxic int"))
+        assert learned is not None
+        out = toxicity.score(table([(0, plain[50][1]), (1, "idiot moron scum " + plain[51][1])], "doc_id long, text string"), learned)
+        scores = {r["doc_id"]: r["score"] for r in out.collect()}
+        assert scores[1] > scores[0] and scores[0] < 0.5
+
+
 def test_toxicity_without_both_classes(table, spark):
     docs = table([(1, "a b", 0), (2, "c", None)], "doc_id long, text string, toxic int")
     assert toxicity.fit(docs) is None
