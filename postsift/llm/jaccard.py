@@ -194,6 +194,8 @@ def likely_pairs(classes: DataFrame) -> DataFrame:
     buckets and with others that it meets at least twice.
     """
     keyed = classes.select("ck", F.posexplode(F.array(*[f"m{i}" for i in range(KEYS)])).alias("i", "m"))
+    shared = keyed.groupBy("i", "m").agg(F.min("ck").alias("least"), F.max("ck").alias("most")).where("least <> most").select("i", "m")
+    keyed = store(keyed.join(shared, ["i", "m"]), "jaccard-keyed")  # the pivots' hashes travel for shared buckets only
     pivots = [f"p{k}" for k in range(PIVOTS)]
     buckets = keyed.groupBy("i", "m").agg(
         F.count(F.lit(1)).alias("size"), *[F.min(F.xxhash64("ck", F.lit(k))).alias(p) for k, p in enumerate(pivots)]).where("size > 1")
@@ -275,7 +277,7 @@ def group_pairs(prefix: DataFrame, groups: DataFrame, percent: int) -> DataFrame
     several = tokens.withColumns({"first": F.min("ck").over(own), "last": F.max("ck").over(own)}).where("first <> last")
     several = store(several.select("token", "ck", "n").distinct(), "jaccard-tokens")
     of = several.join(groups.select("ck", "grp"), "ck", "left").select(F.coalesce("grp", "ck").alias("g"), "n", "token")
-    matrix = of.groupBy("token", "g").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    matrix = of.repartition("token").groupBy("token", "g").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     other = matrix.select(F.col("token").alias("t"), F.col("g").alias("h"), F.col("low").alias("hlow"), F.col("high").alias("hhigh"))
     sizes = (F.col("high") * 100 >= F.col("hlow") * percent) & (F.col("hhigh") * 100 >= F.col("low") * percent)
     met = matrix.join(other, (F.col("token") == F.col("t")) & (F.col("g") < F.col("h")) & sizes)
@@ -354,7 +356,8 @@ def join(docs: DataFrame, size: int = 5, percent: int = 75, id_col: str = "doc_i
     """``doc_id, rid, text_key, n_shingles, ck, root, component_id`` for every row; rows of one component share its smallest id."""
     rows = _rows(docs, id_col, text_col)
     signed = store(signatures(rows, size), "jaccard-signatures")
-    classes = store(signed.where("n > 0").dropDuplicates(["ck"]), "jaccard-classes")
+    minima = [f"m{i}" for i in range(KEYS)]
+    classes = store(signed.where("n > 0").select("rid", "n", "ck", "sketch", *minima).dropDuplicates(["ck"]), "jaccard-classes")
     likely = store(likely_pairs(classes), "jaccard-likely")
     links = linked(rows, classes, store(similar_pairs(likely), "jaccard-similar"), size, percent)
     groups = store(similarity_groups(likely, components(links).toDF("ck", "root")), "jaccard-parts")
