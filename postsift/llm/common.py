@@ -47,12 +47,17 @@ def held_out(id_col: str, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
+def share(df: DataFrame, n: int, *key: str) -> Column:
+    """Condition that holds for about ``n`` of the rows of ``df``, all if it has fewer: their hash of ``key`` falls below ``n`` in the number of rows."""
+    rows = df.select(*key).count()
+    if rows <= n:
+        return F.lit(True)
+    return F.pmod(F.xxhash64(*key, F.lit("sample")), F.lit(1 << 40)) < int((1 << 40) * n / rows)
+
+
 def about(df: DataFrame, n: int, *key: str) -> DataFrame:
-    """About ``n`` rows of ``df``, all if it has fewer: those whose hash of ``key`` falls below ``n`` in the number of rows.
+    """About ``n`` rows of ``df`` (see ``share``).
 
     One count over the key columns and a filter in the tasks that read the rows; nothing is sorted or gathered.
     """
-    rows = df.select(*key).count()
-    if rows <= n:
-        return df
-    return df.where(F.pmod(F.xxhash64(*key, F.lit("sample")), F.lit(1 << 40)) < int((1 << 40) * n / rows))
+    return df.where(share(df, n, *key))
