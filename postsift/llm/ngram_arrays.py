@@ -212,16 +212,27 @@ def count(texts: DataFrame, groups: list[str]) -> DataFrame:
     return store(dealt.mapInArrow(merge, f"sym int, {ARRAYS}"), "ngram-counts")
 
 
-def _levels(keys: np.ndarray, grps: np.ndarray, counts: np.ndarray, size: int) -> list:
-    """Sorted (key, group, count) of orders 4, 3 and 2 of one symbol; counts below order 4 are distinct symbols to the left."""
+def _levels(keys: np.ndarray, grps: np.ndarray, counts: np.ndarray, size: int, shared: int) -> list:
+    """Sorted (key, group, count) of orders 4, 3 and 2 of one symbol; counts below order 4 are distinct symbols to the left.
+
+    Orders up to ``shared`` count them over all groups together, as group 0.
+    """
     known = grps < size
     out = [(keys[known], grps[known], counts[known])]
     for k in range(ORDER - 1, 1, -1):
-        above = out[-1]
-        out.append(added(above[0] & MASKS[k], above[1], np.ones(len(above[0]), np.int64)))
+        above, own = out[-1][:2]
+        if k == shared:
+            above = np.unique(above)
+            own = np.zeros(len(above), grps.dtype)
+        out.append(added(above & MASKS[k], own, np.ones(len(above), np.int64)))
     return out
 
 
+def _columns(k: int, shared: int, size: int) -> int:
+    """Number of value columns of an order: one where all groups share it."""
+    return 1 if k <= shared else size
+
+
 @dataclass
 class Model:
     """Values of every n-gram: ``values`` has rows ``rng, keys, logs, counts, total``."""
@@ -231,17 +242,20 @@ class Model:
     total: int
 
 
-def _statistics(arrays: DataFrame, size: int) -> pa.Table:
-    """``level, sym, grp, n1, n2``: entries of one and of two per order and group; for order 1 (``sym`` the symbol) its count."""
+def _statistics(arrays: DataFrame, size: int, shared: int) -> pa.Table:
+    """``level, sym, grp, n1, n2``: entries of one and of two per order and group that has any; for order 1 (``sym`` the symbol) its count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in groupby(_rows(batches), key=lambda r: r[0]):
-            levels = _levels(*_together(rows), size)
+            levels = _levels(*_together(rows), size, shared)
             out = []
             for k, (_, grps, counts) in zip(range(ORDER, 1, -1), levels):
                 ones, twos = (np.bincount(grps[counts == x], minlength=size) for x in (1, 2))
-                out += [(k, 0, g, int(ones[g]), int(twos[g])) for g in range(size) if ones[g] or twos[g]]
+                out += [(k, 0, g, int(ones[g]), int(twos[g])) for g in np.unique(grps).tolist()]
             last, grps, _ = levels[-1]
+            if shared == 1:
+                last = np.unique(last)
+                grps = np.zeros(len(last), grps.dtype)
             out += [(1, int(s), int(g), 1, 0) for s, g in zip(last & MASKS[1], grps)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["level", "sym", "grp", "n1", "n2"])
@@ -258,7 +272,7 @@ def _discount(n1: np.ndarray, n2: np.ndarray) -> np.ndarray:
     return np.where((n1 > 0) & (n2 > 0), n1 / np.maximum(n1 + 2 * n2, 1), 0.75)
 
 
-def _parameters(table: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _parameters(table: pa.Table, size: int, shared: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Discounts per order and group, order-1 probabilities per symbol and group, and which groups have counts."""
     level, sym, grp, n1, n2 = (table.column(c).to_numpy() for c in ("level", "sym", "grp", "n1", "n2"))
     discounts = np.full((ORDER + 1, size), 0.75)
@@ -268,13 +282,13 @@ def _parameters(table: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray, np.
         ones[grp[own]], twos[grp[own]] = n1[own], n2[own]
         discounts[k] = _discount(ones, twos)
     own = level == 1
-    counts = np.zeros((1 << 16, size), np.int64)
+    counts = np.zeros((1 << 16, _columns(1, shared, size)), np.int64)
     counts[sym[own], grp[own]] = n1[own]
     total = counts.sum(axis=0)
-    discounts[1] = _discount((counts == 1).sum(axis=0), (counts == 2).sum(axis=0))
-    rest = np.where(total > 0, (counts > 0).sum(axis=0) * discounts[1] / np.maximum(total, 1), 1.0)
-    first = np.maximum(counts - discounts[1], 0) / np.maximum(total, 1) + rest * UNIFORM
-    return discounts, first.astype(np.float32), total > 0
+    discount = _discount((counts == 1).sum(axis=0), (counts == 2).sum(axis=0))
+    rest = np.where(total > 0, (counts > 0).sum(axis=0) * discount / np.maximum(total, 1), 1.0)
+    first = np.maximum(counts - discount, 0) / np.maximum(total, 1) + rest * UNIFORM
+    return discounts, first.astype(np.float32), np.isin(np.arange(size), grp[level == ORDER])
 
 
 def _weights(level: tuple, discount: np.ndarray) -> tuple:
@@ -300,22 +314,23 @@ def _spread(wanted: np.ndarray, entries: tuple, size: int, default: float) -> np
     return out
 
 
-def _probabilities(wanted: np.ndarray, k: int, weights: dict, first: np.ndarray) -> np.ndarray:
-    """Probability of each distinct key of ``wanted`` (order ``k``, in order) in every group."""
+def _probabilities(wanted: np.ndarray, k: int, weights: dict, first: np.ndarray, size: int, shared: int) -> np.ndarray:
+    """Probability of each distinct key of ``wanted`` (order ``k``, in order) in every group; one column for all where they share the order."""
     if k == 1:
         return first[wanted.astype(np.int64)].astype(np.float64)
     lower, at = np.unique(wanted & MASKS[k - 1], return_inverse=True)
     contexts, own = np.unique(wanted >> np.uint64(16), return_inverse=True)
     entries, rests = weights[k]
-    size = first.shape[1]
-    below = _probabilities(lower, k - 1, weights, first)[at]
-    return _spread(wanted, entries, size, 0.0) + _spread(contexts, rests, size, 1.0)[own] * below
+    columns = _columns(k, shared, size)
+    below = _probabilities(lower, k - 1, weights, first, size, shared)[at]
+    return _spread(wanted, entries, columns, 0.0) + _spread(contexts, rests, columns, 1.0)[own] * below
 
 
-def finish(arrays: DataFrame, groups: list[str]) -> Model | None:
-    """The logarithms of all n-grams; None if no group has counts."""
+def finish(arrays: DataFrame, groups: list[str], shared_orders: int = 0) -> Model | None:
+    """The logarithms of all n-grams; None if no group has counts. Orders up to ``shared_orders`` (below 4) are counted over all
+    groups together and back off all of them alike."""
     size = len(groups)
-    discounts, first, some = _parameters(_statistics(arrays, size), size)
+    discounts, first, some = _parameters(_statistics(arrays, size, shared_orders), size, shared_orders)
     if not some.any():
         return None
     shared = arrays.sparkSession.sparkContext.broadcast((discounts, first, some))  # 2^16 symbols a group
@@ -324,13 +339,13 @@ def finish(arrays: DataFrame, groups: list[str]) -> Model | None:
         discounts, first, some = shared.value
         for _, rows in groupby(_rows(batches), key=lambda r: r[0]):
             keys, grps, counts = _together(rows)
-            weights = {k: _weights(level, discounts[k]) for k, level in zip(range(ORDER, 1, -1), _levels(keys, grps, counts, size))}
+            weights = {k: _weights(level, discounts[k]) for k, level in zip(range(ORDER, 1, -1), _levels(keys, grps, counts, size, shared_orders))}
             wanted, at = np.unique(keys, return_index=True)
             times = np.add.reduceat(counts, at)
             step = max(PENDING // size, 1)
             for lo in range(0, len(wanted), step):
                 part = wanted[lo:lo + step]
-                logs = np.where(some, np.log(_probabilities(part, ORDER, weights, first)), ABSENT).astype(np.float32)
+                logs = np.where(some, np.log(_probabilities(part, ORDER, weights, first, size, shared_orders)), ABSENT).astype(np.float32)
                 for batch in _batch("rng", range_of(part), (part, logs, times[lo:lo + step]), ["keys", "logs", "counts"]):
                     totals = [int(np.frombuffer(c, np.int64).sum()) for c in batch.column(3).to_pylist()]
                     yield batch.append_column("total", pa.array(totals, pa.int64()))

@@ -1,91 +1,93 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-One model is learned from the documents marked toxic, one from the ordinary
-ones. Orders up to ``SHARED`` are counted over both together, so a rare
-expression falls back to the same counts in both models and says nothing
+One character model is learned from the documents marked toxic, one from the
+ordinary ones, both over all labelled rows (``ngram_arrays``: every n-gram
+counts). Orders up to ``SHARED`` are counted over both classes together, so a
+rare expression backs off to the same counts in both models and says little
 unless its longer parts were seen more often in one class.
 
-A word's evidence is the difference of its two log-likelihoods. A document is
-judged by the evidence of its distinct words (a word repeated a hundred times
-is evidence once) beyond ``BEYOND`` nats, which chance likeness of ordinary
-words seldom passes: the sum of what lies beyond and the number of such words,
-both in logarithms and set against the logarithm of the number of distinct
-words, so that length is normalised by a fitted power and an abusive passage
-in a long document counts. A logistic curve over these gives the score; it is
-fitted on a bounded sample (about ``calibration`` rows, by hash) of an eighth
-of the labelled rows that the models do not count. A class with no row in that
-eighth is sampled from its counted rows, and one that lies in it as a whole is
-counted, so few labels of a class still give models and a curve.
-
-Defined cases: null and empty texts and texts without letters have no evidence
-and get the curve's value at zero; labels that are null or whose document is
-missing are ignored; a document with several labels counts once for each; with
-labels of one class only, or none, every score is 0; a null id is never held
-out; repeated rows give repeated results; an empty table gives no rows; other
-columns are ignored.
+A document is judged by the difference of its two length-normalised
+log-likelihoods (all its words, each as often as it occurs, and its length in
+symbols). A logistic curve over that difference, the logarithm of the length
+and their product gives the score, because a long ordinary document strays less
+from the mean than a short one. The curve is fitted on a sample of the labelled
+rows of each class (about ``calibration`` rows in all, half of them a class, by
+hash of the id), each class weighted back to its share. Contexts end at word
+borders.
+
+Defined cases: texts without words have difference and length zero and get the
+curve's value there; labels that are null or whose document is missing are
+ignored; a document with several labels counts once for each; with labels of
+one class only, or none, or no word in any labelled text, every score is 0;
+repeated rows give repeated results; an empty table gives no rows; other columns
+are ignored.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import kneser_ney as kn
-from .common import about, store, text_or_empty
+from . import ngram_arrays as arrays
+from .common import share, store, text_or_empty
 from .language import logistic
 
-ORDER, BITS, SHARED = 5, 12, 4
-BEYOND = 3.0
-FEATURES = ("excess", "strong", "size")
-
+SHARED = 2
+CLASSES = ["0", "1"]
+FEATURES = ("difference", "size", "both")
 
-def _beyond(logs: list[Column], groups: list[str]) -> list[Column]:
-    beyond = logs[groups.index("1")] - logs[groups.index("0")] - BEYOND
-    return [F.greatest(beyond, F.lit(0.0)), (beyond > 0).cast("double")]
 
+@dataclass
+class Learned:
+    """The labelled rows (``grp, text``) and the curve's stored sample (``label, id, text, times``)."""
 
-def _evidence(rows: DataFrame, model: kn.Tables) -> DataFrame:
-    """``key, excess, strong, size`` per row of (key, text)."""
-    found = kn.sum_words(rows, model, lambda logs: _beyond(logs, model.groups), 2, distinct=True)
-    return found.select("key", F.log1p(F.col("sums")[0]).alias("excess"), F.log1p(F.col("sums")[1]).alias("strong"), F.log1p("words").alias("size"))
+    rows: DataFrame
+    sample: DataFrame
 
 
-def fit(labelled: DataFrame, calibration: int = 20_000):
-    """Counts and the curve's sample (``label, text``) from ``labelled`` (columns ``doc_id``, ``text``, ``toxic``); None without both classes."""
+def fit(labelled: DataFrame, calibration: int = 20_000) -> Learned | None:
+    """What is learned from ``labelled`` (columns ``doc_id``, ``text``, ``toxic``); None without both classes."""
     rows = labelled.where(F.col("toxic").isin(0, 1)).select(
-        F.col("doc_id"), text_or_empty("text").alias("text"), F.col("toxic").cast("int").cast("string").alias("grp"))
-    kept_back = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(8)) == 0
-    model = kn.tables(kn.count_ngrams(rows.where(~kept_back), ORDER, BITS), ORDER, BITS, SHARED)
-    if model is None or model.groups != ["0", "1"]:  # a class may lie in the eighth as a whole
-        kept_back = F.lit(False)
-        model = kn.tables(kn.count_ngrams(rows, ORDER, BITS), ORDER, BITS, SHARED)
-    if model is None or model.groups != ["0", "1"]:
+        F.col("doc_id").alias("id"), text_or_empty("text").alias("text"), F.col("toxic").cast("int").cast("string").alias("grp"))
+    sizes = {r["grp"]: r["count"] for r in rows.groupBy("grp").count().collect()}  # at most two
+    if sorted(sizes) != CLASSES:
         return None
+    half = calibration // 2
+    drawn = [
+        rows.where((F.col("grp") == label) & share(rows.where(F.col("grp") == label), half, "id"))
+        .select(F.col("grp").alias("label"), "id", "text", F.lit(max(sizes[label] / half, 1.0)).alias("times"))
+        for label in CLASSES]
+    return Learned(rows.select("grp", "text"), store(drawn[0].unionByName(drawn[1]), "toxicity-sample"))
 
-    def drawn(part: DataFrame) -> DataFrame:
-        return store(about(part, calibration, "doc_id").select(F.col("grp").alias("label"), "text"), "toxicity-sample")
 
-    sample = drawn(rows.where(kept_back))
-    held = {r["label"] for r in sample.select("label").distinct().collect()}  # at most two
-    for label in sorted({"0", "1"} - held):
-        sample = sample.unionByName(drawn(rows.where(F.col("grp") == label)))
-    return model, sample
+def _evidence(rows: DataFrame, model: arrays.Model) -> DataFrame:
+    """``key, difference, size, both`` per row of (key, text)."""
+    found = arrays.score(rows, model)
+    apart = (F.col("sums")[1] - F.col("sums")[0]) / F.greatest("chars", F.lit(1))
+    return found.select("key", (100 * apart).alias("difference"), F.log1p("chars").alias("size")).withColumn("both", F.col("difference") * F.col("size"))
 
 
 def _curve(found: DataFrame) -> np.ndarray:
-    rows = found.collect()  # about ``calibration`` rows at most
+    """The curve from the scored sample; rows of one id, label and text are one."""
+    rows = found.groupBy("label", "id", *FEATURES).agg(F.sum("times").alias("times")).collect()  # about ``calibration`` rows
     x = np.array([[1.0, *(r[c] for c in FEATURES)] for r in rows])
-    y = np.array([float(r["label"]) for r in rows])
-    return logistic(x, y, ridge=0.1)
+    return logistic(x, np.array([float(r["label"]) for r in rows]), ridge=0.1, times=np.array([r["times"] for r in rows]))
 
 
-def _judged(rows: DataFrame, learned) -> DataFrame:
-    """``key, score`` per row of (key, text). The curve's sample is scored along, so the count tables are met once."""
-    model, sample = learned
+def _judged(rows: DataFrame, learned: Learned) -> DataFrame | None:
+    """``key, score`` per row of (key, text); None if no labelled text has a word. The curve's sample is scored along."""
+    asked = rows.select(F.lit(None).cast("string").alias("grp"), "text")
+    model = arrays.finish(arrays.count(learned.rows.unionByName(asked), CLASSES), CLASSES, SHARED)
+    if model is None:
+        return None
     kind = rows.schema["key"].dataType
-    both = rows.select(F.struct("key", F.lit(None).cast("string").alias("label")).alias("key"), "text").unionByName(
-        sample.select(F.struct(F.lit(None).cast(kind).alias("key"), "label").alias("key"), "text"))
+    none = F.lit(None)
+    own = F.struct("key", none.cast("string").alias("label"), none.cast("long").alias("id"), none.cast("double").alias("times"))
+    of_sample = F.struct(none.cast(kind).alias("key"), "label", F.col("id").cast("long").alias("id"), "times")
+    both = rows.select(own.alias("key"), "text").unionByName(learned.sample.select(of_sample.alias("key"), "text"))
     found = store(_evidence(both, model).select("key.*", *FEATURES), "toxicity-evidence")
     curve = _curve(found.where(F.col("label").isNotNull()))
     return found.where(F.col("label").isNull()).select("key", _score(curve).alias("score"))
@@ -97,22 +99,24 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(known, "doc_id")
 
 
-def score(docs: DataFrame, learned, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, learned: Learned | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, score, predicted`` for every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("key"), text_or_empty(text_col).alias("text"))
-    if learned is None:
+    judged = None if learned is None else _judged(rows, learned)
+    if judged is None:
         return rows.select(F.col("key").alias("doc_id"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    scored = _judged(rows, learned).withColumnRenamed("key", "doc_id")
+    scored = judged.withColumnRenamed("key", "doc_id")
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
-def keep(docs: DataFrame, learned, text_col: str = "text") -> DataFrame:
+def keep(docs: DataFrame, learned: Learned | None, text_col: str = "text") -> DataFrame:
     """The documents that are not predicted toxic, with all their columns. A prediction depends on the text alone,
     so the toxic texts are taken out by their 128-bit hash."""
-    if learned is None:
-        return docs
     key = F.unhex(F.md5(text_or_empty(text_col).cast("binary")))
-    toxic = _judged(docs.select(key.alias("key"), text_or_empty(text_col).alias("text")), learned).where("score >= 0.5").select("key").distinct()
+    judged = None if learned is None else _judged(docs.select(key.alias("key"), text_or_empty(text_col).alias("text")), learned)
+    if judged is None:
+        return docs
+    toxic = judged.where("score >= 0.5").select("key").distinct()
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), key.alias("key"))
     return rows.join(toxic, "key", "left_anti").select("row.*")
 

@@ -2,10 +2,8 @@
 
 import random
 
-import numpy as np
-
-from postsift.llm import kneser_ney as kn
 from postsift.llm import language, toxicity
+from postsift.llm import ngram_arrays as arrays
 from postsift.llm.common import held_out, read_table
 
 SF = "/root/testdata/sf0.01"
@@ -17,23 +15,6 @@ def texts(seed=0, n=60):
     return [(lang, " ".join("".join(rng.choices(p, k=rng.randint(1, 3))) for _ in range(40))) for lang, p in parts.items() for _ in range(n)]
 
 
-def test_probabilities_sum_to_one(table):
-    order, bits = 3, 8
-    for shared, entries in ((0, 1 << 19), (2, 1 << 19), (0, 60)):  # the last one leaves most n-grams out
-        model = kn.fit(kn.count_ngrams(table(texts(), "grp string, text string"), order, bits), order, bits, shared, entries)
-        assert all(len(k) <= entries for k in model.keys)
-        for context in (0, 5 << 8 | 7, ord("t") << 8 | ord("h"), ord("d")):
-            keys = (context << bits) | np.arange(1 << bits)
-            assert np.allclose(np.exp(model.log_probabilities(keys)).sum(axis=0), 1.0, atol=1e-3)
-
-
-def test_counts_are_those_of_all_texts(table):
-    rows = [("a", "ab ab b"), ("a", "ab"), ("b", "b")]
-    got = {(r["grp"], r["g"]): r["c"] for r in kn.count_ngrams(table(rows, "grp string, text string"), 2, 8).collect()}
-    a, b = ord("a"), ord("b")
-    assert got == {("a", a): 3, ("a", a << 8 | b): 3, ("a", b << 8): 4, ("a", b): 1, ("b", b): 1, ("b", b << 8): 1}
-
-
 def test_language_cases(table):
     rows = [(i, t, lang, 0.5) for i, (lang, t) in enumerate(texts())]
     rows += [(1000, None, "aa", 0.0), (1001, "", "aa", 0.0), (1002, "123 !!", None, 0.0), (1003, "therer ing sher", None, 0.0), (None, "schung derei", None, 0.0), (1003, "therer ing sher", None, 0.0)]
@@ -101,32 +82,32 @@ def test_toxicity_without_both_classes(table, spark):
     assert toxicity.score(spark.createDataFrame([], "doc_id long, text string"), None).count() == 0
 
 
-def test_scoring_uses_every_count(table):
-    """Values by joins equal those of the uncut arrays, with and without the cache, also of n-grams seen once."""
-    rows = texts(n=20) + [("aa", "zyxwv"), ("bb", "qqjk")]
-    counts = kn.count_ngrams(table(rows, "grp string, text string"), 3, 8)
-    words = ["zyxwv", "thesh", "schung", "unseen", "q"]
-    for shared in (0, 2):
-        full, stored = kn.fit(counts, 3, 8, shared), kn.tables(counts, 3, 8, shared)
-        keys, index = kn.ngrams(words, 3, 8)
-        logs = full.log_probabilities(keys)
-        want = np.stack([logs[index == i].sum(axis=0) for i in range(len(words))])
-        docs = table([(i, w) for i, w in enumerate(words)] + [(9, "zyxwv q 1 q"), (10, "")], "key long, text string")
-        for cache in (0, 1 << 17):
-            got = {r["key"]: r for r in kn.sum_words(docs, stored, lambda logs: logs, 2, distinct=False, cache=cache).collect()}
-            assert np.allclose([got[i]["sums"] for i in range(len(words))], want, rtol=1e-4)
-            assert np.allclose(got[9]["sums"], want[0] + 2 * want[4], rtol=1e-4) and got[9]["chars"] == 10 and got[10]["sums"] == [0.0, 0.0]
-
-
-def test_rare_toxic_expression_counts_in_a_large_table(table):
-    """An expression of two documents among 5-grams whose share is below 1 / 2^19 of the class still says something."""
+def test_toxic_expression_of_two_documents_counts(table):
+    """Two toxic documents among many thousand words: their expression sets the two log-likelihoods apart."""
     rng = random.Random(4)
-    rows = [(f"{y}", " ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(3000))) for y in (0, 1) for _ in range(100)]
-    rows += [("1", "qxqxz")] * 2
-    counts = kn.count_ngrams(table(rows, "grp string, text string"), toxicity.ORDER, toxicity.BITS)
-    docs = table([(0, "qxqxz")], "key long, text string")
-    found = toxicity._evidence(docs, kn.tables(counts, toxicity.ORDER, toxicity.BITS, toxicity.SHARED)).first()
-    assert found["strong"] > 0
-    cut = kn.fit(counts, toxicity.ORDER, toxicity.BITS, toxicity.SHARED)
-    logs = cut.log_probabilities(kn.ngrams(["qxqxz"], toxicity.ORDER, toxicity.BITS)[0]).sum(axis=0)
-    assert logs[1] - logs[0] < toxicity.BEYOND  # what the bounded arrays say of it
+    rows = [(str(i % 2), " ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(300))) for i in range(200)]
+    rows += [("1", "qxqxz " * 20)] * 2
+    asked = ["qxqxz", "abcde fghij"]
+    counts = arrays.count(table(rows + [(None, t) for t in asked], "grp string, text string"), toxicity.CLASSES)
+    docs = table(list(enumerate(asked)), "key long, text string")
+    found = {r["key"]: r for r in toxicity._evidence(docs, arrays.finish(counts, toxicity.CLASSES, toxicity.SHARED)).collect()}
+    assert found[0]["difference"] > 100 > 50 > abs(found[1]["difference"])
+
+
+def test_toxicity_sample_is_weighted_back(table):
+    rows = toxic_rows()
+    docs = table(rows, "doc_id long, text string, toxic int")
+    learned = toxicity.fit(docs, calibration=100)
+    sample = learned.sample.collect()
+    for label, n in (("0", 300), ("1", 100)):
+        times = [r["times"] for r in sample if r["label"] == label]
+        assert 25 < len(times) < 80 and abs(times[0] - n / 50) < 1e-9
+    out = toxicity.score(docs.select("doc_id", "text"), learned).collect()
+    assert sum(r["predicted"] == (r["doc_id"] % 4 == 0) for r in out) >= 380
+
+
+def test_toxicity_without_words(table):
+    docs = table([(1, "12", 0), (2, "!", 1)], "doc_id long, text string, toxic int")
+    learned = toxicity.fit(docs)
+    assert sorted(tuple(r) for r in toxicity.score(docs, learned).collect()) == [(1, 0.0, 0), (2, 0.0, 0)]
+    assert toxicity.keep(docs, learned).count() == 2

@@ -24,10 +24,14 @@ def plain_ngrams(text, order=4):
 
 
 class Plain:
-    def __init__(self, texts, order=4):
+    """The model of ``texts``; orders up to ``shared`` are those of ``everyone``'s texts."""
+
+    def __init__(self, texts, order=4, shared=0, everyone=()):
         self.counts = {order: Counter(g for t in texts for g in plain_ngrams(t))}
+        whole = {order: Counter(g for t in everyone for g in plain_ngrams(t))}
         for k in range(order - 1, 0, -1):
-            self.counts[k] = Counter(g[1:] for g in self.counts[k + 1])
+            whole[k] = Counter(g[1:] for g in whole[k + 1])
+            self.counts[k] = whole[k] if k <= shared else Counter(g[1:] for g in self.counts[k + 1])
         self.totals, self.kinds, self.d = {}, {}, {}
         for k, counts in self.counts.items():
             self.totals[k], self.kinds[k] = defaultdict(int), defaultdict(int)
@@ -72,6 +76,17 @@ def test_equals_plain_model(table, cache_bytes):
         assert got[i]["letters"] == sum(c.isalpha() for c in text)
 
 
+@pytest.mark.parametrize("shared", [1, 2, 3])
+def test_shared_orders_equal_plain_model(table, shared):
+    rows = corpus(2)
+    asked = ["the ungon", "schß x7der", "never Seen qЖ"]
+    model = na.finish(na.count(table(rows + [(None, t) for t in asked], "grp string, text string"), ["aa", "bb"]), ["aa", "bb"], shared)
+    plain = [Plain([t for g, t in rows if g == lang], shared=shared, everyone=[t for _, t in rows]) for lang in ("aa", "bb")]
+    got = {r["key"]: r["sums"] for r in na.score(table(list(enumerate(asked)), "key long, text string"), model).collect()}
+    for i, text in enumerate(asked):
+        assert np.allclose(got[i], [m.log(text) for m in plain], rtol=1e-5)
+
+
 def test_pieces_of_long_texts_change_nothing(monkeypatch):
     rng = random.Random(3)
     texts = ["".join(rng.choices("abc dé\U00020000 .\n", k=n)) for n in (0, 1, 7, 8, 9, 50, 333)] + ["z" * 40]
