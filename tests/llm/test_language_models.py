@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 from postsift.llm import language, toxicity
 from postsift.llm import ngram_arrays as arrays
 from postsift.llm.common import held_out, read_table
@@ -39,6 +41,30 @@ def test_language_held_out_accuracy(spark):
     assert len(out) > 200 and sum(r["lang"] == r["lang_pred"] for r in out) >= 0.99 * len(out)
 
 
+def test_language_curve_and_limits_from_all_rows(table, monkeypatch):
+    """More than 4,096 documents: each of them counts for the curve and for the limits."""
+    seen = {}
+    for name in ("_curve", "_quantiles"):
+        def kept(rows, *more, name=name, plain=getattr(language, name)):
+            seen[name] = (rows.collect(), plain(rows, *more))
+            return seen[name][1]
+
+        monkeypatch.setattr(language, name, kept)
+    rng = random.Random(5)
+    words = {"aa": ["there", "shining", "oner", "singer"], "bb": ["derung", "scheiung", "eische", "singer"]}
+    rows = [(i, rng.choice(words[g]) + " " + rng.choice(words[g]), g) for i in range(2600) for g in words]
+    language.identify(table(rows, "doc_id long, text string, lang string"), held_out("doc_id", 4, 2) | ~held_out("doc_id", 4, 2)).count()
+    margins, curve = seen["_curve"]
+    assert len(margins) == len(rows)
+    z = np.array([r["margin"] for r in margins] + [0.0, 0.0])
+    expected = language.logistic(np.stack([np.ones(len(z)), z], axis=1), np.array([r["right"] for r in margins] + [0.0, 1.0]))
+    assert np.allclose(curve, expected, rtol=1e-6)
+    entropies, limits = seen["_quantiles"]
+    assert len(entropies) == sum(r["right"] for r in margins) and set(limits) == set(words)
+    for g in words:
+        assert abs(limits[g] - np.quantile([r["x"] for r in entropies if r["grp"] == g], 0.995)) < 2e-9
+
+
 def toxic_rows(n=400):
     rng = random.Random(2)
     plain = [f"{a}{b}" for a in ("th", "on", "er", "in", "sh", "at") for b in ("ing", "ed", "ly", "er", "ou")]
