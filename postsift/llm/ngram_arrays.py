@@ -23,7 +23,8 @@ search in one range.
    a shuffle and are added, so the cache changes no value.
 
 A task holds one range, or the distinct n-grams of one symbol, and texts in
-pieces of ``PIECE`` characters, so a very long text needs no more memory.
+pieces of ``PIECE`` characters, so a very long text needs no more memory; what is
+still to be looked up is kept in arrays, for ``PIECE`` bytes of rows at a time.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,7 +46,8 @@ from .common import store
 
 ORDER = 4
 RANGES = 1 << 12
-PIECE = 1 << 20
+PIECE = 1 << 18
+ROWS = 1 << 16
 PENDING = 1 << 21
 CACHE_BYTES = 1 << 24
 UNIFORM = 1.0 / (1 << 16)
@@ -342,7 +345,7 @@ def finish(arrays: DataFrame, groups: list[str], shared_orders: int = 0) -> Mode
             weights = {k: _weights(level, discounts[k]) for k, level in zip(range(ORDER, 1, -1), _levels(keys, grps, counts, size, shared_orders))}
             wanted, at = np.unique(keys, return_index=True)
             times = np.add.reduceat(counts, at)
-            step = max(PENDING // size, 1)
+            step = max(PENDING // 4 // size, 1)
             for lo in range(0, len(wanted), step):
                 part = wanted[lo:lo + step]
                 logs = np.where(some, np.log(_probabilities(part, ORDER, weights, first, size, shared_orders)), ABSENT).astype(np.float32)
@@ -394,9 +397,9 @@ def score(rows: DataFrame, model: Model, cache_bytes: int = CACHE_BYTES) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, logs = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole)):
             n = batch.num_rows
-            chars, letters, sums, rest = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros((n, size)), {}
+            chars, letters, sums, rest = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros((n, size)), Sums()
             for parts in pieces(t.as_py() for t in batch.column(1)):
                 keys, own, found = ngrams(parts)
                 chars += np.bincount(own, minlength=n)
@@ -407,15 +410,13 @@ def score(rows: DataFrame, model: Model, cache_bytes: int = CACHE_BYTES) -> Data
                 values[hit] = logs[at[hit]] if len(logs) else 0.0
                 _row_sums(own, values[which], sums)
                 left = ~hit[which]
-                for (row, key), times in zip(*_pairs(own[left], keys[left])):
-                    cell = rest.setdefault(row, {})
-                    cell[key] = cell.get(key, 0) + times
-            open_ngrams = []
-            for i in range(n):
-                keys = np.fromiter(rest.get(i, {}), np.uint64)
-                open_ngrams.append([{"rng": r, "g": g, "n": t} for r, g, t in zip(range_of(keys).tolist(), keys.view(np.int64).tolist(), rest.get(i, {}).values())])
+                rest.add(own[left], keys[left], np.ones(int(left.sum()), np.int64))
+            own, keys, times = rest.result()
+            offsets = pa.array(np.searchsorted(own, np.arange(n + 1)), pa.int32())
+            open_ngrams = pa.StructArray.from_arrays(
+                [pa.array(range_of(keys)), pa.array(keys.view(np.int64)), pa.array(times)], ["rng", "g", "n"])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(chars), pa.array(letters), pa.array(list(sums), pa.list_(pa.float64())), pa.array(open_ngrams, OPEN)],
+                [batch.column(0), pa.array(chars), pa.array(letters), _lists(sums), pa.ListArray.from_arrays(offsets, open_ngrams)],
                 ["key", "chars", "letters", "sums", "rest"])
 
     schema = T.StructType([rows.schema["key"], *T.StructType.fromDDL("chars long, letters long, sums array<double>, rest array<struct<rng: int, g: long, n: long>>").fields])
@@ -426,15 +427,21 @@ def score(rows: DataFrame, model: Model, cache_bytes: int = CACHE_BYTES) -> Data
     return parts.drop("rest").join(more, F.col("row") == F.col("m_row"), "left").select("key", "chars", "letters", total.alias("sums"))
 
 
-OPEN = pa.list_(pa.struct([("rng", pa.int32()), ("g", pa.int64()), ("n", pa.int64())]))
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in stretches of rows with about ``PIECE`` bytes of text, so that few rows' n-grams are open at once."""
+    sizes = np.cumsum(pc.coalesce(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+    lo = 0
+    while lo < batch.num_rows:
+        before = sizes[lo - 1] if lo else 0
+        hi = max(int(np.searchsorted(sizes, before + PIECE, "right")), lo + 1)
+        yield batch.slice(lo, hi - lo)
+        lo = hi
 
 
-def _pairs(rows: np.ndarray, keys: np.ndarray) -> tuple[Iterable[tuple[int, int]], list[int]]:
-    """Distinct (row, key) and how often each occurs."""
-    if not len(rows):
-        return [], []
-    found, own, times = added(keys, rows, np.ones(len(rows), np.int64))
-    return zip(own.tolist(), found.tolist()), times.tolist()
+def _lists(values: np.ndarray) -> pa.Array:
+    """A list per row of a table of numbers."""
+    rows, columns = values.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * columns, pa.int32()), pa.array(values.ravel()))
 
 
 def _looked_up(asked: DataFrame, model: Model) -> DataFrame:
@@ -448,7 +455,7 @@ def _looked_up(asked: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in groupby(_rows(batches), key=lambda r: r[0]):
             stored, table = [], None
-            while part := [row for _, row in zip(range(PIECE // 16), rows)]:
+            while part := [row for _, row in zip(range(ROWS), rows)]:
                 stored += [(np.frombuffer(r[2], np.uint64), np.frombuffer(r[3], np.float32).reshape(-1, size)) for r in part if r[1] == 0]
                 open_rows = [r[4:] for r in part if r[1] == 1]
                 if not open_rows:
@@ -464,6 +471,6 @@ def _looked_up(asked: DataFrame, model: Model) -> DataFrame:
                 distinct, which = np.unique(own, return_inverse=True)
                 sums = np.zeros((len(distinct), size))
                 np.add.at(sums, which, table[1][at] * n[:, None].astype(np.float64))
-                yield pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(list(sums), pa.list_(pa.float64()))], ["row", "sums"])
+                yield pa.RecordBatch.from_arrays([pa.array(distinct), _lists(sums)], ["row", "sums"])
 
     return met.mapInArrow(run, "row long, sums array<double>")

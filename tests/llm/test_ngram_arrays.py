@@ -102,6 +102,36 @@ def test_pieces_of_long_texts_change_nothing(monkeypatch):
     assert got == want and found == len(letters)
 
 
+def test_open_ngrams_of_many_rows_in_bounded_memory(spark):
+    """Rows of one batch whose n-grams all miss the cache: no Python object an n-gram."""
+    import tracemalloc
+
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(20)) for _ in range(2500)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "key long, text string").coalesce(1)
+    model = na.finish(na.count(docs.selectExpr("'aa' AS grp", "text"), ["aa"]), ["aa"])
+    run, seen = [], []
+    plain = type(docs).mapInArrow
+
+    def kept(self, function, schema):
+        run.append(function)
+        return plain(self, function, schema)
+
+    type(docs).mapInArrow = kept
+    try:
+        na.score(docs, model, 0)
+    finally:
+        type(docs).mapInArrow = plain
+    batch = docs.toArrow().combine_chunks().to_batches()[0]
+    tracemalloc.start()
+    for out in run[1](iter([batch])):  # the first is that of the frequent n-grams
+        seen += out.column("key").to_pylist()
+        del out
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == list(range(2500)) and peak < 1e8, peak
+
+
 def test_small_buffers_change_nothing(table, monkeypatch):
     sums = na.Sums()
     monkeypatch.setattr(na, "PENDING", 3)
