@@ -9,11 +9,12 @@ High-recall generators propose more spans, overlapping ones too: written-out
 ``at`` and ``dot``, long dotted or colon-separated numbers, any 12 to 19 digits, phone-like digit
 groups without ``+``. Gradient-boosted trees score the proposals by format and
 context (lengths, digit share, separators, checksums, neighbouring characters,
-words before). They learn from a bounded sample (about ``max_train`` proposals
-of all documents, by hash): a proposal that touches a base span of its kind
-is a positive example. On the quarter of the sample kept back, the lowest
-score whose share of positives is at least ``precision`` becomes the kind's
-threshold. A proposal outside all base spans that reaches it is added; of
+words before). They learn from all proposals of all documents (a caller may ask
+for about ``max_train`` of them, by hash): a proposal that touches a base span of
+its kind is a positive example. Proposals with the same features and label are
+one example, weighted by their number. On the quarter of the documents kept
+back, the lowest score whose share of positives is at least ``precision`` becomes
+the kind's threshold. A proposal outside all base spans that reaches it is added; of
 overlapping additions the best score stays (then the earlier, the longer).
 
 Positions of all matches come from the pieces between them (``split``), since
@@ -29,6 +30,7 @@ nothing is added; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
@@ -175,26 +177,29 @@ def proposals(spans: DataFrame) -> DataFrame:
                        *[v.cast("double").alias(k) for k, v in (number | flag).items()])
 
 
-def train(rows: DataFrame, max_train: int, rounds: int, depth: int, precision: float):
+def train(rows: DataFrame, max_train: int | None, rounds: int, depth: int, precision: float):
     """The trees and the threshold of each kind; None without examples of both classes."""
-    fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4))
-    sample = store(about(rows, max_train, "doc_id", "text_key", "kind", "start").withColumn("fold", fold), "pii-sample")
-    counts = {r["label"]: r["count"] for r in sample.where("fold > 0").groupBy("label").count().collect()}
+    back = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4)) == 0
+    asked = rows if max_train is None else about(rows, max_train, "doc_id", "text_key", "kind", "start")
+    examples = store(asked.groupBy(back.alias("back"), "kind", "label", *FEATURES).agg(F.count(F.lit(1)).alias("n")), "pii-examples")
+    counts = {r["label"]: r["count"] for r in examples.where("NOT back").groupBy("label").count().collect()}
     if len(counts) < 2:
         return None
+    # Spark draws split candidates from max(maxBins ** 2, 10,000) examples: with so many bins from all of them
+    bins = max(32, math.isqrt(sum(counts.values())) + 1) if sum(counts.values()) > 10_000 else 32
     assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    learner = GBTClassifier(featuresCol="features", labelCol="y", maxIter=rounds, maxDepth=depth, seed=7, checkpointInterval=-1)
-    model = learner.fit(assemble.transform(sample.where("fold > 0").withColumn("y", F.col("label").cast("double"))).select("features", "y"))
-    kept_back = score(model, sample.where("fold = 0")).select("kind", "p", "label").collect()  # about max_train rows at most
+    learner = GBTClassifier(featuresCol="features", labelCol="y", weightCol="weight", maxIter=rounds, maxDepth=depth, maxBins=bins, seed=7, checkpointInterval=-1)
+    learned = examples.where("NOT back").withColumn("y", F.col("label").cast("double")).withColumn("weight", F.col("n").cast("double"))
+    model = learner.fit(assemble.transform(learned).select("features", "y", "weight"))
+    kept_back = score(model, examples.where("back")).groupBy("kind", "p").agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("label"), F.col("n")).otherwise(0)).alias("good")).collect()  # a row per score of the trees
     thresholds = {}
     for kind in KINDS:
         good = total = 0
-        ranked = sorted(((r["p"], r["label"]) for r in kept_back if r["kind"] == kind), reverse=True)
-        for k, (p, label) in enumerate(ranked):
-            total += 1
-            good += bool(label)
-            last_of_score = k + 1 == len(ranked) or ranked[k + 1][0] < p
-            if last_of_score and p >= 0.5 and good >= precision * total:
+        for p, n, right in sorted(((r["p"], r["n"], r["good"]) for r in kept_back if r["kind"] == kind), reverse=True):
+            total += n
+            good += right
+            if p >= 0.5 and good >= precision * total:
                 thresholds[kind] = p
     return model, thresholds
 
@@ -204,7 +209,7 @@ def score(model, rows: DataFrame) -> DataFrame:
     return scored.withColumn("p", vector_to_array("probability")[1])
 
 
-def find(docs: DataFrame, max_train: int = 20_000, rounds: int = 10, depth: int = 4, precision: float = 0.99,
+def find(docs: DataFrame, max_train: int | None = None, rounds: int = 10, depth: int = 4, precision: float = 0.99,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id``, ``base`` and ``spans``: arrays of (kind, start, end) by kind as listed, then start."""
     spans = store(spans_of(docs, id_col, text_col), "pii-spans")

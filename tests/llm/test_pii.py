@@ -52,6 +52,18 @@ def test_learned_spans_contain_the_base_and_do_not_overlap_it(table):
             assert not any(a < y and x < b for _, x, y in base)
 
 
+def test_trees_learn_from_all_proposals(table, monkeypatch):
+    """Many proposals: every one is an example, equal ones by their weight."""
+    stored = {}
+    monkeypatch.setattr(pii, "store", lambda df, name, plain=pii.store: stored.setdefault(name, plain(df, name)))
+    text = " ".join(f"10.0.{i % 250}.7" for i in range(100)) + " " + " ".join(f"{i}.300.1.{i}" for i in range(100))
+    docs = table([(i, text) for i in range(150)], "doc_id long, text string")
+    pii.find(docs, rounds=2).count()
+    proposed = sum(r[f"n_{k}"] for r in stored["pii-spans"].select(*[F.size(f"p_{k}").alias(f"n_{k}") for k in pii.KINDS]).collect() for k in pii.KINDS)
+    examples = stored["pii-examples"]
+    assert proposed > 20_000 and examples.agg(F.sum("n")).first()[0] == proposed and examples.count() < 1000
+
+
 def test_redaction(table):
     df = table([(1, "é mail a@b.co now 1.2.3.4!")], "doc_id long, text string")
     out = pii.find(df).join(df, "doc_id").select(pii.redact(F.col("text"), F.col("spans")).alias("t")).first()
