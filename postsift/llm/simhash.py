@@ -40,16 +40,17 @@ BLANKS = r"[\x20\t\n\x0B\f\r]+"
 NULL_ID, BELOW_ALL = -(1 << 63) + 2, -(1 << 63) + 1
 
 
-def _votes(terms: Column) -> Column:
-    """Sums of at most CHUNK terms: the total weight, then the weight of the set terms for each bit.
+def _votes(terms: str, chunk: Column) -> Column:
+    """Sums of the CHUNK terms of a chunk: the total weight, then the weight of the set terms for each bit.
 
-    FEW terms are added in lanes of 8 bits, their sums in lanes of 16.
+    FEW terms are added in lanes of 8 bits, their sums in lanes of 16. The few are cut from the whole
+    array, because a cut of a cut would copy the chunk once for every few terms.
     """
     keys = [(k, i) for k in (0, 1) for i in range(8)]
     long = F.lit(0).cast("long")
 
     def add(acc: Column, t: Column) -> Column:
-        lanes = [(acc[f"s{k}_{i}"] + F.shiftrightunsigned(t[f"h{k}"], i).bitwiseAND(F.lit(LANES_8)) * t["w"]).alias(f"s{k}_{i}") for k, i in keys]
+        lanes = [(acc[f"s{k}_{i}"] + (F.shiftrightunsigned(t[f"h{k}"], i) if i else t[f"h{k}"]).bitwiseAND(F.lit(LANES_8)) * t["w"]).alias(f"s{k}_{i}") for k, i in keys]
         return F.struct((acc["total"] + t["w"]).alias("total"), *lanes)
 
     def few(n: Column) -> Column:
@@ -65,7 +66,8 @@ def _votes(terms: Column) -> Column:
             F.shiftrightunsigned(acc[f"{half}{k}_{i}"], 16 * lane).bitwiseAND(F.lit(0xFFFF).cast("long"))
             for k in (0, 1) for lane in range(4) for half in "eo" for i in range(8)])
 
-    sums = F.transform(F.sequence(F.lit(0), (F.size(terms) / FEW).cast("int")), few)
+    last = F.least((chunk + 1) * (CHUNK // FEW) - 1, (F.size(terms) / FEW).cast("int"))
+    sums = F.transform(F.sequence(chunk * (CHUNK // FEW), last), few)
     return F.aggregate(sums, F.struct(long.alias("total"), *[long.alias(f"{half}{k}_{i}") for half in "eo" for k, i in keys]), widen, unpack)
 
 
@@ -77,7 +79,7 @@ def with_fingerprint(rows: DataFrame, text_col: str, name: str) -> DataFrame:
         F.greatest(F.lit(1), F.least(F.length(w) - 2, F.lit(10))).cast("long").alias("w")))
 
     def chunk(i: Column) -> Column:
-        return _votes(F.slice("_terms", i * CHUNK + 1, F.lit(CHUNK)))
+        return _votes("_terms", i)
 
     chunks = F.transform(F.sequence(F.lit(0), (F.size("_terms") / CHUNK).cast("int")), chunk)
     zero = F.array_repeat(F.lit(0).cast("long"), BITS + 1)

@@ -50,6 +50,20 @@ def test_fingerprint_votes(spark, text):
     assert got[1] == "0" * 32 and got[2] == got[3]
 
 
+def test_terms_are_cut_once(spark):
+    """No cut of a cut, which copied a chunk for every few terms; whole chunks and whole fews count every term."""
+    df = spark.createDataFrame([(n, " ".join(f"longestwords{i:05}" for i in range(n))) for n in (12, simhash.CHUNK, 2 * simhash.CHUNK)], "n int, text string")
+    out = simhash.with_fingerprint(df, "text", "fp")
+    assert "slice(slice(" not in out._jdf.queryExecution().analyzed().toString()
+    for r in out.collect():
+        votes = [0] * 128
+        hashes = spark.range(r["n"]).select(F.concat(F.lit("longestwords"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("w")).select(F.xxhash64("w"), F.xxhash64("w", F.lit(1)))
+        for h in hashes.collect():
+            for b in range(128):
+                votes[b] += 1 if h[b // 64] >> b % 64 & 1 else -1
+        assert r["fp"] == "".join("%x" % sum((votes[4 * j + i] > 0) << (3 - i) for i in range(4)) for j in range(32))
+
+
 def test_radius_search_equals_all_pairs(spark):
     rng = random.Random(6)
     prints = []
