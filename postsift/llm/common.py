@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
+PLACES = 1 << 26  # bits of the bitmap of ``among`` (8 MB)
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -42,6 +43,21 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+def among(rows: DataFrame, col: str, keys: DataFrame) -> DataFrame:
+    """Rows whose ``col`` may be one of ``keys`` (one column of the same type): all that are, and some others.
+
+    The keys' hashed places go round as a bitmap of fixed size, so before a join on ``col`` few rows
+    without a partner are shuffled, and in the worst case (far more keys than places) all are, as without it.
+    """
+    place = F.pmod(F.xxhash64(col), F.lit(PLACES)) + 1
+    placed = keys.toDF(col).select(place.alias("place"))
+    bits = placed.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = (F.bitmap_bucket_number(place) == F.col("bucket")) & (F.getbit(byte, (at % 8).cast("int")) == 1)
+    return rows.join(F.broadcast(bits), held, "left_semi")
+
+
 def held_out(id_col: str, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text falls in the held-out fold; a null id is in no fold."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold, F.lit(False))

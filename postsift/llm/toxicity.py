@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import ngram_arrays as arrays
-from .common import share, store, text_or_empty
+from .common import among, share, store, text_or_empty
 from .language import logistic
 
 SHARED = 2
@@ -56,11 +56,13 @@ def fit(labelled: DataFrame, calibration: int = 20_000) -> Learned | None:
     if sorted(sizes) != CLASSES:
         return None
     half = calibration // 2
-    drawn = [
-        rows.where((F.col("grp") == label) & share(rows.where(F.col("grp") == label), half, "id"))
-        .select(F.col("grp").alias("label"), "id", "text", F.lit(max(sizes[label] / half, 1.0)).alias("times"))
-        for label in CLASSES]
-    return Learned(rows.select("grp", "text"), store(drawn[0].unionByName(drawn[1]), "toxicity-sample"))
+    ordinary, toxic = (share(rows.where(F.col("grp") == label), half, "id") for label in CLASSES)
+    is_toxic = F.col("grp") == CLASSES[1]
+    # one pass for both classes; the condition on the id alone holds back texts before they are joined
+    drawn = rows.where(ordinary | toxic).where(F.when(is_toxic, toxic).otherwise(ordinary))
+    times = F.when(is_toxic, max(sizes[CLASSES[1]] / half, 1.0)).otherwise(max(sizes[CLASSES[0]] / half, 1.0))
+    drawn = drawn.select(F.col("grp").alias("label"), "id", "text", times.alias("times"))
+    return Learned(rows.select("grp", "text"), store(drawn, "toxicity-sample"))
 
 
 def _evidence(rows: DataFrame, model: arrays.Model) -> DataFrame:
@@ -94,9 +96,11 @@ def _judged(rows: DataFrame, learned: Learned) -> DataFrame | None:
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Documents with their labels. Labels grow with the corpus, so the join is a merge join at every size."""
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic").hint("merge")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(known, "doc_id")
+    """Documents with their labels. Labels grow with the corpus, so the join is a merge join at every size; texts of
+    documents that have none are held back before it (``among``)."""
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return among(texts, "doc_id", known.select("doc_id")).join(known.hint("merge"), "doc_id")
 
 
 def score(docs: DataFrame, learned: Learned | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

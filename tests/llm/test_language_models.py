@@ -3,10 +3,11 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from postsift.llm import language, toxicity
 from postsift.llm import ngram_arrays as arrays
-from postsift.llm.common import held_out, read_table
+from postsift.llm.common import among, held_out, read_table
 
 SF = "/root/testdata/sf0.01"
 
@@ -137,3 +138,23 @@ def test_toxicity_without_words(table):
     learned = toxicity.fit(docs)
     assert sorted(tuple(r) for r in toxicity.score(docs, learned).collect()) == [(1, 0.0, 0), (2, 0.0, 0)]
     assert toxicity.keep(docs, learned).count() == 2
+
+
+def test_texts_without_a_label_are_held_back_before_the_join(table):
+    """Only texts that may have a label cross the network; the joined rows are those of a plain join."""
+    docs = table([(i, f"text {i}") for i in range(5000)] + [(7, "again"), (None, "no id")], "doc_id long, text string")
+    labels = table([(i, i % 2) for i in range(0, 5000, 50)] + [(50, 1), (None, 1), (9000, 0)], "doc_id int, toxic int")
+    assert 100 <= among(docs, "doc_id", labels.select(F.col("doc_id").cast("long"))).count() < 120
+    found = toxicity.labelled_rows(docs, labels)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and plan.index("Join Inner") < plan.index("LeftSemi")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, docs.join(labels, "doc_id").select("doc_id", "text", "toxic").collect()))
+
+
+def test_among_keeps_every_key(table, spark):
+    keys = [0, 1, -1, 2**63 - 1, -2**63, *range(10_000, 90_000, 7)]
+    rows = table([(k,) for k in keys], "k long")
+    assert among(rows, "k", rows).count() == len(keys)
+    assert among(rows, "k", spark.createDataFrame([], "k long")).count() == 0
+    words = table([("a",), ("",), (None,), ("b",)], "w string")
+    assert {"a", ""} <= {r[0] for r in among(words, "w", words.where("w <> 'b'")).collect()}
