@@ -21,7 +21,9 @@ their sets reaches the threshold; the join returns each document's component.
    at least k rows of the matrix, k being a share ``EXTRA`` of the smaller set.
    The order puts frequent tokens last (frequent in a sixteenth of the
    documents, kept as a fixed-size bitmap): common passages stay out of the
-   prefixes. The order has no influence on the result, only on the work.
+   prefixes. The order has no influence on the result, only on the work. Under a
+   token of more than ``CROWD`` groups those that share enough with the largest
+   one follow it into one group, so a large family is not listed pair by pair.
 4. Only the qualifying groups are opened: the classes of the smaller group
    query the larger one, and in a group of several parts all classes outside its
    largest part query the group. A semi join by size and by sketches (the 64
@@ -32,8 +34,8 @@ their sets reaches the threshold; the join returns each document's component.
 5. Verified links, inside groups and between them, make the components.
 
 Full sets are rebuilt from the texts for the verified pairs only; a fixed-size
-bitmap of their row ids picks the texts. Nothing but the bitmaps (at most
-``BITMAP`` bits) reaches the driver, and no list of copies, links or group
+bitmap of their row ids picks the texts (``among``). Nothing but the bitmaps (of
+``BITMAP`` and ``common.PLACES`` bits at most) reaches the driver, and no list of copies, links or group
 members is gathered anywhere.
 
 Defined cases: null and empty texts and texts of blanks have the empty set and
@@ -53,7 +55,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import store, text_or_empty
+from .common import among, store, text_or_empty
 from .components import components
 
 SKETCH, SKETCH_LEAST = 64, 22
@@ -62,6 +64,7 @@ LIKE = 0.6
 KEYS = 4
 PIVOTS = 8
 EXTRA = 0.05
+CROWD = 4  # groups that a token may have before they follow the largest of them
 BITMAP = 1 << 22
 BLOCK = 256  # classes on either side of a block of the final comparison
 SLICE = 1000  # rows handled at a time by the tasks that build sets
@@ -146,32 +149,32 @@ def _held(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 
 def full_sets(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """``ck, tokens`` for the wanted classes (``ck``, ``rid`` of one of its documents)."""
-    shared = rows.sparkSession.sparkContext.broadcast(_bitmap(wanted.select(F.xxhash64("rid"))))
+    """``ck, tokens`` for all classes with a document in ``wanted`` (``rid``), and for a few others.
+
+    The sets are stored as the tasks build them; the shuffle that leaves one of each class also serves the join on ``ck``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, bitmap = WordHashes(), shared.value
+        known, met = WordHashes(), set()
         for batch in _slices(batches):
-            held = _held(bitmap, batch.column(2).to_numpy())
-            part = batch.filter(pa.array(held))
-            rid, ck, tokens = [], [], []
-            for r, text in zip(part.column(0).to_pylist(), part.column(1)):
+            ck, tokens = [], []
+            for text in batch.column(0):
                 s = shingle_set(text.as_py(), size, known)
-                if len(s):
-                    rid.append(r)
-                    ck.append(class_key(s))
+                key = class_key(s) if len(s) else None
+                if key is not None and key not in met:
+                    met.add(key)
+                    ck.append(key)
                     tokens.append(s.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(rid, pa.int64()), pa.array(ck, pa.int64()), pa.array(tokens, pa.binary())], ["rid", "ck", "tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(ck, pa.int64()), pa.array(tokens, pa.binary())], ["ck", "tokens"])
 
-    place = F.pmod(F.xxhash64("rid"), F.lit(BITMAP)).cast("int").alias("place")
-    found = rows.select("rid", "text", place).mapInArrow(run, "rid long, ck long, tokens binary")
-    return found.join(wanted, ["ck", "rid"]).select("ck", "tokens").dropDuplicates(["ck"])
+    found = among(rows.select("rid", "text"), "rid", wanted.select("rid")).select("text")
+    return store(found.mapInArrow(run, "ck long, tokens binary"), "jaccard-sets").dropDuplicates(["ck"])
 
 
 def linked(rows: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (``a``, ``b``) of classes whose full sets reach the threshold."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("ck")).distinct().join(classes.select("ck", "rid"), "ck")
-    sets = store(full_sets(rows, store(wanted, "jaccard-wanted"), size), "jaccard-sets")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("ck")).distinct().join(classes.select("ck", "rid"), "ck").select("rid")
+    sets = full_sets(rows, wanted, size)
     both = pairs.join(sets.toDF("a", "ta"), "a").join(sets.toDF("b", "tb"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +226,9 @@ def similar_pairs(likely: DataFrame) -> DataFrame:
 def similarity_groups(likely: DataFrame, parts: DataFrame) -> DataFrame:
     """``ck, part, grp`` for every class that is linked to, like or the leader of another one; ``parts`` (``ck``, ``root``) come from verified links."""
     order = F.xxhash64("p", F.lit(0))  # the hash of the first pivots
-    leader = likely.where("k = 0").groupBy("ck").agg(F.min(F.struct(order.alias("h"), "p")).alias("lead"))
+    first = likely.where("k = 0").select("ck", "p")
+    first = first.union(first.select("p", "p"))  # a leader belongs to its group, also if it follows nobody
+    leader = first.groupBy("ck").agg(F.min(F.struct(order.alias("h"), "p")).alias("lead"))
     known = leader.join(parts, "ck", "full").select("ck", F.coalesce("root", "ck").alias("part"), "lead")
     led = store(known.groupBy("part").agg(F.min("lead").alias("lead")).select("part", F.coalesce("lead.p", "part").alias("grp")), "jaccard-led")
     return known.select("ck", "part").join(led, "part").select("ck", "part", "grp")
@@ -269,20 +274,54 @@ def prefixes(rows: DataFrame, size: int, percent: int) -> DataFrame:
     return rows.select("text").mapInArrow(run, "ck long, n long, tokens array<long>")
 
 
-def group_pairs(prefix: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of groups (``g``, ``h``) that share enough rows of the token-group matrix."""
+def token_matrix(prefix: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """``token, g, low, high, c, crowd, lead``: prefix tokens of several groups, each group's smallest and largest set
+    and number of classes with the token, the number of groups and the one with most classes."""
     # a prefix token of one class only joins nothing: tokens cross the network once, and groups meet what is left
     tokens = prefix.select("ck", "n", F.explode("tokens").alias("token"))
     own = Window.partitionBy("token")
     several = tokens.withColumns({"first": F.min("ck").over(own), "last": F.max("ck").over(own)}).where("first <> last")
-    several = store(several.select("token", "ck", "n").distinct(), "jaccard-tokens")
-    of = several.join(groups.select("ck", "grp"), "ck", "left").select(F.coalesce("grp", "ck").alias("g"), "n", "token")
-    matrix = of.repartition("token").groupBy("token", "g").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    several = several.select("token", "ck", "n").distinct()
+    # a class with fewer such tokens than its smallest possible partner would have to share has no link
+    held = several.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("ck")))
+    held = held.where(F.col("held") >= _common(F.ceil(F.col("n") * percent / 100)))
+    of = held.join(groups.select("ck", "grp"), "ck", "left").select(F.coalesce("grp", "ck").alias("g"), "n", "token")
+    matrix = of.repartition("token").groupBy("token", "g").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count(F.lit(1)).alias("c"))
+    matrix = matrix.withColumns({"crowd": F.count(F.lit(1)).over(own), "lead": F.max(F.struct("c", "g")).over(own)["g"]})
+    return store(matrix.where("crowd > 1"), "jaccard-matrix")
+
+
+def _common(n: Column) -> Column:
+    """Rows of the matrix that two groups share at least, the smaller set having ``n`` tokens."""
+    return F.greatest(F.lit(1), F.floor(n * EXTRA))
+
+
+def followers(matrix: DataFrame) -> DataFrame:
+    """``g, lead``: groups that share half the rows asked for, all under tokens of more than ``CROWD`` groups, with the
+    largest group there. They are compared with it as its members, so that they do not meet each other token by token."""
+    crowded = matrix.where((F.col("crowd") > CROWD) & (F.col("g") != F.col("lead")))
+    shared = crowded.groupBy("g", "lead").agg(F.count(F.lit(1)).alias("common"), F.min("low").alias("low"))
+    most = shared.where(F.col("common") * 2 >= _common(F.col("low"))).groupBy("g").agg(F.max(F.struct("common", "lead")).alias("most"))
+    return store(most.select("g", F.col("most.lead").alias("lead")), "jaccard-followers")
+
+
+def merged(groups: DataFrame, follow: DataFrame) -> DataFrame:
+    """``ck, part, grp`` after the groups that ``follow`` names went over; classes without a group that do so or lead are added."""
+    alone = follow.select(F.explode(F.array("g", "lead")).alias("ck")).distinct().join(groups.select(F.col("grp").alias("ck")), "ck", "left_anti")
+    every = groups.select("ck", "part", "grp").union(alone.select("ck", "ck", "ck"))
+    new = every.join(follow, every["grp"] == follow["g"], "left").select("ck", "part", F.coalesce("lead", "grp").alias("grp"))
+    return store(new, "jaccard-merged")
+
+
+def group_pairs(matrix: DataFrame, follow: DataFrame, percent: int) -> DataFrame:
+    """Pairs of groups (``g``, ``h``) that share enough rows of the token-group matrix."""
+    matrix = matrix.select("token", "g", "low", "high").join(follow, "g", "left").select("token", F.coalesce("lead", "g").alias("g"), "low", "high")
+    matrix = matrix.repartition("token").groupBy("token", "g").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     other = matrix.select(F.col("token").alias("t"), F.col("g").alias("h"), F.col("low").alias("hlow"), F.col("high").alias("hhigh"))
     sizes = (F.col("high") * 100 >= F.col("hlow") * percent) & (F.col("hhigh") * 100 >= F.col("low") * percent)
     met = matrix.join(other, (F.col("token") == F.col("t")) & (F.col("g") < F.col("h")) & sizes)
     counted = met.groupBy("g", "h").agg(F.count(F.lit(1)).alias("common"), F.min(F.least("low", "hlow")).alias("low"))
-    return counted.where(F.col("common") >= F.greatest(F.lit(1), F.floor(F.col("low") * EXTRA))).select("g", "h")
+    return counted.where(F.col("common") >= _common(F.col("low"))).select("g", "h")
 
 
 def opened(rows: DataFrame, pairs: DataFrame, classes: DataFrame, groups: DataFrame, size: int, percent: int) -> DataFrame:
@@ -292,8 +331,6 @@ def opened(rows: DataFrame, pairs: DataFrame, classes: DataFrame, groups: DataFr
     outside its largest part query the group. A query is kept if some member of another part may be linked
     (a semi join on sizes and sketches); its full set then meets the members' full sets in blocks of bounded size.
     """
-    members = classes.select("ck", "rid", "n", "sketch").join(groups, "ck", "left").withColumns(
-        {"grp": F.coalesce("grp", "ck"), "part": F.coalesce("part", "ck")})
     sizes = groups.groupBy("grp", "part").agg(F.count(F.lit(1)).alias("c"))
     whole = store(sizes.groupBy("grp").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("c", "part")).alias("most")).select(
         "grp", "c", "parts", F.col("most.part").alias("main")), "jaccard-sizes")
@@ -303,6 +340,10 @@ def opened(rows: DataFrame, pairs: DataFrame, classes: DataFrame, groups: DataFr
     none = F.lit(None).cast("long").alias("main")
     asked = sized.select(F.when(small, F.col("g")).otherwise(F.col("h")).alias("grp"), F.when(small, F.col("h")).otherwise(F.col("g")).alias("into"), none)
     asked = store(asked.unionByName(whole.where("parts > 1").select("grp", F.col("grp").alias("into"), "main")), "jaccard-asked")
+    # sketches travel for the classes of these groups only
+    ids = asked.select(F.explode(F.array("grp", "into")).alias("grp")).distinct()
+    inside = store(ids.join(groups, "grp", "left").select("grp", F.coalesce("ck", "grp").alias("ck"), F.coalesce("part", "grp").alias("part")), "jaccard-inside")
+    members = store(among(classes.select("ck", "rid", "n", "sketch"), "ck", inside.select("ck")).join(inside, "ck"), "jaccard-members")
     queries = asked.join(members, "grp").where("main IS NULL OR part <> main").select("into", F.col("ck").alias("a"), F.col("part").alias("pa"), "rid", "n", "sketch")
     held = members.join(asked.select(F.col("into").alias("of")).distinct(), F.col("grp") == F.col("of")).select(
         "of", F.col("part").alias("pb"), F.col("n").alias("pn"), F.col("sketch").alias("psketch"))
@@ -312,8 +353,8 @@ def opened(rows: DataFrame, pairs: DataFrame, classes: DataFrame, groups: DataFr
     asking = store(queries.join(held, may, "left_semi").select("into", "a", "pa", "rid"), "jaccard-asking")
     into = asking.groupBy("into").agg(F.count(F.lit(1)).alias("asked"))
     answering = store(members.join(into, members["grp"] == into["into"]).select("into", F.col("ck").alias("b"), F.col("part").alias("pb"), "rid", "asked"), "jaccard-answering")
-    wanted = asking.select(F.col("a").alias("ck"), "rid").union(answering.select("b", "rid")).distinct()
-    sets = store(full_sets(rows, store(wanted, "jaccard-wanted"), size), "jaccard-sets")
+    wanted = asking.select("rid").union(answering.select("rid"))
+    sets = full_sets(rows, wanted, size)
     # blocks: at most about BLOCK queries against BLOCK members, spread by hash
     parts = answering.groupBy("into").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("rows"), F.ceil(F.max("asked") / BLOCK).alias("cols"))
     left = asking.join(parts, "into").join(sets.toDF("a", "tokens"), "a").select(
@@ -361,8 +402,10 @@ def join(docs: DataFrame, size: int = 5, percent: int = 75, id_col: str = "doc_i
     likely = store(likely_pairs(classes), "jaccard-likely")
     links = linked(rows, classes, store(similar_pairs(likely), "jaccard-similar"), size, percent)
     groups = store(similarity_groups(likely, components(links).toDF("ck", "root")), "jaccard-parts")
-    candidates = store(group_pairs(prefixes(rows, size, percent), groups, percent), "jaccard-groups")
-    more = opened(rows, candidates, classes, groups, size, percent)
+    matrix = token_matrix(prefixes(rows, size, percent), groups, percent)
+    follow = followers(matrix)
+    candidates = store(group_pairs(matrix, follow, percent), "jaccard-groups")
+    more = opened(rows, candidates, classes, merged(groups, follow), size, percent)
     roots = components(links.union(more)).toDF("ck", "root")
     ids = signed.where("n > 0").groupBy("ck").agg(F.min("doc_id").alias("first")).join(roots, "ck", "left")
     ids = ids.select("ck", "first", F.coalesce("root", "ck").alias("root"))

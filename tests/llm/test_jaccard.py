@@ -95,6 +95,41 @@ def test_a_family_of_unlinked_copies_is_one_group(table):
     assert sizes[0] > 100 and len(sizes) < 40
 
 
+def test_pairs_just_above_the_threshold_are_linked(table):
+    rng = random.Random(7)
+    rows = []
+    for i in range(500):  # 175 of 225 shingles in common, no word with other pairs
+        base = [f"w{i}_{j}" for j in range(204)]
+        other = list(base)
+        for at in rng.sample(range(10, 194, 10), 5):
+            other[at] = f"x{i}_{at}"
+        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(other))]
+    out = jaccard.join(table(rows, "doc_id long, text string")).collect()
+    assert [r["doc_id"] for r in out if r["component_id"] != r["doc_id"] // 2 * 2] == []
+
+
+def test_a_family_below_the_likeness_of_groups_does_not_meet_pair_by_pair(table, monkeypatch):
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(300)]
+    rows = []
+    for doc in range(400):
+        text = list(base)
+        for _ in range(rng.randint(14, 18) if doc % 20 else 3):
+            text[rng.randrange(300)] = f"x{rng.randrange(10 ** 7)}"
+        rows.append((doc, " ".join(text)))
+    stored = {}
+    store = jaccard.store
+
+    def watch(df, name):
+        stored[name] = store(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(jaccard, "store", watch)
+    out = jaccard.join(table(rows, "doc_id long, text string"))
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out.collect()), key=repr) == brute(rows)
+    assert stored["jaccard-groups"].count() < 400
+
+
 def test_similarity_at_the_threshold_links(table):
     # 7 of 8 and 6 of 8 common shingles: 6 / 8 = 0.75 exactly
     a = "a b c d e f g h i j k"
